@@ -305,6 +305,19 @@ def encoder(schema: Any, names: dict | None = None) -> Encoder:
 
 
 def _prim_encoder(t: str) -> Encoder:
+    enc = _prim_encoder_raw(t)
+    if t == "null":
+        return enc
+
+    def non_null(v, out):
+        if v is None:
+            raise ValueError(f"null value for a non-nullable Avro {t}")
+        enc(v, out)
+
+    return non_null
+
+
+def _prim_encoder_raw(t: str) -> Encoder:
     if t == "null":
         return lambda v, out: None
     if t == "boolean":

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from topicframe.operators.ledger import LedgerStore, batch_ranges, ledger_upsert
+from topicframe.operators.ledger import LedgerStore, batch_ranges, ledger_upsert, resume_from_ledger
 from topicframe.operators.offsets import select_partitions
 from topicframe.sources.topic import TOPIC_COLUMNS
 from topicframe.sources.topic_table import TOPIC_TABLE_SCHEMA, TopicTable
@@ -26,11 +26,15 @@ def read_topic_stream(
     source: str | dict,
     partitions: list[int] | None = None,
     max_files_per_trigger: int | None = None,
+    ledger: DataFrame | None = None,
 ) -> DataFrame:
     """Unbounded topic scan (A1).
 
     ``source``: Kafka options (see ``sources.kafka.kafka_read_options``) or the
     folder of a topic table (its ``data`` folder is streamed file by file).
+    ``ledger`` (``partition, next_offset``) starts each partition at its
+    remembered offset (F3): a broadcast stream-static join for topic tables;
+    for Kafka pass ``saved_offsets`` in the options instead.
     """
     if isinstance(source, dict):
         from topicframe.sources.kafka import kafka_read_options
@@ -43,7 +47,8 @@ def read_topic_stream(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     data = f"{source.rstrip('/')}/data"
     df = reader.option("basePath", data).parquet(data).select(*TOPIC_COLUMNS)
-    return select_partitions(df, partitions)
+    df = select_partitions(df, partitions)
+    return resume_from_ledger(df, ledger) if ledger is not None else df
 
 
 def run_stream(
