@@ -23,7 +23,8 @@ from topicframe.operators import offsets as off
 from topicframe.operators import registry as reg
 from topicframe.session import work_dir
 from topicframe.sources.registry_table import EVENTS_SCHEMA_BASE_ID, registry_table
-from topicframe.sources.topic import read_topic, topic_from_events
+from topicframe.sources.events import events_topic, events_topic_table
+from topicframe.sources.topic import read_topic
 from topicframe.sources.topic_table import TopicTable
 from topicframe.streaming import stream as st
 from topicframe.streaming.incremental import run_incremental
@@ -50,8 +51,9 @@ INCREMENTAL_START, INCREMENTAL_CAP = 50, 50
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
-def _t(spark: SparkSession, sf: str, payload: str = "csv", keep_fields: bool = False) -> DataFrame:
-    return topic_from_events(spark, sf, payload, keep_fields)
+def _t(spark: SparkSession, sf: str, payload: str = "csv") -> DataFrame:
+    """The events topic (stored once per session, see ``sources.events``)."""
+    return events_topic(spark, sf, payload)
 
 
 def _records(t: DataFrame, **meta) -> DataFrame:
@@ -227,9 +229,9 @@ def q_decode_grok(spark, sf):
 
 
 def q_malformed_rows(spark, sf):
-    t = _t(spark, sf, keep_fields=True)
-    short = delimited(["ev_event_id", "ev_user_id", "ev_event_type"]).cast("binary")
-    damaged = t.withColumn("value", F.when(F.col("ev_event_id") % 3 == 0, short).otherwise(F.col("value")))
+    t = _t(spark, sf).withColumn("_f", dec.payload_struct("value", "csv", EVENT_SCHEMA))
+    short = delimited(["_f.event_id", "_f.user_id", "_f.event_type"]).cast("binary")
+    damaged = t.withColumn("value", F.when(F.col("_f.event_id") % 3 == 0, short).otherwise(F.col("value")))
     flagged = dec.split_malformed(damaged.select("value"), "csv", EVENT_SCHEMA, flag="bad")
     return flagged.groupBy("bad").agg(F.count(F.lit(1)).alias("n"))
 
@@ -296,8 +298,7 @@ def q_write_topic_roundtrip(spark, sf):
 
 
 def q_stream_write_roundtrip(spark, sf):
-    source = TopicTable(spark, work_dir(spark, "stream-src"), topic="events")
-    source.put(_t(spark, sf))
+    source = events_topic_table(spark, sf)
     target = TopicTable(spark, work_dir(spark, "stream-dst"), topic="events_copy")
     stream = st.read_topic_stream(spark, source.path)
     st.write_topic_stream(_message_frame(stream), target, work_dir(spark, "stream-ckpt"))
@@ -343,8 +344,9 @@ def q_message_time(spark, sf):
 
 
 def q_assign_offsets(spark, sf):
-    t = _t(spark, sf, keep_fields=True).drop("offset")
-    out = off.assign_offsets(t, _ledger(spark), ["timestamp", "ev_event_id"])
+    t = _t(spark, sf).drop("offset")
+    t = t.withColumn("event_id", dec.payload_struct("value", "csv", EVENT_SCHEMA).getField("event_id"))
+    out = off.assign_offsets(t, _ledger(spark), ["timestamp", "event_id"])
     return out.select("partition", "offset")
 
 
@@ -369,15 +371,14 @@ def q_ledger_json_roundtrip(spark, sf):
 
 
 def q_stream_topic_scan(spark, sf):
-    source = TopicTable(spark, work_dir(spark, "scan-src"), topic="events")
-    source.put(_t(spark, sf))
+    source = events_topic_table(spark, sf)
     out = work_dir(spark, "scan-out")
     st.run_stream(st.read_topic_stream(spark, source.path), st.batch_folder_sink(out), work_dir(spark, "scan-ckpt"))
     return _text(spark.read.parquet(out), "key", "value").select("topic", "partition", "offset", "key", "value")
 
 
 def q_stream_resume(spark, sf):
-    t = _t(spark, sf).checkpoint(eager=True)
+    t = _t(spark, sf)
     cut = F.col("timestamp") < F.lit("2024-01-15 00:00:00").cast("timestamp")
     source = TopicTable(spark, work_dir(spark, "resume-src"), topic="events")
     out, ckpt = work_dir(spark, "resume-out"), work_dir(spark, "resume-ckpt")

@@ -9,10 +9,11 @@ so offsets must be numbered without that. The plan is the one RDD
    group is spread over many tasks; each task holds one contiguous slice
    of the global order. ``monotonically_increasing_id`` gives
    (task, position-in-task).
-2. The sliced rows are checkpointed to the shared checkpoint folder. Two
-   separately planned range exchanges sample different boundaries, so both
-   passes below must read one materialisation; the checkpoint also cuts the
-   lineage, so a lost executor never re-slices the data differently.
+2. The sliced rows are written once as a parquet table in the shared
+   checkpoint folder. Two separately planned range exchanges sample
+   different boundaries, so both passes below must read one
+   materialisation; it also cuts the lineage, so a lost executor never
+   re-slices the data differently. The count pass reads two columns only.
 3. Per (group, task): count and first position. That frame has at most
    ``n + groups`` rows, independent of the data size, and is broadcast.
 4. A running sum of counts over tasks gives each slice its base offset.
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicframe.plans.small import MAX_BROADCAST_ROWS, MAX_TOPIC_PARTITIONS
-from topicframe.session import checkpoint_root
+from topicframe.plans.materialize import materialize
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -65,8 +66,7 @@ def number_rows(
         .withColumn("_tf_pos", F.col("_tf_mid").bitwiseAND(F.lit(_POS_MASK)))
         .drop("_tf_mid")
     )
-    checkpoint_root(spark)
-    sliced = sliced.checkpoint(eager=True)
+    sliced = materialize(sliced, "slices")
     stats = sliced.groupBy(*group, "_tf_task").agg(
         F.count(F.lit(1)).alias("_tf_n"), F.min("_tf_pos").alias("_tf_first")
     )

@@ -33,7 +33,8 @@ EVENTS_TOPIC = "events"
 EVENTS_PARTITIONS = 4
 
 
-def _event_payload(kind: str) -> Column:
+def event_payload(kind: str) -> Column:
+    """Payload of the event fields (event_id, user_id, event_type, value, ts) in one encoding."""
     ev = [F.col(c) for c in EVENT_FIELDS]
     if kind == "csv":
         return delimited(ev, ",")
@@ -43,6 +44,9 @@ def _event_payload(kind: str) -> Column:
         return F.to_json(F.struct(*ev), {"ignoreNullFields": "false"})
     if kind == "text":
         return F.col("event_type")
+    if kind == "framed":
+        schema_id = (F.col("user_id") % 3 + 500).cast("int")
+        return F.concat(F.lit(b"\x00"), int32_be(schema_id), delimited(ev, ",").cast("binary"))
     if kind == "clf":
         return F.concat(
             F.lit("127.0.0."), (F.col("user_id") % 250).cast("string"),
@@ -78,10 +82,7 @@ def topic_from_events(
     (registry wire frame around the csv payload).
     """
     ev = events_table(spark, sf_dir)
-    body = _event_payload("csv" if payload == "framed" else payload).cast("binary")
-    if payload == "framed":
-        schema_id = (F.col("user_id") % 3 + 500).cast("int")
-        body = F.concat(F.lit(b"\x00"), int32_be(schema_id), body)
+    body = event_payload(payload).cast("binary")
     cols = [
         F.col("event_type").cast("binary").alias("key"),
         body.alias("value"),

@@ -66,6 +66,7 @@ class TopicTable:
             .cast("int"),
         )
         numbered = assign_offsets(frame, previous, order).select(*TOPIC_COLUMNS)
+        numbered = numbered.sortWithinPartitions("partition", "offset")
         target = f"{self.data_path}/batch_id={batch_id}"
         w = numbered.write.mode("overwrite").partitionBy("partition")
         if compression:
@@ -86,7 +87,9 @@ class TopicTable:
             batch_id = (vs[-1] + 1) if vs else 0
         previous = self.ledger.read(before=batch_id)
         target = f"{self.data_path}/batch_id={batch_id}"
-        topic_frame.select(*TOPIC_COLUMNS).write.mode("overwrite").partitionBy("partition").parquet(target)
+        # sorted by offset inside each file: tight offset statistics for pushdown
+        (topic_frame.select(*TOPIC_COLUMNS).sortWithinPartitions("partition", "offset")
+         .write.mode("overwrite").partitionBy("partition").parquet(target))
         written = self.spark.read.parquet(target).select("topic", "partition", "offset")
         has_previous = previous.limit(1).count() > 0
         self.ledger.save(ledger_upsert(previous if has_previous else None, batch_ranges(written)), version=batch_id)
