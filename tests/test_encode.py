@@ -49,3 +49,15 @@ def test_route_and_time(spark):
     assert again[b"a"] == rows[b"a"].partition
     ms = msgs.select(F.unix_millis("timestamp").alias("ms"), "key").collect()
     assert {bytes(r.key): r.ms for r in ms}[b"a"] == 1700000000123
+
+
+def test_kafka_sink_refuses_message_time(spark):
+    import pytest
+
+    from topicframe.schema import ContractError
+    from topicframe.sources.sink import write_topic
+
+    df = spark.createDataFrame([(1, 1700000000000)], "id bigint, ts bigint")
+    msgs = enc.to_messages(df, "out", "csv", time_field="ts")
+    with pytest.raises(ContractError, match="message time"):
+        write_topic(msgs, {"brokers": "h:9092", "topic": "out"})

@@ -25,6 +25,7 @@ from topicframe.session import work_dir
 from topicframe.sources.registry_table import EVENTS_SCHEMA_BASE_ID, registry_table
 from topicframe.sources.events import events_topic, events_topic_table
 from topicframe.sources.topic import read_topic
+from topicframe.sources.sink import write_topic
 from topicframe.sources.topic_table import TopicTable
 from topicframe.streaming import stream as st
 from topicframe.streaming.incremental import run_incremental
@@ -293,7 +294,7 @@ def _read_back(table: TopicTable) -> DataFrame:
 
 def q_write_topic_roundtrip(spark, sf):
     table = TopicTable(spark, work_dir(spark, "write-roundtrip"), topic="events_copy")
-    table.append(_message_frame(_t(spark, sf)))
+    write_topic(_message_frame(_t(spark, sf)), table)
     return _read_back(table)
 
 

@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 from topicframe.functions.columns import delimited, utf8_bytes
 from topicframe.schema import ContractError
 
+# Column-metadata flag: the message time came from a record field.
+EXPLICIT_TIME = "topicframe.explicit_time"
+
 
 def encode_key(df: DataFrame, field: str | None) -> Column:
     """Key bytes (E3): no field → null; null → null; bytes unchanged;
@@ -99,7 +102,7 @@ def to_messages(
     return framed.select(
         F.lit(topic).alias("topic"),
         route(framed, partition_field, num_partitions).alias("partition"),
-        message_time(time_field).alias("timestamp"),
+        message_time(time_field).alias("timestamp", metadata={EXPLICIT_TIME: bool(time_field)}),
         F.col("_tf_key").alias("key"),
         F.col("_tf_value").alias("value"),
     )

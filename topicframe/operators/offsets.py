@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicframe.plans.numbering import number_rows
-from topicframe.plans.small import bounded_broadcast, partition_keyed_broadcast
+from topicframe.plans.small import MAX_TOPIC_PARTITIONS, bounded_broadcast, partition_keyed_broadcast
 
 EARLIEST = -2
 LATEST = -1
@@ -117,14 +117,62 @@ def resolve_sentinels(starts: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
-def slice_offsets(df: DataFrame, ranges: DataFrame) -> DataFrame:
+# Ranges up to this count become one exact static predicate; beyond it a coarse
+# static prefilter plus the exact broadcast join.
+MAX_STATIC_RANGES = 64
+
+
+def range_predicate(ranges: DataFrame, with_topic: bool = False) -> Column | None:
+    """Static filter for a (small, cached) range frame, pushed into the scan.
+
+    Collects at most ``MAX_TOPIC_PARTITIONS`` rows (one per partition), the
+    same metadata Spark's Kafka source keeps on the driver. Returns an exact
+    predicate for few ranges, otherwise a superset (partition list and the
+    overall offset bounds) to be combined with the exact join.
+    """
+    cols = (["topic"] if with_topic else []) + ["partition", "from_offset", "until_offset"]
+    rows = ranges.select(*cols).limit(MAX_TOPIC_PARTITIONS + 1).collect()
+    if len(rows) > MAX_TOPIC_PARTITIONS:
+        return None
+    rows = [r for r in rows if r.from_offset is not None and r.until_offset is not None and r.until_offset > r.from_offset]
+    if not rows:
+        return F.lit(False)
+    p, o = F.col("partition"), F.col("offset")
+    if len(rows) <= MAX_STATIC_RANGES:
+        pred = None
+        for r in rows:
+            term = (p == r.partition) & (o >= r.from_offset) & (o < r.until_offset)
+            if with_topic:
+                term = term & (F.col("topic") == r.topic)
+            pred = term if pred is None else pred | term
+        return pred
+    lo = min(r.from_offset for r in rows)
+    hi = max(r.until_offset for r in rows)
+    return p.isin(sorted({r.partition for r in rows})) & (o >= lo) & (o < hi)
+
+
+def slice_offsets(df: DataFrame, ranges: DataFrame, static: bool = True) -> DataFrame:
     """Rows with ``from_offset <= offset < until_offset`` of their partition.
 
-    The range frame is partition-keyed, so it is broadcast; partitions
-    without a range are dropped (inner join).
+    With ``static`` (default) the range frame, which has one row per topic
+    partition, is cached, counted and turned into a static predicate:
+    partition folders are pruned and offset bounds reach the parquet
+    reader (row groups are skipped on their offset statistics). For up to
+    ``MAX_STATIC_RANGES`` ranges the predicate is exact; beyond that it is
+    a prefilter and the exact check is a broadcast join. Partitions without
+    a range are dropped.
     """
     keys = _join_keys(df, ranges)
-    r = partition_keyed_broadcast(ranges.select(*keys, "from_offset", "until_offset"))
+    r = ranges.select(*keys, "from_offset", "until_offset")
+    if static:
+        r = bounded_broadcast(r, MAX_TOPIC_PARTITIONS, "offset ranges")
+        pred = range_predicate(r, with_topic=len(keys) == 2)
+        if pred is not None:
+            df = df.where(pred)
+            if r.limit(MAX_STATIC_RANGES + 1).count() <= MAX_STATIC_RANGES:
+                return df
+    else:
+        r = partition_keyed_broadcast(r)
     return (
         df.join(r, keys, "inner")
         .where((F.col("offset") >= F.col("from_offset")) & (F.col("offset") < F.col("until_offset")))
