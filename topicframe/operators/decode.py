@@ -44,6 +44,29 @@ def _single_field(schema: T.StructType, fmt: str) -> T.StructField:
     return schema.fields[0]
 
 
+_SEP = "\u0001"
+
+
+def _with_groups(text: Column, regex: str, n_groups: int, build) -> Column:
+    """Evaluate the regex once per row and hand the groups to ``build``.
+
+    ``regexp_replace`` with back-references rewrites the (anchored) match to
+    the groups joined by a control character; ``split`` cuts it. The parts
+    are bound once through a one-element ``transform`` (Spark has no
+    let-binding), so every field reads the same split. A row whose fields
+    contain the separator, or that does not match, falls back to one
+    ``regexp_extract`` per group: results are exact either way.
+    """
+    template = _SEP.join(f"${i}" for i in range(1, n_groups + 1))
+    parts = F.split(F.regexp_replace(text, regex, template), _SEP, -1)
+
+    def group_of(p: Column):
+        one_pass = F.size(p) == n_groups
+        return lambda i: F.when(one_pass, F.element_at(p, i)).otherwise(F.regexp_extract(text, regex, i))
+
+    return F.transform(F.array(parts), lambda p: build(group_of(p))).getItem(0)
+
+
 def _regex_struct(
     text: Column,
     schema: T.StructType,
@@ -53,32 +76,36 @@ def _regex_struct(
     fmt: str,
     derived: dict[str, Column] | None = None,
     ts_format: str | None = None,
-    types: dict[str, str] | None = None,
 ) -> Column:
-    fields = []
     strict = mode == "failfast"
     for f in schema.fields:
-        if derived and f.name in derived:
-            raw = derived[f.name]
-        elif f.name in groups:
-            raw = F.regexp_extract(text, regex, groups[f.name])
-            raw = F.when(raw.isin("", "-"), F.lit(None)).otherwise(raw)
-        else:
+        if f.name not in groups and not (derived and f.name in derived):
             known = sorted(set(groups) | set(derived or {}))
             raise ContractError([f"{fmt}: field {f.name!r} is not one of {known}"])
-        dt = f.dataType
-        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) and ts_format:
-            val = F.try_to_timestamp(raw, F.lit(ts_format))
-            if isinstance(dt, T.TimestampNTZType):
-                val = val.cast("timestamp_ntz")
-        elif isinstance(dt, T.StringType):
-            val = raw.cast("string")
-        elif strict:
-            val = raw.cast(dt)
-        else:
-            val = raw.try_cast(dt)
-        fields.append(val.alias(f.name))
-    st = F.struct(*fields)
+
+    def build(group):
+        fields = []
+        for f in schema.fields:
+            if derived and f.name in derived:
+                raw = derived[f.name](group)
+            else:
+                raw = group(groups[f.name])
+                raw = F.when(raw.isin("", "-"), F.lit(None)).otherwise(raw)
+            dt = f.dataType
+            if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) and ts_format:
+                val = F.try_to_timestamp(raw, F.lit(ts_format))
+                if isinstance(dt, T.TimestampNTZType):
+                    val = val.cast("timestamp_ntz")
+            elif isinstance(dt, T.StringType):
+                val = raw.cast("string")
+            elif strict:
+                val = raw.cast(dt)
+            else:
+                val = raw.try_cast(dt)
+            fields.append(val.alias(f.name))
+        return F.struct(*fields)
+
+    st = _with_groups(text, regex, max(groups.values()), build)
     if strict:
         st = F.when(
             text.isNotNull() & ~text.rlike(regex),
@@ -124,8 +151,10 @@ def payload_struct(
         return _regex_struct(_text(v), schema, CLF_REGEX, CLF_GROUPS, mode, f, ts_format=CLF_TIME_FORMAT)
     if f == "syslog":
         text = _text(v)
-        pri = F.regexp_extract(text, SYSLOG_REGEX, 1).try_cast("int")
-        derived = dict(zip(SYSLOG_DERIVED, (F.floor(pri / 8).cast("int"), (pri % 8).cast("int"))))
+        derived = dict(zip(SYSLOG_DERIVED, (
+            lambda g: F.floor(g(1).try_cast("int") / 8).cast("int"),
+            lambda g: (g(1).try_cast("int") % 8).cast("int"),
+        )))
         return _regex_struct(text, schema, SYSLOG_REGEX, SYSLOG_GROUPS, mode, f, derived=derived)
     if f == "grok":
         if not pattern:
