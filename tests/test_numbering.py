@@ -38,3 +38,11 @@ def test_one_slice_per_task_is_the_only_shuffle(spark):
     # the sliced rows are read from one checkpoint; per-slice counts are broadcast
     assert "BroadcastHashJoin" in plan
     assert "rangepartitioning" not in plan
+
+
+def test_aqe_sized_slices_with_hot_group(spark):
+    rows = [(0 if i % 2 else i % 7, i // 3, i) for i in range(4000)]  # group 0: half the rows, ties on ts
+    df = spark.createDataFrame(rows, "g int, ts int, id int")
+    got = number_rows(df, ["g"], ["ts", "id"], "n")
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("ts", "id")) - 1)
+    assert sorted(got.select("g", "id", "n").collect()) == sorted(want.select("g", "id", "n").collect())

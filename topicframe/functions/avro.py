@@ -348,25 +348,43 @@ def decode(schema: Any, data: bytes) -> Any:
 # ---------------------------------------------------------------- schema resolution
 
 
-def resolve(value: Any, writer: Any, reader: Any) -> Any:
-    """Project a value decoded with ``writer`` onto ``reader`` (records by
-    field name; reader fields the writer lacks take their default or null)."""
+def resolver(writer: Any, reader: Any) -> Callable[[Any], Any]:
+    """Compile a projection of values decoded with ``writer`` onto ``reader``
+    (records by field name; reader fields the writer lacks take their default
+    or null). The identity when both record shapes agree."""
     w, r = parse(writer), parse(reader)
-    if value is None:
-        return None
     r_rec = _record_of(r)
-    if r_rec is None or not isinstance(value, dict):
-        return value
-    w_rec = _record_of(w)
-    w_types = {f["name"]: f["type"] for f in (w_rec or {}).get("fields", [])}
-    out = {}
+    if r_rec is None:
+        return lambda v: v
+    w_rec = _record_of(w) or {"fields": []}
+    w_types = {f["name"]: f["type"] for f in w_rec["fields"]}
+    plan = []
     for f in r_rec["fields"]:
         name = f["name"]
-        if name in value:
-            out[name] = resolve(value[name], w_types.get(name, f["type"]), f["type"])
+        if name in w_types:
+            plan.append((name, True, resolver(w_types[name], f["type"])))
         else:
-            out[name] = f.get("default")
-    return out
+            plan.append((name, False, f.get("default")))
+    same = [f["name"] for f in w_rec["fields"]] == [n for n, _, _ in plan] and all(
+        _record_of(parse(w_types[n])) is None for n, present, _ in plan if present
+    )
+    if same:
+        return lambda v: v
+
+    def run(v):
+        if not isinstance(v, dict):
+            return v
+        out = {}
+        for name, present, x in plan:
+            out[name] = x(v.get(name)) if present else x
+        return out
+
+    return run
+
+
+def resolve(value: Any, writer: Any, reader: Any) -> Any:
+    """Project one value decoded with ``writer`` onto ``reader``."""
+    return resolver(writer, reader)(value)
 
 
 def _record_of(s: Any) -> dict | None:

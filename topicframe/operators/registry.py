@@ -99,11 +99,10 @@ def _avro_decode_udf(writers: dict[int, str], reader: object, out_type: T.DataTy
                 continue
             if sid not in decoders:
                 if sid not in writers:
-                    raise ValueError(f"schema id {sid} is not in the registry")
-                decoders[sid] = (avro.decoder(writers[sid]), avro.parse(writers[sid]))
-            dec, wschema = decoders[sid]
-            value, _ = dec(memoryview(body), 0)
-            out.append(avro.resolve(value, wschema, reader_json))
+                    raise ValueError(f"schema id {sid} is not in the registry (payload not registry framed?)")
+                decoders[sid] = (avro.decoder(writers[sid]), avro.resolver(writers[sid], reader_json))
+            dec, project = decoders[sid]
+            out.append(project(dec(memoryview(body), 0)[0]))
         return pa.array(out, type=arrow_type)
 
     return decode_batch

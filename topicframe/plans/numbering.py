@@ -55,11 +55,18 @@ def number_rows(
     ``max_groups`` bounds the number of distinct groups (topic partitions).
     """
     spark = df.sparkSession
-    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = list(group_cols)
     keys = _cols(group) + _cols(order_cols)
+    if num_slices:
+        n = num_slices
+        ranged = df.repartitionByRange(n, *keys)
+    else:
+        # AQE may coalesce adjacent ranges to its advisory size; slices stay
+        # contiguous and at most spark.sql.shuffle.partitions of them exist.
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ranged = df.repartitionByRange(*keys)
     sliced = (
-        df.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("_tf_mid", F.monotonically_increasing_id())
         .withColumn("_tf_task", F.shiftright(F.col("_tf_mid"), _POS_BITS))
