@@ -84,3 +84,16 @@ def test_non_record_field_refused(spark):
     df = spark.createDataFrame([("x",)], "message string")
     with pytest.raises(Exception, match="record"):
         reg.encode_registry_avro(df, _registry(spark), "t", "message")
+
+
+def test_registry_meta_through_to_records(spark):
+    from topicframe.operators import decode as dec
+
+    rows = [(_frame(11, "string", "a"), _frame(22, json.loads(reg.latest_schemas(_registry(spark)).where("subject = 't-value'").first().schema),
+                                               {"id": 1, "first": "samuel", "last": "jackson", "age": 7}), 1, 0)]
+    df = spark.createDataFrame(rows, "key binary, value binary, partition int, offset bigint")
+    out = dec.to_records(df, None, registry=_registry(spark), topic="t", value_field="message", key_field="key",
+                         time_field="time", partition_field="partition", offset_field="offset", batch_time=5)
+    assert out.columns == ["time", "partition", "offset", "key", "message"]
+    r = out.collect()[0]
+    assert (r.time, r.partition, r.offset, r.key, r.message.first, r.message.age) == (5, 1, 0, "a", "samuel", 7)

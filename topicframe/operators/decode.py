@@ -277,6 +277,29 @@ def with_payload(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.col("value"))
 
 
+def _registry_records(df, registry, topic, schema, time_field, key_field, partition_field, offset_field,
+                      value_field, batch_time):
+    from topicframe.operators.registry import decode_registry_avro, infer_output_schema
+
+    if not topic or not value_field:
+        raise ContractError(["a schema registry needs the topic and a value field"])
+    inferred = infer_output_schema(registry, topic, key_field, value_field)
+    decoded = decode_registry_avro(df, registry, topic, value_field, key_field=key_field)
+    meta = {time_field: read_time(batch_time), partition_field: F.col("partition").cast("int"),
+            offset_field: F.col("offset").cast("bigint")}
+    names = parse_schema(schema).fieldNames() if schema is not None else (
+        [f for f in (time_field, partition_field, offset_field) if f] + inferred.fieldNames())
+    cols = []
+    for name in names:
+        if name in inferred.fieldNames():
+            cols.append(F.col(name))
+        elif name in meta and name:
+            cols.append(meta[name].alias(name))
+        else:
+            raise ContractError([f"field {name!r} is neither a registry field nor a metadata field"])
+    return decoded.select(*cols)
+
+
 def to_records(
     df: DataFrame,
     schema: T.StructType | str | None,
@@ -289,6 +312,8 @@ def to_records(
     batch_time: int | None = None,
     mode: str = "failfast",
     pattern: str | None = None,
+    registry: DataFrame | None = None,
+    topic: str | None = None,
 ) -> DataFrame:
     """Topic frame → typed records in declared column order.
 
@@ -296,7 +321,15 @@ def to_records(
     the batch (read time); the other fields come from the decoded payload,
     flattened, or nested under ``value_field`` (which must be a struct field
     of ``schema``).
+
+    With a ``registry`` (and ``topic``) the value is registry-framed Avro
+    nested under ``value_field`` and the key is registry-framed too (any
+    type); ``schema`` may then be None and is inferred from the latest
+    ``<topic>-key``/``<topic>-value`` plus the requested metadata fields.
     """
+    if registry is not None:
+        return _registry_records(df, registry, topic, schema, time_field, key_field, partition_field,
+                                 offset_field, value_field, batch_time)
     schema = parse_schema(schema)
     meta = (time_field, key_field, partition_field, offset_field)
     msg = message_schema(schema, *meta)
