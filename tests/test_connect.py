@@ -82,14 +82,16 @@ def test_sink_csv_key_partition(spark, tmp_dir):
 
 def test_sink_registry_roundtrip(spark, tmp_dir):
     user = json.loads(USER.replace("etlSchemaBody", "message") + "]}")
-    reg = spark.createDataFrame([("out-value", 1, 9, json.dumps(user))], "subject string, version int, id int, schema string")
+    reg = spark.createDataFrame([("out-value", 1, 9, json.dumps(user)), ("out-key", 1, 4, '"string"')],
+                                "subject string, version int, id int, schema string")
     df = spark.createDataFrame([((1, "samuel", "jackson"), "a", 0)],
                                "message struct<id:bigint,first:string,last:string>, key string, partition int")
     cfg = SinkConfig(brokers="localhost:9092", topic="out", key_field="key", partition_field="partition", registry=reg)
     table = TopicTable(spark, f"{tmp_dir}/out", "out")
     write_sink(df, cfg, table)
-    src = _cfg(topic="out", registry=reg, value_field="message", offset_field="offset",
-               schema="offset bigint, message struct<id:bigint,first:string,last:string>")
+    src = _cfg(topic="out", registry=reg, value_field="message", offset_field="offset", key_field="key",
+               schema="offset bigint, key string, message struct<id:bigint,first:string,last:string>")
     back = open_source(spark, src, table.read(), streaming=False).collect()
-    assert [(r.offset, r.message.first) for r in back] == [(0, "samuel")]
+    assert [(r.offset, r.key, r.message.first) for r in back] == [(0, "a", "samuel")]
+    assert bytes(table.read().select("key").first().key) == b"\x00\x00\x00\x00\x04\x02a"
     assert bytes(table.read().select("value").first().value)[:5] == b"\x00\x00\x00\x00\x09"

@@ -20,7 +20,7 @@ from topicframe.operators.decode import to_records
 from topicframe.operators.encode import encode_key, message_time, route
 from topicframe.operators.ledger import LedgerStore, ledger_upsert
 from topicframe.operators.offsets import EARLIEST, select_partitions, slice_offsets
-from topicframe.operators.registry import encode_registry_avro
+from topicframe.operators.registry import encode_registry_avro, encode_registry_key
 from topicframe.schema import SinkConfig, SourceConfig, parse_initial_offsets, parse_partitions
 from topicframe.sources.sink import write_topic
 from topicframe.sources.topic import read_topic
@@ -125,7 +125,9 @@ def sink_messages(df: DataFrame, cfg: SinkConfig) -> DataFrame:
     fields = msg_schema.fieldNames()
     if cfg.registry is not None:
         value = encode_registry_avro(df, cfg.registry, cfg.topic, fields[0])
-        framed = df.select("*", encode_key(df, cfg.key_field).alias("_tf_key"), value.alias("_tf_value"))
+        key = (encode_registry_key(df, cfg.registry, cfg.topic, cfg.key_field) if cfg.key_field
+               else encode_key(df, None))
+        framed = df.select("*", key.alias("_tf_key"), value.alias("_tf_value"))
         return framed.select(
             F.lit(cfg.topic).alias("topic"),
             route(framed, cfg.partition_field).alias("partition"),

@@ -224,3 +224,17 @@ def encode_registry_avro(
         ids = col_of(schema_id)
     body = avro_datum(F.col(field), ids, writers)
     return F.concat(F.lit(bytes([MAGIC])), int32_be(ids), body)
+
+
+def encode_registry_key(df: DataFrame, registry: DataFrame, topic: str, field: str) -> Column:
+    """Registry-framed Avro key (the sink's registry mode passes the key to the
+    registry serializer unchanged): the key field, any type, written with the
+    latest ``<topic>-key`` schema. A null key stays null."""
+    rows = latest_schemas(registry.where(F.col("subject") == f"{topic}-key")).collect()  # <= 1 row
+    if not rows:
+        raise SchemaError(f"subject {topic}-key is not in the registry")
+    sid, schema = int(rows[0]["id"]), rows[0]["schema"]
+    body = avro_datum(F.col(field), F.lit(sid), {sid: schema})
+    return F.when(F.col(field).isNull(), F.lit(None).cast("binary")).otherwise(
+        F.concat(F.lit(bytes([MAGIC])), int32_be(F.lit(sid)), body)
+    )
