@@ -79,3 +79,36 @@ def test_assign_offsets_continues_ledger(spark):
     ledger = spark.createDataFrame([(1, 10)], "partition int, next_offset bigint")
     got = sorted((r.partition, r.offset, r.value) for r in off.assign_offsets(msgs, ledger, ["value"]).collect())
     assert got == [(0, 0, b"1"), (0, 1, b"2"), (1, 10, b"3"), (1, 11, b"4"), (1, 12, b"5")]
+
+
+def test_bounds_with_known_empty_partitions(spark, topic):
+    known = spark.createDataFrame([("t", 0, 8), ("t", 5, 12), ("t", 6, None)], "topic string, partition int, next_offset bigint")
+    b = {r.partition: (r.topic, r.earliest, r.latest) for r in off.partition_bounds(topic, known).collect()}
+    assert b[0] == ("t", 3, 8) and b[5] == ("t", 12, 12) and b[6] == ("t", None, None)
+    plain = spark.createDataFrame([(7,)], "partition int")
+    b2 = {r.partition: (r.earliest, r.latest) for r in off.partition_bounds(topic, plain).collect()}
+    assert b2[7] == (0, 0) and b2[1] == (0, 7)
+
+
+def test_kafka_ranges_become_options(spark):
+    import json
+
+    from topicframe.sources.kafka import kafka_range_options
+
+    ranges = spark.createDataFrame([(0, 4, 7), (2, 0, 3)], "partition int, from_offset bigint, until_offset bigint")
+    o = kafka_range_options({"brokers": "h:9092", "topic": "t"}, None, ranges)
+    assert json.loads(o["assign"]) == {"t": [0, 2]}
+    assert json.loads(o["startingOffsets"]) == {"t": {"0": 4, "2": 0}}
+    assert json.loads(o["endingOffsets"]) == {"t": {"0": 7, "2": 3}}
+    o2 = kafka_range_options({"brokers": "h:9092", "topic": "t"}, [2], {0: (1, 2), 2: (5, 9)})
+    assert json.loads(o2["startingOffsets"]) == {"t": {"2": 5}}
+
+
+def test_many_ranges_prefilter_and_join(spark):
+    topic = make_topic(spark, [(p, o, None, f"{p}-{o}") for p in range(70) for o in range(4)])
+    ranges = spark.createDataFrame([(p, 1, 3 if p % 2 else 2) for p in range(70)],
+                                   "partition int, from_offset bigint, until_offset bigint")
+    got = sorted((r.partition, r.offset) for r in off.slice_offsets(topic, ranges).collect())
+    want = sorted((p, o) for p in range(70) for o in range(1, 3 if p % 2 else 2))
+    assert got == want
+    assert sorted((r.partition, r.offset) for r in off.slice_offsets(topic, ranges, static=False).collect()) == want

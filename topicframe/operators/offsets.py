@@ -36,16 +36,31 @@ def list_partitions(df: DataFrame) -> DataFrame:
     return df.select("topic", "partition").distinct()
 
 
-def partition_bounds(df: DataFrame) -> DataFrame:
+def partition_bounds(df: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Per partition: earliest offset and latest = last offset + 1.
 
     One partial aggregate per task and a tiny final merge, so a hot partition
-    costs nothing extra.
+    costs nothing extra. Empty partitions have no rows; pass ``known``
+    (``partition[, next_offset]``, e.g. a ledger or partition list) to list them
+    with an empty range at their remembered offset (0 when unknown).
     """
     keys = [c for c in ("topic", "partition") if c in df.columns]
-    return df.groupBy(*keys).agg(
+    bounds = df.groupBy(*keys).agg(
         F.min("offset").alias("earliest"), (F.max("offset") + 1).alias("latest")
     )
+    if known is None:
+        return bounds
+    nxt = F.col("next_offset") if "next_offset" in known.columns else F.lit(0)
+    ktopic = F.col("topic") if "topic" in known.columns else F.lit(None).cast("string")
+    k = known.select("partition", nxt.cast("bigint").alias("_tf_k"), ktopic.alias("_tf_kt"))
+    joined = bounds.join(partition_keyed_broadcast(k), "partition", "full_outer")
+    cols = [
+        F.coalesce("earliest", "_tf_k").alias("earliest"),
+        F.coalesce("latest", "_tf_k").alias("latest"),
+    ]
+    if "topic" in keys:
+        return joined.select(F.coalesce("topic", "_tf_kt").alias("topic"), "partition", *cols)
+    return joined.select("partition", *cols)
 
 
 def earliest_offsets(df: DataFrame) -> DataFrame:
@@ -122,18 +137,16 @@ def resolve_sentinels(starts: DataFrame, bounds: DataFrame) -> DataFrame:
 MAX_STATIC_RANGES = 64
 
 
-def range_predicate(ranges: DataFrame, with_topic: bool = False) -> Column | None:
-    """Static filter for a (small, cached) range frame, pushed into the scan.
+def _range_rows(ranges: DataFrame, keys: list[str]) -> list | None:
+    """The range frame's rows (one per partition), or None above the bound."""
+    rows = ranges.select(*keys, "from_offset", "until_offset").limit(MAX_TOPIC_PARTITIONS + 1).collect()
+    return None if len(rows) > MAX_TOPIC_PARTITIONS else rows
 
-    Collects at most ``MAX_TOPIC_PARTITIONS`` rows (one per partition), the
-    same metadata Spark's Kafka source keeps on the driver. Returns an exact
-    predicate for few ranges, otherwise a superset (partition list and the
-    overall offset bounds) to be combined with the exact join.
-    """
-    cols = (["topic"] if with_topic else []) + ["partition", "from_offset", "until_offset"]
-    rows = ranges.select(*cols).limit(MAX_TOPIC_PARTITIONS + 1).collect()
-    if len(rows) > MAX_TOPIC_PARTITIONS:
-        return None
+
+def range_predicate(rows: list, with_topic: bool = False) -> Column:
+    """Static filter for collected ranges, pushed into the scan: exact for up
+    to ``MAX_STATIC_RANGES`` ranges, otherwise a superset (partition list and
+    the overall offset bounds) to combine with the exact join."""
     rows = [r for r in rows if r.from_offset is not None and r.until_offset is not None and r.until_offset > r.from_offset]
     if not rows:
         return F.lit(False)
@@ -154,25 +167,24 @@ def range_predicate(ranges: DataFrame, with_topic: bool = False) -> Column | Non
 def slice_offsets(df: DataFrame, ranges: DataFrame, static: bool = True) -> DataFrame:
     """Rows with ``from_offset <= offset < until_offset`` of their partition.
 
-    With ``static`` (default) the range frame, which has one row per topic
-    partition, is cached, counted and turned into a static predicate:
-    partition folders are pruned and offset bounds reach the parquet
-    reader (row groups are skipped on their offset statistics). For up to
-    ``MAX_STATIC_RANGES`` ranges the predicate is exact; beyond that it is
-    a prefilter and the exact check is a broadcast join. Partitions without
-    a range are dropped.
+    With ``static`` (default) the range frame, one row per topic partition,
+    is collected (bounded by ``MAX_TOPIC_PARTITIONS``; the same metadata
+    Spark's Kafka source plans with) and becomes a static predicate:
+    partition folders are pruned and offset bounds reach the parquet reader
+    (row groups skipped on offset statistics). Up to ``MAX_STATIC_RANGES``
+    ranges the predicate is exact and no join is needed; beyond, it is a
+    prefilter and the exact check is a broadcast join of the collected rows.
+    Partitions without a range are dropped.
     """
     keys = _join_keys(df, ranges)
-    r = ranges.select(*keys, "from_offset", "until_offset")
-    if static:
-        r = bounded_broadcast(r, MAX_TOPIC_PARTITIONS, "offset ranges")
-        pred = range_predicate(r, with_topic=len(keys) == 2)
-        if pred is not None:
-            df = df.where(pred)
-            if r.limit(MAX_STATIC_RANGES + 1).count() <= MAX_STATIC_RANGES:
-                return df
+    rows = _range_rows(ranges, keys) if static else None
+    if rows is not None:
+        df = df.where(range_predicate(rows, with_topic=len(keys) == 2))
+        if len(rows) <= MAX_STATIC_RANGES:
+            return df
+        r = F.broadcast(df.sparkSession.createDataFrame(rows, ranges.select(*keys, "from_offset", "until_offset").schema))
     else:
-        r = partition_keyed_broadcast(r)
+        r = ranges.select(*keys, "from_offset", "until_offset")
     return (
         df.join(r, keys, "inner")
         .where((F.col("offset") >= F.col("from_offset")) & (F.col("offset") < F.col("until_offset")))

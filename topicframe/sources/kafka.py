@@ -138,3 +138,30 @@ def kafka_write_options(
     opts.update(_security(cluster_key, cluster_secret))
     opts.update(_user_options(kafka_options))
     return opts
+
+
+def kafka_range_options(source: dict, partitions: list[int] | None = None, ranges=None) -> dict[str, str]:
+    """Options for a bounded Kafka read of ``[from, until)`` per partition.
+
+    ``ranges`` is a range frame (one row per partition, collected: the same
+    metadata Spark's Kafka source plans with) or ``{partition: (from, until)}``.
+    """
+    src = dict(source)
+    if ranges is not None:
+        if isinstance(ranges, dict):
+            bounds = {int(p): (int(f), int(u)) for p, (f, u) in ranges.items()}
+        else:
+            from topicframe.plans.small import MAX_TOPIC_PARTITIONS
+
+            rows = ranges.select("partition", "from_offset", "until_offset").limit(MAX_TOPIC_PARTITIONS + 1).collect()
+            if len(rows) > MAX_TOPIC_PARTITIONS:
+                raise ContractError(["more ranges than topic partitions allowed"])
+            bounds = {int(r.partition): (int(r.from_offset), int(r.until_offset)) for r in rows}
+        if partitions:
+            bounds = {p: b for p, b in bounds.items() if p in set(partitions)}
+        src["partitions"] = sorted(bounds)
+        src["initial_offsets"] = {p: f for p, (f, _) in bounds.items()}
+        src["ending_offsets"] = {p: u for p, (_, u) in bounds.items()}
+    elif partitions:
+        src["partitions"] = list(partitions)
+    return kafka_read_options(**src)

@@ -120,9 +120,11 @@ def read_topic(
     if isinstance(source, DataFrame):
         df = source
     elif isinstance(source, dict):
-        from topicframe.sources.kafka import kafka_read_options
+        from topicframe.sources.kafka import kafka_range_options
 
-        df = spark.read.format("kafka").options(**kafka_read_options(**source)).load()
+        # Kafka takes offsets only through options: ranges become assign/starting/ending
+        opts = kafka_range_options(source, partitions, ranges)
+        return spark.read.format("kafka").options(**opts).load()
     else:
         df = spark.read.schema(TOPIC_SCHEMA).parquet(source)
     if partitions:
