@@ -9,7 +9,10 @@ from topicframe.sources.kafka import kafka_read_options, kafka_write_options
 
 
 def test_read_options_assign_and_offsets():
-    o = kafka_read_options("h:9092", "t", partitions="0,2", initial_offsets="0:5,3:9", default_offset=-1)
+    with pytest.warns(UserWarning, match=r"\[3\]"):
+        o = kafka_read_options("h:9092", "t", partitions="0,2", initial_offsets="0:5,3:9", default_offset=-1,
+                               spark_options={"minPartitions": 64})
+    assert o["minPartitions"] == "64"
     assert json.loads(o["assign"]) == {"t": [0, 2]}
     assert json.loads(o["startingOffsets"]) == {"t": {"0": 5, "2": -1}}  # 3 is outside the selection
     assert o["kafka.bootstrap.servers"] == "h:9092" and o["kafka.retry.backoff.ms"] == "500"

@@ -101,8 +101,11 @@ def resolve_start_offsets(
                 *keep, F.coalesce("next_offset", "earliest").cast("bigint").alias("start_offset")
             )
     if isinstance(initial, dict) or initial is None:
-        initial = offsets_frame(spark, initial)
-    ini = bounded_broadcast(initial.select("partition", F.col(initial.columns[-1]).alias("_tf_ini")), what="initial offsets")
+        # built from a driver-side dict: its size is the dict's
+        ini = F.broadcast(offsets_frame(spark, initial, "_tf_ini"))
+    else:
+        ini = bounded_broadcast(initial.select("partition", F.col(initial.columns[-1]).alias("_tf_ini")),
+                                what="initial offsets")
     return partitions.join(ini, "partition", "left").select(
         *keep, F.coalesce("_tf_ini", F.lit(default)).cast("bigint").alias("start_offset")
     )

@@ -9,6 +9,7 @@ and ``df.write/writeStream.format("kafka")`` use them directly.
 from __future__ import annotations
 
 import json
+import warnings
 
 from topicframe.schema import ContractError, parse_initial_offsets, parse_partitions
 
@@ -76,11 +77,15 @@ def kafka_read_options(
     cluster_secret: str | None = None,
     kafka_options: dict | str | None = None,
     streaming: bool = False,
+    spark_options: dict | None = None,
 ) -> dict[str, str]:
     """Options for ``format("kafka")`` reads.
 
     Saved offsets replace everything; otherwise explicit initial offsets,
-    then ``default_offset``. Selected partitions use ``assign``. A rate cap
+    then ``default_offset``. Selected partitions use ``assign``; initial
+    offsets of other partitions are ignored with a warning.
+    ``spark_options`` are source options of Spark's connector itself
+    (``minPartitions``, ``failOnDataLoss``, ...). A rate cap
     becomes ``maxOffsetsPerTrigger = rate * partitions * interval`` (Spark
     caps the total per trigger, split by backlog, not each partition).
     """
@@ -98,6 +103,10 @@ def kafka_read_options(
     if saved_offsets:
         start = dict(saved_offsets)
     elif initial:
+        outside = sorted(p for p in initial if parts and p not in parts)
+        if outside:
+            warnings.warn(f"initial offsets of partitions {outside} are ignored: not in the selected partitions",
+                          stacklevel=2)
         start = {p: o for p, o in initial.items() if not parts or p in parts}
         for p in parts:
             start.setdefault(p, default_offset)
@@ -116,6 +125,7 @@ def kafka_read_options(
         opts["maxOffsetsPerTrigger"] = str(int(max_rate * n * batch_interval_s))
     opts.update(_security(cluster_key, cluster_secret))
     opts.update(_user_options(kafka_options))
+    opts.update({k: str(v) for k, v in (spark_options or {}).items()})
     return opts
 
 
