@@ -24,6 +24,12 @@ TOPIC_TABLE_SCHEMA = T.StructType(
     + [T.StructField("batch_id", T.IntegerType(), True), T.StructField("partition", T.IntegerType(), True)]
 )
 
+# Columns read back from a just-written batch folder (an empty batch has no files).
+_WRITTEN = T.StructType(
+    [T.StructField("topic", T.StringType()), T.StructField("offset", T.LongType()),
+     T.StructField("partition", T.IntegerType())]
+)
+
 
 class TopicTable:
     def __init__(self, spark: SparkSession, path: str, topic: str | None = None):
@@ -73,7 +79,7 @@ class TopicTable:
             w = w.option("compression", compression)
         w.parquet(target)
         # next offsets from the written batch: a two-column scan of its files
-        written = self.spark.read.parquet(target).select(
+        written = self.spark.read.schema(_WRITTEN).parquet(target).select(
             F.lit(self.topic).alias("topic") if self.topic else "topic", "partition", "offset"
         )
         has_previous = previous.limit(1).count() > 0
@@ -90,7 +96,7 @@ class TopicTable:
         # sorted by offset inside each file: tight offset statistics for pushdown
         (topic_frame.select(*TOPIC_COLUMNS).sortWithinPartitions("partition", "offset")
          .write.mode("overwrite").partitionBy("partition").parquet(target))
-        written = self.spark.read.parquet(target).select("topic", "partition", "offset")
+        written = self.spark.read.schema(_WRITTEN).parquet(target).select("topic", "partition", "offset")
         has_previous = previous.limit(1).count() > 0
         self.ledger.save(ledger_upsert(previous if has_previous else None, batch_ranges(written)), version=batch_id)
         return batch_id
