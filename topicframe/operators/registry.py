@@ -149,22 +149,22 @@ def decode_registry_avro(
     if not isinstance(vtype, T.StructType):
         raise ContractError([f"registry value schema of {topic!r} is not a record"])
     reader = spark_to_avro(vtype, value_field)
-    framed = split_registry_frame(df, col)
-    check = F.when(
-        F.col("magic") != MAGIC, F.raise_error(F.lit("payload is not registry framed (magic byte)"))
-    )
-    value = F.when(F.col(col).isNull(), F.lit(None).cast(vtype)).otherwise(
-        F.coalesce(check.cast(vtype), avro_payload(F.col("schema_id"), F.col("body"), writers, reader))
-    )
-    out = framed.withColumn(value_field, value)
+    out = df
+    targets = [(col, value_field, vtype)]
     if key_field:
-        ktype = by_name[key_field].dataType
-        kreader = spark_to_avro(ktype, key_field)
-        kv = F.col("key")
-        kid = from_int32_be(F.substring(kv, 2, 4))
-        kbody = F.expr("substr(`key`, 6)")
-        out = out.withColumn(key_field, avro_payload(kid, kbody, writers, kreader))
-    return out.drop("magic", "schema_id", "body")
+        targets.append(("key", key_field, by_name[key_field].dataType))
+    for src, name, dtype in targets:
+        v = F.col(src)
+        magic = F.conv(F.hex(F.substring(v, 1, 1)), 16, 10).cast("int")
+        framed = v.isNotNull() & (magic == MAGIC) & (F.octet_length(v) >= 5)
+        # only framed datums reach the decoder; anything else fails the task here
+        body = F.when(framed, F.expr(f"substr(`{src}`, 6)"))
+        decoded = avro_payload(from_int32_be(F.substring(v, 2, 4)), body, writers, spark_to_avro(dtype, name))
+        bad = F.raise_error(F.concat(F.lit(f"{src} is not registry framed: first bytes "),
+                                     F.hex(F.substring(v, 1, 5))))
+        out = out.withColumn(name, F.when(v.isNull(), F.lit(None).cast(dtype))
+                             .when(~framed, bad.cast(dtype)).otherwise(decoded))
+    return out
 
 
 # ---------------------------------------------------------------- encode
