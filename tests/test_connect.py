@@ -95,3 +95,22 @@ def test_sink_registry_roundtrip(spark, tmp_dir):
     assert [(r.offset, r.key, r.message.first) for r in back] == [(0, "a", "samuel")]
     assert bytes(table.read().select("key").first().key) == b"\x00\x00\x00\x00\x04\x02a"
     assert bytes(table.read().select("value").first().value)[:5] == b"\x00\x00\x00\x00\x09"
+
+
+def test_avro_and_grok_formats_from_config(spark):
+    user = json.loads(USER.replace("etlSchemaBody", "message") + "]}")
+    topic = make_topic(spark, [(0, 0, "k", avro.encode(user, {"id": 4, "first": "donald", "last": "duck"}))])
+    cfg = _cfg(fmt="avro", schema=USER + ',{"name":"offset","type":"long"}]}', offset_field="offset")
+    r = open_source(spark, cfg, topic, streaming=False).first()
+    assert (r.id, r.first, r.last, r.offset) == (4, "donald", "duck", 0)
+    logs = make_topic(spark, [(0, 0, None, "GET /a 200")])
+    g = _cfg(fmt="grok", schema="verb string, path string, status int",
+             pattern="%{WORD:verb} %{NOTSPACE:path} %{INT:status}")
+    r = open_source(spark, g, logs, streaming=False).first()
+    assert (r.verb, r.path, r.status) == ("GET", "/a", 200)
+    import pytest
+
+    from topicframe.schema import ContractError
+
+    with pytest.raises(ContractError, match="pattern"):
+        _cfg(fmt="grok", schema="verb string").validate()

@@ -54,7 +54,7 @@ def _records(df: DataFrame, cfg: SourceConfig, schema, batch_time: int | None =
                           batch_time=batch_time)
     return to_records(df, schema, cfg.fmt, time_field=cfg.time_field, key_field=cfg.key_field,
                       partition_field=cfg.partition_field, offset_field=cfg.offset_field,
-                      value_field=cfg.value_field, batch_time=batch_time)
+                      value_field=cfg.value_field, batch_time=batch_time, pattern=cfg.pattern)
 
 
 def open_source(

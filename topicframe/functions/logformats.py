@@ -33,7 +33,7 @@ SYSLOG_REGEX = r"^<(\d{1,3})>([A-Z][a-z]{2} [ \d]\d \d{2}:\d{2}:\d{2}) (\S+) ([^
 SYSLOG_GROUPS = {
     "priority": 1, "pri": 1,
     "timestamp": 2, "time": 2,
-    "host": 3, "hostname": 3,
+    "host": 3, "hostname": 3, "logsource": 3,
     "app": 4, "program": 4, "tag": 4,
     "pid": 5,
     "message": 6, "msg": 6,

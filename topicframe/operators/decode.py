@@ -162,7 +162,14 @@ def payload_struct(
         regex, groups, _types = expand_grok(pattern, opts.get("patterns"))
         return _regex_struct(_text(v), schema, "^" + regex + "$", groups, mode, f)
     if f == "avro":
-        raise ContractError(["avro payloads are decoded with topicframe.operators.registry.decode_avro"])
+        # a bare Avro datum written with the declared message schema
+        import json
+
+        from topicframe.operators.registry import avro_payload
+        from topicframe.schema import spark_to_avro
+
+        writer = json.dumps(spark_to_avro(schema, "message"))
+        return avro_payload(F.lit(0), v, {0: writer}, writer)
     raise ContractError([f"unknown format {fmt!r}"])
 
 

@@ -262,6 +262,7 @@ class SourceConfig:
     registry: object | None = None
     kafka_options: dict = field(default_factory=dict)
     bounded: bool = False
+    pattern: str | None = None
 
     def validate(self) -> T.StructType:
         """Check every rule; raise one ContractError listing all failures."""
@@ -309,6 +310,8 @@ class SourceConfig:
                 failures.append("without a format the message must be exactly one bytes field")
         elif self.fmt and self.fmt.lower() not in DECODER_FORMATS:
             failures.append(f"unknown format {self.fmt!r}")
+        elif self.fmt and self.fmt.lower() == "grok" and not self.pattern:
+            failures.append("the grok format needs a pattern")
         if failures:
             raise ContractError(failures)
         return schema
