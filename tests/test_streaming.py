@@ -65,3 +65,16 @@ def test_stream_sink_roundtrip_and_idempotent_replay(spark, tmp_dir):
     replay = spark.createDataFrame(replay.collect(), replay.schema)
     dst.append(replay, batch_id=0)
     assert sorted((r.partition, r.offset, bytes(r.value)) for r in dst.read().collect()) == first
+
+
+def test_read_time_is_one_value_per_micro_batch(spark, tmp_dir):
+    src = TopicTable(spark, f"{tmp_dir}/src", topic="t")
+    src.put(make_topic(spark, [(0, 0, None, "1,a,b"), (1, 0, None, "2,c,d")]), batch_id=0)
+    src.put(make_topic(spark, [(0, 1, None, "3,e,f"), (1, 1, None, "4,g,h")]), batch_id=1)
+    out = f"{tmp_dir}/out"
+    stream = st.read_topic_stream(spark, src.path, max_files_per_trigger=2)
+    recs = dec.to_records(stream, f"{USER}, t bigint", "csv", time_field="t")
+    st.run_stream(recs, st.batch_folder_sink(out), f"{tmp_dir}/ckpt")
+    per_batch = spark.read.parquet(out).groupBy("batch_id").agg(F.countDistinct("t").alias("n"), F.count("*").alias("rows"))
+    rows = per_batch.collect()
+    assert len(rows) == 2 and all(r.n == 1 and r.rows == 2 for r in rows)
