@@ -80,12 +80,27 @@ def decoder(schema: Any, names: dict | None = None) -> Decoder:
         return _prim_decoder(s)
     if isinstance(s, list):
         branches = [decoder(b, names) for b in s]
-
-        def dec_union(buf, pos):
+        non_null = [i for i, b in enumerate(s) if b != "null"]
+        if len(non_null) <= 1:
+            def dec_union(buf, pos):
+                i, pos = _read_long(buf, pos)
+                return branches[i](buf, pos)
+
+            return dec_union
+        # several non-null branches: a struct member0..memberN with the chosen one set
+        member = {i: f"member{j}" for j, i in enumerate(non_null)}
+        empty = {name: None for name in member.values()}
+
+        def dec_members(buf, pos):
             i, pos = _read_long(buf, pos)
-            return branches[i](buf, pos)
+            v, pos = branches[i](buf, pos)
+            if i not in member:
+                return None, pos
+            out = dict(empty)
+            out[member[i]] = v
+            return out, pos
 
-        return dec_union
+        return dec_members
     t = s["type"]
     logical = s.get("logicalType")
     if t == "record":
@@ -228,6 +243,27 @@ def encoder(schema: Any, names: dict | None = None) -> Encoder:
                     raise ValueError("null for a non-nullable union")
                 _write_long(null_idx, out)
                 return
+            if len(others) > 1:
+                if _is_members(v, len(others)):
+                    # struct member0..memberN: write the first member that is set
+                    get = v.get if isinstance(v, dict) else (lambda k: getattr(v, k, None))
+                    for j, i in enumerate(others):
+                        x = get(f"member{j}")
+                        if x is not None:
+                            _write_long(i, out)
+                            branches[i][1](x, out)
+                            return
+                    if null_idx is None:
+                        raise ValueError("no union member set for a non-nullable union")
+                    _write_long(null_idx, out)
+                    return
+                # a plain value: the first branch whose type fits it
+                for i in others:
+                    if _fits(branches[i][0], v):
+                        _write_long(i, out)
+                        branches[i][1](v, out)
+                        return
+                raise ValueError(f"no union branch fits {type(v).__name__}")
             i = others[0]
             _write_long(i, out)
             branches[i][1](v, out)
@@ -304,6 +340,43 @@ def encoder(schema: Any, names: dict | None = None) -> Encoder:
     return base
 
 
+def _is_members(v: Any, n: int) -> bool:
+    keys = v.keys() if isinstance(v, dict) else getattr(v, "__fields__", None) or []
+    return bool(keys) and set(keys) <= {f"member{j}" for j in range(n)}
+
+
+# Python value types each Avro type accepts when picking a union branch.
+_FITS = {
+    "boolean": (bool,),
+    "int": (int,),
+    "long": (int,),
+    "float": (float, int),
+    "double": (float, int),
+    "bytes": (bytes, bytearray),
+    "string": (str,),
+}
+
+
+def _fits(branch: Any, v: Any) -> bool:
+    b = parse(branch)
+    t = b if isinstance(b, str) else b.get("type")
+    if isinstance(b, dict) and b.get("logicalType"):
+        return True
+    if t in ("int", "long") and isinstance(v, bool):
+        return False
+    if t in _FITS:
+        return isinstance(v, _FITS[t])
+    if t in ("record", "map"):
+        return isinstance(v, dict) or hasattr(v, "__fields__")
+    if t == "array":
+        return isinstance(v, (list, tuple))
+    if t == "enum":
+        return isinstance(v, str)
+    if t == "fixed":
+        return isinstance(v, (bytes, bytearray))
+    return True
+
+
 def _prim_encoder(t: str) -> Encoder:
     enc = _prim_encoder_raw(t)
     if t == "null":

@@ -112,6 +112,8 @@ def spark_to_avro(dt: T.DataType, name: str = "record", nullable: bool = False)
         out = {"type": "long", "logicalType": "timestamp-micros"}
     elif isinstance(dt, T.TimestampNTZType):
         out = {"type": "long", "logicalType": "local-timestamp-micros"}
+    elif isinstance(dt, (T.ShortType, T.ByteType)):
+        out = "int"
     else:
         for avro_name, sdt in _PRIMITIVES.items():
             if type(sdt) is type(dt):
