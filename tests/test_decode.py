@@ -101,3 +101,21 @@ def test_clf_syslog_grok(spark):
 def test_read_time_on_stream_is_per_batch(spark):
     df = spark.range(10).withColumn("t", dec.read_time())
     assert df.select(F.countDistinct("t")).first()[0] == 1
+
+
+def test_json_malformed_and_log_variants(spark):
+    js = make_topic(spark, [(0, 0, None, '{"id": 1, "first": "a", "last": "b"}'), (0, 1, None, "{not json"),
+                            (0, 2, None, '{"id": "x"}'), (0, 3, None, None)])
+    bad = {r.offset: r.malformed for r in dec.split_malformed(js, "json", USER).collect()}
+    assert bad == {0: False, 1: True, 2: True, 3: False}
+    combined = make_topic(spark, [(0, 0, None, '1.2.3.4 - - [01/Jan/2024:00:00:00 +0000] "GET / HTTP/1.1" 200 5 '
+                                                '"http://ref/" "curl/8"')])
+    r = dec.to_records(combined, "host string, referrer string, agent string, size bigint", "clf").first()
+    assert (r.host, r.referrer, r.agent, r.size) == ("1.2.3.4", "http://ref/", "curl/8", 5)
+    nopid = make_topic(spark, [(0, 0, None, "<0>Jan 31 23:59:59 box kernel: boot")])
+    r = dec.to_records(nopid, "facility int, severity int, app string, pid int, message string", "syslog").first()
+    assert (r.facility, r.severity, r.app, r.pid, r.message) == (0, 0, "kernel", None, "boot")
+    custom = make_topic(spark, [(0, 0, None, "id=42 user=bob")])
+    r = dec.decode(custom, "grok", "id int, user string", pattern="id=%{NUM:id} user=%{WORD:user}",
+                   options={"patterns": {"NUM": r"\d+"}}).first()
+    assert (r.id, r.user) == (42, "bob")
