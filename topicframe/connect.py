@@ -115,6 +115,7 @@ def open_bounded(
     def commit() -> None:
         has_previous = previous.limit(1).count() > 0
         store.save(ledger_upsert(previous if has_previous else None, ranges))
+        ranges.unpersist()
 
     return records, commit
 

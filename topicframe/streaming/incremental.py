@@ -67,4 +67,6 @@ def run_incremental(
     sink(transform(batch) if transform else batch)
     has_previous = previous.limit(1).count() > 0
     store.save(ledger_upsert(previous if has_previous else None, ranges))
-    return ranges
+    done = ranges.collect()  # <= one row per partition; the cached frame can go
+    ranges.unpersist()
+    return ranges.sparkSession.createDataFrame(done, ranges.schema)
