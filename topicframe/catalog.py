@@ -263,9 +263,7 @@ def q_decode_registry_avro(spark, sf):
 
 
 def q_latest_schemas(spark, sf):
-    return reg.latest_schemas(registry_table(spark, sf)).where(F.col("subject") != "events-value").select(
-        "subject", "id"
-    )
+    return reg.latest_schemas(registry_table(spark, sf)).select("subject", "id")
 
 
 # ------------------------------------------------------------------ encoders and sinks (E)
@@ -503,7 +501,8 @@ _BODIES = {
     "decode_avro": "select event_id, user_id, event_type, amount from t",
     "decode_registry_avro": """select event_id, user_id, case when user_id % 3 >= 1 then event_type end as event_type,
  case when user_id % 3 = 2 then amount end as amount from t""",
-    "latest_schemas": "select concat(n_name,'-value') as subject, n_nationkey*10+3 as id from nation",
+    "latest_schemas": """select concat(n_name,'-value') as subject, n_nationkey*10+3 as id from nation
+ union all select 'events-value' as subject, 502 as id""",
     "write_topic_roundtrip": _ROUNDTRIP,
     "stream_write_roundtrip": _ROUNDTRIP,
     "encode_key": "select cast(user_id as varchar) as key_text from t",
