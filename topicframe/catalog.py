@@ -23,7 +23,7 @@ from topicframe.operators import offsets as off
 from topicframe.operators import registry as reg
 from topicframe.session import work_dir
 from topicframe.sources.registry_table import EVENTS_SCHEMA_BASE_ID, registry_table
-from topicframe.sources.events import events_topic, events_topic_table
+from topicframe.sources.events import documents_topic_table, events_topic, events_topic_table, pages_topic_table
 from topicframe.sources.topic import read_topic
 from topicframe.sources.sink import write_topic
 from topicframe.sources.topic_table import TopicTable
@@ -259,6 +259,24 @@ def q_decode_registry_avro(spark, sf):
     return decoded.select("message.*")
 
 
+# Declared schema of the document payloads.
+DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string"
+
+
+def q_documents_json_roundtrip(spark, sf):
+    """Whole documents through JSON (E5 → topic → C9): every text must come back
+    byte for byte (checked by md5 and byte length)."""
+    recs = dec.to_records(documents_topic_table(spark, sf).read(),
+                          f"{DOCUMENT_SCHEMA}, o bigint, p int", "json", offset_field="o", partition_field="p")
+    return recs.select("doc_id", "lang", F.md5("text").alias("text_md5"),
+                       F.octet_length("text").cast("bigint").alias("text_bytes"))
+
+
+def q_pages_bytes_by_partition(spark, sf):
+    """Raw html pages as a topic (B6/C4): messages and payload bytes per partition."""
+    return off.message_sizes(pages_topic_table(spark, sf).read())
+
+
 # ------------------------------------------------------------------ registry (D)
 
 
@@ -427,6 +445,8 @@ BUILDERS: dict[str, Builder] = {
     "decode_json": q_decode_json,
     "decode_text": q_decode_text,
     "decode_clf": q_decode_clf,
+    "documents_json_roundtrip": q_documents_json_roundtrip,
+    "pages_bytes_by_partition": q_pages_bytes_by_partition,
     "decode_syslog": q_decode_syslog,
     "decode_grok": q_decode_grok,
     "malformed_rows": q_malformed_rows,
@@ -492,6 +512,10 @@ _BODIES = {
     "decode_clf": """select concat('127.0.0.', user_id % 250) as host, concat('u', user_id) as authuser,
  date_trunc('second', "timestamp") as at, concat('GET /', event_type, ' HTTP/1.0') as request, 200 as status,
  event_id as bytes from t""",
+    "documents_json_roundtrip": """select doc_id, lang, md5(text) as text_md5,
+ cast(strlen(text) as bigint) as text_bytes from documents""",
+    "pages_bytes_by_partition": """select cast(page_id % 8 as int) as "partition", count(*) as n,
+ cast(sum(coalesce(strlen(html), 0)) as bigint) as bytes from pages group by 1""",
     "decode_syslog": """select 4 as facility, 2 as severity, concat('h', user_id) as host, 'app' as app,
  event_id as pid, event_type as msg from t""",
     "decode_grok": """select 34 as priority, concat('h', user_id) as host, 'app' as app, event_id as pid,

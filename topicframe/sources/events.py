@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from topicframe.schema import to_ddl
 from topicframe.session import path_exists, work_dir
-from topicframe.sources.topic import EVENTS_TOPIC, event_payload, topic_from_events
+from topicframe.sources.topic import EVENTS_TOPIC, event_payload, topic_from_events, topic_from_table
 from topicframe.sources.topic_table import TopicTable
 
 _STORED: dict[tuple, str] = {}
@@ -34,28 +34,54 @@ EVENT_PAYLOAD_SCHEMA = T.StructType(
 )
 
 
-def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
-    src = f"{sf_dir.rstrip('/')}/events.parquet"
+def _input_key(spark: SparkSession, sf_dir: str, name: str = EVENTS_TOPIC) -> tuple:
+    src = f"{sf_dir.rstrip('/')}/{name}.parquet"
     try:
         st = os.stat(src)
         stamp = (st.st_mtime_ns, st.st_size)
     except OSError:
         stamp = ()
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), stamp)
+    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, stamp)
 
 
-def events_topic_table(spark: SparkSession, sf_dir: str) -> TopicTable:
-    """The csv events topic as a stored topic table (built on first use)."""
-    key = _input_key(spark, sf_dir)
+def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> TopicTable:
+    key = _input_key(spark, sf_dir, name)
     path = _STORED.get(key)
-    table = TopicTable(spark, path, EVENTS_TOPIC) if path else None
+    table = TopicTable(spark, path, name) if path else None
     if table is None or not table.ledger.versions() or not path_exists(spark, table.data_path):
-        table = TopicTable(spark, work_dir(spark, "events-topic"), EVENTS_TOPIC)
-        table.put(topic_from_events(spark, sf_dir), batch_id=0)
+        table = TopicTable(spark, work_dir(spark, f"{name}-topic"), name)
+        table.put(build(), batch_id=0)
         _STORED[key] = table.path
     return table
 
 
+def events_topic_table(spark: SparkSession, sf_dir: str) -> TopicTable:
+    """The csv events topic as a stored topic table (built on first use)."""
+    return _stored(spark, sf_dir, EVENTS_TOPIC, lambda: topic_from_events(spark, sf_dir))
+
+
+# Partitions of the document and page topics (keyed by id, routed by id).
+TEXT_TOPIC_PARTITIONS = 8
+
+
+def documents_topic_table(spark: SparkSession, sf_dir: str) -> TopicTable:
+    """``documents`` as a topic: key = doc_id, value = JSON of the whole row
+    (long texts with quotes, newlines and non-ASCII), partition = doc_id % 8."""
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    value = F.to_json(F.struct("doc_id", "text", "lang", "source"), {"ignoreNullFields": "false"})
+    return _stored(spark, sf_dir, "documents", lambda: topic_from_table(
+        docs, "documents", F.col("doc_id").cast("string"), value,
+        F.pmod(F.col("doc_id"), F.lit(TEXT_TOPIC_PARTITIONS)), ["doc_id"]))
+
+
+def pages_topic_table(spark: SparkSession, sf_dir: str) -> TopicTable:
+    """``pages`` as a topic: key = url, value = the raw html, partition = page_id % 8."""
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return _stored(spark, sf_dir, "pages", lambda: topic_from_table(
+        pages, "pages", F.col("url"), F.col("html"),
+        F.pmod(F.col("page_id"), F.lit(TEXT_TOPIC_PARTITIONS)), ["page_id"]))
+
+
 def events_topic(spark: SparkSession, sf_dir: str, payload: str = "csv") -> DataFrame:
     """The events topic with the payload in ``payload`` encoding."""
     t = events_topic_table(spark, sf_dir).read()

@@ -67,6 +67,28 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+def topic_from_table(
+    df: DataFrame,
+    topic: str,
+    key: Column,
+    value: Column,
+    partition: Column,
+    order: list[str | Column],
+) -> DataFrame:
+    """Any table as a topic frame: messages numbered per partition in ``order``
+    (which should end with a unique column) by the skew-proof numbering."""
+    t = df.select(
+        key.cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.lit(topic).alias("topic"),
+        partition.cast("int").alias("partition"),
+        *[(F.col(c) if isinstance(c, str) else c).alias(f"_tf_o{i}") for i, c in enumerate(order)],
+    )
+    t = t.withColumn("timestamp", F.current_timestamp()).withColumn("timestampType", F.lit(1))
+    t = number_rows(t, ["partition"], [f"_tf_o{i}" for i in range(len(order))], "offset")
+    return t.select(*TOPIC_COLUMNS)
+
+
 def topic_from_events(
     spark: SparkSession,
     sf_dir: str,
