@@ -46,3 +46,11 @@ def test_aqe_sized_slices_with_hot_group(spark):
     got = number_rows(df, ["g"], ["ts", "id"], "n")
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("ts", "id")) - 1)
     assert sorted(got.select("g", "id", "n").collect()) == sorted(want.select("g", "id", "n").collect())
+
+
+def test_unique_key_path_matches(spark):
+    rows = [(0 if i % 3 else 1, None if i % 11 == 0 else i * 7 % 1000, i, "x" * (i % 50)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g int, ts int, id int, payload string")
+    got = number_rows(df, ["g"], ["ts", "id"], "n", unique=True, start=F.lit(10))
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("ts", "id")) + 9)
+    assert sorted(got.select("g", "id", "payload", "n").collect()) == sorted(want.select("g", "id", "payload", "n").collect())

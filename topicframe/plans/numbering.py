@@ -45,6 +45,7 @@ def number_rows(
     start: Column | int = 0,
     num_slices: int | None = None,
     max_groups: int = MAX_TOPIC_PARTITIONS,
+    unique: bool = False,
 ) -> DataFrame:
     """Add ``name`` = 0-based position of the row in its group (+ ``start``).
 
@@ -53,7 +54,27 @@ def number_rows(
     as with ``row_number``.
     ``start`` may be a column of ``df`` (e.g. a per-group base offset).
     ``max_groups`` bounds the number of distinct groups (topic partitions).
+
+    With ``unique=True`` (the caller guarantees that group + order columns
+    identify a row; they must be column names) only those key columns are
+    sliced and materialised; the rows get their number through one
+    shuffle join on the unique key. Wide payloads are then shuffled once
+    and never written an extra time.
     """
+    if unique:
+        names = list(group_cols) + [c for c in order_cols if isinstance(c, str)]
+        if len(names) != len(group_cols) + len(order_cols):
+            raise ValueError("unique numbering needs column names as order columns")
+        keys_only = df.select(*names)
+        numbered = number_rows(keys_only, group_cols, order_cols, name, 0, num_slices, max_groups, False)
+        numbered = numbered.select(*[F.col(c).alias(f"_tf_k{i}") for i, c in enumerate(names)], name)
+        # null-safe: a null in a key column must not drop the row
+        cond = [df[c].eqNullSafe(numbered[f"_tf_k{i}"]) for i, c in enumerate(names)]
+        out = df.join(numbered, on=cond, how="inner").drop(*[f"_tf_k{i}" for i in range(len(names))])
+        if isinstance(start, int) and start == 0:
+            return out
+        start_col = F.lit(start) if isinstance(start, int) else start
+        return out.withColumn(name, (F.col(name) + start_col).cast("bigint"))
     spark = df.sparkSession
     group = list(group_cols)
     keys = _cols(group) + _cols(order_cols)

@@ -76,7 +76,7 @@ def topic_from_table(
     order: list[str | Column],
 ) -> DataFrame:
     """Any table as a topic frame: messages numbered per partition in ``order``
-    (which should end with a unique column) by the skew-proof numbering."""
+    (which must identify a row within a partition) by the skew-proof numbering."""
     t = df.select(
         key.cast("binary").alias("key"),
         value.cast("binary").alias("value"),
@@ -85,7 +85,7 @@ def topic_from_table(
         *[(F.col(c) if isinstance(c, str) else c).alias(f"_tf_o{i}") for i, c in enumerate(order)],
     )
     t = t.withColumn("timestamp", F.current_timestamp()).withColumn("timestampType", F.lit(1))
-    t = number_rows(t, ["partition"], [f"_tf_o{i}" for i in range(len(order))], "offset")
+    t = number_rows(t, ["partition"], [f"_tf_o{i}" for i in range(len(order))], "offset", unique=True)
     return t.select(*TOPIC_COLUMNS)
 
 
@@ -118,7 +118,8 @@ def topic_from_events(
     if keep_fields:
         cols += [F.col(c).alias(f"ev_{c}") for c in EVENT_FIELDS]
     t = ev.select(*cols)
-    t = number_rows(t, ["partition"], ["_ts", "_eid"], "offset")
+    # (ts, event_id) is unique: only the keys are sliced, the payload joins back once
+    t = number_rows(t, ["partition"], ["_ts", "_eid"], "offset", unique=True)
     extra = [f"ev_{c}" for c in EVENT_FIELDS] if keep_fields else []
     return t.select(*TOPIC_COLUMNS, *extra)
 
