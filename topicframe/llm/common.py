@@ -19,8 +19,8 @@ def documents(spark, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def bucket_of_id(n: int, column: str = "doc_id") -> Column:
-    """crc32 of the id written as text, modulo ``n``."""
-    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+    """crc32 of the id written as text, modulo ``n``; a null id is the empty text."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
 def checkpointed(df: DataFrame, name: str) -> DataFrame:
