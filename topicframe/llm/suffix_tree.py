@@ -38,9 +38,9 @@ from topicframe.llm.common import bucket_of_id, checkpointed, documents
 from topicframe.llm.spans import BLANKS, Words, text_chunks
 
 DEPTH = 5
-LEAST_SHARE = 4e-6
+LEAST_SHARE = 1e-6
 LEAST_DIVERGENCE = 0.005
-LEAST_GAIN = 30.0
+LEAST_GAIN = 8.0
 FREQUENT = 1 << 18
 END = 10
 CHUNK = 4 << 20
