@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicframe.llm.common import checkpointed, documents
+from topicframe.llm.common import checkpointed, documents, most_frequent
 from topicframe.llm.components import connected_components
 from topicframe.llm.spans import Words, combine, mix, text_chunks
 
@@ -99,10 +99,8 @@ def frequent_shingles(docs: DataFrame, size: int, percent: int, most: int, least
         yield from _counted(held)
 
     counted = docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    top = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "key").limit(most).toPandas()
-    key, n = top["key"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64)
-    order = np.argsort(key)
-    return key[order], np.clip(np.log2(np.maximum(n[order], 1)), 1, 63).astype(np.uint64)
+    key, n = most_frequent(checkpointed(counted.where(F.col("n") >= least), "frequent"), most, least)
+    return key, np.clip(np.log2(np.maximum(n, 1)), 1, 63).astype(np.uint64)
 
 
 def _counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:

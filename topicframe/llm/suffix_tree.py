@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicframe.llm.common import bucket_of_id, checkpointed, documents
+from topicframe.llm.common import bucket_of_id, checkpointed, documents, most_frequent
 from topicframe.llm.spans import BLANKS, Words, text_chunks
 
 DEPTH = 5
@@ -214,24 +214,6 @@ def _find(keys: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return among[at] == keys, at
 
 
-def frequent_words(counts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and counts of at most ``most`` words: those with at least the count that lets no more in."""
-    step = F.floor(F.log2("n") * 8)
-    least = None
-    seen = 0
-    for bucket, n in counts.groupBy(step.alias("b")).count().orderBy(F.desc("b")).collect():  # 8 rows a doubling
-        seen += n
-        if seen > most:
-            break
-        least = bucket
-    if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    got = counts.where(step >= least).select("key", "n").toPandas()
-    key, n = got["key"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64)
-    order = np.argsort(key)
-    return key[order], n[order]
-
-
 def score_documents(docs: DataFrame, training: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``docs`` (doc_id, text and others that are small) scored by a tree of the texts of ``training`` (text).
 
@@ -248,8 +230,8 @@ def score_documents(docs: DataFrame, training: DataFrame, depth: int = DEPTH) ->
     total, distinct = words + n_texts, distinct + int(n_texts > 0)
     floor = np.log10(total + 0.1 * (distinct + 1))
     # bounded: candidate contexts, and the frequent words
-    states = smoothed_states(build_tree(counted.where("kind = 1").select("key", "n"), depth).toPandas(), depth)
-    given = spark.sparkContext.broadcast((states, *frequent_words(counts)))
+    states = smoothed_states(build_tree(counted.where("kind = 1").select("key", "n"), depth).toArrow().to_pandas(), depth)
+    given = spark.sparkContext.broadcast((states, *most_frequent(counts, FREQUENT)))
     text_at, end_log = docs.columns.index("text"), float(np.log10(n_texts + 0.1) - floor)
     others = [c for c in docs.columns if c != "text"]
     kept_at = [docs.columns.index(c) for c in others]

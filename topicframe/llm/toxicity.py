@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicframe.llm.common import bucket_of_id, documents, fresh_name, read_table
+from topicframe.llm.common import bucket_of_id, checkpointed, documents, fresh_name, most_frequent, read_table
 from topicframe.llm.spans import Words, text_chunks
 
 MAX_POSITIVE = 20_000
@@ -150,15 +150,19 @@ class ToxicityModel(NamedTuple):
     prior: float
 
 
-def clearest_features(positive: pd.DataFrame, everywhere: pd.DataFrame, n_positive: int, n_texts: int, most: int = FEATURES) -> np.ndarray:
-    """Hashes (sorted) of the features with the largest z of their share among the positive texts against all."""
-    both = positive.merge(everywhere, on="key", suffixes=("", "_all"), how="left").fillna({"n_all": 0})
-    n, n_all = both["n"].to_numpy(float), np.maximum(both["n_all"].to_numpy(float), both["n"].to_numpy(float))
-    p, q = n / max(1, n_positive), (n_all + 0.5) / (n_texts + 1)
+def clearest_features(
+    keys: np.ndarray, n: np.ndarray, all_keys: np.ndarray, n_all: np.ndarray, n_positive: int, n_texts: int, most: int = FEATURES
+) -> np.ndarray:
+    """Hashes (sorted) of the features with the largest z of their share among the positive texts against all.
+
+    ``keys`` (sorted) are in ``n`` positive texts, ``all_keys`` in ``n_all`` of all texts.
+    """
+    everywhere = np.zeros(len(keys))
+    everywhere[np.searchsorted(keys, all_keys)] = n_all
+    p, q = n / max(1, n_positive), (np.maximum(everywhere, n) + 0.5) / (n_texts + 1)
     z = (p - q) / np.sqrt(q / max(1, n_positive))
-    good = both["key"].to_numpy(np.int64)[(z >= 5) & (p >= 1.5 * q)]
-    z = z[(z >= 5) & (p >= 1.5 * q)]
-    return np.sort(good[np.lexsort((good, -z))][:most].view(np.uint64))
+    good = np.flatnonzero((z >= 5) & (p >= 1.5 * q))
+    return np.sort(keys[good[np.lexsort((keys[good], -z[good]))][:most]])
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, members: int = MEMBERS) -> ToxicityModel:
@@ -180,9 +184,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POS
     n_toxic = toxic.count()
     if not n_toxic:
         return ToxicityModel(np.zeros(0, np.uint64), np.array([[np.log(prior / (1 - prior))]]), prior)
-    seen = texts_with(toxic).where(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("n"), "key").limit(CANDIDATES).toPandas()
-    candidates = np.sort(seen["key"].to_numpy(np.int64).view(np.uint64))
-    keys = clearest_features(seen, texts_with(training, candidates).toPandas(), n_toxic, n_texts)
+    candidates, seen = most_frequent(checkpointed(texts_with(toxic).where(F.col("n") >= LEAST_TEXTS), "toxic-features"), CANDIDATES)
+    everywhere = texts_with(training, candidates).toArrow()  # a row a candidate
+    keys = clearest_features(candidates, seen, everywhere["key"].to_numpy().view(np.uint64), everywhere["n"].to_numpy(), n_toxic, n_texts)
 
     rate = min(1.0, max_unlabelled / max(1, n_texts))
     drawn = training.where(F.pmod(F.xxhash64(F.lit("unlabelled"), "doc_id"), F.lit(1 << 20)) < int(rate * (1 << 20)))
