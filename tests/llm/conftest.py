@@ -1,0 +1,13 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """A frame of documents from (doc_id, text) rows, over a few partitions, with columns that clash with the operators' own."""
+
+    def make(rows, extra=True):
+        schema = "doc_id long, text string" + (", score string, shard string, N string, row string" if extra else "")
+        rows = [(*r, *("x",) * 4) if extra else r for r in rows]
+        return spark.createDataFrame(rows, schema).repartition(3)
+
+    return make

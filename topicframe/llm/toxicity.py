@@ -5,11 +5,12 @@ their first 4, 5 and 6 bytes, by 64-bit hash, present or not.
 
 1. Confirmed toxic examples: at most ``MAX_POSITIVE`` labelled ids, taken by
    hash, so the ids can be broadcast. The class prior is the share of toxic
-   rows among all labelled training rows.
+   rows among all labelled training rows, plus a standard error: with few
+   labels it errs towards finding them.
 2. Spark counts how many of these texts, and how many of all training
    texts, have each feature; the ``FEATURES`` that speak most clearly for
    the toxic ones are kept.
-3. ``MEMBERS`` numpy classifiers, each in a task on its share of the
+3. Up to ``MEMBERS`` numpy classifiers, each in a task on its share of the
    examples and of at most ``MAX_UNLABELLED`` unlabelled texts, minimise
 
        prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))
@@ -42,6 +43,8 @@ FEATURES = 4096
 CANDIDATES = 1 << 16
 LEAST_TEXTS = 4
 MEMBERS = 4
+#: Examples that a classifier needs before there is another.
+MEMBER_TEXTS = 200
 STEPS = 300
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
@@ -174,14 +177,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POS
     """
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (bucket_of_id(3) != 1))
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    share = marked.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
-    prior = float(min(0.5, max(0.001, share or 0.0)))
+    share, n_marked = marked.agg(F.avg((F.col("toxic") == 1).cast("double")), F.count("*")).first()
+    share = share or 0.0
+    prior = float(min(0.5, max(0.001, share + np.sqrt(share * (1 - share) / max(1, n_marked)))))
     ids = marked.where("toxic = 1").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_positive)
     training = docs.where(bucket_of_id(3) != 1).select("doc_id", "text")
     # the ids are bounded by max_positive; copies of a text count once
     toxic = training.join(F.broadcast(ids), "doc_id", "left_semi").dropDuplicates(["text"]).select("doc_id", "text")
     n_texts = training.count()
     n_toxic = toxic.count()
+    members = max(1, min(members, n_toxic // MEMBER_TEXTS))
     if not n_toxic:
         return ToxicityModel(np.zeros(0, np.uint64), np.array([[np.log(prior / (1 - prior))]]), prior)
     candidates, seen = most_frequent(checkpointed(texts_with(toxic).where(F.col("n") >= LEAST_TEXTS), "toxic-features"), CANDIDATES)
