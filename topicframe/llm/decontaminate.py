@@ -6,7 +6,8 @@ letters and digits, A-Z lower-cased.
 
 1. Windows of each item length are screened: within k edits a window keeps
    (m - 1) - 2k of the item's m - 1 word pairs (the q-gram lemma), so a
-   window with fewer pairs that occur in any item holds no leak. This loses nothing.
+   window with fewer pairs that occur in items of its length holds no leak.
+   This loses nothing.
 2. The random walk of Chakraborty, Goldenberg and Koucky embeds a window in
    3m steps: each step copies the word under the pointer, and a random bit
    of (step, word) says whether the pointer moves. Strings at small edit
@@ -40,6 +41,8 @@ RECALL = 0.95
 MOST_WALKS = 64
 LEAST_WORDS = 8
 BLOCK_ITEMS = 20_000
+#: Windows that are gathered before they are embedded.
+GATHERED = 100_000
 PAD = np.uint64(0)
 #: Everything of ASCII but letters and digits separates.
 NOT_WORD = bytes(c for c in range(128) if not chr(c).isalnum())
@@ -117,6 +120,7 @@ class Index(NamedTuple):
     """Items of a block by their number of words."""
 
     pairs: np.ndarray  # sorted hashes of all word pairs
+    pairs_of: dict[int, np.ndarray]  # whether an item of that size has each
     symbols: dict[int, np.ndarray]  # n x m
     ids: dict[int, np.ndarray]
     keys: dict[int, list[tuple[np.ndarray, np.ndarray]]]  # a walk: sorted keys, rows
@@ -125,7 +129,6 @@ class Index(NamedTuple):
 
 def build_index(item_ids: list[int], texts: list[str], share: float = SHARE, recall: float = RECALL) -> Index:
     by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
-    pairs = [np.zeros(0, np.uint64)]
     at = 0
     for a, b, data, offsets in text_chunks(pa.array(texts, pa.string())):
         words = Words(data, offsets, NOT_WORD)
@@ -135,9 +138,14 @@ def build_index(item_ids: list[int], texts: list[str], share: float = SHARE, rec
             own = hashes[first[r] : first[r + 1]]
             if len(own) >= LEAST_WORDS:
                 by_size.setdefault(len(own), []).append((item_ids[at + r], own))
-                pairs.append(combine(own, np.zeros(len(own), np.int64), 2)[0])
         at += b - a
     symbols = {m: np.array([x[1] for x in rows]) for m, rows in by_size.items()}
+    pairs_in = {m: np.unique(combine(rows.ravel(), np.repeat(np.arange(len(rows)), m), 2)[0]) for m, rows in symbols.items()}
+    pairs = np.unique(np.concatenate([np.zeros(0, np.uint64), *pairs_in.values()]))
+    pairs_of = {}
+    for m, own in pairs_in.items():
+        pairs_of[m] = np.zeros(len(pairs), bool)
+        pairs_of[m][np.searchsorted(pairs, own)] = True
     walks = walks_needed(symbols, share, recall) if symbols else 0
     keys: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for m, rows in symbols.items():
@@ -146,7 +154,7 @@ def build_index(item_ids: list[int], texts: list[str], share: float = SHARE, rec
             key = sampled_key(rows, walk)
             order = np.argsort(key, kind="stable")
             keys[m].append((key[order], order))
-    return Index(np.unique(np.concatenate(pairs)), symbols, {m: np.array([x[0] for x in rows]) for m, rows in by_size.items()}, keys, share)
+    return Index(pairs, pairs_of, symbols, {m: np.array([x[0] for x in rows]) for m, rows in by_size.items()}, keys, share)
 
 
 def _meetings(window_keys: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,38 +165,79 @@ def _meetings(window_keys: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> tu
     return window, rows[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)]
 
 
-def leaks(index: Index, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """text, item id, first and end byte, distance, words: the nearest window (the first of equals) of each text and item."""
+def _screened(index: Index, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, tuple[np.ndarray, ...]]]:
+    """By item size: words of the windows that can hold a leak, and their text and first and end character in it."""
     words = Words(data, offsets, NOT_WORD)
     hashes = words.hashes()
-    found: list[tuple[np.ndarray, ...]] = []
     pair, at = combine(hashes, words.row, 2)
-    known = np.zeros(len(hashes) + 1, np.int64)
-    if len(index.pairs) and len(pair):
-        place = np.minimum(np.searchsorted(index.pairs, pair), len(index.pairs) - 1)
-        known[at + 1] = index.pairs[place] == pair
-    below = np.cumsum(known)  # pairs of items that start before each word
-    for m, symbols in index.symbols.items():
-        k, last = edits(m, index.share), len(hashes) - m + 1
-        if last <= 0:
+    if not len(index.pairs) or not len(pair):
+        return
+    place = np.minimum(np.searchsorted(index.pairs, pair), len(index.pairs) - 1)
+    hit = index.pairs[place] == pair
+    place, at = place[hit], at[hit]  # a pair's first word
+    chars = None
+    for m, has in index.pairs_of.items():
+        least = max(1, m - 1 - 2 * edits(m, index.share))
+        own = at[has[place]]
+        if len(own) < least:
+            continue
+        # `least` pairs within one window: it may start from `low` to `high`
+        high = own[: len(own) - least + 1]
+        low = np.maximum(own[least - 1 :] - m + 2, 0)
+        some = low <= high
+        if not some.any():
             continue
-        start = np.flatnonzero(below[m - 1 : m - 1 + last] - below[:last] >= m - 1 - 2 * k)
+        size = (high - low + 1)[some]
+        start = np.unique(np.repeat(low[some], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
+        start = start[start + m <= len(hashes)]
         start = start[words.row[start] == words.row[start + m - 1]]
-        for part in np.array_split(start, max(1, len(start) // 50_000)):
-            if not len(part):
-                continue
-            window = hashes[part[:, None] + np.arange(m)]
-            met = [np.zeros((0, 2), np.int64)]
-            for walk, (keys, rows) in enumerate(index.keys[m]):
-                met.append(np.stack(_meetings(sampled_key(window, walk), keys, rows), axis=1))
-            both = np.unique(np.concatenate(met), axis=0)
-            for some in np.array_split(both, max(1, len(both) // 50_000)):
-                if len(some):
-                    d = edit_distance(window[some[:, 0]], symbols[some[:, 1]], k)
-                    some, d = some[d <= k], d[d <= k]
-                    s = part[some[:, 0]]
-                    found.append((words.row[s], index.ids[m][some[:, 1]], words.start[s], words.end[s + m - 1], d.astype(np.int64), np.full(len(s), m)))
-    if not found:
+        if not len(start):
+            continue
+        if chars is None:
+            chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        row = words.row[start]
+        begin = chars[offsets[row]]
+        yield m, hashes[start[:, None] + np.arange(m)], (row, chars[words.start[start]] - begin, chars[words.end[start + m - 1]] - begin)
+
+
+def _matched(index: Index, m: int, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """window, row of the item, distance: pairs that share a key and lie within the distance."""
+    met = [np.zeros((0, 2), np.int64)]
+    for walk, (keys, rows) in enumerate(index.keys[m]):
+        met.append(np.stack(_meetings(sampled_key(window, walk), keys, rows), axis=1))
+    both = np.unique(np.concatenate(met), axis=0)
+    k = edits(m, index.share)
+    distance = [edit_distance(window[x[:, 0]], index.symbols[m][x[:, 1]], k) for x in np.array_split(both, max(1, len(both) // 50_000))]
+    d = np.concatenate(distance).astype(np.int64)
+    return both[d <= k, 0], both[d <= k, 1], d[d <= k]
+
+
+def leaks(index: Index, column: pa.Array) -> tuple[np.ndarray, ...]:
+    """text, item id, first and end character, distance, words: the nearest window (the first of equals) of each text and item.
+
+    Windows of one size are gathered from many texts before they are embedded.
+    """
+    found: list[tuple[np.ndarray, ...]] = []
+    held: dict[int, list] = {}
+    waiting = 0
+
+    def match() -> None:
+        for m, parts in held.items():
+            window = np.concatenate([p[0] for p in parts])
+            row, first, end = (np.concatenate([p[1][k] for p in parts]) for k in range(3))
+            w, item, d = _matched(index, m, window)
+            found.append((row[w], index.ids[m][item], first[w], end[w], d, np.full(len(w), m)))
+        held.clear()
+
+    for a, _, data, offsets in text_chunks(column):
+        for m, window, (row, first, end) in _screened(index, data, offsets):
+            held.setdefault(m, []).append((window, (a + row, first, end)))
+            waiting += len(window)
+        if waiting > GATHERED:
+            match()
+            waiting = 0
+    match()
+    if not sum(len(x[0]) for x in found):
         return tuple(np.zeros(0, np.int64) for _ in range(6))
     row, item, first, end, d, m = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((first, d, item, row))
@@ -223,13 +272,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, reca
         def scan(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
             index = Index(*given.value)
             for batch in batches:
-                for a, b, data, offsets in text_chunks(batch.column(1)):
-                    row, item, first, end, d, m = leaks(index, data, offsets)
-                    if len(row):
-                        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-                        begin = chars[offsets[row]]
-                        columns = [batch.column(0).slice(a, b - a).take(pa.array(row)), pa.array(item), pa.array(chars[first] - begin), pa.array(chars[end] - begin), pa.array(d), pa.array(m)]
-                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "start", "end", "distance", "item_words"])
+                row, *numbers = leaks(index, batch.column(1))
+                columns = [batch.column(0).take(pa.array(row)), *map(pa.array, numbers)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "start", "end", "distance", "item_words"])
 
         found = docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {dict(docs.dtypes)['doc_id']}, item_id long, start long, end long, distance long, item_words long")
         out = found if out is None else out.unionByName(found)
@@ -247,8 +292,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, re
             index = Index(*given.value)
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for a, _, data, offsets in text_chunks(batch.column(text_at)):
-                    keep[a + leaks(index, data, offsets)[0]] = False
+                keep[leaks(index, batch.column(text_at))[0]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(clean, docs.schema)
