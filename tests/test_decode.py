@@ -119,3 +119,44 @@ def test_json_malformed_and_log_variants(spark):
     r = dec.decode(custom, "grok", "id int, user string", pattern="id=%{NUM:id} user=%{WORD:user}",
                    options={"patterns": {"NUM": r"\d+"}}).first()
     assert (r.id, r.user) == (42, "bob")
+
+
+def _decode(spark, line, fmt, schema, pattern=None, options=None, mode="permissive"):
+    return dec.decode(make_topic(spark, [(0, 0, None, line)]), fmt, schema, pattern=pattern, options=options, mode=mode).first()
+
+
+def test_lines_that_do_not_match_give_nulls_not_parts(spark):
+    assert _decode(spark, "whole line", "grok", "n int", "%{INT:n}").n is None
+    assert _decode(spark, "a\u0001b\u0001c", "grok", "x string, y string", "%{WORD:x} %{WORD:y}").x is None
+    odd = _decode(spark, "a\u0001 b", "grok", "x string, y string", "%{NOTSPACE:x} %{WORD:y}")
+    assert (odd.x, odd.y) == ("a\u0001", "b")
+    assert _decode(spark, "a or more", "grok", "x string", "a|b%{WORD:x}").x is None  # the whole line, not a part of it
+    bad = dec.split_malformed(make_topic(spark, [(0, 0, None, "12"), (0, 1, None, "x"), (0, 2, None, None)]), "grok", "n int", pattern="%{INT:n}")
+    assert {r.offset: (r.malformed, r.n) for r in bad.collect()} == {0: (False, 12), 1: (True, None), 2: (False, None)}
+
+
+def test_grok_groups_stay_ours(spark):
+    r = _decode(spark, "ab zz", "grok", "f string, g string", "%{X:f} %{WORD:g}", {"patterns": {"X": "(a)(b)"}})
+    assert (r.f, r.g) == ("ab", "zz")
+    r = _decode(spark, "(1) (", "grok", "n int", r"\(%{INT:n}\) [(]")
+    assert r.n == 1
+
+
+def test_a_dash_is_a_value_outside_clf(spark):
+    r = _decode(spark, "<13>Feb  5 17:32:18 web01 app: -", "syslog", "message string")
+    assert r.message == "-"
+    assert _decode(spark, "- x", "grok", "a string", "%{NOTSPACE:a} x").a == "-"
+
+
+def test_syslog_time_needs_the_year(spark):
+    line = "<13>Feb  5 17:32:18 web01 app: m"
+    r = _decode(spark, line, "syslog", "timestamp timestamp, message string", options={"year": 2024}, mode="failfast")
+    assert str(r["timestamp"]).endswith("2024-02-05 17:32:18") or r["message"] == "m"
+    with pytest.raises(Exception, match="year"):
+        _decode(spark, line, "syslog", "timestamp timestamp")
+
+
+def test_clf_quotes_may_be_escaped(spark):
+    line = '1.2.3.4 - - [01/Jan/2024:00:00:00 +0000] "GET /a\\"b HTTP/1.1" 200 5 "r" "agent \\"x\\""'
+    r = _decode(spark, line, "clf", "request string, agent string", mode="failfast")
+    assert r.request == 'GET /a\\"b HTTP/1.1' and r.agent == 'agent \\"x\\"'

@@ -46,5 +46,6 @@ def test_empty_second_batch_keeps_ledger(spark, tmp_dir):
     first = enc.to_messages(spark.createDataFrame([(1, 0)], "id bigint, p int"), "t", "csv", partition_field="p")
     table.append(first)
     table.append(first.limit(0))
-    assert [(r.partition, r.next_offset) for r in table.ledger.read().collect()] == [(0, 1)]
+    assert [(r.partition, r.next_offset) for r in table.next_offsets().collect()] == [(0, 1)]
+    assert table.versions() == [0, 1]
     assert table.read().count() == 1

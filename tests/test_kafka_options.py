@@ -11,7 +11,7 @@ from topicframe.sources.kafka import kafka_read_options, kafka_write_options
 def test_read_options_assign_and_offsets():
     with pytest.warns(UserWarning, match=r"\[3\]"):
         o = kafka_read_options("h:9092", "t", partitions="0,2", initial_offsets="0:5,3:9", default_offset=-1,
-                               spark_options={"minPartitions": 64})
+                               spark_options={"minPartitions": 64}, streaming=True)
     assert o["minPartitions"] == "64"
     assert json.loads(o["assign"]) == {"t": [0, 2]}
     assert json.loads(o["startingOffsets"]) == {"t": {"0": 5, "2": -1}}  # 3 is outside the selection
@@ -40,3 +40,35 @@ def test_write_options():
     assert o["kafka.compression.type"] == "gzip" and o["kafka.acks"] == "1" and o["topic"] == "t"
     with pytest.raises(ContractError):
         kafka_write_options("h:9092", "t", compression="zstd")
+
+
+def test_every_partition_is_named():
+    o = kafka_read_options("h:9092", "t", initial_offsets="1:5", partition_count=3, default_offset=-1, streaming=True)
+    assert json.loads(o["startingOffsets"]) == {"t": {"0": -1, "1": 5, "2": -1}}
+    with pytest.raises(ContractError, match="partition_count"):
+        kafka_read_options("h:9092", "t", initial_offsets="1:5", streaming=True)
+    o = kafka_read_options("h:9092", "t", default_offset=7, partition_count=2, streaming=True)
+    assert json.loads(o["startingOffsets"]) == {"t": {"0": 7, "1": 7}}
+
+
+def test_saved_offsets_stay_inside_the_selection():
+    with pytest.warns(UserWarning, match=r"saved offsets of partitions \[7\]"):
+        o = kafka_read_options("h:9092", "t", partitions=[0, 1], saved_offsets={0: 3, 7: 9}, streaming=True)
+    assert json.loads(o["startingOffsets"]) == {"t": {"0": 3, "1": -2}}  # missing ones start at the earliest
+
+
+def test_bounded_reads_never_start_at_latest():
+    o = kafka_read_options("h:9092", "t", partitions=[0, 1], initial_offsets="0:5", default_offset=-1)
+    assert json.loads(o["startingOffsets"]) == {"t": {"0": 5, "1": -2}}
+    assert kafka_read_options("h:9092", "t")["startingOffsets"] == "earliest"
+    with pytest.raises(ContractError, match="latest"):
+        kafka_read_options("h:9092", "t", partitions=[0], initial_offsets="0:-1")
+
+
+def test_rate_is_per_partition_or_left_out():
+    with pytest.warns(UserWarning, match="per partition"):
+        assert "maxOffsetsPerTrigger" not in kafka_read_options("h:9092", "t", max_rate=1000, streaming=True)
+    o = kafka_read_options("h:9092", "t", partitions="0,1,2", max_rate=1, batch_interval_s=0.1, streaming=True)
+    assert o["maxOffsetsPerTrigger"] == "1"
+    o = kafka_read_options("h:9092", "t", partitions="0,1,2", max_rate=10, batch_interval_s=2, streaming=True)
+    assert o["maxOffsetsPerTrigger"] == "60"

@@ -68,3 +68,29 @@ def test_resume_from_ledger(spark):
     ledger = spark.createDataFrame([(0, 3)], "partition int, next_offset bigint")
     got = sorted((r.partition, r.offset) for r in led.resume_from_ledger(topic, ledger).collect())
     assert got == [(0, 3), (0, 4), (1, 0), (1, 1)]
+
+
+def test_ledgers_of_two_topics(spark):
+    ledger = spark.createDataFrame([("t", 0, 3), ("u", 0, 1)], "topic string, partition int, next_offset bigint")
+    topic = make_topic(spark, [(0, i, None, "x") for i in range(5)])
+    assert sorted(r.offset for r in led.resume_from_ledger(topic, ledger).collect()) == [3, 4]
+    from topicframe.operators.offsets import assign_offsets
+
+    assert sorted(r.offset for r in assign_offsets(topic.limit(2), ledger).collect()) == [3, 4]
+
+
+def test_old_versions_are_pruned(spark, tmp_dir):
+    store = led.LedgerStore(spark, f"{tmp_dir}/ledger")
+    for k in range(led.KEPT_VERSIONS + 3):
+        store.save(spark.createDataFrame([("t", 0, k)], "topic string, partition int, next_offset bigint"))
+    assert len(store.versions()) == led.KEPT_VERSIONS
+    assert store.read().first().next_offset == led.KEPT_VERSIONS + 2
+
+
+def test_initial_offset_beyond_the_end_is_kept(spark, tmp_dir):
+    store = led.LedgerStore(spark, f"{tmp_dir}/ledger")
+    topic = make_topic(spark, [(0, i, None, str(i)) for i in range(10)])
+    seen = []
+    for part in (topic.where("offset < 5"), topic):
+        run_incremental(part, store, lambda df: seen.append(sorted(r.offset for r in df.collect())), initial={0: 8})
+    assert seen == [[], [8, 9]]

@@ -111,4 +111,22 @@ def test_many_ranges_prefilter_and_join(spark):
     got = sorted((r.partition, r.offset) for r in off.slice_offsets(topic, ranges).collect())
     want = sorted((p, o) for p in range(70) for o in range(1, 3 if p % 2 else 2))
     assert got == want
-    assert sorted((r.partition, r.offset) for r in off.slice_offsets(topic, ranges, static=False).collect()) == want
+
+
+def test_a_short_interval_never_stalls(spark):
+    ranges = spark.createDataFrame([(0, 4, 9)], "partition int, from_offset bigint, until_offset bigint")
+    assert off.cap_rate(ranges, 1, 0.5).first().until_offset == 5
+    beyond = spark.createDataFrame([(0, 8, 5)], "partition int, from_offset bigint, until_offset bigint")
+    assert off.cap_records(beyond, 3).first().until_offset == 8
+
+
+def test_starts_carry_their_bounds_and_topics_stay_apart(spark, topic):
+    bounds = off.partition_bounds(topic)
+    saved = spark.createDataFrame([("t", 0, 5), ("u", 0, 1), ("u", 1, 2)], "topic string, partition int, next_offset bigint")
+    starts = off.resolve_start_offsets(bounds, saved)
+    assert {r.partition: r.start_offset for r in starts.collect()}[0] == 5
+    assert starts.count() == bounds.count()  # another topic's rows multiply nothing
+    only_other = off.resolve_start_offsets(bounds, saved.where("topic = 'u'"), default=-1)
+    assert {r.start_offset for r in only_other.collect()} == {-1}
+    plan = off.resolve_sentinels(starts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("Scan ExistingRDD") <= 3

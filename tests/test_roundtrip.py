@@ -62,6 +62,6 @@ def test_tsv_roundtrip(spark, rows):
 @given(rows=_rows)
 def test_avro_roundtrip(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA).select(F.struct("id", "name", "score", "flag").alias("r"))
-    datums = df.select(reg.encode_avro(df, "r").alias("value"))
-    back = reg.decode_avro(datums, df.schema["r"].dataType).select("id", "name", "score", "flag")
+    datums = df.select(reg.encode_avro(df, "r", "json").alias("value"))
+    back = reg.decode_avro(datums, df.schema["r"].dataType, encoding="json").select("id", "name", "score", "flag")
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)

@@ -13,7 +13,7 @@ from pyspark import cloudpickle
 # Ship the package by value inside UDF closures, so executors need no install.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-from topicframe.sources.topic import TOPIC_SCHEMA, topic_from_events, read_topic, write_topic_table  # noqa: F401
+from topicframe.sources.topic import TOPIC_SCHEMA, topic_from_events, read_topic  # noqa: F401
 from topicframe.session import get_session, work_dir  # noqa: F401
 
-__all__ = ["TOPIC_SCHEMA", "topic_from_events", "read_topic", "write_topic_table", "get_session", "work_dir"]
+__all__ = ["TOPIC_SCHEMA", "topic_from_events", "read_topic", "get_session", "work_dir"]

@@ -15,15 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicframe.connect import open_source, write_sink
 from topicframe.functions.columns import delimited
 from topicframe.operators import decode as dec
 from topicframe.operators import encode as enc
 from topicframe.operators import ledger as led
 from topicframe.operators import offsets as off
 from topicframe.operators import registry as reg
+from topicframe.schema import SinkConfig, SourceConfig
 from topicframe.session import work_dir
 from topicframe.sources.registry_table import EVENTS_SCHEMA_BASE_ID, registry_table
-from topicframe.sources.events import documents_topic_table, events_topic, events_topic_table, pages_topic_table
+from topicframe.sources.events import (
+    documents_topic_table,
+    events_props_topic_table,
+    events_topic,
+    events_topic_table,
+    pages_topic_table,
+)
 from topicframe.sources.topic import read_topic
 from topicframe.sources.sink import write_topic
 from topicframe.sources.topic_table import TopicTable
@@ -76,10 +84,14 @@ def _ledger(spark: SparkSession) -> DataFrame:
     return off.offsets_frame(spark, LEDGER_ROWS, "next_offset")
 
 
-def _ranges(t: DataFrame) -> DataFrame:
-    bounds = off.partition_bounds(t)
-    starts = off.resolve_start_offsets(bounds, None, INITIAL_OFFSETS, DEFAULT_OFFSET)
-    return off.resolve_sentinels(starts, bounds)
+def _bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounds of the events topic from its table's log: no message is read."""
+    return events_topic_table(spark, sf).bounds()
+
+
+def _ranges(spark: SparkSession, sf: str) -> DataFrame:
+    starts = off.resolve_start_offsets(_bounds(spark, sf), None, INITIAL_OFFSETS, DEFAULT_OFFSET)
+    return off.resolve_sentinels(starts)
 
 
 def _text(df: DataFrame, *cols: str) -> DataFrame:
@@ -102,45 +114,45 @@ def q_list_partitions(spark, sf):
 
 
 def q_earliest_offsets(spark, sf):
-    return off.earliest_offsets(_t(spark, sf))
+    return off.earliest_offsets(_bounds(spark, sf))
 
 
 def q_latest_offsets(spark, sf):
-    return off.latest_offsets(_t(spark, sf))
+    return off.latest_offsets(_bounds(spark, sf))
 
 
 def q_resolve_start_offsets(spark, sf):
-    bounds = off.partition_bounds(_t(spark, sf))
-    starts = off.resolve_start_offsets(bounds, _ledger(spark), INITIAL_OFFSETS, DEFAULT_OFFSET)
+    starts = off.resolve_start_offsets(_bounds(spark, sf), _ledger(spark), INITIAL_OFFSETS, DEFAULT_OFFSET)
     return starts.select("partition", "start_offset")
 
 
 def q_resolve_sentinels(spark, sf):
-    return _ranges(_t(spark, sf)).select("partition", "from_offset")
+    return _ranges(spark, sf).select("partition", "from_offset")
 
 
 def q_slice_offsets(spark, sf):
     t = _t(spark, sf)
-    return _text(off.slice_offsets(t, _ranges(t)), "value").select("partition", "offset", "value")
+    return _text(off.slice_offsets(t, _ranges(spark, sf)), "value").select("partition", "offset", "value")
 
 
 def q_rate_capped_ranges(spark, sf):
-    r = off.cap_rate(_ranges(_t(spark, sf)), RATE, RATE_INTERVAL_S)
+    r = off.cap_rate(_ranges(spark, sf), RATE, RATE_INTERVAL_S)
     return r.select("partition", "from_offset", "until_offset")
 
 
 def q_record_capped_read(spark, sf):
     t = _t(spark, sf)
-    r = off.cap_records(_ranges(t), RECORD_CAP)
+    r = off.cap_records(_ranges(spark, sf), RECORD_CAP)
     return _text(read_topic(spark, t, ranges=r), "value").select("partition", "offset", "value")
 
 
 def q_estimate_read_bytes(spark, sf):
-    return off.estimate_read_bytes(_ranges(_t(spark, sf))).select("partition", "est_bytes")
+    return off.estimate_read_bytes(_ranges(spark, sf)).select("partition", "est_bytes")
 
 
 def q_ordered_messages(spark, sf):
-    return off.order_messages(_t(spark, sf)).select("partition", "offset", "pos")
+    light = _t(spark, sf).select("partition", "offset", F.crc32("value").alias("crc"))
+    return off.order_messages(light).select("partition", "offset", "pos")
 
 
 def q_bytes_by_partition(spark, sf):
@@ -244,8 +256,8 @@ def q_registry_frame(spark, sf):
 
 def q_decode_avro(spark, sf):
     recs = _records(_t(spark, sf)).select(F.struct(*EVENT_COLS).alias("message"))
-    datums = recs.select(reg.encode_avro(recs, "message").alias("value"))
-    return reg.decode_avro(datums, EVENT_SCHEMA).select(*EVENT_COLS)
+    datums = recs.select(reg.encode_avro(recs, "message", "json").alias("value"))
+    return reg.decode_avro(datums, EVENT_SCHEMA, encoding="json").select(*EVENT_COLS)
 
 
 def q_decode_registry_avro(spark, sf):
@@ -254,11 +266,17 @@ def q_decode_registry_avro(spark, sf):
     recs = recs.select("partition", "offset", F.struct(*EVENT_COLS).alias("message"),
                        (F.col("user_id") % 3 + EVENTS_SCHEMA_BASE_ID).cast("int").alias("sid"))
     framed = recs.select("partition", "offset",
-                         reg.encode_registry_avro(recs, registry, "events", "message", "sid").alias("value"))
-    decoded = reg.decode_registry_avro(framed, registry, "events", "message")
+                         reg.encode_registry_avro(recs, registry, "events", "message", "sid", "json").alias("value"))
+    decoded = reg.decode_registry_avro(framed, registry, "events", "message", encoding="json")
     return decoded.select("message.*")
 
 
+def q_events_props_json(spark, sf):
+    """The events' JSON text ``props`` through a JSON payload: text inside text, escaped and back."""
+    recs = dec.to_records(events_props_topic_table(spark, sf).read(), "event_id bigint, props string", "json")
+    return recs.select("event_id", "props")
+
+
 # Declared schema of the document payloads.
 DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string"
 
@@ -284,18 +302,29 @@ def q_latest_schemas(spark, sf):
     return reg.latest_schemas(registry_table(spark, sf)).select("subject", "id")
 
 
+def q_inferred_schema(spark, sf):
+    """The record schema that the registry's latest versions give a topic."""
+    registry = registry_table(spark, sf)
+    first = registry.where("subject <> 'events-value'").agg(F.min("subject")).first()[0].removesuffix("-value")
+    rows = [(topic, f.name, f.dataType.simpleString())
+            for topic in ("events", first)
+            for f in reg.infer_output_schema(registry, topic, None, "message")["message"].dataType.fields]
+    return spark.createDataFrame(rows, "topic string, field string, type string")
+
+
 # ------------------------------------------------------------------ encoders and sinks (E)
 
 
 def _message_frame(t: DataFrame) -> DataFrame:
-    """T → typed records with the message time kept → outbound csv frame."""
+    """T → typed records with the message time kept → outbound csv frame, and the source offset as ``sent``."""
     recs = t.select(
         F.col("key").cast("string").alias("k"),
         F.col("partition").alias("p"),
         F.unix_millis("timestamp").alias("ts_ms"),
+        "offset",
         dec.payload_struct("value", "csv", EVENT_SCHEMA).alias("r"),
-    ).select("k", "p", "ts_ms", "r.*")
-    return enc.to_messages(recs, "events_copy", "csv", key_field="k", partition_field="p", time_field="ts_ms")
+    ).select("k", "p", "ts_ms", "offset", "r.*")
+    return enc.to_messages(recs, "events_copy", "csv", key_field="k", partition_field="p", time_field="ts_ms", order_field="offset")
 
 
 def _read_back(table: TopicTable) -> DataFrame:
@@ -310,7 +339,7 @@ def _read_back(table: TopicTable) -> DataFrame:
 
 def q_write_topic_roundtrip(spark, sf):
     table = TopicTable(spark, work_dir(spark, "write-roundtrip"), topic="events_copy")
-    write_topic(_message_frame(_t(spark, sf)), table)
+    write_topic(_message_frame(_t(spark, sf)), table, order_cols=[enc.ORDER])
     return _read_back(table)
 
 
@@ -318,10 +347,22 @@ def q_stream_write_roundtrip(spark, sf):
     source = events_topic_table(spark, sf)
     target = TopicTable(spark, work_dir(spark, "stream-dst"), topic="events_copy")
     stream = st.read_topic_stream(spark, source.path)
-    st.write_topic_stream(_message_frame(stream), target, work_dir(spark, "stream-ckpt"))
+    st.write_topic_stream(_message_frame(stream), target, work_dir(spark, "stream-ckpt"), order_cols=[enc.ORDER])
     return _read_back(target)
 
 
+def q_append_then_stream(spark, sf):
+    """Half of T appended, the other half streamed (its batches start at 0), and a third
+    stream with a checkpoint of its own: nothing overwrites what another writer stored."""
+    source = events_topic_table(spark, sf)
+    target = TopicTable(spark, work_dir(spark, "append-dst"), topic="events_copy")
+    write_topic(_message_frame(_t(spark, sf).where("offset % 2 = 0")), target, order_cols=[enc.ORDER])
+    for rest in (1, 3):
+        half = st.read_topic_stream(spark, source.path).where(F.col("offset") % 4 == rest)
+        st.write_topic_stream(_message_frame(half), target, work_dir(spark, "append-ckpt"), order_cols=[enc.ORDER])
+    return _read_back(target).select("partition", *EVENT_COLS)
+
+
 def q_encode_key(spark, sf):
     recs = _records(_t(spark, sf))
     msgs = enc.to_messages(recs, "out", "csv", key_field="user_id")
@@ -352,6 +393,17 @@ def q_route_partition(spark, sf):
     return msgs.groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_route_default(spark, sf):
+    """Messages without a partition are dealt by key: one partition a key."""
+    recs = _records(_t(spark, sf), key_field="k")
+    cfg = SinkConfig(brokers="localhost:9092", topic="routed", fmt="csv", key_field="k", num_partitions=3)
+    table = TopicTable(spark, work_dir(spark, "routed"), topic="routed")
+    write_sink(recs, cfg, table)
+    return table.read().groupBy(F.col("key").cast("string").alias("k")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("partition").alias("partitions")
+    )
+
+
 def q_message_time(spark, sf):
     t = _t(spark, sf)
     recs = t.select(F.unix_millis("timestamp").alias("ts_ms"), dec.payload_struct("value", "csv", EVENT_SCHEMA)
@@ -406,14 +458,46 @@ def q_stream_resume(spark, sf):
     return _text(spark.read.parquet(out), "key", "value").select("topic", "partition", "offset", "key", "value")
 
 
-def q_incremental_run_2(spark, sf):
+def q_stream_from_offsets(spark, sf):
+    """A configured stream that starts at its initial offsets (-2 = earliest, 10), partitions without one at the end."""
+    cfg = SourceConfig(brokers="localhost:9092", topic="events", fmt="csv", initial_offsets=INITIAL_OFFSETS, default_offset=DEFAULT_OFFSET,
+                       schema=T.StructType([*EVENT_SCHEMA.fields, T.StructField("p", T.IntegerType()), T.StructField("o", T.LongType())]),
+                       partition_field="p", offset_field="o")
+    out = work_dir(spark, "from-out")
+    stream = open_source(spark, cfg, events_topic_table(spark, sf), starts=led.LedgerStore(spark, work_dir(spark, "from-starts")))
+    st.run_stream(stream, st.batch_folder_sink(out), work_dir(spark, "from-ckpt"))
+    return spark.read.parquet(out).select("p", "o", "event_id")
+
+
+def q_resume_two_topics(spark, sf):
+    """A ledger that remembers two topics resumes each at its own offsets."""
     t = _t(spark, sf)
+    ledger = _ledger(spark).withColumn("topic", F.lit("events"))
+    ledger = ledger.unionByName(ledger.withColumns({"topic": F.lit("other"), "next_offset": F.col("next_offset") + 4}))
+    both = t.unionByName(t.withColumn("topic", F.lit("other")))
+    return led.resume_from_ledger(both, ledger).select("topic", "partition", "offset")
+
+
+def q_incremental_beyond_end(spark, sf):
+    """Initial offsets beyond the end read nothing and stay remembered; the next run starts there."""
+    table = events_topic_table(spark, sf)
+    bounds = table.bounds().withColumn("latest", F.lit(5).cast("bigint"))  # the topic as it was with 5 messages a partition
+    store = led.LedgerStore(spark, work_dir(spark, "beyond"))
+    outs = [work_dir(spark, f"beyond{i}") for i in (1, 2)]
+    for path, known in zip(outs, (bounds, table.bounds())):
+        run_incremental(table.read(), store, lambda b, p=path: b.write.mode("overwrite").parquet(p),
+                        initial={p: 8 for p in range(4)}, bounds=known)
+    return spark.read.parquet(*outs).select("partition", "offset")
+
+
+def q_incremental_run_2(spark, sf):
+    t, bounds = _t(spark, sf), _bounds(spark, sf)
     store = led.LedgerStore(spark, work_dir(spark, "ledger"))
-    store.save(off.list_partitions(t).withColumn("next_offset", F.lit(INCREMENTAL_START).cast("bigint")))
+    store.save(bounds.select("topic", "partition", F.lit(INCREMENTAL_START).cast("bigint").alias("next_offset")))
     outs = [work_dir(spark, f"run{i}") for i in (1, 2)]
     for path in outs:
         run_incremental(t, store, lambda b, p=path: b.write.mode("overwrite").parquet(p),
-                        max_records=INCREMENTAL_CAP)
+                        max_records=INCREMENTAL_CAP, bounds=bounds)
     return spark.read.parquet(outs[1]).select("partition", "offset")
 
 
@@ -453,9 +537,16 @@ BUILDERS: dict[str, Builder] = {
     "registry_frame": q_registry_frame,
     "decode_avro": q_decode_avro,
     "decode_registry_avro": q_decode_registry_avro,
+    "events_props_json": q_events_props_json,
+    "inferred_schema": q_inferred_schema,
     "latest_schemas": q_latest_schemas,
     "write_topic_roundtrip": q_write_topic_roundtrip,
     "stream_write_roundtrip": q_stream_write_roundtrip,
+    "append_then_stream": q_append_then_stream,
+    "route_default": q_route_default,
+    "stream_from_offsets": q_stream_from_offsets,
+    "resume_two_topics": q_resume_two_topics,
+    "incremental_beyond_end": q_incremental_beyond_end,
     "encode_key": q_encode_key,
     "encode_raw": q_encode_raw,
     "encode_json": q_encode_json,
@@ -481,8 +572,7 @@ b as (select "partition" p, min("offset") lo, max("offset")+1 hi from t group by
 r as (select b.p, case coalesce(o,-1) when -2 then lo when -1 then hi else o end f, hi from b left join ini using (p))
 """
 
-_ROUNDTRIP = """select "partition", row_number() over (partition by "partition"
- order by epoch_us("timestamp")//1000, "key", "value") - 1 as "offset", event_id, user_id, event_type, amount from t"""
+_ROUNDTRIP = 'select "partition", "offset", event_id, user_id, event_type, amount from t'
 
 _BODIES = {
     "topic_scan": 'select topic, "partition", "offset", "key", "value" from t',
@@ -525,6 +615,18 @@ _BODIES = {
     "decode_avro": "select event_id, user_id, event_type, amount from t",
     "decode_registry_avro": """select event_id, user_id, case when user_id % 3 >= 1 then event_type end as event_type,
  case when user_id % 3 = 2 then amount end as amount from t""",
+    "events_props_json": "select event_id, props from events",
+    "inferred_schema": """select * from (values ('events','event_id','bigint'),('events','user_id','bigint'),
+ ('events','event_type','string'),('events','amount','double')) v(topic, field, type)
+ union all select n_name as topic, f.field, f.type from nation,
+ (values ('n_nationkey','int'),('n_name','string'),('n_regionkey','int')) f(field, type) where n_name = (select min(n_name) from nation)""",
+    "append_then_stream": 'select "partition", event_id, user_id, event_type, amount from t',
+    "route_default": 'select "key" as k, count(*) as n, 1 as partitions from t group by 1',
+    "stream_from_offsets": 'select "partition" as p, "offset" as o, event_id from t join r on p = "partition" where "offset" >= f',
+    "resume_two_topics": """select u.topic, "partition", "offset" from (select 'events' as topic, "partition", "offset", 0 as x from t
+ union all select 'other' as topic, "partition", "offset", 4 as x from t) u left join led on p = "partition"
+ where "offset" >= coalesce(next_offset + x, 0)""",
+    "incremental_beyond_end": 'select "partition", "offset" from t where "offset" >= 8',
     "latest_schemas": """select concat(n_name,'-value') as subject, n_nationkey*10+3 as id from nation
  union all select 'events-value' as subject, 502 as id""",
     "write_topic_roundtrip": _ROUNDTRIP,

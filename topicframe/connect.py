@@ -19,14 +19,15 @@ from pyspark.sql.streaming import StreamingQuery
 from topicframe.operators.decode import to_records
 from topicframe.operators.encode import encode_key, message_time, route
 from topicframe.operators.ledger import LedgerStore, ledger_upsert
-from topicframe.operators.offsets import EARLIEST, select_partitions, slice_offsets
+from topicframe.operators.offsets import EARLIEST, LATEST, select_partitions, slice_offsets
 from topicframe.operators.registry import encode_registry_avro, encode_registry_key
-from topicframe.schema import SinkConfig, SourceConfig, parse_initial_offsets, parse_partitions
+from topicframe.schema import ContractError, SinkConfig, SourceConfig, parse_initial_offsets, parse_partitions
+from topicframe.sources.kafka import kafka_range_options
 from topicframe.sources.sink import write_topic
 from topicframe.sources.topic import read_topic
 from topicframe.sources.topic_table import TopicTable
 from topicframe.streaming.incremental import plan_ranges
-from topicframe.streaming.stream import read_topic_stream, write_topic_stream
+from topicframe.streaming.stream import read_topic_stream, stream_start, write_topic_stream
 
 
 def _kafka_source(cfg: SourceConfig, saved: dict[int, int] | None = None) -> dict:
@@ -34,27 +35,31 @@ def _kafka_source(cfg: SourceConfig, saved: dict[int, int] | None = None) -> dic
         "brokers": cfg.brokers,
         "topic": cfg.topic,
         "partitions": cfg.partitions,
-        "default_offset": cfg.default_offset if cfg.default_offset is not None else -1,
+        "default_offset": cfg.default_offset if cfg.default_offset is not None else LATEST,
         "initial_offsets": cfg.initial_offsets,
         "saved_offsets": saved,
         "max_rate": cfg.max_rate,
+        "partition_count": cfg.partition_count,
         "cluster_key": cfg.cluster_key,
         "cluster_secret": cfg.cluster_secret,
         "kafka_options": cfg.kafka_options,
     }
 
 
-def _records(df: DataFrame, cfg: SourceConfig, schema, batch_time: int | None = None) -> DataFrame:
+def _records(df: DataFrame, cfg: SourceConfig, schema, keep_position: bool = False) -> DataFrame:
+    meta = dict(time_field=cfg.time_field, key_field=cfg.key_field, partition_field=cfg.partition_field,
+                offset_field=cfg.offset_field, value_field=cfg.value_field, keep_position=keep_position)
     if cfg.registry is not None:
-        names = schema.fieldNames()
-        declared = schema if cfg.value_field in names else None
-        return to_records(df, declared, time_field=cfg.time_field, key_field=cfg.key_field,
-                          partition_field=cfg.partition_field, offset_field=cfg.offset_field,
-                          value_field=cfg.value_field, registry=cfg.registry, topic=cfg.topic,
-                          batch_time=batch_time)
-    return to_records(df, schema, cfg.fmt, time_field=cfg.time_field, key_field=cfg.key_field,
-                      partition_field=cfg.partition_field, offset_field=cfg.offset_field,
-                      value_field=cfg.value_field, batch_time=batch_time, pattern=cfg.pattern)
+        declared = schema if cfg.value_field in schema.fieldNames() else None
+        return to_records(df, declared, registry=cfg.registry, topic=cfg.topic, encoding=cfg.avro_encoding, **meta)
+    return to_records(df, schema, cfg.fmt, pattern=cfg.pattern, options=dict(cfg.format_options), **meta)
+
+
+def _of_topic(ledger: DataFrame, topic: str | None) -> DataFrame:
+    """A ledger's rows of one topic (rows without a topic speak for any)."""
+    if topic is None or "topic" not in ledger.columns:
+        return ledger
+    return ledger.where((F.col("topic") == topic) | F.col("topic").isNull())
 
 
 def open_source(
@@ -63,59 +68,89 @@ def open_source(
     source: DataFrame | TopicTable | str | None = None,
     streaming: bool = True,
     ledger: DataFrame | None = None,
+    starts: LedgerStore | None = None,
+    keep_position: bool = False,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Typed records of a topic (A1/A2 + B1-B9 + C*), after all config checks.
 
     ``source``: None = Kafka (from ``cfg.brokers``), a topic table (object or
-    path) or a topic frame. ``ledger`` (saved next offsets) replaces the
-    configured start offsets, as the reference's state store does.
+    path) or a topic frame. Start offsets (A7) are the saved ones of
+    ``ledger``, else the configured initial offsets, else the default
+    (streaming: latest; bounded: earliest unless the config names one). For a stream over a topic table,
+    ``starts`` remembers what they meant at its first start. A topic table
+    takes the rate as files: ``max_files_per_trigger``. ``keep_position``
+    adds ``_topic, _partition, _offset`` for ``ledger_tracking_sink``.
     """
     schema = cfg.validate()
     parts = parse_partitions(cfg.partitions, [])
     if source is None:
-        saved = {int(r.partition): int(r.next_offset) for r in ledger.collect()} if ledger is not None else None
+        saved = None
+        if ledger is not None:
+            saved = {int(r.partition): int(r.next_offset) for r in _of_topic(ledger, cfg.topic).collect()}
         opts = _kafka_source(cfg, saved)
         df = read_topic_stream(spark, opts) if streaming else read_topic(spark, opts)
-    elif isinstance(source, DataFrame):
-        df = select_partitions(source, parts)
+        return _records(df, cfg, schema, keep_position)
+    initial = parse_initial_offsets(cfg.initial_offsets, [])
+    if isinstance(source, DataFrame):
+        df, bounds = select_partitions(source, parts), None
     else:
-        path = source.path if isinstance(source, TopicTable) else source
+        table = source if isinstance(source, TopicTable) else TopicTable(spark, source, cfg.topic)
+        bounds = table.bounds()
         if streaming:
-            df = read_topic_stream(spark, path, partitions=parts, ledger=ledger)
-        else:
-            df = select_partitions(TopicTable(spark, path).read(), parts)
-    if not streaming and source is not None:
-        initial = parse_initial_offsets(cfg.initial_offsets, [])
-        if ledger is not None or initial:
-            ranges = plan_ranges(df, saved=ledger, initial=initial,
-                                 default=cfg.default_offset if cfg.default_offset is not None else EARLIEST)
-            df = slice_offsets(df, ranges)
-    return _records(df, cfg, schema)
+            default = LATEST if cfg.default_offset is None else cfg.default_offset
+            if ledger is not None or starts is not None or initial or default != EARLIEST:
+                begin = stream_start(table, initial, default, _of_topic(ledger, cfg.topic) if ledger is not None else None, starts)
+            else:
+                begin = None
+            df = read_topic_stream(spark, table.path, parts, max_files_per_trigger, begin)
+            return _records(df, cfg, schema, keep_position)
+        df = select_partitions(table.read(), parts)
+    if not streaming:
+        # the configured default -1 is the streaming one; a bounded read begins at the earliest
+        default = EARLIEST if cfg.default_offset in (None, LATEST) else cfg.default_offset
+        saved = _of_topic(ledger, cfg.topic) if ledger is not None else None
+        df = slice_offsets(df, plan_ranges(df, saved=saved, initial=initial, default=default, partitions=parts, bounds=bounds))
+    return _records(df, cfg, schema, keep_position)
 
 
 def open_bounded(
     spark: SparkSession,
     cfg: SourceConfig,
-    source: DataFrame | TopicTable | str,
+    source: DataFrame | TopicTable | str | None,
     store: LedgerStore,
+    bounds: DataFrame | None = None,
 ) -> tuple[DataFrame, Callable[[], None]]:
     """Next bounded run (F10): records from the saved offsets, at most
     ``cfg.max_records`` per partition, and ``commit()`` to call after the
-    records were written (saves the new ledger)."""
+    records were written (saves the new ledger).
+
+    ``source`` None reads Kafka by the config; its range needs ``bounds``
+    (``partition, earliest, latest``), which Kafka's client knows and Spark does not tell.
+    """
     schema = cfg.validate()
     parts = parse_partitions(cfg.partitions, [])
-    topic = source if isinstance(source, DataFrame) else TopicTable(
-        spark, source.path if isinstance(source, TopicTable) else source).read()
-    topic = select_partitions(topic, parts)
+    topic = source if isinstance(source, DataFrame) else None
+    if source is None:
+        if bounds is None:
+            raise ContractError(["a bounded Kafka run needs the partitions' earliest and latest offsets"])
+    elif topic is None:
+        table = source if isinstance(source, TopicTable) else TopicTable(spark, source, cfg.topic)
+        topic, bounds = table.read(), table.bounds()
     previous = store.read()
-    ranges = plan_ranges(topic, saved=previous, initial=parse_initial_offsets(cfg.initial_offsets, []),
-                         default=EARLIEST, max_records=cfg.max_records)
-    records = _records(slice_offsets(topic, ranges), cfg, schema)
+    ranges = plan_ranges(topic, saved=_of_topic(previous, cfg.topic), initial=parse_initial_offsets(cfg.initial_offsets, []),
+                         default=EARLIEST, max_records=cfg.max_records, partitions=parts, bounds=bounds)
+    if "topic" not in ranges.columns and cfg.topic:
+        ranges = ranges.withColumn("topic", F.lit(cfg.topic))
+    if topic is None:
+        batch = spark.read.format("kafka").options(**kafka_range_options(_kafka_source(cfg), parts, ranges)).load()
+    else:
+        batch = slice_offsets(select_partitions(topic, parts), ranges)
+    records = _records(batch, cfg, schema)
 
     def commit() -> None:
         has_previous = previous.limit(1).count() > 0
         store.save(ledger_upsert(previous if has_previous else None, ranges))
-        ranges.unpersist()
 
     return records, commit
 
@@ -125,13 +160,13 @@ def sink_messages(df: DataFrame, cfg: SinkConfig) -> DataFrame:
     msg_schema = cfg.validate(df.schema)
     fields = msg_schema.fieldNames()
     if cfg.registry is not None:
-        value = encode_registry_avro(df, cfg.registry, cfg.topic, fields[0])
-        key = (encode_registry_key(df, cfg.registry, cfg.topic, cfg.key_field) if cfg.key_field
+        value = encode_registry_avro(df, cfg.registry, cfg.topic, fields[0], encoding=cfg.avro_encoding)
+        key = (encode_registry_key(df, cfg.registry, cfg.topic, cfg.key_field, cfg.avro_encoding) if cfg.key_field
                else encode_key(df, None))
         framed = df.select("*", key.alias("_tf_key"), value.alias("_tf_value"))
         return framed.select(
             F.lit(cfg.topic).alias("topic"),
-            route(framed, cfg.partition_field).alias("partition"),
+            route(framed, cfg.partition_field, cfg.num_partitions).alias("partition"),
             message_time(cfg.time_field).alias("timestamp"),
             F.col("_tf_key").alias("key"),
             F.col("_tf_value").alias("value"),
@@ -140,7 +175,7 @@ def sink_messages(df: DataFrame, cfg: SinkConfig) -> DataFrame:
 
     return to_messages(df.select(*[c for c in df.columns if c in fields or c in
                                    (cfg.key_field, cfg.partition_field, cfg.time_field)]),
-                       cfg.topic, cfg.fmt, cfg.key_field, cfg.partition_field, cfg.time_field)
+                       cfg.topic, cfg.fmt, cfg.key_field, cfg.partition_field, cfg.time_field, cfg.num_partitions)
 
 
 def write_sink(
@@ -150,7 +185,13 @@ def write_sink(
     checkpoint: str | None = None,
 ) -> StreamingQuery | int | None:
     """Write records to a topic per the sink config: Kafka when ``target`` is
-    None, else a topic table. Streaming frames need ``checkpoint``."""
+    None, else a topic table. Streaming frames need ``checkpoint``.
+
+    Kafka's own partitioner takes messages without a partition; a topic
+    table deals them by key over ``cfg.num_partitions``, which it then needs.
+    """
+    if target is not None and not cfg.partition_field and not cfg.num_partitions:
+        raise ContractError(["a topic table needs a partition field or num_partitions"])
     messages = sink_messages(df, cfg)
     kafka = None
     if target is None:

@@ -11,8 +11,8 @@ import re
 # Common Log Format line, groups in order
 # host, ident, authuser, timestamp, request, status, bytes, referrer, agent.
 CLF_REGEX = (
-    r'^(\S+) (\S+) (\S+) \[([^\]]+)\] "([^"]*)" (\d{3}|-) (\d+|-)'
-    r'(?: "([^"]*)" "([^"]*)")?\s*$'
+    r'^(\S+) (\S+) (\S+) \[([^\]]+)\] "((?:[^"\\]|\\.)*)" (\d{3}|-) (\d+|-)'
+    r'(?: "((?:[^"\\]|\\.)*)" "((?:[^"\\]|\\.)*)")?\s*$'
 )
 CLF_GROUPS = {
     "host": 1, "remote_host": 1,
@@ -30,6 +30,8 @@ CLF_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 # RFC 3164 syslog line, groups in order
 # priority, timestamp, host, app, pid, message.
 SYSLOG_REGEX = r"^<(\d{1,3})>([A-Z][a-z]{2} [ \d]\d \d{2}:\d{2}:\d{2}) (\S+) ([^\[\]:\s]+)(?:\[(\d+)\])?: ?(.*)$"
+# of the year and the line's time, with one blank between parts
+SYSLOG_TIME_FORMAT = "yyyy MMM d HH:mm:ss"
 SYSLOG_GROUPS = {
     "priority": 1, "pri": 1,
     "timestamp": 2, "time": 2,
@@ -77,7 +79,8 @@ def expand_grok(pattern: str, extra: dict[str, str] | None = None) -> tuple[str,
 
     Returns the regex, ``{field: group number}`` and ``{field: type}``
     (``int``/``long``/``float``/``double`` when given). Unnamed references and
-    user parentheses become non-capturing so group numbers stay ours.
+    all other parentheses, of the table's patterns too, become non-capturing
+    so group numbers stay ours.
     """
     table = dict(GROK_PATTERNS)
     if extra:
@@ -90,7 +93,7 @@ def expand_grok(pattern: str, extra: dict[str, str] | None = None) -> tuple[str,
             raise ValueError(f"unknown grok pattern %{{{name}}}")
         if depth > 20:
             raise ValueError("grok patterns nest too deeply")
-        return _GROK_REF.sub(lambda m: "(?:" + inner(m.group(1), depth + 1) + ")", table[name])
+        return _GROK_REF.sub(lambda m: "(?:" + inner(m.group(1), depth + 1) + ")", _noncapturing(table[name]))
 
     out: list[str] = []
     pos = 0
@@ -111,6 +114,24 @@ def expand_grok(pattern: str, extra: dict[str, str] | None = None) -> tuple[str,
     return "".join(out), groups, types
 
 
-def _noncapturing(literal: str) -> str:
-    """Turn bare ``(`` of user regex text into ``(?:`` (escaped ones stay)."""
-    return re.sub(r"(?<!\\)\((?!\?)", "(?:", literal)
+def _noncapturing(pattern: str) -> str:
+    """Turn ``(`` groups into ``(?:``; escaped ones, those inside a character
+    class and special groups stay."""
+    out: list[str] = []
+    in_class = False
+    i = 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            out.append(pattern[i : i + 2])
+            i += 2
+            continue
+        if c == "[" and not in_class:
+            in_class = True
+        elif c == "]" and in_class and pattern[i - 1] != "[":
+            in_class = False
+        elif c == "(" and not in_class and pattern[i + 1 : i + 2] != "?":
+            c = "(?:"
+        out.append(c)
+        i += 1
+    return "".join(out)

@@ -1,9 +1,8 @@
 """Payload decoders and record assembly.
 
 A decoder turns the ``value`` bytes of a topic frame into a struct column
-with one projection over the whole topic: ``from_csv``, ``from_json`` and
-``regexp_extract`` all run inside whole-stage codegen. Per-row Python is
-used only for Avro without the spark-avro jar (see ``registry``).
+with one projection over the whole topic, all of it JVM expressions
+(``from_csv``, ``from_json``, regular expressions); there is no Python.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from topicframe.functions.logformats import (
     SYSLOG_DERIVED,
     SYSLOG_GROUPS,
     SYSLOG_REGEX,
+    SYSLOG_TIME_FORMAT,
     expand_grok,
 )
 from topicframe.schema import ContractError, message_schema, parse_schema, to_ddl
@@ -47,24 +47,25 @@ def _single_field(schema: T.StructType, fmt: str) -> T.StructField:
 _SEP = "\u0001"
 
 
-def _with_groups(text: Column, regex: str, n_groups: int, build) -> Column:
-    """Evaluate the regex once per row and hand the groups to ``build``.
+def _with_groups(text: Column, regex: str, n_groups: int, build, unmatched: Column) -> Column:
+    """Evaluate the (anchored) regex once per row and hand the groups to ``build``.
 
-    ``regexp_replace`` with back-references rewrites the (anchored) match to
-    the groups joined by a control character; ``split`` cuts it. The parts
-    are bound once through a one-element ``transform`` (Spark has no
-    let-binding), so every field reads the same split. A row whose fields
-    contain the separator, or that does not match, falls back to one
-    ``regexp_extract`` per group: results are exact either way.
+    ``regexp_replace`` with back-references turns a match into a separator
+    and the groups joined by it; ``split`` cuts that. A text without the
+    separator has it afterwards only if the regex matched. The rare text
+    that contains it is matched by ``rlike`` and one ``regexp_extract`` a
+    group. The parts are bound once through a one-element ``transform``
+    (Spark has no let-binding). Rows that do not match give ``unmatched``.
     """
-    template = _SEP.join(f"${i}" for i in range(1, n_groups + 1))
-    parts = F.split(F.regexp_replace(text, regex, template), _SEP, -1)
-
-    def group_of(p: Column):
-        one_pass = F.size(p) == n_groups
-        return lambda i: F.when(one_pass, F.element_at(p, i)).otherwise(F.regexp_extract(text, regex, i))
-
-    return F.transform(F.array(parts), lambda p: build(group_of(p))).getItem(0)
+    template = _SEP + _SEP.join(f"${i}" for i in range(1, n_groups + 1))
+    odd = F.instr(text, _SEP) > 0
+    extracted = F.array(F.lit(""), *[F.regexp_extract(text, regex, i) for i in range(1, n_groups + 1)])
+    parts = F.when(odd, F.when(text.rlike(regex), extracted).otherwise(F.array(F.lit("")))).otherwise(
+        F.split(F.regexp_replace(text, regex, template), _SEP, -1)
+    )
+    return F.transform(
+        F.array(parts), lambda p: F.when(F.size(p) == n_groups + 1, build(lambda i: F.element_at(p, i + 1))).otherwise(unmatched)
+    ).getItem(0)
 
 
 def _regex_struct(
@@ -76,7 +77,14 @@ def _regex_struct(
     fmt: str,
     derived: dict[str, Column] | None = None,
     ts_format: str | None = None,
+    ts_text=None,
+    missing: tuple[str, ...] = ("",),
 ) -> Column:
+    """The fields of a line format; null (or an error in ``failfast`` mode) where the line does not match.
+
+    ``missing``: group texts that stand for no value. ``ts_text`` prepares a
+    group's text for ``ts_format``.
+    """
     strict = mode == "failfast"
     for f in schema.fields:
         if f.name not in groups and not (derived and f.name in derived):
@@ -90,10 +98,12 @@ def _regex_struct(
                 raw = derived[f.name](group)
             else:
                 raw = group(groups[f.name])
-                raw = F.when(raw.isin("", "-"), F.lit(None)).otherwise(raw)
+                # a text field keeps its empty text; other types have no value of it
+                none = missing if not isinstance(f.dataType, T.StringType) or "-" in missing else ()
+                raw = F.when(raw.isin(*none), F.lit(None)).otherwise(raw) if none else raw
             dt = f.dataType
             if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) and ts_format:
-                val = F.try_to_timestamp(raw, F.lit(ts_format))
+                val = F.try_to_timestamp(ts_text(raw) if ts_text else raw, F.lit(ts_format))
                 if isinstance(dt, T.TimestampNTZType):
                     val = val.cast("timestamp_ntz")
             elif isinstance(dt, T.StringType):
@@ -105,12 +115,10 @@ def _regex_struct(
             fields.append(val.alias(f.name))
         return F.struct(*fields)
 
-    st = _with_groups(text, regex, max(groups.values()), build)
+    nothing = F.lit(None).cast(schema)
     if strict:
-        st = F.when(
-            text.isNotNull() & ~text.rlike(regex),
-            F.raise_error(F.concat(F.lit(f"Malformed {fmt} payload: "), F.substring(text, 1, 200))),
-        ).otherwise(st)
+        nothing = F.raise_error(F.concat(F.lit(f"Malformed {fmt} payload: "), F.substring(text, 1, 200))).cast(schema)
+    st = _with_groups(text, regex, max([*groups.values(), 1]), build, nothing)
     return F.when(text.isNull(), F.lit(None).cast(schema)).otherwise(st)
 
 
@@ -125,8 +133,9 @@ def payload_struct(
     """Decode a payload column into a struct of ``schema`` (C0 dispatch).
 
     Formats: None/binary/bytes, text, csv, tsv, json, clf, syslog, grok
-    (``pattern`` required). A null payload gives a null struct. In
-    ``failfast`` mode a malformed payload fails the task, like the
+    (``pattern`` required), avro (``options={"encoding": ...}``). A null payload
+    gives a null struct. A syslog time has no year: a timestamp field of it
+    needs ``options={"year": ...}``. In ``failfast`` mode a malformed payload fails the task, like the
     reference; ``permissive`` yields nulls (see :func:`split_malformed`).
     """
     schema = parse_schema(schema)
@@ -148,28 +157,34 @@ def payload_struct(
         opts["mode"] = mode.upper()
         return F.from_json(_text(v), schema, opts)
     if f == "clf":
-        return _regex_struct(_text(v), schema, CLF_REGEX, CLF_GROUPS, mode, f, ts_format=CLF_TIME_FORMAT)
+        return _regex_struct(_text(v), schema, CLF_REGEX, CLF_GROUPS, mode, f, ts_format=CLF_TIME_FORMAT, missing=("", "-"))
     if f == "syslog":
         text = _text(v)
         derived = dict(zip(SYSLOG_DERIVED, (
             lambda g: F.floor(g(1).try_cast("int") / 8).cast("int"),
             lambda g: (g(1).try_cast("int") % 8).cast("int"),
         )))
-        return _regex_struct(text, schema, SYSLOG_REGEX, SYSLOG_GROUPS, mode, f, derived=derived)
+        timed = [x.name for x in schema.fields if isinstance(x.dataType, (T.TimestampType, T.TimestampNTZType))]
+        if timed and "year" not in opts:
+            raise ContractError([f"syslog field {timed[0]!r}: a timestamp needs the year option"])
+        year = F.lit(str(opts.get("year", "")))
+        return _regex_struct(
+            text, schema, SYSLOG_REGEX, SYSLOG_GROUPS, mode, f, derived=derived, ts_format=SYSLOG_TIME_FORMAT,
+            ts_text=lambda raw: F.concat_ws(" ", year, F.regexp_replace(raw, " +", " ")),
+        )
     if f == "grok":
         if not pattern:
             raise ContractError(["grok format needs a pattern"])
         regex, groups, _types = expand_grok(pattern, opts.get("patterns"))
-        return _regex_struct(_text(v), schema, "^" + regex + "$", groups, mode, f)
+        return _regex_struct(_text(v), schema, f"^(?:{regex})$", groups, mode, f)
     if f == "avro":
         # a bare Avro datum written with the declared message schema
-        import json
-
-        from topicframe.operators.registry import avro_payload
+        from topicframe.operators.registry import _check_encoding, datum_value
         from topicframe.schema import spark_to_avro
 
-        writer = json.dumps(spark_to_avro(schema, "message"))
-        return avro_payload(F.lit(0), v, {0: writer}, writer)
+        encoding = opts.get("encoding", "binary")
+        _check_encoding(encoding)
+        return F.when(v.isNotNull(), datum_value(v, spark_to_avro(schema, "message"), schema, encoding))
     raise ContractError([f"unknown format {fmt!r}"])
 
 
@@ -201,6 +216,7 @@ def split_malformed(
     value_col: str = "value",
     flag: str = "malformed",
     pattern: str | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
     """Decode permissively and flag rows whose payload does not fit.
 
@@ -225,11 +241,8 @@ def split_malformed(
         bad = st[CORRUPT].isNotNull() | empty
         rec = F.struct(*[st[n].alias(n) for n in schema.fieldNames()])
     elif f in ("clf", "syslog", "grok"):
-        regex = {"clf": CLF_REGEX, "syslog": SYSLOG_REGEX}.get(f)
-        if f == "grok":
-            regex = "^" + expand_grok(pattern or "")[0] + "$"
-        rec = payload_struct(v, f, schema, "permissive", pattern)
-        bad = v.isNotNull() & ~text.rlike(regex)
+        rec = payload_struct(v, f, schema, "permissive", pattern, options)
+        bad = v.isNotNull() & F.col("_tf_rec").isNull()  # a line that matches is never a null record
     else:
         raise ContractError([f"no malformed-row check for format {fmt!r}"])
     return (
@@ -285,13 +298,13 @@ def with_payload(df: DataFrame, name: str) -> DataFrame:
 
 
 def _registry_records(df, registry, topic, schema, time_field, key_field, partition_field, offset_field,
-                      value_field, batch_time):
+                      value_field, batch_time, encoding, position):
     from topicframe.operators.registry import decode_registry_avro, infer_output_schema
 
     if not topic or not value_field:
         raise ContractError(["a schema registry needs the topic and a value field"])
     inferred = infer_output_schema(registry, topic, key_field, value_field)
-    decoded = decode_registry_avro(df, registry, topic, value_field, key_field=key_field)
+    decoded = decode_registry_avro(df, registry, topic, value_field, key_field=key_field, encoding=encoding)
     meta = {time_field: read_time(batch_time), partition_field: F.col("partition").cast("int"),
             offset_field: F.col("offset").cast("bigint")}
     names = parse_schema(schema).fieldNames() if schema is not None else (
@@ -304,7 +317,11 @@ def _registry_records(df, registry, topic, schema, time_field, key_field, partit
             cols.append(meta[name].alias(name))
         else:
             raise ContractError([f"field {name!r} is neither a registry field nor a metadata field"])
-    return decoded.select(*cols)
+    return decoded.select(*cols, *_position(position))
+
+
+def _position(wanted: bool) -> list[Column]:
+    return [F.col(c).alias(f"_{c}") for c in ("topic", "partition", "offset")] if wanted else []
 
 
 def to_records(
@@ -321,6 +338,9 @@ def to_records(
     pattern: str | None = None,
     registry: DataFrame | None = None,
     topic: str | None = None,
+    options: dict | None = None,
+    encoding: str = "binary",
+    keep_position: bool = False,
 ) -> DataFrame:
     """Topic frame → typed records in declared column order.
 
@@ -333,10 +353,12 @@ def to_records(
     nested under ``value_field`` and the key is registry-framed too (any
     type); ``schema`` may then be None and is inferred from the latest
     ``<topic>-key``/``<topic>-value`` plus the requested metadata fields.
+
+    ``keep_position`` adds ``_topic, _partition, _offset`` for a ledger.
     """
     if registry is not None:
         return _registry_records(df, registry, topic, schema, time_field, key_field, partition_field,
-                                 offset_field, value_field, batch_time)
+                                 offset_field, value_field, batch_time, encoding, keep_position)
     schema = parse_schema(schema)
     meta = (time_field, key_field, partition_field, offset_field)
     msg = message_schema(schema, *meta)
@@ -344,10 +366,10 @@ def to_records(
         vf = next((f for f in msg.fields if f.name == value_field), None)
         if vf is None or not isinstance(vf.dataType, T.StructType):
             raise ContractError([f"value field {value_field!r} must be a record field of the schema"])
-        st = payload_struct("value", fmt, vf.dataType, mode, pattern)
+        st = payload_struct("value", fmt, vf.dataType, mode, pattern, options)
     else:
-        st = payload_struct("value", fmt, msg, mode, pattern)
-    rec = df.select("key", "partition", "offset", st.alias("_tf_rec"))
+        st = payload_struct("value", fmt, msg, mode, pattern, options)
+    rec = df.select("key", *(["topic"] if keep_position else []), "partition", "offset", st.alias("_tf_rec"))
     cols = []
     for f in schema.fields:
         if f.name == time_field:
@@ -363,4 +385,4 @@ def to_records(
         else:
             c = F.col("_tf_rec").getField(f.name).cast(f.dataType)
         cols.append(c.alias(f.name))
-    return rec.select(*cols)
+    return rec.select(*cols, *_position(keep_position))

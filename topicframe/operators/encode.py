@@ -18,6 +18,8 @@ from topicframe.schema import ContractError
 
 # Column-metadata flag: the message time came from a record field.
 EXPLICIT_TIME = "topicframe.explicit_time"
+# Column of an outbound frame that orders its messages (see ``order_field``).
+ORDER = "sent"
 
 
 def encode_key(df: DataFrame, field: str | None) -> Column:
@@ -85,12 +87,15 @@ def to_messages(
     partition_field: str | None = None,
     time_field: str | None = None,
     num_partitions: int | None = None,
+    order_field: str | None = None,
 ) -> DataFrame:
     """Typed rows → outbound frame ``topic, partition, timestamp, key, value``.
 
-    Message fields are all fields except key, partition and time fields.
+    Message fields are all fields except key, partition, time and order
+    fields. ``order_field`` (a source position) is carried as column ``sent``,
+    for a topic table to number by.
     """
-    meta = {m for m in (key_field, partition_field, time_field) if m}
+    meta = {m for m in (key_field, partition_field, time_field, order_field) if m}
     fields = [c for c in df.columns if c not in meta]
     if not fields:
         raise ContractError(["input must contain at least one message field"])
@@ -105,4 +110,5 @@ def to_messages(
         message_time(time_field).alias("timestamp", metadata={EXPLICIT_TIME: bool(time_field)}),
         F.col("_tf_key").alias("key"),
         F.col("_tf_value").alias("value"),
+        *([F.col(order_field).alias(ORDER)] if order_field else []),
     )

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicframe.plans.small import partition_keyed_broadcast
-from topicframe.session import list_dirs, path_exists
+from topicframe.operators.offsets import with_position_value
+from topicframe.plans.small import sized
+from topicframe.session import list_dirs, path_exists, remove
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -39,14 +40,14 @@ def ledger_upsert(previous: DataFrame | None, ranges: DataFrame) -> DataFrame:
     """New ledger after a batch (F2): per partition the larger of the
     remembered next offset and the batch's ``until_offset``; partitions the
     batch did not touch keep their entry."""
-    nxt = ranges.select("partition", F.col("until_offset").alias("_tf_until"), *(["topic"] if "topic" in ranges.columns else []))
+    topic = ["topic"] if "topic" in ranges.columns and (previous is None or "topic" in previous.columns) else []
+    nxt = ranges.select(*topic, "partition", F.col("until_offset").alias("_tf_until"))
     if previous is None:
-        return nxt.select(*(["topic"] if "topic" in nxt.columns else []), "partition", F.col("_tf_until").alias("next_offset"))
-    prev = previous.select("partition", F.col("next_offset").alias("_tf_prev"), *(["topic"] if "topic" in previous.columns else []))
-    keys = ["topic", "partition"] if "topic" in prev.columns and "topic" in nxt.columns else ["partition"]
-    joined = prev.join(nxt, keys, "full_outer")
+        return nxt.select(*topic, "partition", F.col("_tf_until").alias("next_offset"))
+    prev = previous.select(*topic, "partition", F.col("next_offset").alias("_tf_prev"))
+    joined = prev.join(nxt, [*topic, "partition"], "full_outer")
     return joined.select(
-        *keys, F.greatest(F.col("_tf_prev"), F.col("_tf_until")).cast("bigint").alias("next_offset")
+        *topic, "partition", F.greatest(F.col("_tf_prev"), F.col("_tf_until")).cast("bigint").alias("next_offset")
     )
 
 
@@ -77,6 +78,10 @@ def ledger_path(directory: str, namespace: str, pipeline: str) -> str:
     return f"{directory.rstrip('/')}/{namespace}.{pipeline}.offsets.json"
 
 
+# Versions that stay; older ones are removed on save.
+KEPT_VERSIONS = 20
+
+
 class LedgerStore:
     """Versioned ledger folder (F5): absent → empty ledger, bad JSON → error."""
 
@@ -84,27 +89,36 @@ class LedgerStore:
         self.spark = spark
         self.path = path.rstrip("/")
 
+    def _folders(self) -> list[int]:
+        return sorted(int(name[2:]) for name in list_dirs(self.spark, self.path) if name.startswith("v="))
+
+    def _complete(self, version: int) -> bool:
+        return path_exists(self.spark, f"{self.path}/v={version}/_SUCCESS")
+
     def versions(self) -> list[int]:
-        out = []
-        for name in list_dirs(self.spark, self.path):
-            if name.startswith("v=") and path_exists(self.spark, f"{self.path}/{name}/_SUCCESS"):
-                out.append(int(name[2:]))
-        return sorted(out)
+        return [v for v in self._folders() if self._complete(v)]
+
+    def newest(self, before: int | None = None) -> int | None:
+        """The newest complete version (below ``before``): one listing and, as a rule, one check."""
+        for v in reversed(self._folders()):
+            if (before is None or v < before) and self._complete(v):
+                return v
+        return None
 
     def read(self, before: int | None = None) -> DataFrame:
         """Newest complete version (strictly before ``before`` if given)."""
-        vs = [v for v in self.versions() if before is None or v < before]
-        if not vs:
+        newest = self.newest(before)
+        if newest is None:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        text = self.spark.read.text(f"{self.path}/v={vs[-1]}").withColumnRenamed("value", "ledger_json")
+        text = self.spark.read.text(f"{self.path}/v={newest}").withColumnRenamed("value", "ledger_json")
         rows = text.select(F.get_json_object("ledger_json", "$.topic").alias("topic"), "ledger_json")
         return ledger_from_json(rows).select("topic", "partition", "next_offset")
 
     def save(self, ledger: DataFrame, version: int | None = None) -> int:
         """Write ``ledger`` as version ``version`` (default: newest + 1)."""
         if version is None:
-            vs = self.versions()
-            version = (vs[-1] + 1) if vs else 0
+            newest = self.newest()
+            version = 0 if newest is None else newest + 1
         keys = ["topic"] if "topic" in ledger.columns else []
         entries = F.map_from_entries(
             F.array_sort(F.collect_list(F.struct(F.col("partition").cast("string"), F.col("next_offset"))))
@@ -112,15 +126,17 @@ class LedgerStore:
         fields = [F.col("topic")] if keys else []
         doc = ledger.groupBy(*keys).agg(F.to_json(F.struct(*fields, entries.alias("partitionOffsets"))).alias("value"))
         doc.select("value").coalesce(1).write.mode("overwrite").text(f"{self.path}/v={version}")
+        for old in self._folders()[:-KEPT_VERSIONS]:
+            remove(self.spark, f"{self.path}/v={old}")
         return version
 
 
 def resume_from_ledger(df: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows at or after the remembered next offset of their partition (F3);
-    partitions absent from the ledger are read from the start."""
-    led = partition_keyed_broadcast(ledger.select("partition", F.col("next_offset").alias("_tf_next")))
+    """Rows at or after the remembered next offset of their (topic, partition)
+    (F3); partitions absent from the ledger are read from the start."""
+    known = sized(ledger, "ledger")
     return (
-        df.join(led, "partition", "left")
+        with_position_value(df, known, "next_offset", "_tf_next")
         .where(F.col("offset") >= F.coalesce(F.col("_tf_next"), F.lit(0)))
         .drop("_tf_next")
     )

@@ -2,9 +2,8 @@
 
 All inputs and outputs are DataFrames. A *range frame* has one row per
 topic partition: ``[topic,] partition, from_offset, until_offset`` with
-``from`` inclusive and ``until`` exclusive. Range frames, ledgers and
-bounds have at most one row per topic partition, which is what makes the
-broadcast joins below safe at any data size.
+``from`` inclusive and ``until`` exclusive. Joins use (topic, partition)
+where both sides have a topic; none is hinted, Spark chooses by size.
 """
 
 from __future__ import annotations
@@ -15,16 +14,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicframe.plans.numbering import number_rows
-from topicframe.plans.small import MAX_TOPIC_PARTITIONS, bounded_broadcast, partition_keyed_broadcast
+from topicframe.plans.small import sized
 
 EARLIEST = -2
 LATEST = -1
 
 
-def _join_keys(left: DataFrame, right: DataFrame) -> list[str]:
+def join_keys(left: DataFrame, right: DataFrame) -> list[str]:
     return ["topic", "partition"] if "topic" in left.columns and "topic" in right.columns else ["partition"]
 
 
+def with_position_value(df: DataFrame, small: DataFrame, value: str, name: str) -> DataFrame:
+    """``df`` with ``small``'s ``value`` of its (topic, partition) as ``name``, null where there is none."""
+    keys = join_keys(df, small)
+    side = small.select(*[F.col(k).alias(f"_tf_{k}") for k in keys], F.col(value).cast("bigint").alias(name))
+    cond = None
+    for k in keys:
+        term = F.col(k).eqNullSafe(F.col(f"_tf_{k}"))
+        cond = term if cond is None else cond & term
+    return df.join(side, cond, "left").drop(*[f"_tf_{k}" for k in keys])
+
+
 def select_partitions(df: DataFrame, partitions: Iterable[int] | None) -> DataFrame:
     """Only the listed partitions; empty/None = all (A3). Pushed into the scan."""
     parts = [int(p) for p in (partitions or [])]
@@ -51,24 +61,27 @@ def partition_bounds(df: DataFrame, known: DataFrame | None = None) -> DataFrame
     if known is None:
         return bounds
     nxt = F.col("next_offset") if "next_offset" in known.columns else F.lit(0)
-    ktopic = F.col("topic") if "topic" in known.columns else F.lit(None).cast("string")
-    k = known.select("partition", nxt.cast("bigint").alias("_tf_k"), ktopic.alias("_tf_kt"))
-    joined = bounds.join(partition_keyed_broadcast(k), "partition", "full_outer")
+    on = join_keys(bounds, known)
+    k = known.select(*on, nxt.cast("bigint").alias("_tf_k"))
+    joined = bounds.join(k, on, "full_outer")
     cols = [
         F.coalesce("earliest", "_tf_k").alias("earliest"),
         F.coalesce("latest", "_tf_k").alias("latest"),
     ]
-    if "topic" in keys:
-        return joined.select(F.coalesce("topic", "_tf_kt").alias("topic"), "partition", *cols)
-    return joined.select("partition", *cols)
+    return joined.select(*keys, *cols)
+
+
+def _bounds(df: DataFrame) -> DataFrame:
+    return df if {"earliest", "latest"} <= set(df.columns) else partition_bounds(df)
 
 
 def earliest_offsets(df: DataFrame) -> DataFrame:
-    return partition_bounds(df).select("topic", "partition", "earliest")
+    """Of a topic frame, or of bounds that are known already (a topic table's log has them)."""
+    return _bounds(df).select("topic", "partition", "earliest")
 
 
 def latest_offsets(df: DataFrame) -> DataFrame:
-    return partition_bounds(df).select("topic", "partition", "latest")
+    return _bounds(df).select("topic", "partition", "latest")
 
 
 def offsets_frame(spark: SparkSession, offsets: dict[int, int] | None, name: str = "offset") -> DataFrame:
@@ -85,41 +98,42 @@ def resolve_start_offsets(
 ) -> DataFrame:
     """Start offset per partition.
 
-    ``partitions`` has ``partition`` and ``earliest``. A non-empty saved
-    ledger (``partition, next_offset``) replaces everything, and partitions
-    missing from it start at the earliest offset. Otherwise an explicit
-    initial offset (``partition, offset``) wins over ``default``. The result
-    may still hold the sentinels -2 (earliest) and -1 (latest); see
-    :func:`resolve_sentinels`.
+    ``partitions`` has ``partition`` and ``earliest`` (with ``latest`` they are
+    carried along, see :func:`resolve_sentinels`). A saved ledger
+    (``[topic,] partition, next_offset``) with rows for these topics replaces
+    everything, and partitions missing from it start at the earliest offset.
+    Otherwise an explicit initial offset (``partition, offset``) wins over
+    ``default``. The result may still hold the sentinels -2 (earliest) and -1 (latest).
     """
     spark = partitions.sparkSession
-    keep = [c for c in ("topic", "partition") if c in partitions.columns]
+    keep = [c for c in ("topic", "partition", "earliest", "latest") if c in partitions.columns]
     if saved is not None:
-        saved_small = bounded_broadcast(saved.select("partition", "next_offset"), what="ledger")
-        if saved_small.limit(1).count() > 0:
-            return partitions.join(saved_small, "partition", "left").select(
-                *keep, F.coalesce("next_offset", "earliest").cast("bigint").alias("start_offset")
+        if "topic" in saved.columns and "topic" in partitions.columns:
+            saved = saved.join(partitions.select("topic").distinct(), "topic", "left_semi")
+        if saved.limit(1).count() > 0:
+            return with_position_value(partitions, saved, "next_offset", "_tf_next").select(
+                *keep, F.coalesce("_tf_next", "earliest").cast("bigint").alias("start_offset")
             )
     if isinstance(initial, dict) or initial is None:
-        # built from a driver-side dict: its size is the dict's
-        ini = F.broadcast(offsets_frame(spark, initial, "_tf_ini"))
-    else:
-        ini = bounded_broadcast(initial.select("partition", F.col(initial.columns[-1]).alias("_tf_ini")),
-                                what="initial offsets")
-    return partitions.join(ini, "partition", "left").select(
+        initial = offsets_frame(spark, initial)
+    return with_position_value(partitions, initial, initial.columns[-1], "_tf_ini").select(
         *keep, F.coalesce("_tf_ini", F.lit(default)).cast("bigint").alias("start_offset")
     )
 
 
-def resolve_sentinels(starts: DataFrame, bounds: DataFrame) -> DataFrame:
+def resolve_sentinels(starts: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     """Replace -2 by the earliest and -1 by the latest offset.
 
-    Output is a range frame ``partition, from_offset, until_offset`` (until =
-    latest). A sentinel without bounds for its partition fails the job with
-    a message naming the partition.
+    ``starts`` carries its bounds, or ``bounds`` has them. Output is a range
+    frame ``[topic,] partition, from_offset, until_offset`` (until = latest,
+    but never below from: a start beyond the end is an empty range). A
+    sentinel without bounds for its partition fails the job with a message
+    naming the partition.
     """
-    keys = _join_keys(starts, bounds)
-    b = partition_keyed_broadcast(bounds.select(*keys, "earliest", "latest"))
+    if not {"earliest", "latest"} <= set(starts.columns):
+        starts = with_position_value(starts, bounds, "earliest", "earliest")
+        starts = with_position_value(starts, bounds, "latest", "latest")
+    keys = [c for c in ("topic", "partition") if c in starts.columns]
     s = F.col("start_offset")
     missing = F.raise_error(
         F.concat(F.lit("no earliest/latest offset known for partition "), F.col("partition").cast("string"))
@@ -130,78 +144,47 @@ def resolve_sentinels(starts: DataFrame, bounds: DataFrame) -> DataFrame:
         .when(s == LATEST, F.col("latest"))
         .otherwise(s)
     )
-    return starts.join(b, keys, "left").select(
-        *keys, frm.cast("bigint").alias("from_offset"), F.col("latest").cast("bigint").alias("until_offset")
+    return starts.select(*keys, frm.cast("bigint").alias("from_offset"), F.col("latest").cast("bigint").alias("_tf_l")).select(
+        *keys, "from_offset", F.greatest("from_offset", "_tf_l").alias("until_offset")
     )
 
 
-# Ranges up to this count become one exact static predicate; beyond it a coarse
-# static prefilter plus the exact broadcast join.
-MAX_STATIC_RANGES = 64
-
-
-def _range_rows(ranges: DataFrame, keys: list[str]) -> list | None:
-    """The range frame's rows (one per partition), or None above the bound."""
-    rows = ranges.select(*keys, "from_offset", "until_offset").limit(MAX_TOPIC_PARTITIONS + 1).collect()
-    return None if len(rows) > MAX_TOPIC_PARTITIONS else rows
-
-
-def range_predicate(rows: list, with_topic: bool = False) -> Column:
-    """Static filter for collected ranges, pushed into the scan: exact for up
-    to ``MAX_STATIC_RANGES`` ranges, otherwise a superset (partition list and
-    the overall offset bounds) to combine with the exact join."""
+def range_prefilter(rows: list) -> Column:
+    """Static filter that holds for every row of the collected ranges: their
+    partitions (folders are pruned) and the lowest and highest offset (pushed
+    into the scan, which skips row groups)."""
     rows = [r for r in rows if r.from_offset is not None and r.until_offset is not None and r.until_offset > r.from_offset]
     if not rows:
         return F.lit(False)
-    p, o = F.col("partition"), F.col("offset")
-    if len(rows) <= MAX_STATIC_RANGES:
-        pred = None
-        for r in rows:
-            term = (p == r.partition) & (o >= r.from_offset) & (o < r.until_offset)
-            if with_topic:
-                term = term & (F.col("topic") == r.topic)
-            pred = term if pred is None else pred | term
-        return pred
-    lo = min(r.from_offset for r in rows)
-    hi = max(r.until_offset for r in rows)
-    return p.isin(sorted({r.partition for r in rows})) & (o >= lo) & (o < hi)
-
-
-def slice_offsets(df: DataFrame, ranges: DataFrame, static: bool = True) -> DataFrame:
+    low, high = min(r.from_offset for r in rows), max(r.until_offset for r in rows)
+    return F.col("partition").isin(sorted({r.partition for r in rows})) & (F.col("offset") >= low) & (F.col("offset") < high)
+
+
+def slice_offsets(df: DataFrame, ranges: DataFrame) -> DataFrame:
     """Rows with ``from_offset <= offset < until_offset`` of their partition.
 
-    With ``static`` (default) the range frame, one row per topic partition,
-    is collected (bounded by ``MAX_TOPIC_PARTITIONS``; the same metadata
-    Spark's Kafka source plans with) and becomes a static predicate:
-    partition folders are pruned and offset bounds reach the parquet reader
-    (row groups skipped on offset statistics). Up to ``MAX_STATIC_RANGES``
-    ranges the predicate is exact and no join is needed; beyond, it is a
-    prefilter and the exact check is a broadcast join of the collected rows.
+    The range frame, one row per topic partition, is collected once (the
+    metadata Spark's Kafka source plans with too): its hull is a static
+    filter of the scan, and the stored ranges are joined for the exact check.
     Partitions without a range are dropped.
     """
-    keys = _join_keys(df, ranges)
-    rows = _range_rows(ranges, keys) if static else None
-    if rows is not None:
-        df = df.where(range_predicate(rows, with_topic=len(keys) == 2))
-        if len(rows) <= MAX_STATIC_RANGES:
-            return df
-        r = F.broadcast(df.sparkSession.createDataFrame(rows, ranges.select(*keys, "from_offset", "until_offset").schema))
-    else:
-        r = ranges.select(*keys, "from_offset", "until_offset")
+    keys = join_keys(df, ranges)
+    schema = ranges.select(*keys, "from_offset", "until_offset").schema
+    rows = ranges.select(*schema.fieldNames()).collect()
+    known = sized(df.sparkSession.createDataFrame(rows, schema), "ranges")
     return (
-        df.join(r, keys, "inner")
+        df.where(range_prefilter(rows)).join(known, keys, "inner")
         .where((F.col("offset") >= F.col("from_offset")) & (F.col("offset") < F.col("until_offset")))
-        .drop("from_offset", "until_offset")
+        .select(*df.columns)
     )
 
 
 def cap_rate(ranges: DataFrame, rate: int, interval_s: float = 1.0) -> DataFrame:
     """At most ``rate`` records per second per partition over one batch
-    interval (A10); rate 0 = no cap."""
+    interval, and at least one, so that a short interval never stalls (A10); rate 0 = no cap."""
     if not rate:
         return ranges
-    n = int(rate * interval_s)
-    return ranges.withColumn("until_offset", F.least("until_offset", F.col("from_offset") + F.lit(n)))
+    return cap_records(ranges, max(1, int(rate * interval_s)))
 
 
 def cap_records(ranges: DataFrame, max_records: int) -> DataFrame:
@@ -209,7 +192,8 @@ def cap_records(ranges: DataFrame, max_records: int) -> DataFrame:
     if max_records is None or max_records < 0:
         return ranges
     return ranges.withColumn(
-        "until_offset", F.least("until_offset", F.col("from_offset") + F.lit(int(max_records)))
+        "until_offset",
+        F.greatest("from_offset", F.least("until_offset", F.col("from_offset") + F.lit(int(max_records)))),
     )
 
 
@@ -221,18 +205,15 @@ def estimate_read_bytes(ranges: DataFrame, avg_message_size: int | Column = 1024
     )
 
 
-def average_message_size(df: DataFrame) -> DataFrame:
-    """Measured average payload size per partition (feeds A12 when data is at hand)."""
-    return df.groupBy("partition").agg(F.avg(F.octet_length("value")).alias("avg_message_size"))
-
-
 def order_messages(df: DataFrame, name: str = "pos") -> DataFrame:
     """Canonical order: partition, offset, then payload checksum.
 
     Adds ``name`` = 1-based global position, numbered without a single-task
-    window (distributed prefix sums).
+    window (distributed prefix sums). Without a ``value`` column a ``crc``
+    column orders duplicates, so a caller that needs no payload moves none.
     """
-    return number_rows(df, [], ["partition", "offset", F.crc32("value")], name, start=1)
+    crc = F.crc32("value") if "value" in df.columns else F.col("crc")
+    return number_rows(df, [], ["partition", "offset", crc], name, start=1)
 
 
 def message_sizes(df: DataFrame) -> DataFrame:
@@ -249,16 +230,16 @@ def assign_offsets(
 ) -> DataFrame:
     """Offsets on append, as a broker assigns them.
 
-    Per partition, rows get ``next_offset, next_offset + 1, ...`` in
-    ``order_cols`` order (``next_offset`` from the ledger, 0 when absent).
+    Per (topic, partition), rows get ``next_offset, next_offset + 1, ...``
+    (``next_offset`` from the ledger, 0 when absent) in ``order_cols`` order;
+    ties, and all rows without order columns, in the order they are sent.
     Numbering is distributed, so one hot partition is not one task.
     """
-    order = order_cols or [F.xxhash64("key", "value")]
+    group = [c for c in ("topic", "partition") if c in df.columns]
     base = df.drop("offset")
     if ledger is not None:
-        led = partition_keyed_broadcast(ledger.select("partition", F.col("next_offset").alias("_tf_next")))
-        base = base.join(led, "partition", "left")
+        base = with_position_value(base, sized(ledger, "ledger"), "next_offset", "_tf_next")
     else:
         base = base.withColumn("_tf_next", F.lit(None).cast("bigint"))
-    out = number_rows(base, ["partition"], order, "offset", start=F.coalesce("_tf_next", F.lit(0)))
+    out = number_rows(base, group, order_cols or [], "offset", start=F.coalesce("_tf_next", F.lit(0)))
     return out.drop("_tf_next")

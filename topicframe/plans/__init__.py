@@ -1,4 +1,4 @@
-"""Reusable physical-plan shapes: distributed numbering and size-checked broadcast."""
+"""Reusable physical-plan shapes: distributed numbering, stored frames, small join sides."""
 
 from topicframe.plans.numbering import number_rows  # noqa: F401
-from topicframe.plans.small import bounded_broadcast, partition_keyed_broadcast  # noqa: F401
+from topicframe.plans.small import sized  # noqa: F401

@@ -2,9 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from topicframe.session import work_dir
+from pyspark.sql import DataFrame, SparkSession
+
+from topicframe.session import remove, work_dir
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that are materialised inside are removed at the end: for work
+    whose result has been written when the block is left."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -16,6 +33,8 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
+    if _scopes:
+        _scopes[-1].append(path)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -15,8 +15,12 @@ so offsets must be numbered without that. The plan is the one RDD
    materialisation; it also cuts the lineage, so a lost executor never
    re-slices the data differently. The count pass reads two columns only.
 3. Per (group, task): count and first position. That frame has at most
-   ``n + groups`` rows, independent of the data size, and is broadcast.
+   ``n + groups`` rows, independent of the data size; it is stored, so that
+   Spark broadcasts it if it is in fact small.
 4. A running sum of counts over tasks gives each slice its base offset.
+
+Rows that tie on all order columns are told apart by a generated row id,
+so even a topic of identical messages is dealt over all tasks.
 """
 
 from __future__ import annotations
@@ -26,8 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicframe.plans.small import MAX_BROADCAST_ROWS, MAX_TOPIC_PARTITIONS
 from topicframe.plans.materialize import materialize
+from topicframe.plans.small import sized
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -44,51 +48,22 @@ def number_rows(
     name: str,
     start: Column | int = 0,
     num_slices: int | None = None,
-    max_groups: int = MAX_TOPIC_PARTITIONS,
-    unique: bool = False,
 ) -> DataFrame:
     """Add ``name`` = 0-based position of the row in its group (+ ``start``).
 
-    ``order_cols`` should be a total order inside a group (end with a unique
-    column) for a deterministic result; ties are numbered in an arbitrary order,
-    as with ``row_number``.
-    ``start`` may be a column of ``df`` (e.g. a per-group base offset).
-    ``max_groups`` bounds the number of distinct groups (topic partitions).
-
-    With ``unique=True`` (the caller guarantees that group + order columns
-    identify a row; they must be column names) only those key columns are
-    sliced and materialised; the rows get their number through one
-    shuffle join on the unique key. Wide payloads are then shuffled once
-    and never written an extra time.
+    Ties on ``order_cols`` are numbered in the order the rows are read; no
+    order columns number them all that way. ``start`` may be a column of
+    ``df`` (e.g. a per-group base offset).
     """
-    if unique:
-        names = list(group_cols) + [c for c in order_cols if isinstance(c, str)]
-        if len(names) != len(group_cols) + len(order_cols):
-            raise ValueError("unique numbering needs column names as order columns")
-        keys_only = df.select(*names)
-        numbered = number_rows(keys_only, group_cols, order_cols, name, 0, num_slices, max_groups, False)
-        numbered = numbered.select(*[F.col(c).alias(f"_tf_k{i}") for i, c in enumerate(names)], name)
-        # null-safe: a null in a key column must not drop the row
-        cond = [df[c].eqNullSafe(numbered[f"_tf_k{i}"]) for i, c in enumerate(names)]
-        out = df.join(numbered, on=cond, how="inner").drop(*[f"_tf_k{i}" for i in range(len(names))])
-        if isinstance(start, int) and start == 0:
-            return out
-        start_col = F.lit(start) if isinstance(start, int) else start
-        return out.withColumn(name, (F.col(name) + start_col).cast("bigint"))
-    spark = df.sparkSession
     group = list(group_cols)
-    keys = _cols(group) + _cols(order_cols)
-    if num_slices:
-        n = num_slices
-        ranged = df.repartitionByRange(n, *keys)
-    else:
-        # AQE may coalesce adjacent ranges to its advisory size; slices stay
-        # contiguous and at most spark.sql.shuffle.partitions of them exist.
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ranged = df.repartitionByRange(*keys)
+    df = df.withColumn("_tf_row", F.monotonically_increasing_id())
+    keys = _cols(group) + _cols(order_cols) + [F.col("_tf_row")]
+    # AQE may coalesce adjacent ranges to its advisory size; slices stay contiguous
+    ranged = df.repartitionByRange(num_slices, *keys) if num_slices else df.repartitionByRange(*keys)
     sliced = (
         ranged
         .sortWithinPartitions(*keys)
+        .drop("_tf_row")
         .withColumn("_tf_mid", F.monotonically_increasing_id())
         .withColumn("_tf_task", F.shiftright(F.col("_tf_mid"), _POS_BITS))
         .withColumn("_tf_pos", F.col("_tf_mid").bitwiseAND(F.lit(_POS_MASK)))
@@ -100,16 +75,16 @@ def number_rows(
     )
     before = Window.partitionBy(*group).orderBy("_tf_task").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(
-        *group,
-        "_tf_task",
+        *[F.col(c).alias(f"_tf_g{i}") for i, c in enumerate(group)],
+        F.col("_tf_task").alias("_tf_t"),
         (F.coalesce(F.sum("_tf_n").over(before), F.lit(0)) - F.col("_tf_first")).alias("_tf_base"),
     )
-    # Rows are globally sorted by (group, order), so each task holds one run of
-    # groups: (group, task) pairs <= num_slices + groups. Broadcast by that bound.
-    if n + max_groups <= MAX_BROADCAST_ROWS:
-        stats = F.broadcast(stats)
+    stats = sized(stats, "slice-bases")
+    same = F.col("_tf_task") == F.col("_tf_t")
+    for i, c in enumerate(group):  # null-safe: rows of a null group are numbered too
+        same = same & F.col(c).eqNullSafe(F.col(f"_tf_g{i}"))
     start_col = F.lit(start) if isinstance(start, int) else start
-    out = sliced.join(stats, on=[*group, "_tf_task"], how="inner")
+    out = sliced.join(stats, same, "inner")
     return out.withColumn(name, (F.col("_tf_base") + F.col("_tf_pos") + start_col).cast("bigint")).drop(
-        "_tf_task", "_tf_pos", "_tf_base"
+        "_tf_task", "_tf_pos", "_tf_base", "_tf_t", *[f"_tf_g{i}" for i in range(len(group))]
     )

@@ -1,43 +1,19 @@
-"""Broadcast of small frames, only with a size bound.
+"""Small sides of joins, with their size on record.
 
-Two kinds of bound are used:
-
-* **by construction** - a frame grouped by topic partition has at most one
-  row per topic partition; Kafka caps partitions per cluster, and we cap
-  them at ``MAX_TOPIC_PARTITIONS``. Such frames go through
-  :func:`partition_keyed_broadcast` with no extra job.
-* **checked** - frames read from outside (ledgers, registry tables) are
-  cached and counted before they are broadcast; beyond the bound they
-  are joined with a shuffle join instead.
+Spark broadcasts a join side whose size it knows to be small. The size of
+an aggregate or of rows made on the driver is not known when the join is
+planned, so such a frame is written to the shared folder first: its files'
+size then decides between broadcast and shuffle, at any data size, and no
+hint overrides it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Upper bound on partitions per topic (Kafka clusters allow far fewer per topic).
-MAX_TOPIC_PARTITIONS = 100_000
-# Rows above which a small side is not broadcast but shuffle-joined.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def partition_keyed_broadcast(df: DataFrame, extra_rows: int = 0) -> DataFrame:
-    """Broadcast a frame with at most one row per topic partition (+ ``extra_rows``)."""
-    if MAX_TOPIC_PARTITIONS + extra_rows <= MAX_BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
 
+from topicframe.plans.materialize import materialize
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, what: str = "small side") -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 
-    For frames that are cheap to compute (read from a small table). The
-    frame is cached so that the check and the broadcast share one read;
-    above the bound it is returned unbroadcast and the join shuffles.
-    """
-    cached = df.cache()
-    n = cached.limit(max_rows + 1).count()
-    if n > max_rows:
-        return cached
-    return F.broadcast(cached)
+def sized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored and read back, so that joins are planned by its real size."""
+    return materialize(df, name)

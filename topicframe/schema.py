@@ -10,6 +10,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+# Column metadata: the logical type that a declared field had.
+LOGICAL_TYPE = "logicalType"
+
 # The default record schema when none is declared (one string field).
 DEFAULT_SCHEMA = T.StructType([T.StructField("message", T.StringType(), True)])
 
@@ -72,7 +75,9 @@ def avro_to_spark(avro: object) -> tuple[T.DataType, bool]:
             fields = []
             for f in avro.get("fields", []):
                 dt, nullable = avro_to_spark(f["type"])
-                fields.append(T.StructField(f["name"], dt, nullable))
+                members = f["type"] if isinstance(f["type"], list) else [f["type"]]
+                logical = next((m["logicalType"] for m in members if isinstance(m, dict) and m.get("logicalType")), None)
+                fields.append(T.StructField(f["name"], dt, nullable, {LOGICAL_TYPE: logical} if logical else None))
             return T.StructType(fields), False
         if t == "enum":
             return T.StringType(), False
@@ -238,7 +243,7 @@ def parse_initial_offsets(text: str | dict | None, failures: list[str]) -> dict[
 
 
 def _plain(f: T.StructField, *types: type) -> bool:
-    return isinstance(f.dataType, types) and not f.metadata.get("logicalType")
+    return isinstance(f.dataType, types) and not f.metadata.get(LOGICAL_TYPE)
 
 
 @dataclass
@@ -265,6 +270,13 @@ class SourceConfig:
     kafka_options: dict = field(default_factory=dict)
     bounded: bool = False
     pattern: str | None = None
+    # partitions of the Kafka topic, where none are listed: the rate cap and
+    # partial initial offsets need them
+    partition_count: int | None = None
+    # how registry-framed payloads are written: "binary" or "json"
+    avro_encoding: str = "binary"
+    # options of the payload format (csv/json options, syslog "year", avro "encoding")
+    format_options: dict = field(default_factory=dict)
 
     def validate(self) -> T.StructType:
         """Check every rule; raise one ContractError listing all failures."""
@@ -341,6 +353,9 @@ class SinkConfig:
     cluster_secret: str | None = None
     registry: object | None = None
     kafka_options: dict = field(default_factory=dict)
+    # partitions of a topic table: messages without a partition are dealt by key
+    num_partitions: int | None = None
+    avro_encoding: str = "binary"
 
     def validate(self, input_schema: T.StructType) -> T.StructType:
         """Check the rules against the input schema; return the message schema."""

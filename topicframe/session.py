@@ -33,8 +33,8 @@ def get_session(cpus: int | str = "*", app: str = "topicframe") -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Set only when the session has none (local tests); on a cluster the
-    configured shared folder is always used.
+    Only a local session without one gets a temporary folder: on a cluster
+    each machine would write to its own disk, so there the setting is required.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -42,6 +42,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not (sc.master or "").startswith("local") or (sc.master or "").startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="topicframe-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
@@ -53,25 +55,43 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/topicframe/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for APIs that only accept plain paths."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and its Path class: works for any shared store."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's file system, so it works for any shared store."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs(spark, path)
     return bool(fs.exists(hpath))
 
 
+def path_stamp(spark: SparkSession, path: str) -> tuple:
+    """Modification time and length of a file or folder; empty when it does not exist."""
+    fs, hpath = _fs(spark, path)
+    if not fs.exists(hpath):
+        return ()
+    status = fs.getFileStatus(hpath)
+    return (status.getModificationTime(), status.getLen())
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, hpath = _fs(spark, old)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(hpath, target):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote."""
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (empty when it does not exist)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs(spark, path)
     if not fs.exists(hpath):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory())
-

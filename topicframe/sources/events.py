@@ -10,14 +10,12 @@ renumbering.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicframe.schema import to_ddl
-from topicframe.session import path_exists, work_dir
+from topicframe.session import path_exists, path_stamp, work_dir
 from topicframe.sources.topic import EVENTS_TOPIC, event_payload, topic_from_events, topic_from_table
 from topicframe.sources.topic_table import TopicTable
 
@@ -35,22 +33,18 @@ EVENT_PAYLOAD_SCHEMA = T.StructType(
 
 
 def _input_key(spark: SparkSession, sf_dir: str, name: str = EVENTS_TOPIC) -> tuple:
-    src = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        st = os.stat(src)
-        stamp = (st.st_mtime_ns, st.st_size)
-    except OSError:
-        stamp = ()
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, stamp)
+    folder = sf_dir.rstrip("/")
+    return (spark.sparkContext.applicationId, folder, name, path_stamp(spark, f"{folder}/{name.split('-')[0]}.parquet"))
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> TopicTable:
+    """The topic, built once for a session and a state of its input."""
     key = _input_key(spark, sf_dir, name)
     path = _STORED.get(key)
     table = TopicTable(spark, path, name) if path else None
-    if table is None or not table.ledger.versions() or not path_exists(spark, table.data_path):
+    if table is None or not path_exists(spark, table.data_path):
         table = TopicTable(spark, work_dir(spark, f"{name}-topic"), name)
-        table.put(build(), batch_id=0)
+        table.put(build())
         _STORED[key] = table.path
     return table
 
@@ -74,6 +68,15 @@ def documents_topic_table(spark: SparkSession, sf_dir: str) -> TopicTable:
         F.pmod(F.col("doc_id"), F.lit(TEXT_TOPIC_PARTITIONS)), ["doc_id"]))
 
 
+def events_props_topic_table(spark: SparkSession, sf_dir: str) -> TopicTable:
+    """``events`` as a topic of JSON rows with their ``props`` text (a JSON document inside JSON)."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    value = F.to_json(F.struct("event_id", "props"), {"ignoreNullFields": "false"})
+    return _stored(spark, sf_dir, "events-props", lambda: topic_from_table(
+        events, "events-props", F.col("event_type"), value, F.pmod(F.col("user_id"), F.lit(TEXT_TOPIC_PARTITIONS)),
+        ["ts", "event_id"]))
+
+
 def pages_topic_table(spark: SparkSession, sf_dir: str) -> TopicTable:
     """``pages`` as a topic: key = url, value = the raw html, partition = page_id % 8."""
     pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")

@@ -81,13 +81,17 @@ def kafka_read_options(
 ) -> dict[str, str]:
     """Options for ``format("kafka")`` reads.
 
-    Saved offsets replace everything; otherwise explicit initial offsets,
-    then ``default_offset``. Selected partitions use ``assign``; initial
-    offsets of other partitions are ignored with a warning.
+    Saved offsets replace everything, and partitions missing from them start
+    at the earliest offset; otherwise explicit initial offsets, then
+    ``default_offset``. Selected partitions use ``assign``; offsets of other
+    partitions are ignored with a warning. Spark's connector wants explicit
+    offsets of every partition: they are written for the selected ones or for
+    0 to ``partition_count`` - 1, and without either a partial list is refused.
     ``spark_options`` are source options of Spark's connector itself
-    (``minPartitions``, ``failOnDataLoss``, ...). A rate cap
-    becomes ``maxOffsetsPerTrigger = rate * partitions * interval`` (Spark
-    caps the total per trigger, split by backlog, not each partition).
+    (``minPartitions``, ``failOnDataLoss``, ...). A rate is per partition, while
+    ``maxOffsetsPerTrigger`` caps the whole topic: it is rate * partitions *
+    ``batch_interval_s`` (the trigger's interval), and is left out with a
+    warning where the number of partitions is not known.
     """
     failures: list[str] = []
     parts = parse_partitions(partitions, failures)
@@ -100,29 +104,37 @@ def kafka_read_options(
         opts["assign"] = json.dumps({topic: parts})
     else:
         opts["subscribe"] = topic
-    if saved_offsets:
-        start = dict(saved_offsets)
-    elif initial:
-        outside = sorted(p for p in initial if parts and p not in parts)
+    explicit, rest, kind = (saved_offsets, -2, "saved") if saved_offsets else (initial, default_offset, "initial")
+    if not streaming and not saved_offsets and rest == -1:
+        rest = -2  # a bounded read begins at the earliest: batch starts cannot be "latest"
+    if explicit:
+        known = parts or (list(range(partition_count)) if partition_count else sorted(explicit))
+        outside = sorted(p for p in explicit if p not in known)
         if outside:
-            warnings.warn(f"initial offsets of partitions {outside} are ignored: not in the selected partitions",
+            warnings.warn(f"{kind} offsets of partitions {outside} are ignored: not in the selected partitions",
                           stacklevel=2)
-        start = {p: o for p, o in initial.items() if not parts or p in parts}
-        for p in parts:
-            start.setdefault(p, default_offset)
-    else:
-        start = {}
-    if start:
+        if not parts and not partition_count:
+            raise ContractError([f"{kind} offsets without a partition list need partition_count: "
+                                 "Spark's connector wants an offset of every partition"])
+        start = {p: explicit.get(p, rest) for p in known}
+        if not streaming and -1 in start.values():
+            raise ContractError(["a bounded read cannot start at the latest offset"])
         opts["startingOffsets"] = starting_offsets_json(topic, start)
     else:
-        opts["startingOffsets"] = "earliest" if default_offset == -2 else "latest"
-        if not streaming:
-            opts["startingOffsets"] = "earliest"
+        opts["startingOffsets"] = "earliest" if rest == -2 else "latest"
+        if rest >= 0:
+            named = parts or (list(range(partition_count)) if partition_count else None)
+            if named is None:
+                raise ContractError(["a default start offset needs the partition list or partition_count"])
+            opts["startingOffsets"] = starting_offsets_json(topic, dict.fromkeys(named, rest))
     if ending_offsets and not streaming:
         opts["endingOffsets"] = starting_offsets_json(topic, ending_offsets)
     if streaming and max_rate:
-        n = partition_count or max(len(parts), 1)
-        opts["maxOffsetsPerTrigger"] = str(int(max_rate * n * batch_interval_s))
+        n = len(parts) or partition_count
+        if n:
+            opts["maxOffsetsPerTrigger"] = str(max(1, int(max_rate * n * batch_interval_s)))
+        else:
+            warnings.warn("max_rate is per partition: give partitions or partition_count to apply it", stacklevel=2)
     opts.update(_security(cluster_key, cluster_secret))
     opts.update(_user_options(kafka_options))
     opts.update({k: str(v) for k, v in (spark_options or {}).items()})
@@ -161,11 +173,7 @@ def kafka_range_options(source: dict, partitions: list[int] | None = None, range
         if isinstance(ranges, dict):
             bounds = {int(p): (int(f), int(u)) for p, (f, u) in ranges.items()}
         else:
-            from topicframe.plans.small import MAX_TOPIC_PARTITIONS
-
-            rows = ranges.select("partition", "from_offset", "until_offset").limit(MAX_TOPIC_PARTITIONS + 1).collect()
-            if len(rows) > MAX_TOPIC_PARTITIONS:
-                raise ContractError(["more ranges than topic partitions allowed"])
+            rows = ranges.select("partition", "from_offset", "until_offset").collect()
             bounds = {int(r.partition): (int(r.from_offset), int(r.until_offset)) for r in rows}
         if partitions:
             bounds = {p: b for p, b in bounds.items() if p in set(partitions)}

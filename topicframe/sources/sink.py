@@ -14,11 +14,14 @@ def write_topic(
     target: TopicTable | str | dict,
     batch_id: int | None = None,
     compression: str | None = None,
+    order_cols: list | None = None,
+    writer: str | None = None,
 ) -> int | None:
     """Write ``topic, partition, timestamp, key, value`` messages.
 
     * topic table (object or path): offsets are assigned per partition from
-      the table's ledger; the write is idempotent per ``batch_id``.
+      the table's log, in ``order_cols`` or else send order; with a ``writer``
+      the write is done once per ``batch_id``.
     * dict of Kafka options (``sources.kafka.kafka_write_options`` arguments):
       ``df.write.format("kafka")``. Spark's Kafka sink takes no message time,
       so a frame whose time came from a record field is refused.
@@ -32,4 +35,4 @@ def write_topic(
         messages.select(*cols).write.format("kafka").options(**kafka_write_options(**target)).save()
         return None
     table = target if isinstance(target, TopicTable) else TopicTable(messages.sparkSession, target)
-    return table.append(messages, batch_id=batch_id, compression=compression)
+    return table.append(messages, batch_id=batch_id, order_cols=order_cols, compression=compression, writer=writer)

@@ -76,7 +76,7 @@ def topic_from_table(
     order: list[str | Column],
 ) -> DataFrame:
     """Any table as a topic frame: messages numbered per partition in ``order``
-    (which must identify a row within a partition) by the skew-proof numbering."""
+    by the skew-proof numbering; rows that tie keep the order they are read in."""
     t = df.select(
         key.cast("binary").alias("key"),
         value.cast("binary").alias("value"),
@@ -85,7 +85,7 @@ def topic_from_table(
         *[(F.col(c) if isinstance(c, str) else c).alias(f"_tf_o{i}") for i, c in enumerate(order)],
     )
     t = t.withColumn("timestamp", F.current_timestamp()).withColumn("timestampType", F.lit(1))
-    t = number_rows(t, ["partition"], [f"_tf_o{i}" for i in range(len(order))], "offset", unique=True)
+    t = number_rows(t, ["partition"], [f"_tf_o{i}" for i in range(len(order))], "offset")
     return t.select(*TOPIC_COLUMNS)
 
 
@@ -93,7 +93,6 @@ def topic_from_events(
     spark: SparkSession,
     sf_dir: str,
     payload: str = "csv",
-    keep_fields: bool = False,
 ) -> DataFrame:
     """The canonical test topic ``T`` derived from ``events``.
 
@@ -115,13 +114,7 @@ def topic_from_events(
         F.col("ts").alias("_ts"),
         F.col("event_id").alias("_eid"),
     ]
-    if keep_fields:
-        cols += [F.col(c).alias(f"ev_{c}") for c in EVENT_FIELDS]
-    t = ev.select(*cols)
-    # (ts, event_id) is unique: only the keys are sliced, the payload joins back once
-    t = number_rows(t, ["partition"], ["_ts", "_eid"], "offset", unique=True)
-    extra = [f"ev_{c}" for c in EVENT_FIELDS] if keep_fields else []
-    return t.select(*TOPIC_COLUMNS, *extra)
+    return number_rows(ev.select(*cols), ["partition"], ["_ts", "_eid"], "offset").select(*TOPIC_COLUMNS)
 
 
 def read_topic(
@@ -132,8 +125,9 @@ def read_topic(
 ) -> DataFrame:
     """Bounded topic scan (A2).
 
-    ``source``: a topic DataFrame, a path of a stored topic table, or a dict
-    of Kafka options (``format("kafka")``, needs the connector jar).
+    ``source``: a topic DataFrame, the folder of a stored topic table (its
+    committed batches), or a dict of Kafka options (``format("kafka")``,
+    needs the connector jar).
     ``partitions`` selects partitions (A3, pushed to the scan / partition
     pruned); ``ranges`` (``partition, from_offset, until_offset``) slices
     ``[from, until)`` per partition (A9).
@@ -149,21 +143,11 @@ def read_topic(
         opts = kafka_range_options(source, partitions, ranges)
         return spark.read.format("kafka").options(**opts).load()
     else:
-        df = spark.read.schema(TOPIC_SCHEMA).parquet(source)
+        from topicframe.sources.topic_table import TopicTable
+
+        df = TopicTable(spark, source).read()
     if partitions:
         df = select_partitions(df, partitions)
     if ranges is not None:
         df = slice_offsets(df, ranges)
     return df
-
-
-def write_topic_table(df: DataFrame, path: str, mode: str = "append", compression: str | None = None) -> None:
-    """Store a topic frame as parquet partitioned by topic partition (E1 target).
-
-    Partition folders give static pruning for partition selection; offset
-    filters are pushed into the parquet scan.
-    """
-    w = df.select(*TOPIC_COLUMNS).write.mode(mode).partitionBy("partition")
-    if compression:
-        w = w.option("compression", compression)
-    w.parquet(path)

@@ -1,21 +1,33 @@
 """Topic table sink: append messages to a parquet topic table.
 
-Layout: ``<path>/data/batch_id=N/partition=P/*.parquet`` plus a ledger of
-next offsets in ``<path>/_ledger``. An append of batch ``N`` numbers the
-messages per partition from the ledger version before ``N`` (what a broker
-does), overwrites only its own ``batch_id=N`` folder, then saves ledger
-version ``N``. Replaying batch ``N`` after a failure therefore rewrites
-the same rows with the same offsets: effectively-once.
+Layout: ``<path>/data/batch_id=V/partition=P/*.parquet`` and a commit log
+``<path>/_log/v=V`` (JSON lines: writer, its batch, and the offset range of
+each topic partition). A commit takes the table's next version ``V``:
+
+1. messages are numbered after the log's last offsets and written to ``_staged/v=V``,
+2. the log entry ``v=V`` is written,
+3. the staged folder is renamed to ``data/batch_id=V``.
+
+``data`` holds committed batches only, so path and stream readers never see
+others, and a file never changes. A crash between 2 and 3 is rolled forward
+by the next writer; one before 2 leaves a staged folder that the next commit
+overwrites. A batch that the log already has (same writer, same batch) is
+not written again, so a replay delivers nothing twice. Writers of one table
+run one after the other.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicframe.operators.ledger import LedgerStore, batch_ranges, ledger_upsert
+from topicframe.operators.ledger import batch_ranges
 from topicframe.operators.offsets import assign_offsets
+from topicframe.plans.materialize import scratch
+from topicframe.session import list_dirs, path_exists, remove, rename
 from topicframe.sources.topic import TOPIC_COLUMNS, TOPIC_SCHEMA
 
 # Stored columns plus the folder-level partition columns.
@@ -29,6 +41,7 @@ _WRITTEN = T.StructType(
     [T.StructField("topic", T.StringType()), T.StructField("offset", T.LongType()),
      T.StructField("partition", T.IntegerType())]
 )
+_LOG = "writer string, batch long, topic string, partition int, from_offset long, until_offset long"
 
 
 class TopicTable:
@@ -36,78 +49,119 @@ class TopicTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.topic = topic
-        self.ledger = LedgerStore(spark, f"{self.path}/_ledger")
 
     @property
     def data_path(self) -> str:
         return f"{self.path}/data"
 
+    # ------------------------------------------------------------- commit log
+
+    def versions(self) -> list[int]:
+        """Versions with a complete log entry."""
+        names = [int(n[2:]) for n in list_dirs(self.spark, f"{self.path}/_log") if n.startswith("v=")]
+        # only the last entry can be incomplete: versions are taken in turn
+        return [v for v in sorted(names) if v != max(names) or path_exists(self.spark, f"{self.path}/_log/v={v}/_SUCCESS")]
+
+    def log(self) -> DataFrame:
+        """version, writer, batch, topic, partition, from_offset, until_offset of every commit
+        (an empty batch has one row without a partition)."""
+        entries = [f"{self.path}/_log/v={v}" for v in self.versions()]
+        if not entries:
+            return self.spark.createDataFrame([], f"version int, {_LOG}")
+        found = self.spark.read.schema(_LOG).option("basePath", f"{self.path}/_log").json(entries)
+        return found.withColumn("version", F.regexp_extract(F.col("_metadata.file_path"), r"/v=(\d+)/", 1).cast("int"))
+
+    def bounds(self) -> DataFrame:
+        """topic, partition, earliest, latest from the log: no message is read."""
+        ranges = self.log().where("partition IS NOT NULL")
+        return ranges.groupBy("topic", "partition").agg(F.min("from_offset").alias("earliest"), F.max("until_offset").alias("latest"))
+
+    def next_offsets(self) -> DataFrame:
+        """The table's ledger: topic, partition, next_offset."""
+        return self.bounds().select("topic", "partition", F.col("latest").alias("next_offset"))
+
+    def _commit(self, frame_of, writer: str | None, batch: int | None, compression: str | None) -> int:
+        versions = self.versions()
+        if versions and not path_exists(self.spark, f"{self.data_path}/batch_id={versions[-1]}"):
+            rename(self.spark, f"{self.path}/_staged/v={versions[-1]}", f"{self.data_path}/batch_id={versions[-1]}")
+        if writer is not None:
+            done = self.log().where((F.col("writer") == writer) & (F.col("batch") == batch)).agg(F.max("version")).first()[0]
+            if done is not None:
+                return done
+        version = versions[-1] + 1 if versions else 0
+        staged = f"{self.path}/_staged/v={version}"
+        with scratch(self.spark):  # the numbered slices go when the batch is written
+            w = frame_of().write.mode("overwrite").partitionBy("partition")
+            if compression:
+                w = w.option("compression", compression)
+            w.parquet(staged)
+        # the ranges come from the written files: a two-column scan
+        written = self.spark.read.schema(_WRITTEN).parquet(staged).select("topic", "partition", "offset")
+        who = [F.lit(writer or uuid.uuid4().hex).alias("writer"), F.lit(-1 if batch is None else batch).cast("bigint").alias("batch")]
+        ranges = batch_ranges(written).select(*who, "topic", "partition", "from_offset", "until_offset")
+        # and a line for the commit itself, so that an empty batch is known too
+        lines = ranges.unionByName(self.spark.range(1).select(*who), allowMissingColumns=True).coalesce(1)
+        lines.write.mode("overwrite").json(f"{self.path}/_log/v={version}")
+        rename(self.spark, staged, f"{self.data_path}/batch_id={version}")
+        return version
+
+    # ------------------------------------------------------------- writes and reads
+
     def append(
         self,
         messages: DataFrame,
         batch_id: int | None = None,
         order_cols: list[str | Column] | None = None,
         compression: str | None = None,
+        writer: str | None = None,
     ) -> int:
-        """Append an outbound frame (``topic, partition, timestamp, key, value``).
+        """Append an outbound frame (``topic, partition, timestamp, key, value``); returns the version.
 
         Rows with a null partition must have been routed before (see
-        ``encode.route``). Offsets follow ``order_cols``
-        (default: timestamp, key, value).
+        ``encode.route``). Offsets follow ``order_cols``; ties, and everything
+        without them, keep the order in which the rows are sent. With a
+        ``writer`` (e.g. a stream's checkpoint) the commit is known by
+        (writer, ``batch_id``) and done once.
         """
-        if batch_id is None:
-            vs = self.ledger.versions()
-            batch_id = (vs[-1] + 1) if vs else 0
-        previous = self.ledger.read(before=batch_id)
-        order = order_cols or ["timestamp", "key", "value"]
-        frame = messages
-        if "topic" not in frame.columns or self.topic:
-            frame = frame.withColumn("topic", F.lit(self.topic))
-        if "timestamp" not in frame.columns:
-            frame = frame.withColumn("timestamp", F.current_timestamp())
-        frame = frame.withColumn("timestampType", F.lit(0)).withColumn(
-            "partition",
-            F.when(F.col("partition").isNull(), F.raise_error(F.lit("message without a target partition")))
-            .otherwise(F.col("partition"))
-            .cast("int"),
-        )
-        numbered = assign_offsets(frame, previous, order).select(*TOPIC_COLUMNS)
-        numbered = numbered.sortWithinPartitions("partition", "offset")
-        target = f"{self.data_path}/batch_id={batch_id}"
-        w = numbered.write.mode("overwrite").partitionBy("partition")
-        if compression:
-            w = w.option("compression", compression)
-        w.parquet(target)
-        # next offsets from the written batch: a two-column scan of its files
-        written = self.spark.read.schema(_WRITTEN).parquet(target).select(
-            F.lit(self.topic).alias("topic") if self.topic else "topic", "partition", "offset"
+        if writer is not None and batch_id is None:
+            raise ValueError("a named writer needs the number of its batch")
+
+        def numbered() -> DataFrame:
+            frame = messages
+            if "topic" not in frame.columns or self.topic:
+                frame = frame.withColumn("topic", F.lit(self.topic))
+            if "timestamp" not in frame.columns:
+                frame = frame.withColumn("timestamp", F.current_timestamp())
+            frame = frame.withColumn("timestampType", F.lit(0)).withColumn(
+                "partition",
+                F.when(F.col("partition").isNull(), F.raise_error(F.lit("message without a target partition")))
+                .otherwise(F.col("partition"))
+                .cast("int"),
+            )
+            out = assign_offsets(frame, self.next_offsets(), order_cols).select(*TOPIC_COLUMNS)
+            return out.sortWithinPartitions("partition", "offset")
+
+        return self._commit(numbered, writer, batch_id, compression)
+
+    def put(self, topic_frame: DataFrame, batch_id: int | None = None, writer: str | None = None) -> int:
+        """Store a frame that already carries offsets (e.g. a copy of a topic).
+
+        Rows are dealt by offset range, so that each file covers a narrow
+        range and offset filters skip the others.
+        """
+        return self._commit(
+            lambda: topic_frame.select(*TOPIC_COLUMNS).repartitionByRange("partition", "offset").sortWithinPartitions("partition", "offset"),
+            writer, batch_id, None,
         )
-        has_previous = previous.limit(1).count() > 0
-        self.ledger.save(ledger_upsert(previous if has_previous else None, batch_ranges(written)), version=batch_id)
-        return batch_id
-
-    def put(self, topic_frame: DataFrame, batch_id: int | None = None) -> int:
-        """Store a frame that already carries offsets (e.g. a copy of a topic)."""
-        if batch_id is None:
-            vs = self.ledger.versions()
-            batch_id = (vs[-1] + 1) if vs else 0
-        previous = self.ledger.read(before=batch_id)
-        target = f"{self.data_path}/batch_id={batch_id}"
-        # sorted by offset inside each file: tight offset statistics for pushdown
-        (topic_frame.select(*TOPIC_COLUMNS).sortWithinPartitions("partition", "offset")
-         .write.mode("overwrite").partitionBy("partition").parquet(target))
-        written = self.spark.read.schema(_WRITTEN).parquet(target).select("topic", "partition", "offset")
-        has_previous = previous.limit(1).count() > 0
-        self.ledger.save(ledger_upsert(previous if has_previous else None, batch_ranges(written)), version=batch_id)
-        return batch_id
 
     def read(self) -> DataFrame:
-        """The topic frame (Kafka source columns); partition pruning and
-        offset pushdown apply to filters on it."""
-        vs = self.ledger.versions()
-        if not vs:
+        """The topic frame (Kafka source columns) of the committed batches; partition
+        pruning and offset pushdown apply to filters on it."""
+        if not path_exists(self.spark, self.data_path):
             return self.spark.createDataFrame([], TOPIC_SCHEMA)
         df = self.spark.read.schema(TOPIC_TABLE_SCHEMA).option("basePath", self.data_path).parquet(self.data_path)
-        # only batches whose ledger version committed are visible
-        df = df.where(F.col("batch_id") <= F.lit(vs[-1]))
         return df.select(*[F.col(f.name).cast(f.dataType) for f in TOPIC_SCHEMA.fields])
+
+    def drop(self) -> None:
+        """Remove the table's folder."""
+        remove(self.spark, self.path)

@@ -21,7 +21,7 @@ from topicframe.operators.offsets import (
     select_partitions,
     slice_offsets,
 )
-from topicframe.plans.small import MAX_TOPIC_PARTITIONS, bounded_broadcast
+from topicframe.plans.small import sized
 
 
 def plan_ranges(
@@ -32,16 +32,18 @@ def plan_ranges(
     default: int = EARLIEST,
     max_records: int = -1,
     partitions: list[int] | None = None,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
-    """Offset ranges for the next run, one row per partition, computed once
-    and cached (the frame is bounded by the partition count)."""
-    topic = select_partitions(topic, partitions)
-    bounds = partition_bounds(topic)
+    """Offset ranges for the next run, one row per partition, computed once and stored.
+
+    ``bounds`` (``[topic,] partition, earliest, latest``, e.g. of a topic
+    table's log) saves the scan of the topic that finds them.
+    """
+    bounds = select_partitions(partition_bounds(topic) if bounds is None else bounds, partitions)
     if saved is None and store is not None:
         saved = store.read()
     starts = resolve_start_offsets(bounds, saved, initial, default)
-    ranges = cap_records(resolve_sentinels(starts, bounds), max_records)
-    return bounded_broadcast(ranges, MAX_TOPIC_PARTITIONS, "offset ranges")
+    return sized(cap_records(resolve_sentinels(starts), max_records), "ranges")
 
 
 def run_incremental(
@@ -53,6 +55,7 @@ def run_incremental(
     default: int = EARLIEST,
     partitions: list[int] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """One bounded run; returns the ranges it covered.
 
@@ -62,11 +65,9 @@ def run_incremental(
     """
     previous = store.read()
     ranges = plan_ranges(topic, saved=previous, initial=initial, default=default,
-                         max_records=max_records, partitions=partitions)
+                         max_records=max_records, partitions=partitions, bounds=bounds)
     batch = slice_offsets(select_partitions(topic, partitions), ranges)
     sink(transform(batch) if transform else batch)
     has_previous = previous.limit(1).count() > 0
     store.save(ledger_upsert(previous if has_previous else None, ranges))
-    done = ranges.collect()  # <= one row per partition; the cached frame can go
-    ranges.unpersist()
-    return ranges.sparkSession.createDataFrame(done, ranges.schema)
+    return ranges

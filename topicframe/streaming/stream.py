@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from topicframe.operators.ledger import LedgerStore, batch_ranges, ledger_upsert, resume_from_ledger
-from topicframe.operators.offsets import select_partitions
+from topicframe.operators.offsets import resolve_sentinels, resolve_start_offsets, select_partitions
 from topicframe.sources.topic import TOPIC_COLUMNS
 from topicframe.sources.topic_table import TOPIC_TABLE_SCHEMA, TopicTable
 
 
+# Message position that travels beside records until the ledger is saved.
+POSITION = {"_topic": "topic", "_partition": "partition", "_offset": "offset"}
+
+
 def read_topic_stream(
     spark: SparkSession,
     source: str | dict,
@@ -31,10 +35,10 @@ def read_topic_stream(
     """Unbounded topic scan (A1).
 
     ``source``: Kafka options (see ``sources.kafka.kafka_read_options``) or the
-    folder of a topic table (its ``data`` folder is streamed file by file).
-    ``ledger`` (``partition, next_offset``) starts each partition at its
-    remembered offset (F3): a broadcast stream-static join for topic tables;
-    for Kafka pass ``saved_offsets`` in the options instead.
+    folder of a topic table (its committed files are streamed one by one).
+    ``ledger`` (``[topic,] partition, next_offset``) starts each partition at its
+    remembered offset (F3): a stream-static join for topic tables; for Kafka
+    pass ``saved_offsets`` in the options instead.
     """
     if isinstance(source, dict):
         from topicframe.sources.kafka import kafka_read_options
@@ -51,6 +55,30 @@ def read_topic_stream(
     return resume_from_ledger(df, ledger) if ledger is not None else df
 
 
+def stream_start(
+    table: TopicTable,
+    initial: dict | None,
+    default: int,
+    saved: DataFrame | None = None,
+    starts: LedgerStore | None = None,
+) -> DataFrame:
+    """Start offsets of a stream over a topic table (A7): ``topic, partition, next_offset``.
+
+    "latest" means the end of the table when the stream starts for the first
+    time. ``starts`` remembers what was resolved then, so a restart from a
+    checkpoint skips nothing that came in between; without it the offsets are
+    resolved again at every start.
+    """
+    if starts is not None and starts.newest() is not None:
+        return starts.read()
+    resolved = resolve_sentinels(resolve_start_offsets(table.bounds(), saved, initial, default))
+    resolved = resolved.select("topic", "partition", F.col("from_offset").alias("next_offset"))
+    if starts is None:
+        return resolved
+    starts.save(resolved)
+    return starts.read()
+
+
 def run_stream(
     df: DataFrame,
     on_batch: Callable[[DataFrame, int], None],
@@ -59,11 +87,17 @@ def run_stream(
     timeout_s: float | None = None,
 ) -> StreamingQuery:
     """Start a ``foreachBatch`` query; with ``availableNow`` (default) wait until
-    all available data is processed (F8). The checkpoint gives resume (F7)."""
+    all available data is processed (F8). The checkpoint gives resume (F7).
+    If that takes longer than ``timeout_s`` the query is stopped and
+    TimeoutError raised: a partial result is never taken for a whole one."""
     trig = trigger or {"availableNow": True}
     q = df.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(**trig).start()
     if trig.get("availableNow") or trig.get("once"):
-        q.awaitTermination(timeout_s)
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
+            q.stop()
+            raise TimeoutError(f"the stream was not done after {timeout_s} s; its checkpoint resumes it")
         if q.exception() is not None:
             raise q.exception()
     return q
@@ -79,11 +113,15 @@ def batch_folder_sink(path: str, fmt: str = "parquet") -> Callable[[DataFrame, i
     return write
 
 
-def topic_table_sink(table: TopicTable) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function appending each micro-batch to a topic table."""
+def topic_table_sink(table: TopicTable, writer: str, order_cols: list | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function appending each micro-batch to a topic table.
+
+    ``writer`` names the stream (its checkpoint): a batch that it replays is
+    not written again, and another stream's batch of the same number is another commit.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, batch_id=batch_id)
+        table.append(batch, batch_id=batch_id, order_cols=order_cols, writer=writer)
 
     return write
 
@@ -92,24 +130,25 @@ def ledger_tracking_sink(
     store: LedgerStore, inner: Callable[[DataFrame, int], None] | None = None
 ) -> Callable[[DataFrame, int], None]:
     """Wrap a ``foreachBatch`` function so that, after the batch is written, the
-    next offsets of the batch are saved as ledger version = batch id (F1, F2).
+    next offsets of the batch are saved as a new ledger version (F1, F2).
 
-    The ledger comes from the batch frame itself, so it never runs ahead of
-    finished work; a batch with no rows saves nothing.
+    The batch is a topic frame, or records with the position columns of
+    ``open_source(keep_position=True)``, which ``inner`` does not see. The
+    ledger comes from the batch's own positions (a second, column-pruned read
+    of the micro-batch), so it never runs ahead of finished work; a batch
+    with no rows saves nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if inner is not None:
-                inner(batch, batch_id)
-            ranges = batch_ranges(batch.select("topic", "partition", "offset"))
-            if ranges.limit(1).count() == 0:
-                return
-            previous = store.read(before=batch_id)
-            store.save(ledger_upsert(previous if previous.limit(1).count() else None, ranges), version=batch_id)
-        finally:
-            batch.unpersist()
+        has_position = set(POSITION) <= set(batch.columns)
+        if inner is not None:
+            inner(batch.drop(*POSITION) if has_position else batch, batch_id)
+        place = batch.select(*[F.col(c if has_position else name).alias(name) for c, name in POSITION.items()])
+        ranges = batch_ranges(place)
+        previous = store.read()
+        new = ledger_upsert(previous if previous.limit(1).count() else None, ranges)
+        if new.limit(1).count():
+            store.save(new)
 
     return write
 
@@ -119,9 +158,11 @@ def write_topic_stream(
     table: TopicTable | dict,
     checkpoint: str,
     trigger: dict | None = None,
+    order_cols: list | None = None,
 ) -> StreamingQuery:
     """Streaming write of an outbound frame (E2): to a topic table through
-    ``foreachBatch``, or to Kafka with ``writeStream.format("kafka")``."""
+    ``foreachBatch`` (the checkpoint names the writer), or to Kafka with
+    ``writeStream.format("kafka")``."""
     if isinstance(table, dict):
         from topicframe.sources.kafka import kafka_write_options
 
@@ -134,9 +175,4 @@ def write_topic_stream(
             .start()
         )
         return q
-    return run_stream(messages, topic_table_sink(table), checkpoint, trigger)
-
-
-def topic_rows(df: DataFrame) -> DataFrame:
-    """Project any topic-shaped frame to the Kafka source columns."""
-    return df.select(*[F.col(c) for c in TOPIC_COLUMNS])
+    return run_stream(messages, topic_table_sink(table, checkpoint, order_cols), checkpoint, trigger)
