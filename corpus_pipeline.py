@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicframe.llm.common import checkpointed, read_table
+from topicframe.llm.common import bounded_batches, checkpointed, read_table
 from topicframe.llm.decontaminate import drop_leaking
 from topicframe.llm.ngram_join import keep_one_of_each
 from topicframe.llm.packing import pack_documents
@@ -17,26 +17,31 @@ from topicframe.llm.secrets import redact_secrets
 from topicframe.llm.toxicity import drop_toxic
 
 
+@bounded_batches
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifiers score below 0.7; they learn from ``labels``."""
     return drop_toxic(docs, read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
+@bounded_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group that links of 5-word Jaccard 0.75 make."""
     return keep_one_of_each(docs)
 
 
+@bounded_batches
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of ``benchmark``."""
     return drop_leaking(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@bounded_batches
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark."""
     return redact_secrets(docs)
 
 
+@bounded_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with the sequences that hold them."""
     return pack_documents(docs)

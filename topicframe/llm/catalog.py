@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from topicframe.llm.chat import OP1_SQL, op1_chat_perspectives
+from topicframe.llm.common import bounded_batches
 from topicframe.llm.decontaminate import op2_cgk_decontamination
 from topicframe.llm.ngram_join import op4_ngram_jaccard
 from topicframe.llm.packing import op7_best_fit_packing
@@ -26,6 +27,8 @@ BUILDERS = {
     "op10_suffix_tree_lm": op10_suffix_tree_lm,
 }
 
+BUILDERS = {name: bounded_batches(query) for name, query in BUILDERS.items()}
+
 ORACLES = {
     "op1_chat_perspectives": OP1_SQL,
     "op9_url_filter": OP9_SQL,

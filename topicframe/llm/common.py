@@ -2,13 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import wraps
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicframe.plans.materialize import materialize
 
-__all__ = ["bucket_of_id", "checkpointed", "documents", "fresh_name", "most_frequent", "read_table"]
+__all__ = ["bounded_batches", "bucket_of_id", "checkpointed", "documents", "fresh_name", "gathered", "most_frequent", "read_table"]
+
+
+#: Rows of an Arrow batch between Spark and Python: texts are long, and the JVM holds a batch outside its heap.
+BATCH_ROWS = 2000
+
+
+def bounded_batches(query: Callable) -> Callable:
+    """A query or stage (its first argument is the session) with Arrow batches of at most BATCH_ROWS rows."""
+
+    @wraps(query)
+    def run(spark, *args):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return query(spark, *args)
+
+    return run
+
+
+def gathered(batches: Iterator[pa.RecordBatch], size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches joined to larger ones of about ``size`` bytes."""
+    held: list[pa.RecordBatch] = []
+
+    def joined() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield joined()
+            held = []
+    if held:
+        yield joined()
 
 
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicframe.llm.common import documents, read_table
+from topicframe.llm.common import documents, gathered, read_table
 from topicframe.llm.spans import Words, combine, mix, text_chunks
 
 SHARE = 0.2
@@ -271,7 +271,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, reca
 
         def scan(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
             index = Index(*given.value)
-            for batch in batches:
+            for batch in gathered(batches):
                 row, *numbers = leaks(index, batch.column(1))
                 columns = [batch.column(0).take(pa.array(row)), *map(pa.array, numbers)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "start", "end", "distance", "item_words"])
@@ -290,7 +290,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, re
 
         def clean(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
             index = Index(*given.value)
-            for batch in batches:
+            for batch in gathered(batches):
                 keep = np.ones(batch.num_rows, bool)
                 keep[leaks(index, batch.column(text_at))[0]] = False
                 yield batch.filter(pa.array(keep))

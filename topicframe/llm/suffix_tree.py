@@ -43,9 +43,8 @@ LEAST_DIVERGENCE = 0.005
 LEAST_GAIN = 8.0
 FREQUENT = 1 << 18
 END = 10
-CHUNK = 4 << 20
 #: Distinct keys that a task holds before it hands its counts on.
-HELD = 4_000_000
+HELD = 2_000_000
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -115,7 +114,7 @@ def training_counts(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (Counter(), Counter())
         for batch in batches:
-            for _, _, data, offsets in text_chunks(batch.column(0), CHUNK):
+            for _, _, data, offsets in text_chunks(batch.column(0)):
                 words = Words(data, offsets)
                 held[0].add(words.hashes())
                 held[1].add(sequences(words)[0])
@@ -241,7 +240,7 @@ def score_documents(docs: DataFrame, training: DataFrame, depth: int = DEPTH) ->
         logs = np.log10(n_of + 0.1) - floor
         row_id = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for a, b, data, offsets in text_chunks(batch.column(text_at), CHUNK):
+            for a, b, data, offsets in text_chunks(batch.column(text_at)):
                 found = Words(data, offsets)
                 h = found.hashes()
                 hit, at = _find(h, keys)
