@@ -56,6 +56,7 @@ RATE, RATE_INTERVAL_S = 100, 2
 RECORD_CAP = 3
 PINNED_READ_MS = 1700000000000
 INCREMENTAL_START, INCREMENTAL_CAP = 50, 50
+SYSLOG_YEAR = 2024
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -241,6 +242,19 @@ def q_decode_grok(spark, sf):
     return dec.to_records(_t(spark, sf, "syslog"), schema, "grok", pattern=GROK_SYSLOG)
 
 
+def q_decode_syslog_time(spark, sf):
+    """The line's time, which has no year, as a timestamp of a given year."""
+    recs = dec.to_records(_t(spark, sf, "syslog"), "timestamp timestamp, host string, pid bigint", "syslog", options={"year": SYSLOG_YEAR})
+    return recs.select(F.col("timestamp").alias("at"), "host", "pid")
+
+
+def q_grok_malformed(spark, sf):
+    """Every third line damaged: fields null and flagged, the others as they are."""
+    t = _t(spark, sf, "syslog").select("value", F.regexp_extract(F.col("value").cast("string"), r"\[(\d+)\]", 1).cast("bigint").alias("event_id"))
+    damaged = t.withColumn("value", F.when(F.col("event_id") % 3 == 0, F.lit("broken line").cast("binary")).otherwise(F.col("value")))
+    return dec.split_malformed(damaged, "grok", "host string, pid bigint, msg string", flag="bad", pattern=GROK_SYSLOG).drop("value")
+
+
 def q_malformed_rows(spark, sf):
     t = _t(spark, sf).withColumn("_f", dec.payload_struct("value", "csv", EVENT_SCHEMA))
     short = delimited(["_f.event_id", "_f.user_id", "_f.event_type"]).cast("binary")
@@ -533,6 +547,8 @@ BUILDERS: dict[str, Builder] = {
     "pages_bytes_by_partition": q_pages_bytes_by_partition,
     "decode_syslog": q_decode_syslog,
     "decode_grok": q_decode_grok,
+    "decode_syslog_time": q_decode_syslog_time,
+    "grok_malformed": q_grok_malformed,
     "malformed_rows": q_malformed_rows,
     "registry_frame": q_registry_frame,
     "decode_avro": q_decode_avro,
@@ -610,6 +626,11 @@ _BODIES = {
  event_id as pid, event_type as msg from t""",
     "decode_grok": """select 34 as priority, concat('h', user_id) as host, 'app' as app, event_id as pid,
  event_type as msg from t""",
+    "decode_syslog_time": """select make_timestamp(2024, month("timestamp"), day("timestamp"), hour("timestamp"),
+ minute("timestamp"), second("timestamp")) as at, concat('h', user_id) as host, event_id as pid from t""",
+    "grok_malformed": """select event_id, case when event_id % 3 <> 0 then concat('h', user_id) end as host,
+ case when event_id % 3 <> 0 then event_id end as pid, case when event_id % 3 <> 0 then event_type end as msg,
+ event_id % 3 = 0 as bad from t""",
     "malformed_rows": "select event_id % 3 = 0 as bad, count(*) as n from t group by 1",
     "registry_frame": 'select 0 as magic, cast(500 + user_id % 3 as int) as schema_id, "value" as body from t',
     "decode_avro": "select event_id, user_id, event_type, amount from t",
