@@ -13,15 +13,34 @@ _scopes: list[list[str]] = []
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Folders that are materialised inside are removed at the end: for work
-    whose result has been written when the block is left."""
-    _scopes.append([])
+def collected() -> Iterator[list[str]]:
+    """The folders that are materialised inside, for the caller to remove."""
+    paths: list[str] = []
+    _scopes.append(paths)
     try:
-        yield
+        yield paths
     finally:
-        for path in _scopes.pop():
-            remove(spark, path)
+        _scopes.remove(paths)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Folders that are materialised inside are removed at the end: for work
+    whose result has been written when the block is left. :func:`keep_last` spares a result."""
+    with collected() as paths:
+        try:
+            yield paths
+        finally:
+            for path in paths:
+                remove(spark, path)
+
+
+def keep_last(paths: list[str]) -> None:
+    """The folder materialised last is not scratch of this block but of the one around it."""
+    path = paths.pop()
+    outer = _scopes.index(paths) - 1
+    if outer >= 0:
+        _scopes[outer].append(path)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
