@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from functools import wraps
 
@@ -10,9 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicframe.plans.materialize import materialize
+from topicframe.plans.materialize import collected, keep_last, materialize, scratch
+from topicframe.session import remove
 
-__all__ = ["bounded_batches", "bucket_of_id", "checkpointed", "documents", "fresh_name", "gathered", "most_frequent", "read_table"]
+__all__ = ["bounded_batches", "bucket_of_id", "checkpointed", "documents", "fresh_name", "gathered", "keep_last", "most_frequent", "read_table", "release", "scratch", "stage"]
 
 
 #: Rows of an Arrow batch between Spark and Python: texts are long, and the JVM holds a batch outside its heap.
@@ -30,6 +32,37 @@ def bounded_batches(query: Callable) -> Callable:
     return run
 
 
+def release(spark) -> None:
+    """Let Spark remove the shuffle files of work that has been written.
+
+    Its cleaner waits until the driver's JVM collects garbage, which a small
+    driver of a long job rarely does by itself.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+_before: list[str] = []
+
+
+def stage(work: Callable) -> Callable:
+    """A pipeline stage (spark, docs, sf_dir) whose tables in the shared folder go when the next stage begins.
+
+    The stage's result must have been written by then, as a pipeline's stages are.
+    """
+
+    @wraps(work)
+    def run(spark, docs, sf_dir):
+        for path in _before:
+            remove(spark, path)
+        with collected() as paths:
+            out = work(spark, docs, sf_dir)
+        _before[:] = paths
+        return out
+
+    return bounded_batches(run)
+
+
 def gathered(batches: Iterator[pa.RecordBatch], size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
     """The batches joined to larger ones of about ``size`` bytes."""
     held: list[pa.RecordBatch] = []

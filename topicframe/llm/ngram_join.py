@@ -17,11 +17,11 @@ or more, and a component is what links reach.
 4. Pairs that pass are expanded to their members' classes and verified on
    the whole sets of the texts.
 
-A shingle that many groups share is first paired like a star: each group
-with the hub it shares most with. What the links of that join is a
+Groups are first paired like stars, by an eighth of the shingles: each
+group with the hub it shares most with. What the verified links join is a
 component, and only groups that still lie in different components are
-paired with one another. No link between components is lost, and a family
-of copies costs a row a copy.
+paired with one another, by all shingles. No link between components is
+lost, and a family of copies costs a row a copy.
 
 Shingles are 64-bit hashes; only two that collide inside one pair could
 change its similarity.
@@ -33,11 +33,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicframe.llm.common import checkpointed, documents, most_frequent
+from topicframe.llm.common import checkpointed, documents, keep_last, most_frequent, release, scratch
 from topicframe.llm.components import connected_components
 from topicframe.llm.spans import Words, combine, mix, text_chunks
 
@@ -45,11 +46,14 @@ SHINGLE = 5
 PERCENT = 75
 #: Shingles that get a rank by frequency, and the frequency from which they may.
 FREQUENT = 1 << 20
-LEAST_FREQUENT = 32
+LEAST_FREQUENT = 4
 STAR_ROUNDS = 2
+#: Stars use one in so many shingles.
+STAR_SHARE = 8
 #: Partners of one class that are verified in one task.
 PARTNERS = 256
-CHUNK = 2 << 20
+#: 64-bit blocks of the filter of shared shingles.
+FILTER_BLOCKS = 1 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +94,7 @@ def frequent_shingles(docs: DataFrame, size: int, percent: int, most: int, least
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
-            for _, _, data, offsets in text_chunks(batch.column(0), CHUNK):
+            for _, _, data, offsets in text_chunks(batch.column(0)):
                 shingle, first = shingle_sets(data, offsets, size)
                 held.append(shingle[_prefixes(first, prefix_length(np.diff(first), percent))[0]] >> np.uint64(6))
                 if sum(map(len, held)) > 1 << 22:
@@ -115,12 +119,12 @@ class Ranks:
 
     def __init__(self, keys: np.ndarray, ranks: np.ndarray):
         self.keys, self.ranks = keys, ranks
-        self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[keys >> np.uint64(36)] = True
+        self.maybe = np.zeros(1 << 24, bool)
+        self.maybe[keys >> np.uint64(34)] = True
 
     def order_keys(self, shingle: np.ndarray) -> np.ndarray:
         key = shingle >> np.uint64(6)
-        some = np.flatnonzero(self.maybe[key >> np.uint64(36)])
+        some = np.flatnonzero(self.maybe[key >> np.uint64(34)])
         if len(some):
             at = np.minimum(np.searchsorted(self.keys, key[some]), len(self.keys) - 1)
             hit = self.keys[at] == key[some]
@@ -139,7 +143,7 @@ def _rows(docs: DataFrame, size: int, percent: int, frequent: tuple[np.ndarray,
         ranks = Ranks(*given.value)
         row_id, told = TaskContext.get().partitionId() << 33, set()
         for batch in batches:
-            for a, b, data, offsets in text_chunks(batch.column(0), CHUNK):
+            for a, b, data, offsets in text_chunks(batch.column(0)):
                 shingle, first = shingle_sets(data, offsets, size)
                 n = np.diff(first)
                 # signatures do not depend on the order of the set
@@ -173,6 +177,82 @@ def _rows(docs: DataFrame, size: int, percent: int, frequent: tuple[np.ndarray,
     return docs.select("text", "doc").mapInArrow(describe, f"text string, doc {docs.schema['doc'].dataType.simpleString()}, {ROWS}")
 
 
+def _filter_bits(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Block and the four bits in it that a key sets."""
+    h = mix(key)
+    word = np.zeros(len(h), np.uint64)
+    for k in range(4):
+        word |= np.uint64(1) << ((h >> np.uint64(40 + 6 * k)) & np.uint64(63))
+    return (h & np.uint64(FILTER_BLOCKS - 1)).astype(np.int64), word
+
+
+def _bloom(keys: DataFrame) -> np.ndarray:
+    """Filter of a fixed size over the first column of ``keys``: FILTER_BLOCKS words."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(FILTER_BLOCKS, np.uint64)
+        for batch in batches:
+            block, word = _filter_bits(batch.column(0).to_numpy().view(np.uint64))
+            np.bitwise_or.at(words, block, word)
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_pydict({"block": some, "word": words[some].view(np.int64)})
+
+    marked = keys.mapInArrow(mark, "block long, word long").groupBy("block").agg(F.bit_or("word").alias("word")).toArrow()
+    words = np.zeros(FILTER_BLOCKS, np.uint64)
+    words[marked["block"].to_numpy()] = marked["word"].to_numpy().view(np.uint64)
+    return words
+
+
+def _posts(rows: DataFrame) -> DataFrame:
+    """key, g, n, p: the prefix shingles that were counted more than once, and groups that have them.
+
+    Most shingles are in one group only. Those counted twice or more set
+    bits in a filter of a fixed size, and what passes it is posted: also a
+    few of one group, which pair with nothing.
+    """
+    prefixes = rows.where(F.size("prefix") > 0).select("g", "n", "prefix")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            held.append(batch.column(2).flatten().to_numpy().view(np.uint64))
+            if sum(map(len, held)) > 1 << 22:
+                yield from _counted(held)
+                held = []
+        yield from _counted(held)
+
+    twice = prefixes.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+    given = rows.sparkSession.sparkContext.broadcast(_bloom(twice))
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = given.value
+        for batch in batches:
+            prefix = batch.column(2)
+            length = pa.compute.list_value_length(prefix).to_numpy()
+            key = prefix.flatten().to_numpy().view(np.uint64)
+            block, word = _filter_bits(key)
+            some = np.flatnonzero((words[block] & word) == word)
+            row = np.repeat(np.arange(len(length)), length)[some]
+            place = some - np.repeat(np.cumsum(length) - length, length)[some]
+            g, n = (batch.column(k).to_numpy()[row] for k in range(2))
+            yield pa.RecordBatch.from_pydict({"key": key[some].view(np.int64), "g": g, "n": n, "p": place.astype(np.int32)})
+
+    return prefixes.mapInArrow(post, "key long, g long, n long, p int")
+
+
+def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """cls, text of the rows ``wanted`` (cls), and of few others: a filter of a fixed size goes to the texts, not the texts to a join."""
+    given = rows.sparkSession.sparkContext.broadcast(_bloom(wanted))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = given.value
+        for batch in batches:
+            block, word = _filter_bits(batch.column(0).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array((words[block] & word) == word))
+
+    return rows.select(F.col("row").alias("cls"), "text").mapInArrow(keep, "cls long, text string")
+
+
 def _enough(n1, n2, percent: int):
     """Sizes that can reach the similarity."""
     return (100 * F.least(n1, n2)) >= percent * F.greatest(n1, n2)
@@ -186,14 +266,15 @@ def _can_link(pairs: DataFrame, percent: int) -> DataFrame:
     return met.where((100 + percent) * most >= percent * (F.col("n1") + F.col("n2")))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets reach the similarity; ``texts``: cls, text.
+def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets reach the similarity; ``rows`` has their texts.
 
     The text of ``a`` is sent once for each PARTNERS of its partners, so a
     hub's partners are spread over tasks.
     """
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = checkpointed(pairs, "pairs")
+    texts = checkpointed(_texts_of(rows, pairs.select(F.explode(F.array("a", "b")))), "texts")
     degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("parts"))
     salted = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
     partners = salted.join(texts.withColumnRenamed("cls", "b"), "b").select("a", "part", "b", "text")
@@ -205,7 +286,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             linked = []
-            for start, _, data, offsets in text_chunks(batch.column(3), CHUNK):
+            for start, _, data, offsets in text_chunks(batch.column(3)):
                 shingle, first = shingle_sets(data, offsets, size)
                 for r in range(len(first) - 1):
                     own = shingle[first[r] : first[r + 1]]
@@ -235,46 +316,75 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     docs = docs.select("text", others.alias("doc"))
     frequent = frequent_shingles(docs, size, percent, FREQUENT, LEAST_FREQUENT)
     rows = checkpointed(_rows(docs, size, percent, frequent), "shingle-rows")
-    sets = ["n", "s1", "s2"]
-    classes = checkpointed(rows.where("n > 0").groupBy(*sets).agg(F.min("row").alias("cls"), F.min("g").alias("g")), "classes")
-    texts = rows.select(F.col("row").alias("cls"), "text")
+    release(rows.sparkSession)
+    with scratch(rows.sparkSession) as paths:  # all but the rows and the result
+        found = checkpointed(_components(rows, size, percent, star_rounds), "components")
+        keep_last(paths)
+    return found, rows.select("row", "text", "doc")
 
-    # (key, group) of keys that more than one group has
-    posted = rows.where(F.size("prefix") > 0).select("g", "n", F.posexplode("prefix").alias("p", "key")).select("key", "g", "n", "p")
-    several = posted.groupBy("key").agg(F.min("g").alias("least"), F.max("g").alias("greatest")).where("least <> greatest").select("key")
-    posts = checkpointed(posted.join(several, "key").groupBy("key", "g").agg(F.first("n").alias("n"), F.first("p").alias("p")), "posts")
 
+def _components(rows: DataFrame, size: int, percent: int, star_rounds: int) -> DataFrame:
+    """doc_id, n_shingles, row, component of ``rows``."""
+    sets = ["n", "s1", "s2"]
+    classes = checkpointed(rows.where("n > 0").groupBy(*sets).agg(F.min("row").alias("cls"), F.min("g").alias("g")), "classes")
+    posts = checkpointed(_posts(rows), "posts")
     heads = classes.groupBy("g").agg(F.min("cls").alias("head"))
     inside = classes.join(heads, "g").where("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b"))
-    links = None
-    labels = None
-    for turn in range(star_rounds):
-        left = posts if labels is None else _undecided(posts, classes, labels)
-        # the hub of a key: the least group in an order that differs by round
-        rank = F.xxhash64(F.lit(turn), "g")
-        hubs = left.groupBy("key").agg(F.min_by(F.struct(F.col("g").alias("g1"), F.col("n").alias("n1"), F.col("p").alias("p1")), rank).alias("hub"))
-        stars = left.join(hubs, "key").select("hub.*", F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("p").alias("p2"))
-        stars = stars.where((F.col("g1") != F.col("g2")) & _enough(F.col("n1"), F.col("n2"), percent))
-        best = _can_link(stars, percent).groupBy("g2").agg(F.max_by("g1", F.struct("shared", "g1")).alias("g1"))
-        pairs = best.join(heads.select(F.col("g").alias("g1"), F.col("head").alias("a")), "g1").join(classes.select(F.col("g").alias("g2"), F.col("cls").alias("b")), "g2").select("a", "b")
-        found = _verified(pairs.unionByName(inside) if links is None else pairs, texts, size, percent)
-        links = checkpointed(found if links is None else links.unionByName(found), "links")
-        labels = connected_components(links)
-    # what is left: groups in different components that share a key
-    left = _undecided(posts, classes, labels) if labels is not None else posts
-    one, two = (left.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("g", "n", "p")]) for k in (1, 2))
-    across = one.join(two, "key").where((F.col("g1") < F.col("g2")) & _enough(F.col("n1"), F.col("n2"), percent))
-    across = _can_link(across, percent).select("g1", "g2")
-    # groups whose members lie in different components are paired with themselves
-    known = _labelled(classes, labels)
-    mixed = known.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select(F.col("g").alias("g1"), F.col("g").alias("g2"))
-    first, second = (known.select(F.col("g").alias(f"g{k}"), F.col("cls").alias(x), F.col("component").alias(f"c{k}")) for k, x in ((1, "a"), (2, "b")))
-    pairs = across.unionByName(mixed).join(first, "g1").join(second, "g2").where("c1 <> c2").select("a", "b")
-    links = links.unionByName(_verified(pairs, texts, size, percent))
-    component = _labelled(classes, connected_components(links)).select(*sets, "component")
+    spark = rows.sparkSession
+    release(spark)
+
+    # stars: some of the shingles are enough to find each group a likely partner
+    some = posts.where(F.pmod("key", F.lit(STAR_SHARE)) == 0)
+    shared = some.groupBy("key").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x <> y").select("key")
+    stars = checkpointed(some.join(shared, "key").dropDuplicates(["key", "g"]), "stars")
+    links = labels = None
+    for turn in range(max(1, star_rounds)):
+        with scratch(spark) as paths:
+            left = stars if labels is None else _undecided(stars, classes, labels)
+            # the hub of a key: the least group in an order that differs by round
+            rank = F.xxhash64(F.lit(turn), "g")
+            hubs = left.groupBy("key").agg(F.min_by(F.struct(F.col("g").alias("g1"), F.col("n").alias("n1")), rank).alias("hub"))
+            pairs = left.join(hubs, "key").select("hub.*", F.col("g").alias("g2"), F.col("n").alias("n2"))
+            pairs = pairs.where((F.col("g1") != F.col("g2")) & _enough(F.col("n1"), F.col("n2"), percent))
+            # a likely partner shares half of a prefix; the others wait for the last step
+            met = pairs.groupBy("g1", "g2").agg(F.count("*").alias("count"), F.least(F.first("n1"), F.first("n2")).alias("n"))
+            met = met.where(2 * STAR_SHARE * 100 * F.col("count") >= (100 - percent) * F.col("n"))
+            best = met.groupBy("g2").agg(F.max_by("g1", F.struct("count", "g1")).alias("g1"))
+            of_hub, of_group = heads.select(F.col("g").alias("g1"), F.col("head").alias("a")), classes.select(F.col("g").alias("g2"), F.col("cls").alias("b"))
+            pairs = best.join(of_hub, "g1").join(of_group, "g2").select("a", "b")
+            found = _verified(pairs.unionByName(inside) if links is None else pairs, rows, size, percent)
+            links = checkpointed(found if links is None else links.unionByName(found), "links")
+            keep_last(paths)
+        labels = _labels(links)
+
+    with scratch(spark) as paths:
+        # what is left, with all shingles: groups that are not in one component and share a key
+        left = _undecided(posts, classes, labels).dropDuplicates(["key", "g"])
+        one, two = (left.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("g", "n", "p", "x", "y")]) for k in (1, 2))
+        apart = (F.col("x1") != F.col("y1")) | (F.col("x2") != F.col("y2")) | (F.col("x1") != F.col("x2"))
+        across = one.join(two, "key").where((F.col("g1") < F.col("g2")) & apart & _enough(F.col("n1"), F.col("n2"), percent))
+        across = checkpointed(_can_link(across, percent).select("g1", "g2"), "across")
+        release(spark)
+        # groups whose members lie in different components are paired with themselves
+        known = _labelled(classes, labels)
+        mixed = known.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select(F.col("g").alias("g1"), F.col("g").alias("g2"))
+        first, second = (known.select(F.col("g").alias(f"g{k}"), F.col("cls").alias(x), F.col("component").alias(f"c{k}")) for k, x in ((1, "a"), (2, "b")))
+        pairs = across.unionByName(mixed).join(first, "g1").join(second, "g2").where("c1 <> c2").select("a", "b")
+        links = checkpointed(links.unionByName(_verified(pairs, rows, size, percent)), "links")
+        keep_last(paths)
+    component = _labelled(classes, _labels(links)).select(*sets, "component")
     found = rows.select("doc.doc_id", "row", *sets).join(component, sets, "left")
     found = found.select("doc_id", F.col("n").alias("n_shingles"), "row", F.coalesce("component", "row").alias("component"))
-    return checkpointed(found, "components"), rows.select("row", "text", "doc")
+    return found
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """Components of the links; tables of the rounds before go."""
+    with scratch(links.sparkSession) as paths:
+        labels = connected_components(links)
+        keep_last(paths)
+    release(links.sparkSession)
+    return labels
 
 
 def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -283,10 +393,11 @@ def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _undecided(posts: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Posts of the keys whose groups do not all lie in one component."""
-    of_group = _labelled(classes, labels).groupBy("g").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-    spread = posts.join(of_group, "g").groupBy("key").agg(F.min("c1").alias("c1"), F.max("c2").alias("c2")).where("c1 <> c2").select("key")
-    return checkpointed(posts.join(spread, "key"), "posts")
+    """Posts of the keys whose groups do not all lie in one component, with the group's least and greatest component (x, y)."""
+    of_group = _labelled(classes, labels).groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    known = checkpointed(posts.join(of_group, "g"), "posts")
+    spread = known.groupBy("key").agg(F.min("x").alias("x"), F.max("y").alias("y")).where("x <> y").select("key")
+    return checkpointed(known.join(checkpointed(spread, "keys"), "key"), "posts")
 
 
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
