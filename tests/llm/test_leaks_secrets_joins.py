@@ -136,6 +136,25 @@ def test_novelty_reports_keys_and_not_words(spark, docs_of):
     assert sc.scan_secrets(docs_of(rows).limit(0)).count() == 0
 
 
+def test_repeated_keys_do_not_hide_themselves(spark, docs_of):
+    rng = random.Random(5)
+    keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40)) for _ in range(60)]
+    numerals = ["".join(rng.choice(alphabet) for _ in range(48)) for alphabet in ("0123456789", "0123456789ABCDEF") for _ in range(20)]
+    twice = [(1000 + k, f"Authorization: Bearer {key}\nAuthorization: Bearer {key}\naccess_key ={key}\n") for k, key in enumerate(keys)]
+    often, prefixed = keys[0][::-1], "K" + keys[1][1:36].replace("_", "x")
+    # many copies of one text, and one key in many texts
+    copies = [(2000, f"the header is Bearer {often} of the client")] * 300 + [(3000 + k, f"call {k} sends Bearer {prefixed} again") for k in range(300)]
+    plain = [(4000 + k, f"call {k} sends the token to configuration_manager and session_handler") for k in range(20)]
+    rows = twice + copies + plain + [(5000 + k, f"signing key Bearer {n} here") for k, n in enumerate(numerals)]
+    spans = collections.defaultdict(list)
+    for r in sc.scan_secrets(docs_of(rows)).collect():
+        spans[r["doc_id"]] += [s["value"] for s in r["spans"]]
+    assert all(spans[d] == [key, key, f"={key}"] for (d, _), key in zip(twice, keys))
+    assert spans[2000] == [often] * 300 and all(spans[3000 + k] == [prefixed] for k in range(300))
+    assert all(spans[5000 + k] == [n] for k, n in enumerate(numerals))
+    assert not any(spans[d] for d, _ in plain)
+
+
 def test_digest(spark):
     got = sc.op3_secret_scan(spark, "/root/testdata/sf0.001")
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}

@@ -9,18 +9,25 @@ sensitive word on its line. Its novelty is the marginal compressed size,
 under a dictionary of the identifiers that the corpus uses around sensitive
 words, with the surrounding code as context. Names and words that occur
 nearby or in the corpus cost little; keys cost about a byte a character.
-Candidates at ``NOVELTY`` or more that no base span touches are reported.
-
-The dictionary's identifiers are counted by Spark over all documents; the
-``DICTIONARY_WORDS`` most frequent are kept, each at most ``WORD_CHARS``
-long, so it has a fixed largest size. Texts are scanned whole, where they
-lie; nothing is shuffled but the identifier counts.
+The candidate itself is blanked out wherever the context repeats it, so a
+key that is written twice is as novel as one that is written once.
+Candidates at ``NOVELTY`` or more that no base span touches are reported;
+a run of digits or of hexadecimal digits has fewer bits a character, and
+its bound is as much lower.
+
+The dictionary's identifiers are counted by Spark over all distinct texts;
+the ``DICTIONARY_WORDS`` most frequent are kept, each at most ``WORD_CHARS``
+long, so it has a fixed largest size. Of a run that is long enough for a
+candidate only the words inside it (letters, at most 16) are counted, so no
+copies make a key known. Texts are scanned whole, where they lie; nothing is shuffled but the
+identifiers of a text that has sensitive words, and their counts.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,12 +45,23 @@ BASE = [
 KINDS = [kind for kind, *_ in BASE]
 
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|secret|token|(?:api|access|private|signing)[_-]?key|credential|bearer|authorization", re.I | re.A)
+VALUE = re.compile(r"[A-Za-z0-9+/_.=-]")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,}")
+#: Words inside a run of value characters: ``signing_keyRing`` has three.
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Alphabets that hold no words, and their symbols; digits with points or dashes are addresses and dates.
+NUMERALS = [(re.compile("=?[0-9]+"), 10), *((re.compile(f"(?=.*[0-9])(?=.*[{x}])=?[0-9{x}-]+"), 16) for x in ("a-f", "A-F"))]
 
 REACH = 80
 CONTEXT = 256
 NOVELTY = 0.8
+#: Symbols of the alphabet that NOVELTY is meant for.
+SYMBOLS = 64
+#: Least length of a part of a run, between its ``=``, whose repeats are blanked out too.
+LEAST_REPEAT = 8
+#: Least and most letters of a word that is learnt from inside a run.
+PART_LETTERS = (3, 16)
 DICTIONARY_WORDS = 4096
 WORD_CHARS = 40
 LEVEL = 6
@@ -89,9 +107,27 @@ class Novelty:
             self.size = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False).compress
 
     def __call__(self, text: str, start: int, end: int) -> float:
-        around = (text[max(0, start - CONTEXT) : start] + "\n" + text[end : end + CONTEXT]).encode("utf-8", "surrogatepass")
-        value = text[start:end].encode()
-        return (len(self.size(around + value)) - len(self.size(around))) / len(value)
+        value = text[start:end]
+        # repeats may begin or end outside the context
+        left, right = max(0, start - CONTEXT), end + CONTEXT
+        before = _without(value, text, max(0, left - len(value)), start, left, start)
+        after = _without(value, text, end, right + len(value), end, right)
+        around = (before + "\n" + after).encode("utf-8", "surrogatepass")
+        return (len(self.size(around + value.encode())) - len(self.size(around))) / len(value)
+
+
+def _without(value: str, text: str, low: int, high: int, start: int, end: int) -> str:
+    """text[start:end] with the occurrences of ``value`` in text[low:high] blanked out, also without its ``name=``."""
+    piece = text[low:high]
+    for part in [value, *(p for p in value.split("=") if len(p) >= LEAST_REPEAT)]:
+        piece = piece.replace(part, "\n" * len(part))
+    return piece[start - low : end - low]
+
+
+def least_novelty(value: str, threshold: float = NOVELTY) -> float:
+    """Bound of a candidate: ``threshold`` by the bits of a character of its alphabet, for alphabets without words."""
+    symbols = next((n for digits, n in NUMERALS if digits.fullmatch(value)), SYMBOLS)
+    return threshold * math.log2(symbols) / math.log2(SYMBOLS)
 
 
 def all_spans(text: str, novelty: Novelty, threshold: float = NOVELTY) -> tuple[list[Span], list[Span]]:
@@ -100,7 +136,7 @@ def all_spans(text: str, novelty: Novelty, threshold: float = NOVELTY) -> tuple[
     new = [
         (s, e, "novel")
         for s, e in sensitive_candidates(text)
-        if not any(s < end and start < e for start, end, _ in base) and novelty(text, s, e) >= threshold
+        if not any(s < end and start < e for start, end, _ in base) and novelty(text, s, e) >= least_novelty(text[s:e], threshold)
     ]
     rank = {k: i for i, k in enumerate([*KINDS, "novel"])}
     return base, sorted(base + new, key=lambda x: (x[0], rank[x[2]], x[1]))
@@ -111,22 +147,55 @@ def _texts(column: pa.Array) -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def learnt_words(text: str) -> set[str]:
+    """Identifiers around the sensitive words of ``text`` that may be dictionary words.
+
+    A run that is long enough for a candidate gives the words inside it; one
+    that is a single word counts only where it is no candidate.
+    """
+    found: set[str] = set()
+    candidates = end = None
+    for m in SENSITIVE.finditer(text):
+        if candidates is None:
+            candidates, end = dict(sensitive_candidates(text)), 0
+        start, end = max(end, m.start() - CONTEXT), max(end, m.end() + CONTEXT)
+        # a run is looked at whole
+        while start and start < len(text) and VALUE.match(text, start) and VALUE.match(text, start - 1):
+            start -= 1
+        last = start
+        for run in CANDIDATE.finditer(text, start):
+            if run.start() >= end:
+                break
+            found.update(IDENTIFIER.findall(text[last : run.start()]))
+            last = run.end()
+            parts = PART.findall(run[0])
+            if parts == [run[0]]:
+                if run.start() not in candidates:
+                    found.add(run[0])
+            else:
+                found.update(p for p in parts if PART_LETTERS[0] <= len(p) <= PART_LETTERS[1])
+        found.update(IDENTIFIER.findall(text[last:end]) if last < end else ())
+        end = max(end, last)
+    return {w for w in found if len(w) <= WORD_CHARS}
+
+
 def identifier_dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> list[str]:
-    """Most frequent identifiers around sensitive words over all ``docs``, ties by name."""
+    """Identifiers around sensitive words in most of the distinct texts of ``docs``, ties by name."""
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: Counter[str] = Counter()
+            found: dict[bytes, list[str]] = {}
             for text in _texts(batch.column(0)):
-                end = 0
-                for m in SENSITIVE.finditer(text):
-                    start = max(end, m.start() - CONTEXT)
-                    end = max(end, m.end() + CONTEXT)
-                    counts.update(w for w in IDENTIFIER.findall(text[start:end]) if len(w) <= WORD_CHARS)
-            yield pa.RecordBatch.from_pydict({"word": pa.array(counts.keys(), pa.string()), "n": pa.array(counts.values(), pa.int64())})
-
-    counted = docs.select("text").mapInArrow(around, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    # a word that is seen once is no dictionary word, and may be a secret
+                if SENSITIVE.search(text):
+                    key = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                    if key not in found:
+                        found[key] = sorted(learnt_words(text))
+            yield pa.RecordBatch.from_pydict({"text": pa.array(found.keys(), pa.binary()), "words": pa.array(found.values(), pa.list_(pa.string()))})
+
+    # copies of a text count once
+    texts = docs.select("text").mapInArrow(around, "text binary, words array<string>").groupBy("text").agg(F.first("words").alias("words"))
+    counted = texts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    # a word that is seen in one text is no dictionary word, and may be a secret
     return [r["word"] for r in counted.where("n > 1").orderBy(F.desc("n"), "word").limit(words).collect()]
 
 
