@@ -5,6 +5,7 @@ import re
 import string
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd_rows import ODD
 
@@ -89,6 +90,47 @@ def test_leaks_against_brute_force(spark, docs_of):
     assert {r["doc_id"] for r in clean.collect()} == {d for d, _ in rows} - {d for d, _ in pairs}
 
 
+@pytest.mark.parametrize("m", [16, 24, 32, 45, 59])
+def test_recall_at_the_largest_distance_by_item_length(m):
+    rng = random.Random(m)
+    # items of all lengths together, as in a benchmark
+    items = [prose(rng, n) for n in (16, 24, 32, 45, 59) for _ in range(60)]
+    index = dc.build_index(list(range(300)), [" ".join(x) for x in items])
+    of_size = [(k, x) for k, x in enumerate(items) if len(x) == m]
+    k, want, texts = dc.edits(m), [], []
+    for kind in (0, 1):
+        for turn in range(600):
+            item, words = of_size[turn % len(of_size)]
+            words = list(words)
+            for at in rng.sample(range(m), k) if kind else ():
+                words[at] = f"changed{rng.randrange(999)}"
+            for _ in range(0 if kind else k // 2):
+                del words[rng.randrange(len(words))]
+                words.insert(rng.randrange(len(words) + 1), f"added{rng.randrange(999)}")
+            for at in rng.sample(range(m), k % 2 * (1 - kind)):
+                words[at] = f"changed{rng.randrange(999)}"
+            want.append((len(texts), item))
+            texts.append(" ".join(words))
+    row, item, *_ = dc.leaks(index, pa.array(texts))
+    met = set(zip(row.tolist(), item.tolist()))
+    for kind in (0, 1):
+        some = want[600 * kind : 600 * kind + 600]
+        assert sum(pair in met for pair in some) >= 0.94 * len(some)
+
+
+def test_lengths_without_enough_walks_compare_all_pairs(monkeypatch):
+    monkeypatch.setattr(dc, "ALL_PAIRS", 2)
+    rng = random.Random(3)
+    item = prose(rng, 59)
+    index = dc.build_index([5], [" ".join(item)])
+    assert index.keys[59] is None
+    words = list(item)
+    for at in rng.sample(range(59), dc.edits(59)):
+        words[at] = "changed"
+    row, found, _, _, d, _ = dc.leaks(index, pa.array(["", " ".join(["x"] * 70 + words + ["y"] * 70)]))
+    assert (row.tolist(), found.tolist(), d.tolist()) == ([1], [5], [dc.edits(59)])
+
+
 def test_no_items_or_documents(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f g h i")], "item_id long, text string")

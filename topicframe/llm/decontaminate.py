@@ -14,7 +14,9 @@ letters and digits, A-Z lower-cased.
    distance become strings at small Hamming distance.
 3. A key samples ``SAMPLES`` steps of one walk. Walks are repeated until a
    window at the largest distance is met with probability ``RECALL``; how
-   many that takes is measured on the items themselves, edited at random.
+   many that takes is measured for each item length, by the same walks on
+   items edited at random. Lengths whose walks would be too many do without:
+   their windows are compared with every item of the length.
 4. Windows and items of one length that share a key are verified by the
    edit distance itself, by dynamic programming in a band.
 
@@ -38,7 +40,11 @@ from topicframe.llm.spans import Words, combine, mix, text_chunks
 SHARE = 0.2
 SAMPLES = 2
 RECALL = 0.95
-MOST_WALKS = 64
+#: Edited items of each length and kind of edit that the number of walks is measured on.
+TRIALS = 400
+KINDS = 5
+#: From so many walks on it is cheaper to compare all pairs.
+ALL_PAIRS = 128
 LEAST_WORDS = 8
 BLOCK_ITEMS = 20_000
 #: Windows that are gathered before they are embedded.
@@ -93,27 +99,44 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     return before[most + 1]
 
 
-def walks_needed(items: dict[int, np.ndarray], share: float, recall: float, trials: int = 400) -> int:
-    """Walks after which a randomly edited item at the largest distance shares a key with probability ``recall``."""
-    rng = np.random.default_rng(7)
-    met, tried = 0, 0
-    for m, symbols in items.items():
-        k = edits(m, share)
-        picked = symbols[rng.integers(0, len(symbols), max(1, trials // len(items)))]
-        changed = np.empty_like(picked)
-        for r, row in enumerate(picked):
-            words = list(row)
-            for _ in range(k // 2):  # a word out and a word in keep the length
-                del words[rng.integers(0, len(words))]
-                words.insert(rng.integers(0, len(words) + 1), np.uint64(rng.integers(1, 1 << 62)))
-            for at in rng.choice(m, k % 2, replace=False):
-                words[at] = np.uint64(rng.integers(1, 1 << 62))
-            changed[r] = words
-        for walk in range(8):
-            met += int((sampled_key(picked, 1000 + walk) == sampled_key(changed, 1000 + walk)).sum())
-            tried += len(picked)
-    p = min(0.999, max(1e-3, met / max(1, tried)))
-    return int(min(MOST_WALKS, max(1, np.ceil(np.log(1 - recall) / np.log(1 - p)))))
+def _edited(rng: np.random.Generator, row: np.ndarray, kind: int, k: int) -> np.ndarray:
+    """``row`` at distance ``k`` at most: words moved out and in (0), changed (1), gone from a text that ends there (2), or the first ones changed (3) or gone (4)."""
+    m, words = len(row), list(row)
+    new = lambda: np.uint64(rng.integers(1, 1 << 62))
+    some = np.arange(k) if kind > 2 else rng.choice(m, (k % 2, k, k)[kind], replace=False)
+    for _ in range(k // 2 if kind == 0 else 0):  # a word out and a word in keep the length
+        del words[rng.integers(0, len(words))]
+        words.insert(rng.integers(0, len(words) + 1), new())
+    if kind in (2, 4):
+        words = np.delete(row, some).tolist() + [PAD] * k
+    else:
+        for at in some:
+            words[at] = new()
+    return np.array(words, np.uint64)
+
+
+def walks_needed(symbols: np.ndarray, share: float, recall: float, trials: int = TRIALS) -> int | None:
+    """Walks 0, 1, ... until a randomly edited row of ``symbols`` (n x m) at the largest distance shares a key with probability ``recall``.
+
+    Every kind of edit must reach it, two standard errors of the trials
+    included. None if that takes ``ALL_PAIRS`` walks or more.
+    """
+    m = symbols.shape[1]
+    k = edits(m, share)
+    if not k:
+        return 1
+    rng = np.random.default_rng([7, m])
+    picked = symbols[rng.integers(0, len(symbols), trials)]
+    changed = np.concatenate([[_edited(rng, row, kind, k) for row in picked] for kind in range(KINDS)])
+    picked, kind = np.tile(picked, (KINDS, 1)), np.repeat(np.arange(KINDS), trials)
+    most = trials * (1 - min(1.0, recall + 2 * np.sqrt(recall * (1 - recall) / trials)))
+    for walk in range(ALL_PAIRS - 1):
+        key = sampled_key(np.concatenate([picked, changed]), walk)
+        left = key[: len(picked)] != key[len(picked) :]
+        picked, changed, kind = picked[left], changed[left], kind[left]
+        if np.bincount(kind, minlength=KINDS).max() <= most:
+            return walk + 1
+    return None
 
 
 class Index(NamedTuple):
@@ -123,7 +146,7 @@ class Index(NamedTuple):
     pairs_of: dict[int, np.ndarray]  # whether an item of that size has each
     symbols: dict[int, np.ndarray]  # n x m
     ids: dict[int, np.ndarray]
-    keys: dict[int, list[tuple[np.ndarray, np.ndarray]]]  # a walk: sorted keys, rows
+    keys: dict[int, list[tuple[np.ndarray, np.ndarray]] | None]  # a walk: sorted keys, rows; None: all pairs
     share: float
 
 
@@ -146,10 +169,12 @@ def build_index(item_ids: list[int], texts: list[str], share: float = SHARE, rec
     for m, own in pairs_in.items():
         pairs_of[m] = np.zeros(len(pairs), bool)
         pairs_of[m][np.searchsorted(pairs, own)] = True
-    walks = walks_needed(symbols, share, recall) if symbols else 0
-    keys: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    keys: dict[int, list[tuple[np.ndarray, np.ndarray]] | None] = {}
     for m, rows in symbols.items():
-        keys[m] = []
+        walks = walks_needed(rows, share, recall)
+        keys[m] = None if walks is None else []
+        if walks is None:
+            continue
         for walk in range(walks):
             key = sampled_key(rows, walk)
             order = np.argsort(key, kind="stable")
@@ -202,14 +227,23 @@ def _screened(index: Index, data: np.ndarray, offsets: np.ndarray) -> Iterator[t
 
 def _matched(index: Index, m: int, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """window, row of the item, distance: pairs that share a key and lie within the distance."""
-    met = [np.zeros((0, 2), np.int64)]
-    for walk, (keys, rows) in enumerate(index.keys[m]):
-        met.append(np.stack(_meetings(sampled_key(window, walk), keys, rows), axis=1))
-    both = np.unique(np.concatenate(met), axis=0)
-    k = edits(m, index.share)
-    distance = [edit_distance(window[x[:, 0]], index.symbols[m][x[:, 1]], k) for x in np.array_split(both, max(1, len(both) // 50_000))]
-    d = np.concatenate(distance).astype(np.int64)
-    return both[d <= k, 0], both[d <= k, 1], d[d <= k]
+    k, items = edits(m, index.share), index.symbols[m]
+    if index.keys[m] is None:
+        step = max(1, 50_000 // len(items))
+        parts = (np.arange(at, min(at + step, len(window))) for at in range(0, len(window), step))
+        met = (np.stack([np.repeat(part, len(items)), np.tile(np.arange(len(items)), len(part))], axis=1) for part in parts)
+    else:
+        pairs = [np.zeros((0, 2), np.int64)]
+        for walk, (keys, rows) in enumerate(index.keys[m]):
+            pairs.append(np.stack(_meetings(sampled_key(window, walk), keys, rows), axis=1))
+        both = np.unique(np.concatenate(pairs), axis=0)
+        met = np.array_split(both, max(1, len(both) // 50_000))
+    found = [(np.zeros((0, 2), np.int64), np.zeros(0, np.int64))]
+    for x in met:
+        d = edit_distance(window[x[:, 0]], items[x[:, 1]], k).astype(np.int64)
+        found.append((x[d <= k], d[d <= k]))
+    both, d = (np.concatenate(x) for x in zip(*found, strict=True))
+    return both[:, 0], both[:, 1], d
 
 
 def leaks(index: Index, column: pa.Array) -> tuple[np.ndarray, ...]:
