@@ -131,6 +131,21 @@ def test_lengths_without_enough_walks_compare_all_pairs(monkeypatch):
     assert (row.tolist(), found.tolist(), d.tolist()) == ([1], [5], [dc.edits(59)])
 
 
+def test_short_texts_and_short_items(spark, docs_of):
+    rng = random.Random(4)
+    item = prose(rng, 30)
+    rows = [(100 + k, " ".join(item[:at] + item[at + n :])) for k, (at, n) in enumerate([(0, 1), (29, 1), (12, 1), (24, 6), (0, 6), (11, 6), (23, 7)])]
+    rows += [(200, "it says: Too SHORT, then"), (201, "too long, short"), (202, "only"), (203, "not short"), (204, "too short")]
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, "too short"), (3, "only"), (4, "")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in dc.find_leaks(docs_of([*ODD, *rows]), benchmark).collect()}
+    assert {d for d, _ in got} <= {100, 101, 102, 103, 104, 105, 200, 202, 204}
+    # one word gone is near enough for any walk; more are met with the recall
+    assert {(100, 1), (101, 1), (102, 1), (200, 2), (202, 3), (204, 2)} <= set(got)
+    text = dict(rows)
+    assert all(got[d, 1]["distance"] == 1 and text[d] == text[d][got[d, 1]["start"] : got[d, 1]["end"]] for d in (100, 101, 102))
+    assert got[200, 2]["distance"] == 0 and text[200][got[200, 2]["start"] : got[200, 2]["end"]] == "Too SHORT"
+
+
 def test_no_items_or_documents(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f g h i")], "item_id long, text string")

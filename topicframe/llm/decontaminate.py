@@ -1,8 +1,10 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH and exact edit verification.
 
 A leak is a window of a document, as long as a benchmark item, within an
-edit distance over words of ``SHARE`` of the item's words. Words are runs of
-letters and digits, A-Z lower-cased.
+edit distance over words of ``SHARE`` of the item's words; a text that is shorter than the
+item is a window as a whole. Items of fewer than ``LEAST_WORDS`` words leak
+where they occur exactly. Words are runs of letters and digits, A-Z
+lower-cased.
 
 1. Windows of each item length are screened: within k edits a window keeps
    (m - 1) - 2k of the item's m - 1 word pairs (the q-gram lemma), so a
@@ -56,7 +58,7 @@ NOT_WORD = bytes(c for c in range(128) if not chr(c).isalnum())
 
 def edits(m: int, share: float = SHARE) -> int:
     """Largest edit distance of a leak of an item of ``m`` words."""
-    return int(m * share)
+    return int(m * share) if m >= LEAST_WORDS else 0
 
 
 def sampled_key(symbols: np.ndarray, walk: int) -> np.ndarray:
@@ -76,10 +78,12 @@ def sampled_key(symbols: np.ndarray, walk: int) -> np.ndarray:
     return key
 
 
-def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    """Edit distance of the rows of ``a`` and ``b`` (both n x m), or most + 1 where it is larger."""
+def edit_distance(a: np.ndarray, b: np.ndarray, most: int, size: np.ndarray | None = None) -> np.ndarray:
+    """Edit distance of the rows of ``a`` (their first ``size`` words) and ``b`` (both n x m), or most + 1 where it is larger."""
     n, m = a.shape
     far = most + 1
+    short = {} if size is None else {int(i): np.flatnonzero(size == i) for i in np.unique(size[size < m])}
+    out = np.full(n, far, np.int16)
     before = np.full((2 * most + 3, n), far, np.int16)  # diagonals -most - 1 .. most + 1
     for d in range(most + 1):
         before[most + 1 + d] = d
@@ -96,7 +100,11 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
                 best = np.minimum(best, before[k + 1] + 1)
                 now[k] = np.minimum(np.minimum(best, now[k - 1] + 1), far)
         before = now
-    return before[most + 1]
+        if i in short and m - i <= most:
+            out[short[i]] = now[most + 1 + m - i, short[i]]
+    whole = np.ones(n, bool) if size is None else size >= m
+    out[whole] = before[most + 1, whole]
+    return out
 
 
 def _edited(rng: np.random.Generator, row: np.ndarray, kind: int, k: int) -> np.ndarray:
@@ -159,7 +167,7 @@ def build_index(item_ids: list[int], texts: list[str], share: float = SHARE, rec
         first = np.searchsorted(words.row, np.arange(b - a + 1))
         for r in range(b - a):
             own = hashes[first[r] : first[r + 1]]
-            if len(own) >= LEAST_WORDS:
+            if len(own):
                 by_size.setdefault(len(own), []).append((item_ids[at + r], own))
         at += b - a
     symbols = {m: np.array([x[1] for x in rows]) for m, rows in by_size.items()}
@@ -182,51 +190,70 @@ def build_index(item_ids: list[int], texts: list[str], share: float = SHARE, rec
     return Index(pairs, pairs_of, symbols, {m: np.array([x[0] for x in rows]) for m, rows in by_size.items()}, keys, share)
 
 
-def _meetings(window_keys: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(window, item row) pairs with the same key."""
-    a, b = np.searchsorted(keys, window_keys, "left"), np.searchsorted(keys, window_keys, "right")
-    n = b - a
-    window = np.repeat(np.arange(len(window_keys)), n)
-    return window, rows[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)]
-
-
 def _screened(index: Index, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, tuple[np.ndarray, ...]]]:
-    """By item size: words of the windows that can hold a leak, and their text and first and end character in it."""
+    """By item size m: the windows that can hold a leak, m words each (PAD behind a shorter text), and their text, first and end character in it and number of words."""
     words = Words(data, offsets, NOT_WORD)
     hashes = words.hashes()
-    pair, at = combine(hashes, words.row, 2)
-    if not len(index.pairs) or not len(pair):
+    if not len(hashes) or not index.pairs_of:
         return
-    place = np.minimum(np.searchsorted(index.pairs, pair), len(index.pairs) - 1)
-    hit = index.pairs[place] == pair
+    pair, at = combine(hashes, words.row, 2)
+    if len(index.pairs):
+        place = np.minimum(np.searchsorted(index.pairs, pair), len(index.pairs) - 1)
+        hit = index.pairs[place] == pair
+    else:
+        place, hit = np.zeros(len(pair), np.int64), np.zeros(len(pair), bool)
     place, at = place[hit], at[hit]  # a pair's first word
+    per_row = words.per_row()
+    first = np.concatenate([[0], np.cumsum(per_row)])
     chars = None
     for m, has in index.pairs_of.items():
-        least = max(1, m - 1 - 2 * edits(m, index.share))
-        own = at[has[place]]
-        if len(own) < least:
-            continue
-        # `least` pairs within one window: it may start from `low` to `high`
-        high = own[: len(own) - least + 1]
-        low = np.maximum(own[least - 1 :] - m + 2, 0)
-        some = low <= high
-        if not some.any():
-            continue
-        size = (high - low + 1)[some]
-        start = np.unique(np.repeat(low[some], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
-        start = start[start + m <= len(hashes)]
-        start = start[words.row[start] == words.row[start + m - 1]]
-        if not len(start):
+        k = edits(m, index.share)
+        if m == 1:  # has no pairs
+            start = np.flatnonzero(np.isin(hashes, index.symbols[1]))
+        else:
+            start = _starts(at[has[place]], m, max(1, m - 1 - 2 * k))
+            start = start[start + m <= len(hashes)]
+            start = start[words.row[start] == words.row[start + m - 1]]
+        if k:  # texts that are shorter, by the same count of pairs
+            count = np.bincount(words.row[at[has[place]]], minlength=len(per_row))
+            short = first[:-1][(count >= max(1, m - 1 - 2 * k)) & (per_row < m) & (per_row >= m - k)]
+        else:
+            short = start[:0]
+        if not len(start) and not len(short):
             continue
         if chars is None:
             chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        start = np.concatenate([start, short])
         row = words.row[start]
+        size = np.minimum(per_row[row], m)
         begin = chars[offsets[row]]
-        yield m, hashes[start[:, None] + np.arange(m)], (row, chars[words.start[start]] - begin, chars[words.end[start + m - 1]] - begin)
+        window = hashes[np.minimum(start[:, None] + np.arange(m), len(hashes) - 1)]
+        window[np.arange(m) >= size[:, None]] = PAD
+        yield m, window, (row, chars[words.start[start]] - begin, chars[words.end[start + size - 1]] - begin, size)
+
+
+def _starts(own: np.ndarray, m: int, least: int) -> np.ndarray:
+    """First words of the windows of ``m`` words that hold ``least`` of the pairs at ``own``; texts are not told apart."""
+    if len(own) < least:
+        return np.zeros(0, np.int64)
+    # `least` pairs within one window: it may start from `low` to `high`
+    high = own[: len(own) - least + 1]
+    low = np.maximum(own[least - 1 :] - m + 2, 0)
+    some = low <= high
+    size = (high - low + 1)[some]
+    return np.unique(np.repeat(low[some], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
+
+
+def _meetings(window_keys: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(window, item row) pairs with the same key."""
+    a, b = np.searchsorted(keys, window_keys, "left"), np.searchsorted(keys, window_keys, "right")
+    n = b - a
+    window = np.repeat(np.arange(len(window_keys)), n)
+    return window, rows[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)]
 
 
-def _matched(index: Index, m: int, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """window, row of the item, distance: pairs that share a key and lie within the distance."""
+def _matched(index: Index, m: int, window: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """window, row of the item, distance: pairs that share a key and lie within the distance. ``size``: words of each window."""
     k, items = edits(m, index.share), index.symbols[m]
     if index.keys[m] is None:
         step = max(1, 50_000 // len(items))
@@ -240,7 +267,7 @@ def _matched(index: Index, m: int, window: np.ndarray) -> tuple[np.ndarray, np.n
         met = np.array_split(both, max(1, len(both) // 50_000))
     found = [(np.zeros((0, 2), np.int64), np.zeros(0, np.int64))]
     for x in met:
-        d = edit_distance(window[x[:, 0]], items[x[:, 1]], k).astype(np.int64)
+        d = edit_distance(window[x[:, 0]], items[x[:, 1]], k, size[x[:, 0]]).astype(np.int64)
         found.append((x[d <= k], d[d <= k]))
     both, d = (np.concatenate(x) for x in zip(*found, strict=True))
     return both[:, 0], both[:, 1], d
@@ -258,14 +285,14 @@ def leaks(index: Index, column: pa.Array) -> tuple[np.ndarray, ...]:
     def match() -> None:
         for m, parts in held.items():
             window = np.concatenate([p[0] for p in parts])
-            row, first, end = (np.concatenate([p[1][k] for p in parts]) for k in range(3))
-            w, item, d = _matched(index, m, window)
+            row, first, end, size = (np.concatenate([p[1][k] for p in parts]) for k in range(4))
+            w, item, d = _matched(index, m, window, size)
             found.append((row[w], index.ids[m][item], first[w], end[w], d, np.full(len(w), m)))
         held.clear()
 
     for a, _, data, offsets in text_chunks(column):
-        for m, window, (row, first, end) in _screened(index, data, offsets):
-            held.setdefault(m, []).append((window, (a + row, first, end)))
+        for m, window, (row, first, end, size) in _screened(index, data, offsets):
+            held.setdefault(m, []).append((window, (a + row, first, end, size)))
             waiting += len(window)
         if waiting > GATHERED:
             match()
@@ -293,8 +320,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, reca
 
     A row for each document row and item that it leaks: its nearest window,
     the first of equals; start and end are code points, end exclusive.
-    Null and empty texts leak nothing, nor do null items and items with
-    fewer than 8 words, which are too common. Equal items with other ids are
+    Null and empty texts leak nothing, nor do null items and items without
+    words; items with fewer than 8 words leak where they occur exactly. A
+    text shorter than an item leaks it as a whole or not at all. Equal items with other ids are
     items of their own; of an id with several texts the nearest counts.
     Repeated document rows are repeated; other columns are not read.
     """
