@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from topicframe.llm.alignment import op13_cross_tokenizer_alignment
 from topicframe.llm.chat import OP1_SQL, op1_chat_perspectives
 from topicframe.llm.common import bounded_batches
 from topicframe.llm.decontaminate import op2_cgk_decontamination
@@ -25,6 +26,7 @@ BUILDERS = {
     "op8_ngram_perplexity": op8_ngram_perplexity,
     "op9_url_filter": op9_url_filter,
     "op10_suffix_tree_lm": op10_suffix_tree_lm,
+    "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 
 BUILDERS = {name: bounded_batches(query) for name, query in BUILDERS.items()}
