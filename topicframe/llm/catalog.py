@@ -13,6 +13,7 @@ from topicframe.llm.secrets import op3_secret_scan
 from topicframe.llm.shards import op5_histogram_shards
 from topicframe.llm.suffix_tree import op10_suffix_tree_lm
 from topicframe.llm.toxicity import op6_toxicity
+from topicframe.llm.trie import op11_prefix_trie
 from topicframe.llm.url_filter import OP9_SQL, op9_url_filter
 
 BUILDERS = {
@@ -26,6 +27,7 @@ BUILDERS = {
     "op8_ngram_perplexity": op8_ngram_perplexity,
     "op9_url_filter": op9_url_filter,
     "op10_suffix_tree_lm": op10_suffix_tree_lm,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 
