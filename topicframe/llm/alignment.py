@@ -28,6 +28,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 #: Chunks whose blocks a worker keeps; the table is emptied when it is full.
-KEPT_CHUNKS = 300_000
+KEPT_CHUNKS = 600_000
 #: Their characters, likewise.
 KEPT_CHARS = 1 << 24
 #: A chunk of more characters is encoded by the library whose merging does not slow down with length.
@@ -197,16 +198,17 @@ class Aligner:
     def blocks(self, texts: list[str]) -> Blocks:
         """Texts that begin with a space, tokenised and laid end to end; those that are not spelt have no tokens."""
         a_ids, b_ids = self.byte(texts), self.piece(texts)
-        ok = np.zeros(len(texts), bool)
-        sizes = np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            raw = text.encode("utf-8", "surrogatepass")
-            sizes[k] = len(raw)
-            # bytes of A's tokens are the text's own: they are ranks of its bytes
-            ok[k] = b"".join(map(self.piece.bytes.__getitem__, b_ids[k])) == raw and int(self.byte.lengths[a_ids[k]].sum()) == len(raw)
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a_ids, b_ids))
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
+        spelt = self.piece.bytes.__getitem__
+        ok = np.fromiter((b"".join(map(spelt, ids)) == r for ids, r in zip(b_ids, raw, strict=True)), bool, len(raw))
+        # A's tokens are runs of the text's own bytes, so they spell it if they are as long
+        ok &= np.bincount(np.repeat(np.arange(len(raw)), n_a), self.byte.lengths[a], len(raw)) == np.fromiter(map(len, raw), np.int64, len(raw))
+        if not ok.all():
+            a, b = a[np.repeat(ok, n_a)], b[np.repeat(ok, n_b)]
+            n_a, n_b = n_a[ok], n_b[ok]
         good = np.flatnonzero(ok)
-        n_a, n_b = (np.array([len(ids[k]) for k in good], np.int64) for ids in (a_ids, b_ids))
-        a, b = (np.fromiter((t for k in good for t in ids[k]), np.int64) for ids in (a_ids, b_ids))
         a_end, b_end = np.cumsum(self.byte.lengths[a]), np.cumsum(self.piece.lengths[b])
         return Blocks(
             a, b, a_end - self.byte.lengths[a], a_end, b_end - self.piece.lengths[b], b_end,
@@ -301,19 +303,16 @@ class Aligner:
 
 def group_strings(found: Blocks, n: int) -> list[str]:
     """``a1,a2|b1;a3|b2,b3`` of each of the ``n`` texts, empty where it has no tokens."""
-    out = [""] * n
-    if not len(found.cuts):
-        return out
     a_at = np.searchsorted(found.a_end, found.cuts, "right")
     b_at = np.searchsorted(found.b_end, found.cuts, "right")
-    text = found.a_text[a_at - 1].tolist()
+    text = found.a_text[a_at - 1]
     a, b = list(map(str, found.a.tolist())), list(map(str, found.b.tolist()))
-    parts: list[list[str]] = [[] for _ in range(n)]
-    i = j = 0
-    for t, i2, j2 in zip(text, a_at.tolist(), b_at.tolist(), strict=True):
-        parts[t].append(f"{','.join(a[i:i2])}|{','.join(b[j:j2])}")
-        i, j = i2, j2
-    return [";".join(p) for p in parts]
+    one = [
+        f"{a[i]}|{b[j]}" if i2 - i == 1 == j2 - j else f"{','.join(a[i:i2])}|{','.join(b[j:j2])}"
+        for i, i2, j, j2 in zip([0, *a_at[:-1].tolist()], a_at.tolist(), [0, *b_at[:-1].tolist()], b_at.tolist(), strict=True)
+    ]
+    ends = np.searchsorted(text, np.arange(n), "right").tolist()
+    return [";".join(one[i:j]) for i, j in zip([0, *ends], ends, strict=False)]
 
 
 def chunked(text: str, size: int = PIECE_CHARS) -> Iterator[list[str]]:
