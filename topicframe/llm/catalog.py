@@ -9,6 +9,7 @@ from topicframe.llm.decontaminate import op2_cgk_decontamination
 from topicframe.llm.ngram_join import op4_ngram_jaccard
 from topicframe.llm.packing import op7_best_fit_packing
 from topicframe.llm.perplexity import op8_ngram_perplexity
+from topicframe.llm.pii import op12_personal_data
 from topicframe.llm.secrets import op3_secret_scan
 from topicframe.llm.shards import op5_histogram_shards
 from topicframe.llm.suffix_tree import op10_suffix_tree_lm
@@ -28,6 +29,7 @@ BUILDERS = {
     "op9_url_filter": op9_url_filter,
     "op10_suffix_tree_lm": op10_suffix_tree_lm,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_personal_data": op12_personal_data,
     "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 
