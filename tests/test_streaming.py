@@ -101,17 +101,18 @@ def test_only_committed_batches_are_read(spark, tmp_dir):
     table = TopicTable(spark, f"{tmp_dir}/t", topic="t")
     table.append(_messages(spark, ["a"]))
     # a crash before the commit: files are staged, the log does not have them
-    _messages(spark, ["lost"]).withColumns({"offset": F.lit(9), "timestamp": F.current_timestamp(), "timestampType": F.lit(0)}).write.partitionBy("partition").parquet(f"{table.path}/_staged/v=1")
+    _messages(spark, ["lost"]).withColumns({"offset": F.lit(9), "timestamp": F.current_timestamp(), "timestampType": F.lit(0)}).write.partitionBy("partition").parquet(f"{table.path}/_staged/lost")
     from topicframe.sources.topic import read_topic
 
     assert [r.value.decode() for r in read_topic(spark, table.path).collect()] == ["a"]
     table.append(_messages(spark, ["b"]))
     assert _stored(table) == [(0, "a"), (1, "b")]
-    # a crash after the log entry: the next writer finishes the commit
+    # a crash after the log entry: whoever reads the log next finishes the commit
     from topicframe.session import rename
 
-    rename(spark, f"{table.data_path}/batch_id=1", f"{table.path}/_staged/v=1")
-    assert _stored(table) == [(0, "a")]
+    rename(spark, f"{table.data_path}/batch_id=1", f"{table.path}/_staged/{table.commits()[1].id}")
+    table = TopicTable(spark, table.path, topic="t")
+    assert _stored(table) == [(0, "a"), (1, "b")]
     table.append(_messages(spark, ["c"]))
     assert _stored(table) == [(0, "a"), (1, "b"), (2, "c")]
 

@@ -36,7 +36,7 @@ from topicframe.sources.topic import read_topic
 from topicframe.sources.sink import write_topic
 from topicframe.sources.topic_table import TopicTable
 from topicframe.streaming import stream as st
-from topicframe.streaming.incremental import run_incremental
+from topicframe.streaming.incremental import run_incremental, run_into_table, run_paced
 
 # The declared record schema of the events topic payload.
 EVENT_SCHEMA = T.StructType(
@@ -56,6 +56,9 @@ RATE, RATE_INTERVAL_S = 100, 2
 RECORD_CAP = 3
 PINNED_READ_MS = 1700000000000
 INCREMENTAL_START, INCREMENTAL_CAP = 50, 50
+PACED_RATE, PACED_INTERVAL_S = 1000, 2
+SPLIT_BYTES = 64 << 10
+FAR_OFFSET = 1_000_000
 SYSLOG_YEAR = 2024
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -132,8 +135,27 @@ def q_resolve_sentinels(spark, sf):
 
 
 def q_slice_offsets(spark, sf):
+    table = events_topic_table(spark, sf)
+    return _text(table.slice(_ranges(spark, sf)), "value").select("partition", "offset", "value")
+
+
+def q_slice_uneven(spark, sf):
+    """Partition 0 early, partition 1 a million offsets on: each has its own interval, and only files that hold one are read."""
     t = _t(spark, sf)
-    return _text(off.slice_offsets(t, _ranges(spark, sf)), "value").select("partition", "offset", "value")
+    far = t.withColumn("offset", F.when(F.col("partition") == 1, F.col("offset") + FAR_OFFSET).otherwise(F.col("offset")))
+    table = TopicTable(spark, work_dir(spark, "uneven"), topic="events")
+    table.put(far)
+    ranges = spark.createDataFrame([(0, 10, 60), (1, FAR_OFFSET + 20, 2 * FAR_OFFSET)], "partition int, from_offset long, until_offset long")
+    return _text(table.slice(ranges), "value").select("partition", "offset", "value")
+
+
+def q_read_splits(spark, sf):
+    """Web pages as a topic, cut into ranges of about 64 KiB: a hot partition is many splits."""
+    return off.read_splits(pages_topic_table(spark, sf).read(), SPLIT_BYTES).select("partition", "split", "from_offset", "until_offset", "n", "bytes")
+
+
+def q_running_bytes(spark, sf):
+    return off.running_bytes(_t(spark, sf)).select("partition", "offset", "bytes", "running")
 
 
 def q_rate_capped_ranges(spark, sf):
@@ -142,9 +164,8 @@ def q_rate_capped_ranges(spark, sf):
 
 
 def q_record_capped_read(spark, sf):
-    t = _t(spark, sf)
     r = off.cap_records(_ranges(spark, sf), RECORD_CAP)
-    return _text(read_topic(spark, t, ranges=r), "value").select("partition", "offset", "value")
+    return _text(read_topic(spark, events_topic_table(spark, sf), ranges=r), "value").select("partition", "offset", "value")
 
 
 def q_estimate_read_bytes(spark, sf):
@@ -483,6 +504,38 @@ def q_stream_from_offsets(spark, sf):
     return spark.read.parquet(out).select("p", "o", "event_id")
 
 
+def q_paced_stream(spark, sf):
+    """The whole topic drained at an exact rate per partition: messages of each run and partition."""
+    table = events_topic_table(spark, sf)
+    out, store = work_dir(spark, "paced-out"), led.LedgerStore(spark, work_dir(spark, "paced-ledger"))
+    run_paced(table, store, lambda b, run: b.select("partition", "offset").write.mode("overwrite").parquet(f"{out}/run={run}"),
+              PACED_RATE, PACED_INTERVAL_S, wait=False)
+    return spark.read.parquet(out).groupBy("run", "partition").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_stream_dead_letters(spark, sf):
+    """A stream with damaged messages: good records and dead letters of each micro-batch from one decode."""
+    t = _t(spark, sf).withColumn("_f", dec.payload_struct("value", "csv", EVENT_SCHEMA))
+    short = delimited(["_f.event_id", "_f.user_id", "_f.event_type"]).cast("binary")
+    source = TopicTable(spark, work_dir(spark, "dead-src"), topic="events")
+    source.put(t.withColumn("value", F.when(F.col("_f.event_id") % 3 == 0, short).otherwise(F.col("value"))))
+    out = work_dir(spark, "dead-out")
+    st.run_stream(st.read_topic_stream(spark, source).select("partition", "offset", "value"),
+                  st.dead_letter_sink(out, "csv", EVENT_SCHEMA), work_dir(spark, "dead-ckpt"))
+    found = spark.read.parquet(out).withColumn("bad", F.col("bad").cast("boolean"))
+    good = [F.when(~F.col("bad"), F.col(c)).alias(c) for c in EVENT_COLS]
+    return found.select("partition", "offset", "bad", *good, F.col("dead_letter").cast("string").alias("dead_letter"))
+
+
+def q_incremental_into_table(spark, sf):
+    """Two capped runs whose output and ledger are one commit of the target table."""
+    target = TopicTable(spark, work_dir(spark, "into"), topic="events_copy")
+    for _ in range(2):
+        run_into_table(events_topic_table(spark, sf), target, "copier",
+                       lambda b: b.select("partition", "key", "value", F.col("offset").alias("sent")), max_records=INCREMENTAL_CAP, order_cols=["sent"])
+    return _text(target.read(), "value").select("partition", "offset", "value")
+
+
 def q_resume_two_topics(spark, sf):
     """A ledger that remembers two topics resumes each at its own offsets."""
     t = _t(spark, sf)
@@ -499,19 +552,19 @@ def q_incremental_beyond_end(spark, sf):
     store = led.LedgerStore(spark, work_dir(spark, "beyond"))
     outs = [work_dir(spark, f"beyond{i}") for i in (1, 2)]
     for path, known in zip(outs, (bounds, table.bounds())):
-        run_incremental(table.read(), store, lambda b, p=path: b.write.mode("overwrite").parquet(p),
+        run_incremental(table, store, lambda b, p=path: b.write.mode("overwrite").parquet(p),
                         initial={p: 8 for p in range(4)}, bounds=known)
     return spark.read.parquet(*outs).select("partition", "offset")
 
 
 def q_incremental_run_2(spark, sf):
-    t, bounds = _t(spark, sf), _bounds(spark, sf)
+    table = events_topic_table(spark, sf)
+    bounds = table.bounds()
     store = led.LedgerStore(spark, work_dir(spark, "ledger"))
     store.save(bounds.select("topic", "partition", F.lit(INCREMENTAL_START).cast("bigint").alias("next_offset")))
     outs = [work_dir(spark, f"run{i}") for i in (1, 2)]
     for path in outs:
-        run_incremental(t, store, lambda b, p=path: b.write.mode("overwrite").parquet(p),
-                        max_records=INCREMENTAL_CAP, bounds=bounds)
+        run_incremental(table, store, lambda b, p=path: b.write.mode("overwrite").parquet(p), max_records=INCREMENTAL_CAP)
     return spark.read.parquet(outs[1]).select("partition", "offset")
 
 
@@ -527,6 +580,12 @@ BUILDERS: dict[str, Builder] = {
     "resolve_start_offsets": q_resolve_start_offsets,
     "resolve_sentinels": q_resolve_sentinels,
     "slice_offsets": q_slice_offsets,
+    "slice_uneven": q_slice_uneven,
+    "read_splits": q_read_splits,
+    "running_bytes": q_running_bytes,
+    "paced_stream": q_paced_stream,
+    "stream_dead_letters": q_stream_dead_letters,
+    "incremental_into_table": q_incremental_into_table,
     "rate_capped_ranges": q_rate_capped_ranges,
     "record_capped_read": q_record_capped_read,
     "estimate_read_bytes": q_estimate_read_bytes,
@@ -599,6 +658,22 @@ _BODIES = {
     "resolve_start_offsets": 'select p as "partition", coalesce(next_offset, lo) as start_offset from b left join led using (p)',
     "resolve_sentinels": 'select p as "partition", f as from_offset from r',
     "slice_offsets": 'select "partition", "offset", "value" from t join r on p = "partition" where "offset" >= f and "offset" < hi',
+    "slice_uneven": """select "partition", "offset" + case when "partition" = 1 then 1000000 else 0 end as "offset", "value" from t
+ where ("partition" = 0 and "offset" between 10 and 59) or ("partition" = 1 and "offset" >= 20)""",
+    "read_splits": """select p as "partition", row_number() over (partition by p order by k) - 1 as split, f as from_offset,
+ coalesce(lead(f) over (partition by p order by k), e) as until_offset, n, bytes from (
+ select p, k, min(o) as f, max(o) + 1 as e, count(*) as n, cast(sum(size) as bigint) as bytes from (
+ select p, o, size, cast(sum(size) over (partition by p order by o) - size as bigint) // 65536 as k from (
+ select cast(page_id % 8 as int) as p, row_number() over (partition by page_id % 8 order by page_id) - 1 as o,
+ coalesce(strlen(html), 0) as size from pages)) group by p, k)""",
+    "running_bytes": """select "partition", "offset", cast(strlen("value") as bigint) as bytes,
+ cast(sum(strlen("value")) over (partition by "partition" order by "offset") as bigint) as running from t""",
+    "paced_stream": 'select cast("offset" // 2000 as int) as run, "partition", count(*) as n from t group by all',
+    "stream_dead_letters": """select "partition", "offset", event_id % 3 = 0 as bad,
+ case when event_id % 3 <> 0 then event_id end as event_id, case when event_id % 3 <> 0 then user_id end as user_id,
+ case when event_id % 3 <> 0 then event_type end as event_type, case when event_id % 3 <> 0 then amount end as amount,
+ case when event_id % 3 = 0 then concat(event_id,',',user_id,',',event_type) end as dead_letter from t""",
+    "incremental_into_table": 'select "partition", "offset", "value" from t where "offset" < 100',
     "rate_capped_ranges": 'select p as "partition", f as from_offset, least(hi, f + 100*2) as until_offset from r',
     "record_capped_read": 'select "partition", "offset", "value" from t join r on p = "partition" where "offset" >= f and "offset" < least(hi, f+3)',
     "estimate_read_bytes": 'select p as "partition", (hi-f)*1024 as est_bytes from r',

@@ -19,14 +19,14 @@ from pyspark.sql.streaming import StreamingQuery
 from topicframe.operators.decode import to_records
 from topicframe.operators.encode import encode_key, message_time, route
 from topicframe.operators.ledger import LedgerStore, ledger_upsert
-from topicframe.operators.offsets import EARLIEST, LATEST, select_partitions, slice_offsets
+from topicframe.operators.offsets import EARLIEST, LATEST, select_partitions
 from topicframe.operators.registry import encode_registry_avro, encode_registry_key
 from topicframe.schema import ContractError, SinkConfig, SourceConfig, parse_initial_offsets, parse_partitions
 from topicframe.sources.kafka import kafka_range_options
 from topicframe.sources.sink import write_topic
 from topicframe.sources.topic import read_topic
 from topicframe.sources.topic_table import TopicTable
-from topicframe.streaming.incremental import plan_ranges
+from topicframe.streaming.incremental import plan_ranges, read_ranges
 from topicframe.streaming.stream import read_topic_stream, stream_start, write_topic_stream
 
 
@@ -103,14 +103,14 @@ def open_source(
                 begin = stream_start(table, initial, default, _of_topic(ledger, cfg.topic) if ledger is not None else None, starts)
             else:
                 begin = None
-            df = read_topic_stream(spark, table.path, parts, max_files_per_trigger, begin)
+            df = read_topic_stream(spark, table, parts, max_files_per_trigger, begin)
             return _records(df, cfg, schema, keep_position)
-        df = select_partitions(table.read(), parts)
+        df = table
     if not streaming:
         # the configured default -1 is the streaming one; a bounded read begins at the earliest
         default = EARLIEST if cfg.default_offset in (None, LATEST) else cfg.default_offset
         saved = _of_topic(ledger, cfg.topic) if ledger is not None else None
-        df = slice_offsets(df, plan_ranges(df, saved=saved, initial=initial, default=default, partitions=parts, bounds=bounds))
+        df = read_ranges(df, plan_ranges(df, saved=saved, initial=initial, default=default, partitions=parts, bounds=bounds), parts)
     return _records(df, cfg, schema, keep_position)
 
 
@@ -136,8 +136,8 @@ def open_bounded(
             raise ContractError(["a bounded Kafka run needs the partitions' earliest and latest offsets"])
     elif topic is None:
         table = source if isinstance(source, TopicTable) else TopicTable(spark, source, cfg.topic)
-        topic, bounds = table.read(), table.bounds()
-    previous = store.read()
+        topic, bounds = table, table.bounds()
+    previous = store.rows()
     ranges = plan_ranges(topic, saved=_of_topic(previous, cfg.topic), initial=parse_initial_offsets(cfg.initial_offsets, []),
                          default=EARLIEST, max_records=cfg.max_records, partitions=parts, bounds=bounds)
     if "topic" not in ranges.columns and cfg.topic:
@@ -145,7 +145,7 @@ def open_bounded(
     if topic is None:
         batch = spark.read.format("kafka").options(**kafka_range_options(_kafka_source(cfg), parts, ranges)).load()
     else:
-        batch = slice_offsets(select_partitions(topic, parts), ranges)
+        batch = read_ranges(topic, ranges, parts)
     records = _records(batch, cfg, schema)
 
     def commit() -> None:

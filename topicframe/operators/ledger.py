@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicframe.operators.offsets import with_position_value
-from topicframe.plans.small import sized
+from topicframe.plans.small import known_rows, sized
 from topicframe.session import list_dirs, path_exists, remove
 
 LEDGER_SCHEMA = T.StructType(
@@ -25,6 +25,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("next_offset", T.LongType(), True),
     ]
 )
+LEDGER_DDL = "topic string, partition int, next_offset bigint"
 _JSON_SCHEMA = "partitionOffsets map<string, bigint>"
 
 
@@ -109,11 +110,15 @@ class LedgerStore:
         """Newest complete version (strictly before ``before`` if given)."""
         newest = self.newest(before)
         if newest is None:
-            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+            return known_rows(self.spark, [], LEDGER_DDL)
         text = self.spark.read.text(f"{self.path}/v={newest}").withColumnRenamed("value", "ledger_json")
         rows = text.select(F.get_json_object("ledger_json", "$.topic").alias("topic"), "ledger_json")
         return ledger_from_json(rows).select("topic", "partition", "next_offset")
 
+    def rows(self) -> DataFrame:
+        """The newest ledger, read once: a row a topic partition, kept in the plan."""
+        return known_rows(self.spark, [tuple(r) for r in self.read().collect()], LEDGER_DDL)
+
     def save(self, ledger: DataFrame, version: int | None = None) -> int:
         """Write ``ledger`` as version ``version`` (default: newest + 1)."""
         if version is None:

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicframe.plans.numbering import number_rows
-from topicframe.plans.small import sized
+from topicframe.plans.numbering import number_rows, running_sum
+from topicframe.plans.small import known_rows, sized
 
 EARLIEST = -2
 LATEST = -1
@@ -87,7 +87,7 @@ def latest_offsets(df: DataFrame) -> DataFrame:
 def offsets_frame(spark: SparkSession, offsets: dict[int, int] | None, name: str = "offset") -> DataFrame:
     """``{partition: offset}`` → DataFrame ``partition int, <name> bigint``."""
     rows = [(int(p), int(o)) for p, o in (offsets or {}).items()]
-    return spark.createDataFrame(rows, f"partition int, {name} bigint")
+    return known_rows(spark, rows, f"partition int, {name} bigint")
 
 
 def resolve_start_offsets(
@@ -149,34 +149,75 @@ def resolve_sentinels(starts: DataFrame, bounds: DataFrame | None = None) -> Dat
     )
 
 
-def range_prefilter(rows: list) -> Column:
-    """Static filter that holds for every row of the collected ranges: their
-    partitions (folders are pruned) and the lowest and highest offset (pushed
-    into the scan, which skips row groups)."""
-    rows = [r for r in rows if r.from_offset is not None and r.until_offset is not None and r.until_offset > r.from_offset]
-    if not rows:
+#: Intervals that a filter lists at most; more are joined.
+MOST_INTERVALS = 500
+
+
+def merged_intervals(ranges: DataFrame) -> list[tuple[str | None, int, int, int]]:
+    """(topic, partition, from, until) of the ranges that are not empty, those that meet joined; a null topic is any.
+
+    The range frame has a row per topic partition, or some (read splits): the
+    metadata Spark's Kafka source plans with too.
+    """
+    topic = F.col("topic") if "topic" in ranges.columns else F.lit(None).cast("string")
+    rows = ranges.where("until_offset > from_offset AND partition IS NOT NULL").select(topic.alias("topic"), "partition", "from_offset", "until_offset").collect()
+    out: list[tuple[str | None, int, int, int]] = []
+    for r in sorted(map(tuple, rows), key=lambda r: (r[0] is not None, r[0] or "", *r[1:])):
+        if out and out[-1][:2] == r[:2] and r[2] <= out[-1][3]:
+            out[-1] = (*out[-1][:3], max(out[-1][3], r[3]))
+        else:
+            out.append(r)
+    return out
+
+
+def _any(terms: list[Column]) -> Column:
+    """OR of the terms as a balanced tree."""
+    if not terms:
         return F.lit(False)
-    low, high = min(r.from_offset for r in rows), max(r.until_offset for r in rows)
-    return F.col("partition").isin(sorted({r.partition for r in rows})) & (F.col("offset") >= low) & (F.col("offset") < high)
+    while len(terms) > 1:
+        terms = [a | b for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) - len(terms) % 2 :]
+    return terms[0]
+
+
+def range_predicate(intervals: list[tuple[str | None, int, int, int]]) -> Column:
+    """Exactly the offsets of the intervals, each in its own partition.
+
+    Spark takes the partitions out of it (folders are pruned); the lowest and
+    highest offset are stated too, which it pushes into the scan.
+    """
+    if not intervals:
+        return F.lit(False)
+    by_place: dict[tuple, list[int]] = {}
+    for topic, partition, low, high in intervals:
+        by_place.setdefault((topic, low, high), []).append(partition)
+    terms = []
+    for (topic, low, high), partitions in by_place.items():
+        term = F.col("partition").isin(partitions) & (F.col("offset") >= low) & (F.col("offset") < high)
+        terms.append(term if topic is None else term & (F.col("topic") == topic))
+    low, high = min(i[2] for i in intervals), max(i[3] for i in intervals)
+    return (F.col("offset") >= low) & (F.col("offset") < high) & _any(terms)
 
 
 def slice_offsets(df: DataFrame, ranges: DataFrame) -> DataFrame:
     """Rows with ``from_offset <= offset < until_offset`` of their partition.
 
-    The range frame, one row per topic partition, is collected once (the
-    metadata Spark's Kafka source plans with too): its hull is a static
-    filter of the scan, and the stored ranges are joined for the exact check.
-    Partitions without a range are dropped.
+    The ranges become one static filter with an interval a partition. More
+    than ``MOST_INTERVALS`` of them are stored and joined, and the filter
+    keeps their partitions and the lowest and highest offset. Partitions
+    without a range are dropped; overlapping ranges give a row once.
     """
-    keys = join_keys(df, ranges)
-    schema = ranges.select(*keys, "from_offset", "until_offset").schema
-    rows = ranges.select(*schema.fieldNames()).collect()
-    known = sized(df.sparkSession.createDataFrame(rows, schema), "ranges")
-    return (
-        df.where(range_prefilter(rows)).join(known, keys, "inner")
-        .where((F.col("offset") >= F.col("from_offset")) & (F.col("offset") < F.col("until_offset")))
-        .select(*df.columns)
-    )
+    if "topic" not in df.columns:
+        ranges = ranges.drop("topic")
+    intervals = merged_intervals(ranges)
+    if len(intervals) <= MOST_INTERVALS:
+        return df.where(range_predicate(intervals))
+    # folders, and the hull, are still pruned statically
+    wide = [(None, p, min(i[2] for i in intervals), max(i[3] for i in intervals)) for p in sorted({i[1] for i in intervals})]
+    known = known_rows(df.sparkSession, intervals, "_tf_t string, _tf_p int, _tf_from long, _tf_until long")
+    here = (F.col("_tf_p") == F.col("partition")) & (F.col("offset") >= F.col("_tf_from")) & (F.col("offset") < F.col("_tf_until"))
+    if "topic" in df.columns:
+        here = here & (F.col("_tf_t").isNull() | (F.col("_tf_t") == F.col("topic")))
+    return df.where(range_predicate(wide)).join(known, here, "left_semi")
 
 
 def cap_rate(ranges: DataFrame, rate: int, interval_s: float = 1.0) -> DataFrame:
@@ -223,6 +264,39 @@ def message_sizes(df: DataFrame) -> DataFrame:
     )
 
 
+def running_bytes(df: DataFrame, name: str = "running") -> DataFrame:
+    """Payload bytes of each message and of all up to it in its partition.
+
+    ``[topic,] partition, offset, bytes`` and ``name`` (inclusive). Only
+    positions and sizes move; a partition of any size is many tasks.
+    """
+    keys = [c for c in ("topic", "partition") if c in df.columns]
+    sizes = df.select(*keys, "offset", F.coalesce(F.octet_length("value"), F.lit(0)).cast("bigint").alias("bytes"))
+    return running_sum(sizes, keys, ["offset"], "bytes", name)
+
+
+def read_splits(df: DataFrame, target_bytes: int) -> DataFrame:
+    """Ranges of about ``target_bytes`` each, so that one hot partition is many splits.
+
+    ``[topic,] partition, split, from_offset, until_offset, n, bytes``. A split
+    holds the messages that begin in the same stretch of ``target_bytes`` of
+    their partition's bytes, so it has at most that and one message. The
+    splits of a partition meet: a gap in the offsets belongs to the split
+    before it. ``read_topic(ranges=...)`` and ``TopicTable.slice`` read them.
+    """
+    keys = [c for c in ("topic", "partition") if c in df.columns]
+    sized_ = running_bytes(df).withColumn("split", F.floor((F.col("running") - F.col("bytes")) / F.lit(int(target_bytes))))
+    splits = sized_.groupBy(*keys, "split").agg(
+        F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("_tf_end"), F.count(F.lit(1)).alias("n"), F.sum("bytes").cast("bigint").alias("bytes")
+    )
+    # a row a split from here on; a stretch that no message begins in has none
+    order = Window.partitionBy(*keys).orderBy("split")
+    return splits.select(
+        *keys, (F.row_number().over(order) - 1).alias("split"), "from_offset",
+        F.coalesce(F.lead("from_offset").over(order), F.col("_tf_end")).alias("until_offset"), "n", "bytes",
+    )
+
+
 def assign_offsets(
     df: DataFrame,
     ledger: DataFrame | None = None,

@@ -88,3 +88,37 @@ def number_rows(
     return out.withColumn(name, (F.col("_tf_base") + F.col("_tf_pos") + start_col).cast("bigint")).drop(
         "_tf_task", "_tf_pos", "_tf_base", "_tf_t", *[f"_tf_g{i}" for i in range(len(group))]
     )
+
+
+def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str | Column], value: str, name: str) -> DataFrame:
+    """Add ``name`` = sum of ``value`` (bigint) over the rows of the group up to this one, itself included.
+
+    The same plan as :func:`number_rows`: slices of the order, sums inside
+    a slice, and the sums of the slices before. No task holds more than a
+    slice of a group. Ties follow the order in which the rows are read.
+    """
+    group = list(group_cols)
+    keys = [*group, "_tf_task"]
+    df = df.withColumn("_tf_row", F.monotonically_increasing_id())
+    order = _cols(group) + _cols(order_cols) + [F.col("_tf_row")]
+    sliced = (
+        df.repartitionByRange(*order).sortWithinPartitions(*order).drop("_tf_row")
+        .withColumn("_tf_mid", F.monotonically_increasing_id())
+        .withColumn("_tf_task", F.shiftright(F.col("_tf_mid"), _POS_BITS))
+    )
+    sliced = materialize(sliced, "slices")
+    inside = Window.partitionBy(*keys).orderBy("_tf_mid").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*group).orderBy("_tf_task").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sliced.groupBy(*keys).agg(F.sum(value).alias("_tf_sum"))
+    sums = sums.select(
+        *[F.col(c).alias(f"_tf_g{i}") for i, c in enumerate(group)], F.col("_tf_task").alias("_tf_t"),
+        F.coalesce(F.sum("_tf_sum").over(before), F.lit(0)).alias("_tf_base"),
+    )
+    sums = sized(sums, "slice-sums")
+    same = F.col("_tf_task") == F.col("_tf_t")
+    for i, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"_tf_g{i}"))
+    out = sliced.withColumn("_tf_here", F.sum(value).over(inside)).join(sums, same, "inner")
+    return out.withColumn(name, (F.col("_tf_base") + F.coalesce("_tf_here", F.lit(0))).cast("bigint")).drop(
+        "_tf_task", "_tf_mid", "_tf_here", "_tf_base", "_tf_t", *[f"_tf_g{i}" for i in range(len(group))]
+    )

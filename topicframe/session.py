@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -79,10 +80,48 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
     fs, hpath = _fs(spark, old)
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)
     fs.mkdirs(target.getParent())
-    if not fs.rename(hpath, target):
+    if fs.exists(target) or not fs.rename(hpath, target):
         raise OSError(f"cannot rename {old} to {new}")
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text`` at once, or leave what is there and return False.
+
+    The text is written beside it first. A local file is then linked, which
+    fails where the name is taken; elsewhere Hadoop's rename without the
+    overwrite option does that.
+    """
+    fs, hpath = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    fs.mkdirs(hpath.getParent())
+    beside = jvm.org.apache.hadoop.fs.Path(hpath.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(beside, False)
+    out.write(text.encode("utf-8"))
+    out.close()
+    try:
+        if fs.getScheme() == "file":
+            local = [jvm.java.nio.file.Paths.get(p.toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0)) for p in (hpath, beside)]
+            jvm.java.nio.file.Files.createLink(*local)
+        else:
+            none = spark.sparkContext._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(hpath.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(beside, hpath, none)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        fs.delete(beside, False)
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path`` (empty when it does not exist)."""
+    fs, hpath = _fs(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isFile())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote."""
     fs, hpath = _fs(spark, path)

@@ -125,7 +125,7 @@ def read_topic(
 ) -> DataFrame:
     """Bounded topic scan (A2).
 
-    ``source``: a topic DataFrame, the folder of a stored topic table (its
+    ``source``: a topic DataFrame, a stored topic table or its folder (its
     committed batches), or a dict of Kafka options (``format("kafka")``,
     needs the connector jar).
     ``partitions`` selects partitions (A3, pushed to the scan / partition
@@ -145,7 +145,10 @@ def read_topic(
     else:
         from topicframe.sources.topic_table import TopicTable
 
-        df = TopicTable(spark, source).read()
+        table = source if isinstance(source, TopicTable) else TopicTable(spark, source)
+        if ranges is not None:  # only the files that hold them
+            return select_partitions(table.slice(ranges), partitions)
+        df = table.read()
     if partitions:
         df = select_partitions(df, partitions)
     if ranges is not None:

@@ -7,6 +7,7 @@ where this one stopped; a capped run leaves the rest for later.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from topicframe.operators.ledger import LedgerStore, ledger_upsert
 from topicframe.operators.offsets import (
     EARLIEST,
+    cap_rate,
     cap_records,
     partition_bounds,
     resolve_sentinels,
@@ -21,11 +23,12 @@ from topicframe.operators.offsets import (
     select_partitions,
     slice_offsets,
 )
-from topicframe.plans.small import sized
+from topicframe.plans.small import known_rows
+from topicframe.sources.topic_table import TopicTable
 
 
 def plan_ranges(
-    topic: DataFrame,
+    topic: DataFrame | TopicTable,
     store: LedgerStore | None = None,
     saved: DataFrame | None = None,
     initial: DataFrame | dict | None = None,
@@ -34,20 +37,30 @@ def plan_ranges(
     partitions: list[int] | None = None,
     bounds: DataFrame | None = None,
 ) -> DataFrame:
-    """Offset ranges for the next run, one row per partition, computed once and stored.
+    """Offset ranges for the next run, one row per partition, computed once.
 
     ``bounds`` (``[topic,] partition, earliest, latest``, e.g. of a topic
-    table's log) saves the scan of the topic that finds them.
+    table's log) saves the scan of the topic that finds them; a topic table knows its own.
     """
+    if bounds is None and isinstance(topic, TopicTable):
+        bounds = topic.bounds()
     bounds = select_partitions(partition_bounds(topic) if bounds is None else bounds, partitions)
     if saved is None and store is not None:
         saved = store.read()
     starts = resolve_start_offsets(bounds, saved, initial, default)
-    return sized(cap_records(resolve_sentinels(starts), max_records), "ranges")
+    ranges = cap_records(resolve_sentinels(starts), max_records)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranges.schema.fields)
+    return known_rows(ranges.sparkSession, [tuple(r) for r in ranges.collect()], ddl)  # a row a partition
+
+
+def read_ranges(topic: DataFrame | TopicTable, ranges: DataFrame, partitions: list[int] | None = None) -> DataFrame:
+    """The messages of the ranges: of a topic table only the files that hold them."""
+    batch = topic.slice(ranges) if isinstance(topic, TopicTable) else slice_offsets(topic, ranges)
+    return select_partitions(batch, partitions)
 
 
 def run_incremental(
-    topic: DataFrame,
+    topic: DataFrame | TopicTable,
     store: LedgerStore,
     sink: Callable[[DataFrame], None],
     max_records: int = -1,
@@ -63,11 +76,81 @@ def run_incremental(
     repeated from the same offsets (at-least-once; idempotent sinks make it
     effectively-once).
     """
-    previous = store.read()
+    previous = store.rows()
     ranges = plan_ranges(topic, saved=previous, initial=initial, default=default,
                          max_records=max_records, partitions=partitions, bounds=bounds)
-    batch = slice_offsets(select_partitions(topic, partitions), ranges)
+    batch = read_ranges(topic, ranges, partitions)
     sink(transform(batch) if transform else batch)
     has_previous = previous.limit(1).count() > 0
     store.save(ledger_upsert(previous if has_previous else None, ranges))
     return ranges
+
+
+def run_into_table(
+    topic: DataFrame | TopicTable,
+    target: TopicTable,
+    reader: str,
+    transform: Callable[[DataFrame], DataFrame],
+    max_records: int = -1,
+    initial: DataFrame | dict | None = None,
+    default: int = EARLIEST,
+    partitions: list[int] | None = None,
+    order_cols: list | None = None,
+) -> int | None:
+    """One bounded run whose output and ledger are one commit of ``target`` (F2, F10); returns its version.
+
+    ``transform`` turns the run's messages into an outbound frame. What
+    ``reader`` has read is remembered by the commit that holds the output, so a
+    crash leaves both or neither and the next run repeats nothing. Returns
+    None, and commits nothing, when there is nothing to read.
+    """
+    previous = target.ledger(reader)
+    ranges = plan_ranges(topic, saved=previous, initial=initial, default=default, max_records=max_records, partitions=partitions)
+    new = ledger_upsert(previous if previous.limit(1).count() else None, ranges).select("topic", "partition", "next_offset").collect()  # a row a partition
+    if not ranges.where("until_offset > from_offset").limit(1).count():
+        return None
+    done = [c.batch for c in target.commits() if c.reader == reader]
+    return target.append(
+        transform(read_ranges(topic, ranges, partitions)), batch_id=max(done, default=-1) + 1, order_cols=order_cols,
+        writer=f"reader {reader}", reader=reader, ledger=[tuple(r) for r in new],
+    )
+
+
+def run_paced(
+    table: TopicTable,
+    store: LedgerStore,
+    sink: Callable[[DataFrame, int], None],
+    rate: int,
+    interval_s: float = 1.0,
+    wait: bool = True,
+    runs: int | None = None,
+    initial: DataFrame | dict | None = None,
+    default: int = EARLIEST,
+    partitions: list[int] | None = None,
+) -> int:
+    """Drain a topic table at an exact rate per partition (A10); returns the number of runs.
+
+    Spark's own limits cap files or the total of a trigger. Here each
+    micro-run is planned from the log: from the ledger's offsets, at most
+    ``rate`` x ``interval_s`` messages of each partition (one at least).
+    ``sink(batch, run)`` gets them, then the ledger is saved, so a stopped
+    drain goes on where it stopped and a failed run is repeated with the same
+    range. ``run`` counts on from the ledger's versions, so it names the same
+    batch when a run is repeated. The next run begins ``interval_s`` after
+    this one began (``wait=False``: at once). Ends when nothing is left, or after ``runs``.
+    """
+    done = 0
+    while runs is None or done < runs:
+        began = time.monotonic()
+        previous = store.rows()
+        planned = plan_ranges(table, saved=previous, initial=initial, default=default, partitions=partitions)
+        ranges = cap_rate(planned, rate, interval_s)
+        if not ranges.where("until_offset > from_offset").limit(1).count():
+            break
+        newest = store.newest()
+        sink(read_ranges(table, ranges, partitions), 0 if newest is None else newest + 1)
+        store.save(ledger_upsert(previous if previous.limit(1).count() else None, ranges))
+        done += 1
+        if wait and (runs is None or done < runs):
+            time.sleep(max(0.0, interval_s - (time.monotonic() - began)))
+    return done

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,18 +27,20 @@ POSITION = {"_topic": "topic", "_partition": "partition", "_offset": "offset"}
 
 def read_topic_stream(
     spark: SparkSession,
-    source: str | dict,
+    source: str | TopicTable | dict,
     partitions: list[int] | None = None,
     max_files_per_trigger: int | None = None,
     ledger: DataFrame | None = None,
 ) -> DataFrame:
     """Unbounded topic scan (A1).
 
-    ``source``: Kafka options (see ``sources.kafka.kafka_read_options``) or the
-    folder of a topic table (its committed files are streamed one by one).
+    ``source``: Kafka options (see ``sources.kafka.kafka_read_options``) or a
+    topic table or its folder (its committed files are streamed one by one).
     ``ledger`` (``[topic,] partition, next_offset``) starts each partition at its
-    remembered offset (F3): a stream-static join for topic tables; for Kafka
-    pass ``saved_offsets`` in the options instead.
+    remembered offset (F3): the table's log tells the first commit of each
+    partition that has it, and the folders of earlier ones are not read; the
+    exact offset is a stream-static join. For Kafka pass ``saved_offsets`` in
+    the options instead.
     """
     if isinstance(source, dict):
         from topicframe.sources.kafka import kafka_read_options
@@ -49,12 +51,30 @@ def read_topic_stream(
     reader = spark.readStream.schema(TOPIC_TABLE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    data = f"{source.rstrip('/')}/data"
-    df = reader.option("basePath", data).parquet(data).select(*TOPIC_COLUMNS)
-    df = select_partitions(df, partitions)
+    table = source if isinstance(source, TopicTable) else TopicTable(spark, source)
+    df = reader.option("basePath", table.data_path).parquet(table.data_path)
+    if ledger is not None:
+        df = df.where(unread_commits(table, ledger))
+    df = select_partitions(df.select(*TOPIC_COLUMNS), partitions)
     return resume_from_ledger(df, ledger) if ledger is not None else df
 
 
+def unread_commits(table: TopicTable, ledger: DataFrame) -> Column:
+    """A filter on folders alone (batch_id, partition): commits that can hold a message at or after
+    the ledger's offsets. Partitions that the ledger does not name are taken whole."""
+    topic = F.col("topic") if "topic" in ledger.columns else F.lit(None).cast("string")
+    rows = ledger.where("partition IS NOT NULL AND next_offset IS NOT NULL").select(topic.alias("topic"), "partition", "next_offset").collect()  # a row a topic partition
+    first = table.first_versions({(r.topic, r.partition): r.next_offset for r in rows})
+    # another topic of the table may have the same partition: the ledger does not speak for it
+    named = {r.topic for r in rows}
+    if None not in named and any(r.topic not in named for c in table.commits() for r in c.ranges):
+        return F.lit(True)
+    keep = ~F.col("partition").isin(list(first)) if first else F.lit(True)
+    for version in sorted(set(first.values())):
+        keep = keep | (F.col("partition").isin([p for p, v in first.items() if v == version]) & (F.col("batch_id") >= version))
+    return keep
+
+
 def stream_start(
     table: TopicTable,
     initial: dict | None,
@@ -113,6 +133,24 @@ def batch_folder_sink(path: str, fmt: str = "parquet") -> Callable[[DataFrame, i
     return write
 
 
+def dead_letter_sink(path: str, fmt: str, schema, value_col: str = "value", bad: str = "bad", **decoding) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes good records and malformed messages of a micro-batch in one pass.
+
+    Each message is decoded once, and one write puts both halves into
+    ``path/batch_id=N/<bad>=false`` and ``...=true``, so they share a batch id
+    and a replayed batch rewrites both. Malformed messages keep their payload
+    as ``dead_letter``, which is null for good ones.
+    """
+    from topicframe.operators.decode import split_malformed
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        flagged = split_malformed(batch, fmt, schema, value_col=value_col, flag=bad, **decoding)
+        out = flagged.withColumn("dead_letter", F.when(F.col(bad), F.col(value_col))).drop(value_col)
+        out.write.mode("overwrite").partitionBy(bad).parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+    return write
+
+
 def topic_table_sink(table: TopicTable, writer: str, order_cols: list | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function appending each micro-batch to a topic table.
 
