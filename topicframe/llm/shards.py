@@ -23,6 +23,7 @@ Probes a round: splitters x ``probes``; the driver holds nothing else.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,8 +91,9 @@ def _drawn(keys: DataFrame, spans: list[tuple[int, int, float]], turn: int) -> l
     ends = sorted({x for a, b, _ in spans for x in (a, b) if x < 1 << 128})
     high, low = _split(ends)
     share = np.zeros(len(ends) + 1)
+    place = {end: k for k, end in enumerate(ends)}
     for a, _, rate in spans:
-        share[ends.index(a) + 1] = rate
+        share[place[a] + 1] = rate
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -135,15 +137,24 @@ def find_splitters(keys: DataFrame, n_ranges: int, tolerance: float, probes: int
         # a key and its successor: what lies between them is the ties of that key
         asked = sorted({p for key in drawn for p in (key, key + 1) if p < high})
         below = _below(keys, asked) if asked else []
+        bytes_below = [b[0] for b in below]
         for k in todo:
             target, span = ideal * (k + 1), spans[k]
-            for p, under in zip(asked, below, strict=True):
-                if span[0] < p < span[2]:
-                    if under[0] <= target:
-                        span[0], span[1] = p, under
-                    else:
-                        span[2], span[3] = p, under
-                        break
+            after = bisect_right(bytes_below, target)  # the first probe with more bytes below it
+            if after and asked[after - 1] > span[0]:
+                span[0], span[1] = asked[after - 1], below[after - 1]
+            if after < len(asked) and asked[after] < span[2]:
+                span[2], span[3] = asked[after], below[after]
+
+
+def larger_than_a_shard(sizes: list[int], total: int, n_shards: int) -> list[int]:
+    """Of the largest sizes (descending): those that are more than an even share of what is left without them, all but one shard at most."""
+    out: list[int] = []
+    for size in sizes[: n_shards - 1]:
+        if size * (n_shards - len(out)) <= total - sum(out):
+            break
+        out.append(size)
+    return out
 
 
 def shard_documents(
@@ -161,7 +172,8 @@ def shard_documents(
     the order of (text hash, id); each boundary is the row boundary nearest
     to its share, or within ``tolerance`` of a range's bytes. Slots count
     from 0 in that order. ``ranges_per_shard`` defaults to the shard's bytes
-    over ``range_bytes``.
+    over ``range_bytes``. A row that is larger than an even share of the bytes
+    has one of the last shards to itself, and the others share the rest evenly.
 
     Null and empty texts have size 16. Rows without an id sort first in their
     group. Rows that agree in text and id stay in one shard, in any order. With fewer rows
@@ -179,22 +191,35 @@ def shard_documents(
     )
     keys = checkpointed(keyed.select(F.col(h).alias("h"), F.col(i).alias("i"), "size"), "shard-keys")
     total = keys.agg(F.sum("size")).first()[0] or 0
-    parts = ranges_per_shard or max(1, math.ceil(total / n_shards / range_bytes))
-    n = n_shards * parts
-    splitters, below, _ = find_splitters(keys, n, tolerance)
-
-    # a range is the number of splitters not above the row's key; splitters may be equal
-    cuts = [_of_key(s) for s in splitters]
+    # at most one row a shard can be larger than a shard
+    largest = [r[0] for r in keys.orderBy(F.desc("size")).limit(n_shards).select("size").collect()]
+    alone = larger_than_a_shard(largest, total, n_shards)
+    shared = n_shards - len(alone)
+    parts = ranges_per_shard or max(1, math.ceil((total - sum(alone)) / shared / range_bytes))
+    n = shared * parts
+    fits = F.col("size") < F.lit(alone[-1]) if alone else F.lit(True)
+    splitters, below, _ = find_splitters(keys.where(fits), n, tolerance)
+
+    # a range is the number of splitters not above the row's key; splitters may be equal, and those behind the last row cut nothing
+    cuts = [_of_key(s) for s in splitters if s < 1 << 128]
     number = _range_of(cuts, h, i)
     starts = [0, *[b[1] for b in below]]
     first_row = [starts[r] - starts[r // parts * parts] for r in range(n)]
-    base = spark.createDataFrame([(r, r // parts, first_row[r]) for r in range(n)], "range int, shard int, base long")
-    placed = keyed.withColumn("range", number).repartitionById(n, F.col("range"))
+    r, first = fresh_name(docs, "_range"), fresh_name(docs, "_first")
+    base = spark.createDataFrame([(k, k // parts, first_row[k]) for k in range(n)], f"{r} int, shard int, {first} long")
+    placed = keyed.where(fits).withColumn("range", number).repartitionById(n, F.col("range"))
     # the partitioning by id already puts a range into one task; the window sorts there
     inside = Window.partitionBy("range").orderBy(h, i)
     ranked = placed.withColumn("slot", F.row_number().over(inside).cast("bigint") - 1)
-    out = ranked.join(F.broadcast(base), "range")  # n rows
-    return out.withColumn("slot", F.col("slot") + F.col("base")).select(*docs.columns, "size", "shard", "slot", "range")
+    out = ranked.join(F.broadcast(base), F.col("range") == F.col(r))  # n rows
+    columns = [*docs.columns, "size", "shard", "slot", "range"]
+    out = out.withColumn("slot", F.col("slot") + F.col(first)).select(*columns)
+    if not alone:
+        return out
+    # as many rows as shards at most
+    each = F.row_number().over(Window.orderBy(h, i)) - 1
+    own = keyed.where(~fits).withColumn("shard", (each + shared).cast("int")).withColumns({"slot": F.lit(0).cast("bigint"), "range": (F.col("shard") - shared + n).cast("int")})
+    return out.unionByName(own.select(*columns))
 
 
 def _range_of(cuts: list[tuple[int, int]], h: str, i: str):
