@@ -47,8 +47,10 @@ KEPT_CHARS = 64
 LETTERS = "".join(chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)] if c not in (0xD7, 0xF7))
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'<|>")
 PLAIN = re.compile(f"([{LETTERS}]*)([{re.escape(MARKS)}]*)")
-#: Knapsacks that are priced at most.
-ROUNDS = 600
+#: Knapsacks that are priced for one program, and programs: the second is for what the first one's rounding left.
+ROUNDS, PASSES = 600, 2
+#: How much a length that is covered loses in weight, and the share of a length that one round covers.
+RATE, STEP = 8.0, 0.25
 
 Pattern = tuple[tuple[int, int], ...]  # ((length, copies), ...), longest first
 
@@ -178,23 +180,30 @@ def best_filling(value: np.ndarray, capacity: int) -> dict[int, int]:
     return filling
 
 
-def configuration_program(counts: np.ndarray, capacity: int, rounds: int = ROUNDS, rate: float = 2.0) -> list[tuple[Pattern, float]]:
-    """Fillings and their fractional multiplicities that cover ``counts`` (by length), by multiplicative weights."""
+def configuration_program(counts: np.ndarray, capacity: int, rounds: int = ROUNDS, rate: float = RATE, share: float = STEP) -> list[tuple[Pattern, float]]:
+    """Fillings and their fractional multiplicities that hold no more than ``counts`` (by length), by multiplicative weights.
+
+    A token of a length weighs exp(-rate x the share of that length that is
+    covered), so all lengths start alike, fillings are full, and those that
+    lag behind are taken next. A round covers at most ``share`` of a length.
+    The multiplicities are scaled so that the length that is covered most is
+    covered once.
+    """
     present = np.flatnonzero(counts)
     covered = np.zeros(capacity + 1)
     shares: dict[Pattern, float] = {}
     value = np.full(capacity + 1, -np.inf)
     for _ in range(rounds):
-        value[present] = np.exp(-rate * (covered[present] - covered[present].min())) / counts[present]
+        value[present] = present * np.exp(-rate * (covered[present] - covered[present].min()))
         filling = {n: min(k, int(counts[n])) for n, k in best_filling(value, capacity).items()}
-        step = min(counts[n] / k for n, k in filling.items())
+        step = share * min(counts[n] / k for n, k in filling.items())
         pattern = tuple(sorted(filling.items(), reverse=True))
         shares[pattern] = shares.get(pattern, 0.0) + step
         for n, k in filling.items():
             covered[n] += k * step / counts[n]
-        if covered[present].min() >= 2:
+        if covered[present].min() >= 1:
             break
-    scale = max(1.0, float(np.average(covered[present], weights=counts[present] * present)))
+    scale = covered.max()
     return sorted(((p, x / scale) for p, x in shares.items()), key=lambda t: (-t[1], t[0]))
 
 
@@ -240,21 +249,21 @@ def packing_plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[Pat
     rest = counts.astype(np.int64).copy()
     plan: list[tuple[Pattern, int]] = [(((capacity, 1),), int(rest[capacity]))] if rest[capacity] else []
     rest[capacity] = 0
-    if rest.any():
+    for _ in range(PASSES):
+        if not rest.any():
+            break
         fillings = configuration_program(rest, capacity)
-        used = dict.fromkeys((p for p, _ in fillings), 0)
-        full = [sum(n * k for n, k in p) >= capacity - capacity // 512 for p, _ in fillings]
-        for whole in (True, False):  # the rounded solution, then what its full fillings still cover
-            for (pattern, share), close in zip(fillings, full, strict=True):
-                most = min(int(rest[n]) // k for n, k in pattern)
-                n_bins = min(int(share), most) if whole else most * close
-                if n_bins:
-                    used[pattern] += n_bins
-                    for n, k in pattern:
-                        rest[n] -= k * n_bins
-        plan += [(p, n) for p, n in used.items() if n]
-        plan += best_fit_rest(rest, capacity)
-    return plan
+        taken = 0
+        for pattern, many in fillings:  # rounded down; a filling with a gap is left to the rest
+            n_bins = min(int(many), *(int(rest[n]) // k for n, k in pattern))
+            if n_bins and sum(n * k for n, k in pattern) >= capacity - capacity // 512:
+                plan.append((pattern, n_bins))
+                taken += n_bins
+                for n, k in pattern:
+                    rest[n] -= k * n_bins
+        if not taken:
+            break
+    return plan + best_fit_rest(rest, capacity)
 
 
 def _places(plan: list[tuple[Pattern, int]]) -> tuple[np.ndarray, ...]:
