@@ -4,24 +4,30 @@ A text's set is its distinct n-word shingles; with fewer words its whole
 sequence is the one shingle. Texts are linked at similarity ``percent``/100
 or more, and a component is what links reach.
 
-1. Shingle frequencies are counted over the sets' prefixes in hash order;
-   the ``FREQUENT`` most frequent get a rank that puts them last in the
-   order. Any one order is right; this one keeps common passages out of prefixes.
+1. Shingle frequencies are counted over the whole sets; the ``FREQUENT``
+   most frequent get a rank that puts them last in the order. Any one order
+   is right; this one keeps common passages out of prefixes.
 2. Every task sorts its texts' shingles in that order. By the pigeonhole
    principle two linked sets share a shingle in their prefixes (of
    n - ceil(t n) + 1). Texts of one size and one prefix are one group, and
    equal sets are one class in it: copies cost nothing from here on.
 3. Groups that share a prefix shingle are paired. A pair needs sizes within
-   t of each other, and enough shared prefix shingles that those behind
-   the last shared one can make up the rest (the positional filter).
+   t of each other, a shared shingle in the shorter prefixes that the two
+   sizes ask for, places of it that leave enough before and behind, and
+   enough shared shingles that those behind the last shared one can make
+   up the rest (the positional filter).
 4. Pairs that pass are expanded to their members' classes and verified on
    the whole sets of the texts.
 
-Groups are first paired like stars, by an eighth of the shingles: each
-group with the hub it shares most with. What the verified links join is a
-component, and only groups that still lie in different components are
-paired with one another, by all shingles. No link between components is
-lost, and a family of copies costs a row a copy.
+Groups are first paired like stars: each group with the hub it shares most
+with, first by an eighth of the shingles, then by all. The hub of a shingle
+is the group that has it first in its prefix: it has the fewest rare
+shingles of its own, so it is the nearest to what a family has in common.
+Stars go on, among groups that lie in different components, for as long as
+a good part of their pairs link. Then groups that still lie in different
+components are paired with one another: for each shingle, those outside its
+most common component with all others. No link between components is lost,
+and a family of copies costs a row a copy.
 
 Shingles are 64-bit hashes; only two that collide inside one pair could
 change its similarity.
@@ -47,9 +53,10 @@ PERCENT = 75
 #: Shingles that get a rank by frequency, and the frequency from which they may.
 FREQUENT = 1 << 20
 LEAST_FREQUENT = 4
-STAR_ROUNDS = 2
-#: Stars use one in so many shingles.
+#: The first stars use one in so many shingles.
 STAR_SHARE = 8
+#: Stars end when fewer than one in so many of their pairs link.
+STAR_YIELD = 20
 #: Partners of one class that are verified in one task.
 PARTNERS = 256
 #: 64-bit blocks of the filter of shared shingles.
@@ -88,15 +95,14 @@ def _prefixes(first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.repeat(first[:-1], length) + place, place
 
 
-def frequent_shingles(docs: DataFrame, size: int, percent: int, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (hash without its last 6 bits, sorted) and ranks (1 to 63, by doublings) of the most frequent prefix shingles."""
+def frequent_shingles(docs: DataFrame, size: int, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (hash without its last 6 bits, sorted) and ranks (1 to 63, by doublings) of the most frequent shingles."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(0)):
-                shingle, first = shingle_sets(data, offsets, size)
-                held.append(shingle[_prefixes(first, prefix_length(np.diff(first), percent))[0]] >> np.uint64(6))
+                held.append(shingle_sets(data, offsets, size)[0] >> np.uint64(6))
                 if sum(map(len, held)) > 1 << 22:
                     yield from _counted(held)
                     held = []
@@ -301,7 +307,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> Dat
     return dealt.mapInArrow(verify, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> tuple[DataFrame, DataFrame]:
+def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` (doc_id, text and others) and their components.
 
     The first result has doc_id, n_shingles, row and component (the smallest
@@ -314,16 +320,16 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     """
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     docs = docs.select("text", others.alias("doc"))
-    frequent = frequent_shingles(docs, size, percent, FREQUENT, LEAST_FREQUENT)
+    frequent = frequent_shingles(docs, size, FREQUENT, LEAST_FREQUENT)
     rows = checkpointed(_rows(docs, size, percent, frequent), "shingle-rows")
     release(rows.sparkSession)
     with scratch(rows.sparkSession) as paths:  # all but the rows and the result
-        found = checkpointed(_components(rows, size, percent, star_rounds), "components")
+        found = checkpointed(_components(rows, size, percent), "components")
         keep_last(paths)
     return found, rows.select("row", "text", "doc")
 
 
-def _components(rows: DataFrame, size: int, percent: int, star_rounds: int) -> DataFrame:
+def _components(rows: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, row, component of ``rows``."""
     sets = ["n", "s1", "s2"]
     classes = checkpointed(rows.where("n > 0").groupBy(*sets).agg(F.min("row").alias("cls"), F.min("g").alias("g")), "classes")
@@ -333,37 +339,31 @@ def _components(rows: DataFrame, size: int, percent: int, star_rounds: int) -> D
     spark = rows.sparkSession
     release(spark)
 
-    # stars: some of the shingles are enough to find each group a likely partner
+    # stars: some of the shingles are enough to find most groups a likely partner
     some = posts.where(F.pmod("key", F.lit(STAR_SHARE)) == 0)
     shared = some.groupBy("key").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x <> y").select("key")
-    stars = checkpointed(some.join(shared, "key").dropDuplicates(["key", "g"]), "stars")
     links = labels = None
-    for turn in range(max(1, star_rounds)):
+    of_hub, of_group = heads.select(F.col("g").alias("g1"), F.col("head").alias("a")), classes.select(F.col("g").alias("g2"), F.col("cls").alias("b"))
+    while True:
         with scratch(spark) as paths:
-            left = stars if labels is None else _undecided(stars, classes, labels)
-            # the hub of a key: the least group in an order that differs by round
-            rank = F.xxhash64(F.lit(turn), "g")
-            hubs = left.groupBy("key").agg(F.min_by(F.struct(F.col("g").alias("g1"), F.col("n").alias("n1")), rank).alias("hub"))
-            pairs = left.join(hubs, "key").select("hub.*", F.col("g").alias("g2"), F.col("n").alias("n2"))
-            pairs = pairs.where((F.col("g1") != F.col("g2")) & _enough(F.col("n1"), F.col("n2"), percent))
-            # a likely partner shares half of a prefix; the others wait for the last step
-            met = pairs.groupBy("g1", "g2").agg(F.count("*").alias("count"), F.least(F.first("n1"), F.first("n2")).alias("n"))
-            met = met.where(2 * STAR_SHARE * 100 * F.col("count") >= (100 - percent) * F.col("n"))
-            best = met.groupBy("g2").agg(F.max_by("g1", F.struct("count", "g1")).alias("g1"))
-            of_hub, of_group = heads.select(F.col("g").alias("g1"), F.col("head").alias("a")), classes.select(F.col("g").alias("g2"), F.col("cls").alias("b"))
-            pairs = best.join(of_hub, "g1").join(of_group, "g2").select("a", "b")
-            found = _verified(pairs.unionByName(inside) if links is None else pairs, rows, size, percent)
+            share = STAR_SHARE if labels is None else 1
+            if labels is None:  # all groups are apart
+                left = some.join(shared, "key").dropDuplicates(["key", "g"]).withColumns({"x": F.col("g"), "y": F.col("g")})
+            else:
+                left = _undecided(posts, classes, labels)
+            pairs = _stars(left, percent, share).join(of_hub, "g1").join(of_group, "g2").select("a", "b")
+            pairs = checkpointed(pairs.unionByName(inside) if links is None else pairs, "pairs")
+            found = checkpointed(_verified(pairs, rows, size, percent), "found")
+            linked, compared = found.count(), pairs.count()
             links = checkpointed(found if links is None else links.unionByName(found), "links")
             keep_last(paths)
         labels = _labels(links)
+        if share == 1 and STAR_YIELD * linked < compared or not compared:
+            break
 
     with scratch(spark) as paths:
-        # what is left, with all shingles: groups that are not in one component and share a key
-        left = _undecided(posts, classes, labels).dropDuplicates(["key", "g"])
-        one, two = (left.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("g", "n", "p", "x", "y")]) for k in (1, 2))
-        apart = (F.col("x1") != F.col("y1")) | (F.col("x2") != F.col("y2")) | (F.col("x1") != F.col("x2"))
-        across = one.join(two, "key").where((F.col("g1") < F.col("g2")) & apart & _enough(F.col("n1"), F.col("n2"), percent))
-        across = checkpointed(_can_link(across, percent).select("g1", "g2"), "across")
+        left = _undecided(posts, classes, labels)
+        across = checkpointed(_can_link(_apart(left, percent), percent).select("g1", "g2"), "across")
         release(spark)
         # groups whose members lie in different components are paired with themselves
         known = _labelled(classes, labels)
@@ -378,6 +378,41 @@ def _components(rows: DataFrame, size: int, percent: int, star_rounds: int) -> D
     return found
 
 
+def _stars(left: DataFrame, percent: int, share: int) -> DataFrame:
+    """g1, g2: groups of ``left`` (posts with components x, y, of one in ``share`` shingles) and the hub of another component that each shares most with."""
+    hub = F.struct(*[F.col(c).alias(f"{c}1") for c in ("g", "n", "x", "y")])
+    hubs = left.groupBy("key").agg(F.min_by(hub, F.struct("p", F.xxhash64("g"))).alias("hub"))
+    pairs = left.join(hubs, "key").select("hub.*", *[F.col(c).alias(f"{c}2") for c in ("g", "n", "x", "y")])
+    pairs = pairs.where((F.col("g1") != F.col("g2")) & _not_one_component() & _enough(F.col("n1"), F.col("n2"), percent))
+    # a likely partner shares a quarter of a prefix; the others wait for the last step
+    met = pairs.groupBy("g1", "g2").agg(F.count("*").alias("count"), F.least(F.first("n1"), F.first("n2")).alias("n"))
+    met = met.where(4 * share * 100 * F.col("count") >= (100 - percent) * F.col("n"))
+    return met.groupBy("g2").agg(F.max_by("g1", F.struct("count", "g1")).alias("g1"))
+
+
+def _not_one_component():
+    return (F.col("x1") != F.col("y1")) | (F.col("x2") != F.col("y2")) | (F.col("x1") != F.col("x2"))
+
+
+def _apart(left: DataFrame, percent: int) -> DataFrame:
+    """A row a shared shingle of two groups (g1, n1, p1, g2, n2, p2) that are not in one component and may link.
+
+    Of a shingle's groups only those outside its most common component are
+    paired, with each other and with the rest.
+    """
+    whole = left.where("x = y").groupBy("key", "x").count().groupBy("key").agg(F.max_by("x", F.struct("count", "x")).alias("main"))
+    placed = checkpointed(left.join(whole, "key", "left").withColumn("minor", ~((F.col("x") == F.col("y")) & F.col("x").eqNullSafe(F.col("main")))).drop("main"), "placed")
+    one, two = (placed.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("g", "n", "p", "x", "y", "minor")]) for k in (1, 2))
+    n1, n2, p1, p2 = (F.col(c) for c in ("n1", "n2", "p1", "p2"))
+    # an overlap of least = percent / (100 + percent) * (n1 + n2) shows in prefixes of n - least + 1,
+    # and is at most what lies before a shared shingle in both, itself, and what lies behind it in both
+    least, whole = percent * (n1 + n2), 100 + percent
+    may = _enough(n1, n2, percent) & (whole * (n1 - p1) >= least) & (whole * (n2 - p2) >= least)
+    may &= whole * (F.least(p1, p2) + 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)) >= least
+    once = (F.col("g1") != F.col("g2")) & (~F.col("minor2") | (F.col("g1") < F.col("g2")))
+    return one.where("minor1").join(two, "key").where(once & _not_one_component() & may)
+
+
 def _labels(links: DataFrame) -> DataFrame:
     """Components of the links; tables of the rounds before go."""
     with scratch(links.sparkSession) as paths:
@@ -397,7 +432,7 @@ def _undecided(posts: DataFrame, classes: DataFrame, labels: DataFrame) -> DataF
     of_group = _labelled(classes, labels).groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     known = checkpointed(posts.join(of_group, "g"), "posts")
     spread = known.groupBy("key").agg(F.min("x").alias("x"), F.max("y").alias("y")).where("x <> y").select("key")
-    return checkpointed(known.join(checkpointed(spread, "keys"), "key"), "posts")
+    return checkpointed(known.join(checkpointed(spread, "keys"), "key").dropDuplicates(["key", "g"]), "posts")
 
 
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
