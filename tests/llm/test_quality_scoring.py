@@ -1,4 +1,5 @@
 import collections
+import functools
 import math
 import re
 import zlib
@@ -160,8 +161,9 @@ def test_base_scores_equal_brute_force(spark, docs_of, monkeypatch, frequent):
 def test_suffix_tree_equals_dictionaries(spark):
     train = ["abracadabra abra", "abra cad", "Cadabra", "", "banana band"] * 6
     docs = spark.createDataFrame([(t,) for t in train], "text string")
-    rows = st.build_tree(st.training_counts(docs).where("kind = 1").select("key", "n"), least_share=0.0, divergence=0.02, gain=0.5).toPandas()
-    states = st.smoothed_states(rows)
+    tree = st.build_tree(st.training_counts(docs).where("kind = 1").select("key", "n"), least_count=1, divergence=0.02, gain=0.5)
+    states, screen, _ = st.sent_states(tree)
+    assert not screen.any()  # all were sent
     D = st.DEPTH
     seqs = [bytes([10] * D) + " ".join(WORD.findall(lower(t))).encode() + b"\n" for t in train]
     grams = [(s[k - D : k], s[k]) for s in seqs for k in range(D, len(s))]
@@ -189,7 +191,31 @@ def test_suffix_tree_equals_dictionaries(spark):
         s = bytes([10] * D) + text.encode() + b"\n"
         want = [math.log10(p(s[k - D : k], s[k])) for k in range(D, len(s))]
         for _, _, data, offsets in text_chunks(pa.array([text])):
-            assert np.allclose(st.log10_next(states, st.sequences(Words(data, offsets))[0]), want, atol=1e-5)
+            assert np.allclose(st.log10_next(states, st.sequences(Words(data, offsets))[0])[0], want, atol=1e-5)
+
+
+def test_states_that_are_not_sent_are_joined(spark, docs_of, monkeypatch):
+    rows = ODD + [(100 + k, " ".join(f"word{(j * j + k) % 13} W{j % 3}" for j in range(k % 9))) for k in range(80)]
+    monkeypatch.setattr(st, "build_tree", functools.partial(st.build_tree, least_count=3, gain=0.5))
+    docs = docs_of(rows).withColumn("score", F.lit("old")).withColumn("N_Tokens", F.lit(0)).withColumn("row", F.lit(1)).withColumn("c0", F.lit(2))
+    scores = []
+    for sent, bits in [(st.SENT_STATES, st.SCREEN_BITS), (200, st.SCREEN_BITS), (20, 6), (0, st.SCREEN_BITS)]:
+        monkeypatch.setattr(st, "SENT_STATES", sent)
+        monkeypatch.setattr(st, "SCREEN_BITS", bits)
+        got = st.score_documents(docs, docs.where("doc_id % 3 = 0").select("text"))
+        assert {c.lower() for c in got.columns} == {c.lower() for c in docs.columns if c != "text"} | {"n_known", "train_tokens", "base_score"}
+        scores.append(sorted((r["doc_id"] or -1, r["n_tokens"], r["score"]) for r in got.collect()))
+    assert len(scores[0]) == len(rows)
+    for other in scores[1:]:
+        assert [r[:2] for r in other] == [r[:2] for r in scores[0]]
+        assert np.allclose([r[2] for r in other], [r[2] for r in scores[0]], atol=1e-3)
+
+
+def test_a_candidate_of_a_part_is_one_of_the_whole(spark):
+    texts = spark.createDataFrame([(" ".join(f"w{(j * k) % 7}" for j in range(30)),) for k in range(60)], "text string")
+    contexts = lambda d: {(r["level"], r["context"]) for r in st.candidate_grams(st.training_counts(d).where("kind = 1").select("key", "n"), least_count=20).select("level", "context").collect()}
+    half = contexts(texts.limit(30))
+    assert half and half <= contexts(texts.union(texts).union(spark.createDataFrame([("other words " * 500,)], "text string")))
 
 
 def test_nothing_to_learn_from(spark, docs_of):

@@ -106,23 +106,33 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def frequency_step(column: str) -> Column:
+    """Eighths of doublings of a count."""
+    return F.floor(F.log2(column) * 8)
+
+
+def least_step(counts: DataFrame, most: int) -> int | None:
+    """The smallest frequency_step that at most ``most`` rows of ``counts`` (n) reach; None if too many reach the greatest one."""
+    bound, seen = None, 0
+    for step, rows in counts.groupBy(frequency_step("n").alias("step")).count().orderBy(F.desc("step")).collect():  # 8 a doubling
+        seen += rows
+        if seen > most:
+            break
+        bound = step
+    return bound
+
+
 def most_frequent(counts: DataFrame, most: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Keys (uint64, sorted) and counts of at most ``most`` rows of ``counts`` (key, n).
 
     They are the rows with at least the smallest count that lets no more in,
     to an eighth of a doubling; nothing is sorted in one task.
     """
-    step = F.floor(F.log2("n") * 8)
-    bound, seen = None, 0
     counts = counts.where(F.col("n") >= least)
-    for bucket, rows in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # 8 a doubling
-        seen += rows
-        if seen > most:
-            break
-        bound = bucket
+    bound = least_step(counts, most)
     if bound is None:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    got = counts.where(step >= bound).select("key", "n").toArrow()
+    got = counts.where(frequency_step("n") >= bound).select("key", "n").toArrow()
     key, n = got["key"].to_numpy().view(np.uint64), got["n"].to_numpy()
     order = np.argsort(key)
     return key[order], n[order]

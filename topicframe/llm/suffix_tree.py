@@ -6,17 +6,20 @@ A context is a run of up to ``DEPTH`` symbols before the next one.
 
 1. Every task counts (context of DEPTH symbols, next symbol) of its whole
    training texts in numpy, and the words by hash; Spark sums both.
-2. Shorter contexts are sums of longer ones. Contexts with a share of at
-   least ``LEAST_SHARE`` of all symbols are candidates, which bounds their
-   number by DEPTH / LEAST_SHARE whatever the corpus. A candidate is
-   retained if its next-symbol distribution diverges from its suffix's:
-   Kullback-Leibler divergence of ``LEAST_DIVERGENCE`` nats a symbol and
-   ``LEAST_GAIN`` nats in all. Suffixes of retained contexts are kept.
+2. The counts of each level are sums of the level above it. Contexts seen
+   ``LEAST_COUNT`` times are candidates, whatever the corpus: a candidate of
+   a part of it is one of the whole. A candidate is retained if its
+   next-symbol distribution diverges from its suffix's: Kullback-Leibler
+   divergence of ``LEAST_DIVERGENCE`` nats a symbol and ``LEAST_GAIN`` nats
+   in all. Suffixes of retained contexts are kept: these are the states.
 3. Distributions are smoothed towards the suffix's with the weight of the
    number of distinct next symbols (Witten-Bell), the root's towards the
-   uniform one.
-4. Texts are scored where they lie: each symbol by its longest suffix that
-   is a state.
+   uniform one. The states are a table, smoothed level by level with joins.
+4. The most frequent states (at most ``SENT_STATES``; a state's suffixes
+   are with it) go to all tasks, with a bit array that screens for longer
+   states. Texts are scored where they lie: each symbol by its longest
+   suffix that is a state. Symbols that the screen lets through are summed
+   by text and joined with the other states, so no state is lost.
 
 The base score needs every word's training count. The most frequent words
 (at most ``FREQUENT``) go to all tasks; a text's other words are joined
@@ -28,20 +31,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicframe.llm.common import bucket_of_id, checkpointed, documents, most_frequent
-from topicframe.llm.spans import BLANKS, Words, text_chunks
+from topicframe.llm.common import bucket_of_id, checkpointed, documents, frequency_step, least_step, most_frequent
+from topicframe.llm.spans import BLANKS, Words, mix, text_chunks
 
-DEPTH = 5
-LEAST_SHARE = 1e-6
+#: A context and its next symbol fill 64 bits.
+DEPTH = 7
+LEAST_COUNT = 64
 LEAST_DIVERGENCE = 0.005
 LEAST_GAIN = 8.0
 FREQUENT = 1 << 18
+SENT_STATES = 1 << 20
+#: Bits (their log2) of the screen for states that are not sent out.
+SCREEN_BITS = 26
 END = 10
 #: Distinct keys that a task holds before it hands its counts on.
 HELD = 2_000_000
@@ -129,81 +135,158 @@ def training_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def build_tree(grams: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE, divergence: float = LEAST_DIVERGENCE, gain: float = LEAST_GAIN) -> DataFrame:
-    """Next-symbol counts of the candidate contexts: level, code (context, symbol), n, total, kinds, retained."""
-    symbols = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+def _bytes(k: int) -> Column:
+    """Mask of the last ``k`` bytes of a code."""
+    return F.lit((1 << (8 * k)) - 1 if k < 8 else -1)
+
+
+def candidate_grams(grams: DataFrame, depth: int = DEPTH, least_count: int = LEAST_COUNT) -> DataFrame:
+    """level, context, code (context, symbol), n, and the context's total and kinds, of the root and of all contexts seen ``least_count`` times.
+
+    ``grams``: key, n of contexts of ``depth`` symbols, each key once.
+    """
+    level = grams.select(F.col("key").alias("code"), "n")
     rows = None
     for k in range(depth, -1, -1):
-        code = F.col("key").bitwiseAND(F.lit((1 << (8 * k + 8)) - 1))
-        level = grams.groupBy(code.alias("code")).agg(F.sum("n").alias("n")).select(F.lit(k).alias("level"), "code", "n")
-        rows = level if rows is None else rows.unionByName(level)
-    rows = rows.withColumn("context", F.shiftright("code", 8))
-    sums = rows.groupBy("level", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where(F.col("total") >= least_share * symbols)
-    rows = checkpointed(rows.join(sums, ["level", "context"]), "contexts")
-    upper_mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("level").cast("int") * 8) - 1
-    child = rows.where("level > 0").select(
-        "level", "context", "n", "total", (F.col("level") - 1).alias("up"), F.col("code").bitwiseAND(upper_mask).alias("up_code")
-    )
+        if k < depth:
+            level = level.groupBy(F.col("code").bitwiseAND(_bytes(k + 1)).alias("code")).agg(F.sum("n").alias("n"))
+            level = checkpointed(level, f"grams-{k}")
+        here = level.select(F.lit(k).alias("level"), F.shiftrightunsigned("code", 8).alias("context"), "code", "n")
+        rows = here if rows is None else rows.unionByName(here)
+    sums = rows.groupBy("level", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    often = checkpointed(sums.where((F.col("total") >= least_count) | (F.col("level") == 0)), "contexts")  # its size is on record
+    return checkpointed(rows.join(often, ["level", "context"]), "candidates")
+
+
+def tree_states(rows: DataFrame, divergence: float = LEAST_DIVERGENCE, gain: float = LEAST_GAIN) -> DataFrame:
+    """level, context of the retained contexts of ``rows`` (candidate_grams) and of all their suffixes, the root included."""
+    child = rows.where("level > 0").select("level", "context", "n", "total", F.expr("level - 1").alias("up"), F.expr("code & (shiftleft(1L, 8 * level) - 1)").alias("up_code"))
     parent = rows.select(F.col("level").alias("up"), F.col("code").alias("up_code"), (F.col("n") / F.col("total")).alias("q"))
     share = F.col("n") / F.col("total")
-    tested = (
-        child.join(parent, ["up", "up_code"])
-        .groupBy("level", "context")
-        .agg(F.sum(share * F.log(share / F.col("q"))).alias("kl"), F.first("total").alias("seen"))
-        .select("level", "context", ((F.col("kl") >= divergence) & (F.col("kl") * F.col("seen") >= gain)).alias("retained"))
-    )
-    return rows.join(tested, ["level", "context"], "left").select("level", "code", "n", "total", "kinds", F.coalesce("retained", F.lit(True)).alias("retained"))
+    tested = child.join(parent, ["up", "up_code"]).groupBy("level", "context").agg(F.sum(share * F.log(share / F.col("q"))).alias("kl"), F.first("total").alias("seen"))
+    retained = tested.where((F.col("kl") >= divergence) & (F.col("kl") * F.col("seen") >= gain))
+    suffixes = retained.select(F.explode(F.sequence(F.lit(0), "level")).alias("level"), "context").select("level", F.expr("context & (shiftleft(1L, 8 * level) - 1)").alias("context"))
+    return suffixes.unionByName(rows.where("level = 0").select("level", "context")).distinct()
+
+
+def build_tree(
+    grams: DataFrame, depth: int = DEPTH, least_count: int = LEAST_COUNT, divergence: float = LEAST_DIVERGENCE, gain: float = LEAST_GAIN
+) -> DataFrame:
+    """The tree as a table, a row a symbol that follows a state: level, context, code, total, log (its log10 probability), weight (the log10 weight of the state's suffix)."""
+    rows = candidate_grams(grams, depth, least_count)
+    states = checkpointed(tree_states(rows, divergence, gain), "states")
+    rows = checkpointed(rows.join(states, ["level", "context"], "left_semi"), "state-grams")
+    tree = lower = None
+    for k in range(depth + 1):
+        here = rows.where(F.col("level") == k)
+        if lower is None:
+            here = here.withColumn("q", F.lit(1 / 256))
+        else:
+            here = here.withColumn("up_code", F.col("code").bitwiseAND(_bytes(k))).join(lower, "up_code")
+        p = (F.col("n") + F.col("kinds") * F.col("q")) / (F.col("total") + F.col("kinds"))
+        here = checkpointed(here.select("level", "context", "code", "total", "kinds", p.alias("p")), f"states-{k}")
+        lower = here.select(F.col("code").alias("up_code"), F.col("p").alias("q"))
+        tree = here if tree is None else tree.unionByName(here)
+    weight = F.log10(F.col("kinds") / (F.col("total") + F.col("kinds")))
+    return tree.select("level", "context", "code", "total", F.log10("p").alias("log"), weight.alias("weight"))
 
 
 Arrays = list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
-def smoothed_states(rows: pd.DataFrame, depth: int = DEPTH) -> Arrays:
-    """By level: sorted codes (context, symbol) and their log10 probabilities, sorted contexts and their log10 weights of the suffix.
+def sent_states(tree: DataFrame, depth: int = DEPTH, most: int | None = None) -> tuple[Arrays, np.ndarray, Column]:
+    """What every task is given of ``tree``: by level, sorted codes and their logs, sorted contexts and their weights, of at most ``most`` states;
+    the bits of the screen; and the condition that a state is not among them.
 
-    States are the retained contexts of ``rows`` and their suffixes.
+    A suffix is seen as often as its extension or more, so the bound on the
+    count sends a state's suffixes with it.
     """
-    by_level = dict(iter(rows.groupby("level")))
-    keep: list[np.ndarray] = [np.zeros(0, np.uint64)] * (depth + 2)
-    for k in range(depth, -1, -1):
-        g = by_level.get(k)
-        own = np.zeros(0, np.uint64) if g is None else np.unique(g["code"].to_numpy(np.uint64)[g["retained"].to_numpy(bool)] >> np.uint64(8))
-        keep[k] = np.union1d(own, keep[k + 1] & np.uint64((1 << (8 * k)) - 1))
-    out: Arrays = []
-    lower_codes, lower = np.arange(256, dtype=np.uint64), np.full(256, 1 / 256)
-    for k in range(depth + 1):
-        g = by_level.get(k)
-        if g is None:
-            out.append((np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.uint64), np.zeros(0, np.float32)))
-            continue
-        g = g.sort_values("code")
-        code = g["code"].to_numpy(np.uint64)
-        mine = np.isin(code >> np.uint64(8), keep[k])
-        code, n, total, kinds = code[mine], *(g[c].to_numpy(np.float64)[mine] for c in ("n", "total", "kinds"))
-        up = lower[np.searchsorted(lower_codes, code & np.uint64((1 << (8 * max(k, 1))) - 1))]
-        p = (n + kinds * up) / (total + kinds)
-        state, first = np.unique(code >> np.uint64(8), return_index=True)
-        out.append((code, np.log10(p).astype(np.float32), state, np.log10(kinds[first] / (total[first] + kinds[first])).astype(np.float32)))
-        lower_codes, lower = code, p
-    return out
-
-
-def log10_next(states: Arrays, codes: np.ndarray) -> np.ndarray:
-    """Of distinct codes (longest context, symbol): log10 probability at the longest suffix that is a state."""
+    contexts = tree.dropDuplicates(["level", "context"]).select("level", "context", "total", "weight")
+    contexts = checkpointed(contexts, "state-contexts")
+    bound = least_step(contexts.select(F.col("total").alias("n")), SENT_STATES if most is None else most)
+    sent = F.lit(False) if bound is None else frequency_step("total") >= bound
+    grams = tree.where(sent).select("level", "code", F.col("log").cast("float")).toArrow()
+    tops = contexts.where(sent).select("level", "context", F.col("weight").cast("float")).toArrow()
+
+    def of_level(table: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
+        mine = table["level"].to_numpy() == k
+        keys, values = table[1].to_numpy()[mine].view(np.uint64), table[2].to_numpy()[mine]
+        order = np.argsort(keys)
+        return keys[order], values[order]
+
+    arrays = [(*of_level(grams, k), *of_level(tops, k)) for k in range(depth + 1)]
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = screen_place(batch.column(0).to_numpy().astype(np.uint64), batch.column(1).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_pydict({"word": (at >> np.uint64(6)).astype(np.int64), "bit": (np.uint64(1) << (at & np.uint64(63))).view(np.int64)})
+
+    # the least unsent extension of a sent state (or an unsent root) is met first by any symbol that needs one
+    others = contexts.where(~sent).withColumn("up", F.expr("level - 1")).withColumn("suffix", F.expr("context & (shiftleft(1L, 8 * greatest(level - 1, 0)) - 1)"))
+    inner = contexts.where(sent).select(F.col("level").alias("up"), F.col("context").alias("suffix"))
+    edge = others.join(inner, ["up", "suffix"], "left_semi").select("level", "context").unionByName(others.where("level = 0").select("level", "context"))
+    words = edge.mapInArrow(bits, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^(SCREEN_BITS - 6) rows
+    screen = np.zeros(1 << (SCREEN_BITS - 6), np.uint64)
+    screen[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return arrays, screen, ~sent
+
+
+def screen_place(level: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Bit of a context in the screen."""
+    return mix(context + (level << np.uint64(56))) >> np.uint64(64 - SCREEN_BITS)
+
+
+def log10_next(states: Arrays, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of distinct codes (longest context, symbol): log10 probability at the longest suffix that is a state, and its level (-1: none)."""
     out = np.zeros(len(codes))
+    level = np.full(len(codes), -1, np.int8)
     todo = np.arange(len(codes))
     for k in range(len(states) - 1, -1, -1):
         grams, logs, contexts, weights = states[k]
         code = codes[todo] & np.uint64((1 << (8 * k + 8)) - 1)
         hit, at = _find(code, grams)
         out[todo[hit]] += logs[at[hit]]
+        level[todo[hit]] = np.maximum(level[todo[hit]], k)
         todo, code = todo[~hit], code[~hit]
         if not len(todo):
-            return out
+            return out, level
         known, at = _find(code >> np.uint64(8), contexts)
         out[todo[known]] += weights[at[known]]
+        level[todo[known]] = np.maximum(level[todo[known]], k)
     out[todo] += np.log10(1 / 256)
-    return out
+    return out, level
+
+
+def open_codes(codes: np.ndarray, level: np.ndarray, screen: np.ndarray, depth: int) -> np.ndarray:
+    """Which of ``codes`` may have a longer state than the one of ``level``: the next longer context's bit is set."""
+    up = (level + 1).astype(np.uint64)
+    longer = (codes >> np.uint64(8)) & ((np.uint64(1) << (np.uint64(8) * np.minimum(up, np.uint64(7)))) - np.uint64(1))
+    at = screen_place(up, longer)
+    return (level < depth) & ((screen[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def resolve_open(open_: DataFrame, tree: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """code, resolved: log10 probability of ``open_`` (code, fallback, above) by the states of ``tree``.
+
+    ``fallback`` is the value at the longest state below level ``above``.
+    Codes that have no state from there on are not in the result.
+    """
+    each = open_.groupBy("code").agg(F.first("fallback").alias("fallback"), F.first("above").cast("int").alias("above"))
+    each = each.select(F.col("code").alias("whole"), "fallback", F.explode(F.sequence("above", F.lit(depth))).alias("level"))
+    context = F.expr("shiftrightunsigned(whole, 8) & (shiftleft(1L, 8 * level) - 1)")
+    # level 7 takes all eight bytes
+    code = F.when(F.col("level") >= 7, F.col("whole")).otherwise(F.expr("whole & (shiftleft(1L, 8 * least(level + 1, 7)) - 1)"))
+    each = each.select("whole", "fallback", "level", context.alias("context"), code.alias("code"))
+    contexts = tree.dropDuplicates(["level", "context"]).select("level", "context", "weight")
+    met = each.join(contexts, ["level", "context"]).join(tree.select("level", "code", "log"), ["level", "code"], "left")
+    found = met.groupBy("whole").agg(
+        F.first("fallback").alias("fallback"),
+        F.max(F.when(F.col("log").isNotNull(), F.col("level"))).alias("at"),
+        F.max_by("log", F.when(F.col("log").isNotNull(), F.col("level"))).alias("log"),
+        F.collect_list(F.struct("level", "weight")).alias("weights"),
+    )
+    passed = F.aggregate("weights", F.lit(0.0), lambda s, w: s + F.when(w["level"] > F.coalesce(F.col("at"), F.lit(-1)), w["weight"]).otherwise(0.0))
+    return found.select(F.col("whole").alias("code"), (passed + F.coalesce("log", "fallback")).alias("resolved"))
 
 
 def _find(keys: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,6 +303,8 @@ def score_documents(docs: DataFrame, training: DataFrame, depth: int = DEPTH) ->
     told apart by 64-bit hashes. Null texts are empty: one end token.
     Repeated rows are scored each, whatever their ids. Without training
     texts every token is unknown, the base is uniform and so is the tree.
+    Columns of ``docs`` with the names that are added (in any case) are
+    replaced by them.
     """
     spark = docs.sparkSession
     counted = checkpointed(training_counts(training), "training-counts")
@@ -228,15 +313,16 @@ def score_documents(docs: DataFrame, training: DataFrame, depth: int = DEPTH) ->
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = words + n_texts, distinct + int(n_texts > 0)
     floor = np.log10(total + 0.1 * (distinct + 1))
-    # bounded: candidate contexts, and the frequent words
-    states = smoothed_states(build_tree(counted.where("kind = 1").select("key", "n"), depth).toArrow().to_pandas(), depth)
-    given = spark.sparkContext.broadcast((states, *most_frequent(counts, FREQUENT)))
+    tree = build_tree(counted.where("kind = 1").select("key", "n"), depth)
+    # bounded: the frequent states, the screen, and the frequent words
+    states, screen, unsent = sent_states(tree, depth)
+    given = spark.sparkContext.broadcast((states, screen, *most_frequent(counts, FREQUENT)))
     text_at, end_log = docs.columns.index("text"), float(np.log10(n_texts + 0.1) - floor)
-    others = [c for c in docs.columns if c != "text"]
+    others = [c for c in docs.columns if c.lower() not in ("text", "n_tokens", "n_known", "train_tokens", "base_score", "score")]
     kept_at = [docs.columns.index(c) for c in others]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states, keys, n_of = given.value
+        states, screen, keys, n_of = given.value
         logs = np.log10(n_of + 0.1) - floor
         row_id = TaskContext.get().partitionId() << 33
         for batch in batches:
@@ -255,7 +341,13 @@ def score_documents(docs: DataFrame, training: DataFrame, depth: int = DEPTH) ->
                 places = np.searchsorted(row[first], np.arange(b - a + 1)).astype(np.int32)
                 code, begin = sequences(found)
                 some, which = np.unique(code, return_inverse=True)
-                total_log = np.add.reduceat(log10_next(states, some)[which], begin[:-1])
+                logs_of, level = log10_next(states, some)
+                waits = open_codes(some, level, screen, depth)
+                total_log = np.add.reduceat(np.where(waits, 0.0, logs_of)[which], begin[:-1])
+                # open ones: distinct by text, with how often
+                at_text = np.repeat(np.arange(b - a), np.diff(begin))[waits[which]]
+                pair, often = np.unique(at_text * len(some) + which[waits[which]], return_counts=True)
+                late, holds = pair % len(some), np.searchsorted(pair // len(some), np.arange(b - a + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(k).slice(a, b - a) for k in kept_at),
@@ -266,27 +358,38 @@ def score_documents(docs: DataFrame, training: DataFrame, depth: int = DEPTH) ->
                         pa.array(total_log),
                         pa.ListArray.from_arrays(pa.array(places), pa.array(rest[first].view(np.int64))),
                         pa.ListArray.from_arrays(pa.array(places), pa.array(times)),
+                        pa.ListArray.from_arrays(pa.array(holds), pa.array(some[late].view(np.int64))),
+                        pa.ListArray.from_arrays(pa.array(holds), pa.array(often.astype(np.int32))),
+                        pa.ListArray.from_arrays(pa.array(holds), pa.array(logs_of[late])),
+                        pa.ListArray.from_arrays(pa.array(holds), pa.array((level[late] + 1).astype(np.int8))),
                     ],
                     names,
                 )
                 row_id += b - a
 
-    names = [*others, "_row", "n_tokens", "_known", "_base", "score", "_rare", "_times"]
-    schema = ", ".join([f"`{c}` {dict(docs.dtypes)[c]}" for c in others] + ["_row long, n_tokens long, _known long, _base double, score double, _rare array<long>, _times array<int>"])
+    # the columns of docs go by number, so no name of theirs clashes
+    carried = [f"c{k}" for k in range(len(others))]
+    names = [*carried, "row", "n_tokens", "known", "base", "score", "rare", "times", "codes", "often", "fallback", "above"]
+    added = "row long, n_tokens long, known long, base double, score double, rare array<long>, times array<int>, codes array<long>, often array<int>, fallback array<double>, above array<tinyint>"
+    schema = ", ".join([f"{name} {dict(docs.dtypes)[c]}" for name, c in zip(carried, others)] + [added])
     scored = checkpointed(docs.mapInArrow(score, schema), "scored")
-    pairs = scored.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("w")).select("_row", F.col("w._rare").alias("key"), F.col("w._times").alias("times"))
+    pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
     met = pairs.join(counts, "key", "left")
-    part = met.groupBy("_row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("_more"),
-        F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.1) - float(floor))).alias("_rest"),
+    part = met.groupBy("row").agg(
+        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
+        F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.1) - float(floor))).alias("rest"),
     )
-    return scored.drop("_rare", "_times").join(part, "_row", "left").select(
-        *others,
+    waiting = scored.select("row", F.explode(F.arrays_zip("codes", "often", "fallback", "above")).alias("w"))
+    waiting = waiting.select("row", F.col("w.codes").alias("code"), F.col("w.often").alias("often"), F.col("w.fallback").alias("fallback"), F.col("w.above").alias("above"))
+    resolved = checkpointed(resolve_open(waiting, tree.where(unsent), depth), "resolved")  # its size is on record
+    late = waiting.join(resolved, "code", "left").groupBy("row").agg(F.sum(F.col("often") * F.coalesce("resolved", "fallback")).alias("late"))
+    return scored.join(part, "row", "left").join(late, "row", "left").select(
+        *(F.col(name).alias(c) for name, c in zip(carried, others)),
         "n_tokens",
-        (F.col("_known") + F.coalesce("_more", F.lit(0))).cast("bigint").alias("n_known"),
+        (F.col("known") + F.coalesce("more", F.lit(0))).cast("bigint").alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("_base") + F.coalesce("_rest", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("late", F.lit(0.0))).alias("score"),
     )
 
 
