@@ -39,13 +39,13 @@ from pyspark.sql import functions as F
 from topicframe.llm.common import bucket_of_id, checkpointed, documents, frequency_step, least_step, most_frequent
 from topicframe.llm.spans import BLANKS, Words, mix, text_chunks
 
-#: A context and its next symbol fill 64 bits.
-DEPTH = 7
+#: At most 7: a context and its next symbol then fill 64 bits.
+DEPTH = 6
 LEAST_COUNT = 64
-LEAST_DIVERGENCE = 0.005
+LEAST_DIVERGENCE = 0.02
 LEAST_GAIN = 8.0
 FREQUENT = 1 << 18
-SENT_STATES = 1 << 20
+SENT_STATES = 1 << 19
 #: Bits (their log2) of the screen for states that are not sent out.
 SCREEN_BITS = 26
 END = 10
@@ -132,7 +132,9 @@ def training_counts(docs: DataFrame) -> DataFrame:
         for kind, counter in enumerate(held):
             yield from counter.batches(kind)
 
-    return docs.select("text").mapInArrow(count, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    # tasks hand on distinct keys, so another map-side sum would only spill
+    counted = docs.select("text").mapInArrow(count, "kind byte, key long, n long").repartition("kind", "key")
+    return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def _bytes(k: int) -> Column:
@@ -205,16 +207,13 @@ def sent_states(tree: DataFrame, depth: int = DEPTH, most: int | None = None) ->
     contexts = checkpointed(contexts, "state-contexts")
     bound = least_step(contexts.select(F.col("total").alias("n")), SENT_STATES if most is None else most)
     sent = F.lit(False) if bound is None else frequency_step("total") >= bound
-    grams = tree.where(sent).select("level", "code", F.col("log").cast("float")).toArrow()
-    tops = contexts.where(sent).select("level", "context", F.col("weight").cast("float")).toArrow()
-
-    def of_level(table: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
-        mine = table["level"].to_numpy() == k
-        keys, values = table[1].to_numpy()[mine].view(np.uint64), table[2].to_numpy()[mine]
+    def of_level(table: DataFrame, k: int, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
+        got = table.where(sent & (F.col("level") == k)).select(key, F.col(value).cast("float")).toArrow()
+        keys, values = got[0].to_numpy().view(np.uint64), got[1].to_numpy()
         order = np.argsort(keys)
         return keys[order], values[order]
 
-    arrays = [(*of_level(grams, k), *of_level(tops, k)) for k in range(depth + 1)]
+    arrays = [(*of_level(tree, k, "code", "log"), *of_level(contexts, k, "context", "weight")) for k in range(depth + 1)]
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
