@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from topicframe.llm import perplexity as px
 from topicframe.llm import suffix_tree as st
-from topicframe.llm.common import bucket_of_id
+from topicframe.llm.common import bucket_of_id, checkpointed, stage
 from topicframe.llm.spans import BLANKS, Words, combine, text_chunks
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -218,6 +218,18 @@ def test_a_candidate_of_a_part_is_one_of_the_whole(spark):
     assert half and half <= contexts(texts.union(texts).union(spark.createDataFrame([("other words " * 500,)], "text string")))
 
 
+def test_a_second_run_leaves_the_result_of_the_first(spark, docs_of):
+    begin = stage(lambda spark, docs, sf_dir: checkpointed(docs, "one"), first=True)
+    end = stage(lambda spark, docs, sf_dir: checkpointed(docs, "two"))
+    docs, results = docs_of([(1, "a"), (2, "b")]), []
+    for _ in range(2):
+        kept = begin(spark, docs, "")
+        results.append(end(spark, docs, ""))
+        with pytest.raises(Exception, match="(?i)not.exist"):
+            kept.collect()
+    assert [r.count() for r in results] == [2, 2] and all(len(r.collect()) == 2 for r in results)
+
+
 def test_nothing_to_learn_from(spark, docs_of):
     docs = docs_of([(1, "a b"), (2, None)], extra=False)
     got = {r["doc_id"]: r for r in st.score_documents(docs, docs.limit(0).select("text")).collect()}

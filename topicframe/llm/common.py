@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator
-from functools import wraps
+from functools import partial, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -45,16 +45,20 @@ def release(spark) -> None:
 _before: list[str] = []
 
 
-def stage(work: Callable) -> Callable:
+def stage(work: Callable | None = None, *, first: bool = False) -> Callable:
     """A pipeline stage (spark, docs, sf_dir) whose tables in the shared folder go when the next stage begins.
 
     The stage's result must have been written by then, as a pipeline's stages are.
+    The ``first`` stage begins a run: what the last stage of a run before keeps stays.
     """
+    if work is None:
+        return partial(stage, first=first)
 
     @wraps(work)
     def run(spark, docs, sf_dir):
-        for path in _before:
-            remove(spark, path)
+        if not first:
+            for path in _before:
+                remove(spark, path)
         with collected() as paths:
             out = work(spark, docs, sf_dir)
         _before[:] = paths
