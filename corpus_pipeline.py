@@ -18,7 +18,7 @@ from topicframe.llm.secrets import redact_secrets
 from topicframe.llm.toxicity import drop_toxic
 
 
-@stage
+@stage(first=True)
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifiers score below 0.7; they learn from ``labels``."""
     return drop_toxic(docs, read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
