@@ -42,7 +42,7 @@ from topicframe.llm.spans import BLANKS, Words, mix, text_chunks
 #: At most 7: a context and its next symbol then fill 64 bits.
 DEPTH = 6
 LEAST_COUNT = 64
-LEAST_DIVERGENCE = 0.02
+LEAST_DIVERGENCE = 0.005
 LEAST_GAIN = 8.0
 FREQUENT = 1 << 18
 SENT_STATES = 1 << 19
@@ -125,9 +125,9 @@ def training_counts(docs: DataFrame) -> DataFrame:
                 held[0].add(words.hashes())
                 held[1].add(sequences(words)[0])
                 for kind, counter in enumerate(held):
-                    if counter.size > HELD:
+                    if counter.size > 2 * HELD:
                         counter.merge()
-                        if counter.size > HELD // 2:
+                        if counter.size > HELD:
                             yield from counter.batches(kind)
         for kind, counter in enumerate(held):
             yield from counter.batches(kind)
@@ -258,6 +258,8 @@ def log10_next(states: Arrays, codes: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def open_codes(codes: np.ndarray, level: np.ndarray, screen: np.ndarray, depth: int) -> np.ndarray:
     """Which of ``codes`` may have a longer state than the one of ``level``: the next longer context's bit is set."""
+    if not screen.any():
+        return np.zeros(len(codes), bool)
     up = (level + 1).astype(np.uint64)
     longer = (codes >> np.uint64(8)) & ((np.uint64(1) << (np.uint64(8) * np.minimum(up, np.uint64(7)))) - np.uint64(1))
     at = screen_place(up, longer)
