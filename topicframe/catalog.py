@@ -57,6 +57,7 @@ RECORD_CAP = 3
 PINNED_READ_MS = 1700000000000
 INCREMENTAL_START, INCREMENTAL_CAP = 50, 50
 PACED_RATE, PACED_INTERVAL_S = 1000, 2
+PACED_AHEAD = 8  # its sink writes a folder of each run's own
 SPLIT_BYTES = 64 << 10
 FAR_OFFSET = 1_000_000
 SYSLOG_YEAR = 2024
@@ -509,7 +510,7 @@ def q_paced_stream(spark, sf):
     table = events_topic_table(spark, sf)
     out, store = work_dir(spark, "paced-out"), led.LedgerStore(spark, work_dir(spark, "paced-ledger"))
     run_paced(table, store, lambda b, run: b.select("partition", "offset").write.mode("overwrite").parquet(f"{out}/run={run}"),
-              PACED_RATE, PACED_INTERVAL_S, wait=False)
+              PACED_RATE, PACED_INTERVAL_S, wait=False, ahead=PACED_AHEAD)
     return spark.read.parquet(out).groupBy("run", "partition").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -10,13 +10,15 @@ a torn ledger and a replayed batch id rewrites its own version.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicframe.operators.offsets import with_position_value
 from topicframe.plans.small import known_rows, sized
-from topicframe.session import list_dirs, path_exists, remove
+from topicframe.session import list_dirs, path_exists, remove, write_file
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -131,9 +133,27 @@ class LedgerStore:
         fields = [F.col("topic")] if keys else []
         doc = ledger.groupBy(*keys).agg(F.to_json(F.struct(*fields, entries.alias("partitionOffsets"))).alias("value"))
         doc.select("value").coalesce(1).write.mode("overwrite").text(f"{self.path}/v={version}")
+        self._forget()
+        return version
+
+    def save_rows(self, rows: list[tuple], version: int) -> int:
+        """As :meth:`save`, for (topic, partition, next_offset) that the driver knows: no Spark job.
+        The version is complete once its marker is there, which is written last."""
+        docs: dict[str | None, dict[str, int]] = {}
+        for topic, partition, offset in sorted(rows, key=lambda r: (r[0] or "", str(r[1]))):
+            docs.setdefault(topic, {})[str(partition)] = offset
+        lines = [json.dumps(({} if t is None else {"topic": t}) | {"partitionOffsets": d}, ensure_ascii=False, separators=(",", ":")) for t, d in docs.items()]
+        folder = f"{self.path}/v={version}"
+        remove(self.spark, folder)
+        write_file(self.spark, f"{folder}/part-00000.txt", "".join(f"{x}\n" for x in lines))
+        write_file(self.spark, f"{folder}/_SUCCESS", "")
+        if version % KEPT_VERSIONS == 0:  # so at most twice as many stay
+            self._forget()
+        return version
+
+    def _forget(self) -> None:
         for old in self._folders()[:-KEPT_VERSIONS]:
             remove(self.spark, f"{self.path}/v={old}")
-        return version
 
 
 def resume_from_ledger(df: DataFrame, ledger: DataFrame) -> DataFrame:

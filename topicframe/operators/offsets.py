@@ -153,14 +153,18 @@ def resolve_sentinels(starts: DataFrame, bounds: DataFrame | None = None) -> Dat
 MOST_INTERVALS = 500
 
 
-def merged_intervals(ranges: DataFrame) -> list[tuple[str | None, int, int, int]]:
+def merged_intervals(ranges: DataFrame | list[tuple]) -> list[tuple[str | None, int, int, int]]:
     """(topic, partition, from, until) of the ranges that are not empty, those that meet joined; a null topic is any.
 
     The range frame has a row per topic partition, or some (read splits): the
-    metadata Spark's Kafka source plans with too.
+    metadata Spark's Kafka source plans with too. Ranges that the driver has
+    already come as a list of such tuples.
     """
-    topic = F.col("topic") if "topic" in ranges.columns else F.lit(None).cast("string")
-    rows = ranges.where("until_offset > from_offset AND partition IS NOT NULL").select(topic.alias("topic"), "partition", "from_offset", "until_offset").collect()
+    if isinstance(ranges, list):
+        rows = [r for r in ranges if None not in r[1:] and r[3] > r[2]]
+    else:
+        topic = F.col("topic") if "topic" in ranges.columns else F.lit(None).cast("string")
+        rows = ranges.where("until_offset > from_offset AND partition IS NOT NULL").select(topic.alias("topic"), "partition", "from_offset", "until_offset").collect()
     out: list[tuple[str | None, int, int, int]] = []
     for r in sorted(map(tuple, rows), key=lambda r: (r[0] is not None, r[0] or "", *r[1:])):
         if out and out[-1][:2] == r[:2] and r[2] <= out[-1][3]:
@@ -170,12 +174,10 @@ def merged_intervals(ranges: DataFrame) -> list[tuple[str | None, int, int, int]
     return out
 
 
-def _any(terms: list[Column]) -> Column:
+def _any(terms: list[str]) -> str:
     """OR of the terms as a balanced tree."""
-    if not terms:
-        return F.lit(False)
     while len(terms) > 1:
-        terms = [a | b for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) - len(terms) % 2 :]
+        terms = [f"({a} OR {b})" for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) - len(terms) % 2 :]
     return terms[0]
 
 
@@ -192,10 +194,11 @@ def range_predicate(intervals: list[tuple[str | None, int, int, int]]) -> Column
         by_place.setdefault((topic, low, high), []).append(partition)
     terms = []
     for (topic, low, high), partitions in by_place.items():
-        term = F.col("partition").isin(partitions) & (F.col("offset") >= low) & (F.col("offset") < high)
-        terms.append(term if topic is None else term & (F.col("topic") == topic))
+        named = "" if topic is None else f" AND topic = CAST(X'{topic.encode().hex()}' AS STRING)"
+        terms.append(f"(`partition` IN ({', '.join(map(str, partitions))}) AND `offset` >= {low}L AND `offset` < {high}L{named})")
     low, high = min(i[2] for i in intervals), max(i[3] for i in intervals)
-    return (F.col("offset") >= low) & (F.col("offset") < high) & _any(terms)
+    # one text: a column object would be a call to the driver's JVM a term
+    return F.expr(f"`offset` >= {low}L AND `offset` < {high}L AND ({_any(terms)})")
 
 
 def slice_offsets(df: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -225,7 +228,12 @@ def cap_rate(ranges: DataFrame, rate: int, interval_s: float = 1.0) -> DataFrame
     interval, and at least one, so that a short interval never stalls (A10); rate 0 = no cap."""
     if not rate:
         return ranges
-    return cap_records(ranges, max(1, int(rate * interval_s)))
+    return cap_records(ranges, capped(rate, interval_s))
+
+
+def capped(rate: int, interval_s: float) -> int:
+    """Most records of a partition in one batch interval."""
+    return max(1, int(rate * interval_s))
 
 
 def cap_records(ranges: DataFrame, max_records: int) -> DataFrame:

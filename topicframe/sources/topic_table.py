@@ -67,6 +67,7 @@ class TopicTable:
         self.path = path.rstrip("/")
         self.topic = topic
         self._entries: dict[int, T.Row] = {}
+        self._listed: tuple[list[int], list[tuple]] = ([], [])
 
     @property
     def data_path(self) -> str:
@@ -240,7 +241,7 @@ class TopicTable:
 
     def _read(self, *paths: str) -> DataFrame:
         df = self.spark.read.schema(TOPIC_TABLE_SCHEMA).option("basePath", self.data_path).parquet(*paths)
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in TOPIC_SCHEMA.fields])
+        return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in TOPIC_SCHEMA.fields])
 
     def read(self) -> DataFrame:
         """The topic frame (Kafka source columns) of the committed batches; partition
@@ -249,21 +250,29 @@ class TopicTable:
             return self.spark.createDataFrame([], TOPIC_SCHEMA)
         return self._read(self.data_path)
 
-    def slice(self, ranges: DataFrame) -> DataFrame:
+    def slice(self, ranges: DataFrame | list[tuple]) -> DataFrame:
         """The messages of ``ranges`` (``[topic,] partition, from_offset, until_offset``, A9).
 
         Only files that hold offsets of one of the ranges are read: they are
-        looked up in the log, one interval a partition or more.
+        looked up in the log, one interval a partition or more. Ranges that
+        the driver has already come as a list of such tuples with their
+        topic; the files of the log are then kept for the next slice.
         """
         wanted = merged_intervals(ranges)
         if not wanted:
             return self.spark.createDataFrame([], TOPIC_SCHEMA)
-        kind = "topic string, partition int, low long, high long"
-        known = known_rows(self.spark, wanted, kind)
-        files = self.files()
-        at = (F.col("w.topic").isNull() | (F.col("w.topic") == F.col("f.topic"))) & (F.col("w.partition") == F.col("f.partition"))
-        overlap = (F.col("from_offset") < F.col("high")) & (F.col("until_offset") > F.col("low"))
-        paths = [r.file for r in files.alias("f").join(known.alias("w"), at & overlap).select("file").distinct().collect()]
+        if isinstance(ranges, list):
+            versions = self.versions()
+            if versions != self._listed[0]:
+                # a row a file, as Spark's own file index
+                found = self.files().select("topic", "partition", "from_offset", "until_offset", "file").collect()
+                self._listed = versions, [tuple(r) for r in found]
+            paths = {f for t, p, low, high, f in self._listed[1] if any(x[0] in (None, t) and x[1] == p and low < x[3] and high > x[2] for x in wanted)}
+        else:
+            known = known_rows(self.spark, wanted, "topic string, partition int, low long, high long")
+            at = (F.col("w.topic").isNull() | (F.col("w.topic") == F.col("f.topic"))) & (F.col("w.partition") == F.col("f.partition"))
+            overlap = (F.col("from_offset") < F.col("high")) & (F.col("until_offset") > F.col("low"))
+            paths = [r.file for r in self.files().alias("f").join(known.alias("w"), at & overlap).select("file").distinct().collect()]
         if not paths:
             return self.spark.createDataFrame([], TOPIC_SCHEMA)
         return self._read(*[f"{self.data_path}/{p}" for p in sorted(paths)]).where(range_predicate(wanted))
@@ -271,4 +280,4 @@ class TopicTable:
     def drop(self) -> None:
         """Remove the table's folder."""
         remove(self.spark, self.path)
-        self._entries = {}
+        self._entries, self._listed = {}, ([], [])

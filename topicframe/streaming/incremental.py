@@ -8,15 +8,17 @@ where this one stopped; a capped run leaves the rest for later.
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
-from topicframe.operators.ledger import LedgerStore, ledger_upsert
+from topicframe.operators.ledger import LEDGER_DDL, LedgerStore, ledger_upsert
 from topicframe.operators.offsets import (
     EARLIEST,
-    cap_rate,
     cap_records,
+    capped,
     partition_bounds,
     resolve_sentinels,
     resolve_start_offsets,
@@ -127,6 +129,7 @@ def run_paced(
     initial: DataFrame | dict | None = None,
     default: int = EARLIEST,
     partitions: list[int] | None = None,
+    ahead: int = 1,
 ) -> int:
     """Drain a topic table at an exact rate per partition (A10); returns the number of runs.
 
@@ -138,19 +141,62 @@ def run_paced(
     range. ``run`` counts on from the ledger's versions, so it names the same
     batch when a run is repeated. The next run begins ``interval_s`` after
     this one began (``wait=False``: at once). Ends when nothing is left, or after ``runs``.
+
+    The log and the ledger are read again when either has a version that this
+    drain does not know; in between a run is planned from a row a partition
+    on the driver. Up to ``ahead`` runs are in their sinks at a time, which
+    must be idempotent by run and safe in threads if it is more than one; the
+    ledger is saved run by run, in order, and no further than the first that fails.
     """
     done = 0
-    while runs is None or done < runs:
-        began = time.monotonic()
-        previous = store.rows()
-        planned = plan_ranges(table, saved=previous, initial=initial, default=default, partitions=partitions)
-        ranges = cap_rate(planned, rate, interval_s)
-        if not ranges.where("until_offset > from_offset").limit(1).count():
-            break
-        newest = store.newest()
-        sink(read_ranges(table, ranges, partitions), 0 if newest is None else newest + 1)
-        store.save(ledger_upsert(previous if previous.limit(1).count() else None, ranges))
-        done += 1
-        if wait and (runs is None or done < runs):
-            time.sleep(max(0.0, interval_s - (time.monotonic() - began)))
+    position: dict[tuple, int] = {}  # next offsets, also of runs that are not saved yet
+    ends: list[tuple] = []
+    known, last = None, None
+    flying: deque = deque()
+
+    def finish() -> None:
+        run, ledger, future = flying[0]
+        if ahead > 1:
+            future.result()
+        store.save_rows(ledger, run)
+        flying.popleft()
+
+    with ThreadPoolExecutor(ahead) as pool:
+        try:
+            while runs is None or done < runs:
+                began = time.monotonic()
+                if not flying:
+                    newest = store.newest()
+                    if last is None or newest != last:
+                        position, known = {tuple(r)[:2]: r.next_offset for r in store.rows().collect()}, None
+                        last = newest
+                versions = table.versions()
+                if versions != known:
+                    saved = known_rows(table.spark, [(*k, n) for k, n in position.items()], LEDGER_DDL)
+                    planned = plan_ranges(table, saved=saved, initial=initial, default=default, partitions=partitions)
+                    ends = [(r.topic, r.partition, r.from_offset, r.until_offset) for r in planned.collect()]  # a row a partition
+                    known = versions
+                starts = [(t, p, max(low, position.get((t, p), low)), high) for t, p, low, high in ends]
+                now = [(t, p, low, max(low, min(high, low + capped(rate, interval_s)) if rate else high)) for t, p, low, high in starts]
+                if not any(high > low for *_, low, high in now):
+                    if not flying:
+                        break
+                    finish()
+                    continue
+                for t, p, _, high in now:
+                    position[t, p] = max(high, position.get((t, p), high))
+                last = 0 if last is None else last + 1
+                batch = select_partitions(table.slice(now), partitions)
+                future = pool.submit(sink, batch, last) if ahead > 1 else sink(batch, last)
+                flying.append((last, [(*k, n) for k, n in position.items()], future))
+                if len(flying) == ahead:
+                    finish()
+                done += 1
+                if wait and (runs is None or done < runs):
+                    time.sleep(max(0.0, interval_s - (time.monotonic() - began)))
+            while flying:
+                finish()
+        finally:
+            for *_, future in flying if ahead > 1 else ():
+                future.cancel()
     return done
