@@ -152,6 +152,24 @@ def test_trees_find_other_spellings_and_leave_clean_texts_alone(spark, docs_of):
     assert added <= 3
 
 
+def test_all_examples_are_learnt_from_whoever_adds_them_up(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    rows = [[{"start": k, "end": k + 9, "kind": pii.IP, "label": int(k % 3 == 0), "features": [float(rng.randrange(9) + 4 * (k % 3 == 0)), float(k % 5), float(rng.randrange(6000))]}] for k in range(30_000)]
+    found = spark.createDataFrame([(r,) for r in rows], f"_candidates {pii._CANDIDATES}").repartition(3)
+    labelled = found.selectExpr("inline(_candidates)")
+    edges = pii.feature_edges(labelled)
+    counts = pii.example_counts(labelled, edges)
+    assert {r.label: r.n for r in counts.groupBy("label").agg(F.sum("n").alias("n")).collect()} == {0: 20_000, 1: 10_000}  # no sample
+    assert [len(e) for e in edges[pii.IP]][:2] == [12, 4] and len(edges[pii.IP][2]) < pii.BINS
+    grow = pii.grow
+    monkeypatch.setattr(pii, "grow", lambda *a: grow(*a, rounds=3))
+    here, spread = (pii.fit_model(found, counted=c).kinds[pii.IP] for c in (1 << 20, 0))
+    for x, y in zip((here[0].feature, here[0].cut, here[0].value, here[1:]), (spread[0].feature, spread[0].cut, spread[0].value, spread[1:]), strict=True):
+        assert np.allclose(x, y)
+
+
 def test_personal_data_without_texts(docs_of):
     assert pii.find_personal_data(docs_of([(1, "x")]).where("false")).collect() == []
     assert pii.find_personal_data(docs_of([(1, None)])).collect()[0].spans == []

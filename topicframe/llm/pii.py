@@ -13,10 +13,13 @@ without being it, is one against; the others are not learnt from. Features
 that only say that a candidate is spelt as the patterns want it (a literal
 ``@``, a leading ``+``) are left out, so the trees can judge other spellings.
 
-Of the examples a bounded sample (``EXAMPLES`` a kind and label, the least
-hashes) is kept. A kind's trees are fitted on four fifths; on the last fifth
-the scores are calibrated, and the threshold is the least probability with
-the wanted precision there. Candidates beyond the threshold that touch no base
+All examples are learnt from. Features are cut into bins, and examples of
+one kind, label and bins are counted: a kind's trees, which see bins only,
+are grown from sums over these counts. Where they are few (``MOST_COUNTED``)
+the driver adds them up, else a Spark job a level does. Trees are fitted on
+four fifths of the examples (by hash); on the last fifth the scores are
+calibrated, and the threshold is the least probability with the wanted
+precision there. Candidates beyond the threshold that touch no base
 span are added, the likeliest first where they overlap. A kind with fewer
 than ``LEAST`` examples of either label adds none.
 
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicframe.llm.boosting import Boosted, boost, platt, precise_threshold
+from topicframe.llm.boosting import Boosted, Rows, binned, bins_of, descend, grow, platt, precise_threshold
 from topicframe.llm.common import checkpointed, documents, fresh_name
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -66,8 +69,13 @@ CUES = [
 ]
 CONTEXT = 40
 
-#: Examples of a kind and label that are learnt from, at most.
-EXAMPLES = 20_000
+#: Counts of examples that the driver adds up itself; of more, only sums come to it.
+MOST_COUNTED = 200_000
+BINS = 32
+#: Distinct values of a feature whose bins are found from the values themselves.
+MOST_VALUES = 4096
+#: Steps of the scores by which examples are counted for the calibration, and the largest score.
+SCORE_STEP, MOST_SCORE = 0.001, 40.0
 #: Examples of each label without which a kind adds nothing.
 LEAST = 30
 #: Share of personal data among the calibration examples beyond the threshold.
@@ -226,18 +234,6 @@ class Model:
         return out
 
 
-def fit_kind(x: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> tuple[Boosted, float, float, float] | None:
-    """Trees on four fifths of the examples, calibration and threshold on the others (every fifth row)."""
-    held = np.arange(len(y)) % 5 == 4
-    if min(y.sum(), (1 - y).sum()) < LEAST or len(set(y[held])) < 2:
-        return None
-    trees = boost(x[~held], y[~held])
-    raw = trees.raw(x[held])
-    a, b = platt(raw, y[held])
-    p = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
-    return trees, a, b, max(0.5, precise_threshold(p, y[held], precision))
-
-
 _FOUND = "array<struct<start:int,end:int,kind:int>>"
 _CANDIDATES = "array<struct<start:int,end:int,kind:int,label:int,features:array<float>>>"
 
@@ -261,22 +257,111 @@ def find_candidates(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return docs.select(id_column, "text").mapInArrow(find, f"`{id_column}` {dict(docs.dtypes)[id_column]}, _base {_FOUND}, _candidates {_CANDIDATES}")
 
 
-def fit_model(found: DataFrame, examples: int = EXAMPLES, precision: float = PRECISION) -> Model:
-    """The model of the labelled candidates of ``found``: per kind and label at most ``examples``, those with the least hash of their features."""
+def feature_edges(labelled: DataFrame) -> dict[int, list[np.ndarray]]:
+    """Per kind the edges of each feature's bins, by the distinct values of all examples."""
+    values = checkpointed(labelled.select("kind", F.posexplode("features").alias("feature", "value")).distinct(), "pii-values")
+    # a row a kind and feature
+    quantiles = F.percentile_approx(F.col("value").cast("double"), [k / (BINS - 1) for k in range(BINS)], 10_000)
+    known = values.groupBy("kind", "feature").agg(F.count("*").alias("n"), quantiles.alias("ends")).collect()
+    few = values.join(F.broadcast(values.groupBy("kind", "feature").count().where(F.col("count") <= MOST_VALUES).drop("count")), ["kind", "feature"]).toArrow()
+    kind, feature, value = (few[c].to_numpy() for c in ("kind", "feature", "value"))
+    out: dict[int, list[np.ndarray]] = {}
+    for r in sorted(known, key=lambda r: (r.kind, r.feature)):
+        mine = value[(kind == r.kind) & (feature == r.feature)].astype(float)
+        out.setdefault(r.kind, []).append(bins_of(mine[:, None], BINS)[0] if r.n <= MOST_VALUES else np.unique(r.ends)[:-1])
+    return out
+
+
+def example_counts(labelled: DataFrame, edges: dict[int, list[np.ndarray]]) -> DataFrame:
+    """kind, held (of the last fifth), label, code (a byte a feature: its bin), n of all examples."""
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, features, codes = batch.column(0).to_numpy(), batch.column(3), np.empty(batch.num_rows, object)
+            for k in np.unique(kind):
+                at = np.flatnonzero(kind == k)
+                rows = features.take(pa.array(at)).flatten().to_numpy().reshape(len(at), -1)
+                codes[at] = [c.tobytes() for c in binned(rows.astype(float), edges[k]).astype(np.uint8)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes, pa.binary())], ["kind", "label", "held", "code"])
+
+    held = F.pmod(F.xxhash64("features", "start"), F.lit(5)) == 4
+    rows = labelled.select("kind", "label", held.alias("held"), "features").mapInArrow(coded, "kind int, label int, held boolean, code binary")
+    return rows.groupBy("kind", "held", "label", "code").agg(F.count("*").alias("n"))
+
+
+def _arrays(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, labels and counts of examples of one kind."""
+    code = np.frombuffer(b"".join(table["code"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+    return code.astype(np.int64), table["label"].to_numpy(), table["n"].to_numpy().astype(float)
+
+
+def _sums_by_spark(counts: DataFrame):
+    """Sums for :func:`grow` over ``counts`` (of one kind), a Spark job each."""
+
+    def sums(trees: Boosted, t: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0
+            for batch in batches:
+                if batch.num_rows:
+                    rows = Rows(*_arrays(batch), BINS)
+                    total = total + np.stack(rows(trees, t, level)).ravel()
+            if np.ndim(total):
+                yield pa.RecordBatch.from_pydict({"at": np.arange(len(total)), "x": total})
+
+        got = counts.mapInArrow(add, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
+        out = np.zeros(2 * 2**level * len(trees.edges) * BINS)
+        out[got["at"].to_numpy()] = got["x"].to_numpy()
+        return tuple(out.reshape(2, 2**level, len(trees.edges), BINS))
+
+    return sums
+
+
+def _codes_raw(trees: Boosted, code: np.ndarray) -> np.ndarray:
+    """Log odds of binned rows, down to a step."""
+    depth = int(np.log2(trees.value.shape[1]))
+    raw = trees.start + sum(v[descend(code, f, c, depth) - (2**depth - 1)] for f, c, v in zip(trees.feature, trees.cut, trees.value, strict=True))
+    return np.floor(np.clip(raw, -MOST_SCORE, MOST_SCORE) / SCORE_STEP)
+
+
+def held_scores(counts: DataFrame, trees: Boosted) -> DataFrame:
+    """step, label, n: a row a step of the score and label, whatever the examples."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                code, label, n = _arrays(batch)
+                yield pa.RecordBatch.from_pydict({"step": _codes_raw(trees, code).astype(np.int64), "label": label, "n": n.astype(np.int64)})
+
+    return counts.mapInArrow(score, "step long, label int, n long").groupBy("step", "label").agg(F.sum("n").alias("n"))
+
+
+def fit_model(found: DataFrame, precision: float = PRECISION, counted: int | None = None) -> Model:
+    """The model of all labelled candidates of ``found``.
+
+    The driver holds at most ``counted`` (MOST_COUNTED) counts of a kind's
+    examples; beyond that Spark adds them up, to the same trees.
+    """
+    counted = MOST_COUNTED if counted is None else counted
     labelled = found.select(F.explode("_candidates").alias("c")).select("c.*").where("label >= 0")
-    labelled = labelled.withColumn("hash", F.xxhash64("features", "start"))
+    edges = feature_edges(labelled)
+    counts = checkpointed(example_counts(labelled, edges), "pii-examples")
+    seen = {(r.kind, r.held, r.label): r for r in counts.groupBy("kind", "held", "label").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
     kinds = {}
-    for kind in range(len(KINDS)):
-        rows = []
-        for label in (0, 1):
-            # the least hashes: each task keeps as many at most, nothing is sorted whole
-            some = labelled.where((F.col("kind") == kind) & (F.col("label") == label)).orderBy("hash", "start", "end").limit(examples)
-            rows += [(r["hash"], label, r["features"]) for r in some.select("hash", "features").toArrow().to_pylist()]
-        rows.sort()
-        if rows:
-            fitted = fit_kind(np.array([f for *_, f in rows], float), np.array([y for _, y, _ in rows]), precision)
-            if fitted:
-                kinds[kind] = fitted
+    for kind in sorted(edges):
+        n = {(held, label): seen[kind, held, label].n if (kind, held, label) in seen else 0 for held in (False, True) for label in (0, 1)}
+        if min(n[False, label] + n[True, label] for label in (0, 1)) < LEAST or not all(n.values()):
+            continue
+        mine = counts.where(F.col("kind") == kind)
+        fitted, held = mine.where("NOT held"), mine.where("held")
+        few = sum(r.rows for (k, *_), r in seen.items() if k == kind) <= counted
+        sums = Rows(*_arrays(fitted.orderBy("code", "label").toArrow()), BINS) if few else _sums_by_spark(fitted)
+        trees = grow(sums, edges[kind], n[False, 1] / (n[False, 0] + n[False, 1]))
+        scores = held_scores(held, trees).orderBy("step", "label").toArrow()  # at most a row a step
+        raw, y, w = (scores[c].to_numpy().astype(float) for c in ("step", "label", "n"))
+        raw = raw * SCORE_STEP
+        a, b = platt(raw, y, weight=w)
+        p = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
+        kinds[kind] = trees, a, b, max(0.5, precise_threshold(p, y, precision, w))
     return Model(kinds)
 
 
@@ -295,7 +380,7 @@ def chosen(base: list[Span], found: list[tuple[int, int, int]], p: np.ndarray) -
 SPANS = "array<struct<start:int,end:int,kind:string>>"
 
 
-def find_personal_data(docs: DataFrame, id_column: str = "doc_id", examples: int = EXAMPLES, precision: float = PRECISION) -> DataFrame:
+def find_personal_data(docs: DataFrame, id_column: str = "doc_id", precision: float = PRECISION) -> DataFrame:
     """The id, ``base`` and ``spans`` (base and added ones): arrays of start, end, kind.
 
     Places are code points, end exclusive. Null and empty texts have no
@@ -303,7 +388,7 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", examples: int
     Other columns are not read. No rows give none.
     """
     found = checkpointed(find_candidates(docs, id_column), "pii-candidates")
-    model = fit_model(found, examples, precision)
+    model = fit_model(found, precision)
     type_ = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
