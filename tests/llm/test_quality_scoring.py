@@ -138,6 +138,23 @@ def test_judging_rows(spark, docs_of):
     assert px.judge_quality(docs.limit(0)).count() == 0
 
 
+def test_letters_of_one_class_are_told_apart(spark, docs_of):
+    # 17 apart: one class of other letters
+    a, b = "\u0436", chr(0x436 + 17 * 40)
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    rng = np.random.default_rng(8)
+    text = lambda letter: " ".join(rng.choice(words) + letter for _ in range(80))
+    rows = [(k, text(a)) for k in range(60)] + [(100, text(b))]
+    docs = docs_of(rows, extra=False).withColumn("lang", F.lit("x"))
+    assert px.symbols(*next(text_chunks(pa.array([a])))[2:])[0].tolist() == px.symbols(*next(text_chunks(pa.array([b])))[2:])[0].tolist()
+    got = {r["doc_id"]: r for r in px.judge_quality(docs).collect()}
+    assert got[100]["log_perplexity"] > 0.2 + max(r["log_perplexity"] for d, r in got.items() if d != 100)
+    assert not got[100]["kept"] and sum(r["kept"] for r in got.values()) >= 55
+    letters, shares = px.letter_shares(np.array([0x436, 0x436 + 17, 0x437]), np.array([6, 2, 5]))
+    share = dict(zip(letters.tolist(), (10.0 ** shares).tolist(), strict=True))
+    assert np.allclose([share[0x436], share[0x436 + 17], share[0x437]], [6 / 10, 2 / 10, 5 / 6])
+
+
 def test_rare_languages_share_a_model(spark, docs_of):
     docs = docs_of([(k, f"some words in language {k % 5}") for k in range(50)]).withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 5))
     assert px.judge_quality(docs, models=2).where("log_perplexity > 0").count() == 50
