@@ -280,6 +280,19 @@ def test_components_equal_all_pairs(spark, docs_of, monkeypatch, frequent):
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(min(ids(ks), default=-1) for ks in members.values())
 
 
+def test_key_counts_are_whole_and_few_rows_carry_them(spark, monkeypatch):
+    monkeypatch.setattr(nj, "HELD_KEYS", 5000)
+    rows = spark.range(0, 40_000, 1, 4).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE xxhash64(id % 900) END AS k")
+    want = collections.Counter(r.k & (1 << 64) - 1 for r in rows.collect())
+    for least in (1, 30):
+        got = nj.key_counts(rows, lambda batch: iter([batch.column(0).to_numpy().view(np.uint64)]), least)
+        got = [(r.key & (1 << 64) - 1, r.n) for r in got.collect()]
+        assert len(got) == len(dict(got)) and dict(got) == {k: n for k, n in want.items() if n >= least}
+    assert nj.key_counts(rows.where("k IS NULL"), lambda batch: iter([batch.column(0).to_numpy().view(np.uint64)]), 1).count() == 0
+    keys = np.arange(100_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert sum(b.num_rows for b in nj._by_range([keys])) <= nj.COUNT_RANGES
+
+
 def test_no_documents_to_join(docs_of):
     found, _ = nj.jaccard_components(docs_of(ODD).limit(0))
     assert found.count() == 0

@@ -35,7 +35,7 @@ change its similarity.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,9 @@ STAR_SHARE = 8
 STAR_YIELD = 20
 #: Partners of one class that are verified in one task.
 PARTNERS = 256
+#: Keys that a task counts at once, and ranges of keys whose counts are added up together (at most 4096, by a part of the key's 58 bits of hash).
+HELD_KEYS = 1 << 21
+COUNT_RANGES = 1 << 11
 #: 64-bit blocks of the filter of shared shingles.
 FILTER_BLOCKS = 1 << 20
 
@@ -98,26 +101,71 @@ def _prefixes(first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.nda
 def frequent_shingles(docs: DataFrame, size: int, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys (hash without its last 6 bits, sorted) and ranks (1 to 63, by doublings) of the most frequent shingles."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            for _, _, data, offsets in text_chunks(batch.column(0)):
-                held.append(shingle_sets(data, offsets, size)[0] >> np.uint64(6))
-                if sum(map(len, held)) > 1 << 22:
-                    yield from _counted(held)
-                    held = []
-        yield from _counted(held)
+    def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, _, data, offsets in text_chunks(batch.column(0)):
+            yield shingle_sets(data, offsets, size)[0] >> np.uint64(6)
 
-    counted = docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    key, n = most_frequent(checkpointed(counted.where(F.col("n") >= least), "frequent"), most, least)
+    counted = key_counts(docs.select("text"), keys, least)
+    key, n = most_frequent(checkpointed(counted, "frequent"), most, least)
     return key, np.clip(np.log2(np.maximum(n, 1)), 1, 63).astype(np.uint64)
 
 
-def _counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    if held:
-        key, n = np.unique(np.concatenate(held), return_counts=True)
-        for at in range(0, len(key), 1 << 18):
-            yield pa.RecordBatch.from_pydict({"key": key[at : at + (1 << 18)].view(np.int64), "n": n[at : at + (1 << 18)].astype(np.int64)})
+def _by_range(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Keys and their counts, a row a range of keys: few rows go through the shuffle, whatever the keys."""
+    key, n = np.unique(np.concatenate(held), return_counts=True)
+    bucket = ((key >> np.uint64(46)) & np.uint64(COUNT_RANGES - 1)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    key, n, bucket = key[order], n[order].astype(np.uint32), bucket[order]
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(first, len(key))
+    for a in range(0, len(first), 256):
+        at = ends[a : a + 257]
+        x, y = at[0], at[-1]
+        columns = [
+            pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(((at - x) * v.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(v[x:y]))])
+            for v in (key, n)
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[at[:-1]].astype(np.int32)), *columns], ["range", "keys", "counts"])
+
+
+def key_counts(rows: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int) -> DataFrame:
+    """key, n of all keys (uint64) that ``keys`` finds at least ``least`` times in the batches of ``rows``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for some in keys(batch):
+                held.append(some)
+                size += len(some)
+                if size > HELD_KEYS:
+                    yield from _by_range(held)
+                    held, size = [], 0
+        if size:
+            yield from _by_range(held)
+
+    def added(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        key = np.concatenate([np.frombuffer(k, np.uint64) for k, _ in held])
+        order = np.argsort(key)
+        key, n = key[order], np.concatenate([np.frombuffer(c, np.uint32) for _, c in held])[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        total = np.add.reduceat(n.astype(np.int64), first)
+        some = total >= least
+        return pa.RecordBatch.from_pydict({"key": key[first[some]].view(np.int64), "n": total[some]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            for place, *part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if place != last and held:
+                    yield added(held)
+                    held = []
+                last = place
+                held.append(part)
+        if held:
+            yield added(held)
+
+    parts = rows.mapInArrow(count, "range int, keys binary, counts binary")
+    return parts.repartition("range").sortWithinPartitions("range").mapInArrow(add, "key long, n long")
 
 
 class Ranks:
@@ -218,16 +266,7 @@ def _posts(rows: DataFrame) -> DataFrame:
     """
     prefixes = rows.where(F.size("prefix") > 0).select("g", "n", "prefix")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            held.append(batch.column(2).flatten().to_numpy().view(np.uint64))
-            if sum(map(len, held)) > 1 << 22:
-                yield from _counted(held)
-                held = []
-        yield from _counted(held)
-
-    twice = prefixes.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+    twice = key_counts(prefixes, lambda batch: iter([batch.column(2).flatten().to_numpy().view(np.uint64)]), 2).select("key")
     given = rows.sparkSession.sparkContext.broadcast(_bloom(twice))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
