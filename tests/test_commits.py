@@ -290,6 +290,11 @@ def test_a_long_drain_reads_log_and_ledger_once(spark, tmp_dir, monkeypatch, ahe
     assert store.newest() == 11
 
 
+def test_a_null_partition_is_not_passed_over(spark, tmp_dir):
+    with pytest.raises(ValueError, match="null partition"):
+        LedgerStore(spark, f"{tmp_dir}/ledger").save_rows([("t", 0, 3), ("t", None, 2)], 0)
+
+
 def test_runs_ahead_of_a_failed_one_are_repeated(spark, tmp_dir):
     table = TopicTable(spark, f"{tmp_dir}/t", topic="t")
     table.put(make_topic(spark, [(0, k, None, str(k)) for k in range(9)]))

@@ -139,6 +139,8 @@ class LedgerStore:
     def save_rows(self, rows: list[tuple], version: int) -> int:
         """As :meth:`save`, for (topic, partition, next_offset) that the driver knows: no Spark job.
         The version is complete once its marker is there, which is written last."""
+        if any(partition is None for _, partition, _ in rows):
+            raise ValueError("a ledger cannot hold the offset of a null partition")
         docs: dict[str | None, dict[str, int]] = {}
         for topic, partition, offset in sorted(rows, key=lambda r: (r[0] or "", str(r[1]))):
             docs.setdefault(topic, {})[str(partition)] = offset
