@@ -3,6 +3,7 @@ import hashlib
 import random
 import re
 import string
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -293,6 +294,48 @@ def test_key_counts_are_whole_and_few_rows_carry_them(spark, monkeypatch):
     assert sum(b.num_rows for b in nj._by_range([keys])) <= nj.COUNT_RANGES
 
 
+def test_a_task_of_the_join_holds_one_python_worker(spark, monkeypatch):
+    plans = []
+    frame = type(spark.range(1))
+    run = frame.toArrow
+
+    def told(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return run(df)
+
+    monkeypatch.setattr(frame, "toArrow", told)
+    rows = spark.range(0, 600, 1, 3).selectExpr("id AS g", "4L AS n", "array(id, id DIV 2, -1L) AS prefix", "id AS row", "string(id) AS text")
+    posts = collections.Counter(r["key"] for r in nj._posts(rows).collect())
+    assert posts[-1] == 600 and all(posts[k] >= 2 for k in range(300))
+    assert nj._texts_of(rows, rows.select("row").where("row < 9")).where("cls < 9").count() == 9
+    assert len(plans) == 2
+    for plan in plans:
+        steps = [s for s in re.findall(r"MapInArrow|Exchange", plan)]
+        assert "MapInArrow" in steps and ("MapInArrow", "MapInArrow") not in list(zip(steps, steps[1:]))
+
+
+def test_counting_keys_copies_them_a_few_times():
+    def held():
+        rng = np.random.default_rng(3)
+        return [rng.integers(0, 1 << 64, 1 << 16, np.uint64) for _ in range(16)]
+
+    want = dict(zip(*(x.tolist() for x in np.unique(np.concatenate(held()), return_counts=True))))
+    tracemalloc.start()
+    try:
+        got = list(nj._by_range(held()))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 6 * 8 * len(want), most / 8 / len(want)
+    found = {}
+    for batch in got:
+        for place, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            keys = np.frombuffer(keys, np.uint64)
+            assert ((keys >> np.uint64(46)) & np.uint64(nj.COUNT_RANGES - 1) == place).all()
+            found |= dict(zip(keys.tolist(), np.frombuffer(counts, np.uint32).tolist(), strict=True))
+    assert found == want
+
+
 def test_no_documents_to_join(docs_of):
     found, _ = nj.jaccard_components(docs_of(ODD).limit(0))
     assert found.count() == 0

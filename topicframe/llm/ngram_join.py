@@ -110,12 +110,32 @@ def frequent_shingles(docs: DataFrame, size: int, most: int, least: int) -> tupl
     return key, np.clip(np.log2(np.maximum(n, 1)), 1, 63).astype(np.uint64)
 
 
+def _rotated(key: np.ndarray, left: np.uint64, right: np.uint64) -> np.ndarray:
+    """``key`` (overwritten) with its bits rotated left by ``left``; ``right`` is 64 - ``left``."""
+    low = key >> right
+    key <<= left
+    key |= low
+    return key
+
+
 def _by_range(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Keys and their counts, a row a range of keys: few rows go through the shuffle, whatever the keys."""
-    key, n = np.unique(np.concatenate(held), return_counts=True)
-    bucket = ((key >> np.uint64(46)) & np.uint64(COUNT_RANGES - 1)).astype(np.uint16)
-    order = np.argsort(bucket, kind="stable")
-    key, n, bucket = key[order], n[order].astype(np.uint32), bucket[order]
+    """Keys and their counts, a row a range of keys: few rows go through the shuffle, whatever the keys.
+
+    ``held`` is emptied. Few copies are made: a worker keeps what it needed at once.
+    """
+    key = np.concatenate(held)
+    held.clear()
+    # with the range's bits in front one sort orders ranges and keys
+    front = np.uint64(18 - (COUNT_RANGES.bit_length() - 1))
+    back = np.uint64(64) - front
+    key = _rotated(key, front, back)
+    key.sort()
+    new = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    n = np.diff(np.flatnonzero(new), append=len(key)).astype(np.uint32)
+    key = key[new]
+    bucket = (key >> (np.uint64(46) + front)).astype(np.int32)
+    key = _rotated(key, back, front)
     first = np.flatnonzero(np.diff(bucket, prepend=-1))
     ends = np.append(first, len(key))
     for a in range(0, len(first), 256):
@@ -125,11 +145,19 @@ def _by_range(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(((at - x) * v.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(v[x:y]))])
             for v in (key, n)
         ]
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[at[:-1]].astype(np.int32)), *columns], ["range", "keys", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[at[:-1]]), *columns], ["range", "keys", "counts"])
+
 
+def key_counts(
+    rows: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int,
+    then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter, schema: str = "key long, n long",
+) -> DataFrame:
+    """key, n of all keys (uint64) that ``keys`` finds at least ``least`` times in the batches of ``rows``.
 
-def key_counts(rows: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int) -> DataFrame:
-    """key, n of all keys (uint64) that ``keys`` finds at least ``least`` times in the batches of ``rows``."""
+    ``then`` works on them in the task that adds them up and returns rows of
+    ``schema``: with a second step in Python behind it a task would hold two
+    Python workers, and Spark keeps them all for the tasks that follow.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -165,7 +193,7 @@ def key_counts(rows: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.nda
             yield added(held)
 
     parts = rows.mapInArrow(count, "range int, keys binary, counts binary")
-    return parts.repartition("range").sortWithinPartitions("range").mapInArrow(add, "key long, n long")
+    return parts.repartition("range").sortWithinPartitions("range").mapInArrow(lambda batches: then(add(batches)), schema)
 
 
 class Ranks:
@@ -240,18 +268,22 @@ def _filter_bits(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & np.uint64(FILTER_BLOCKS - 1)).astype(np.int64), word
 
 
-def _bloom(keys: DataFrame) -> np.ndarray:
-    """Filter of a fixed size over the first column of ``keys``: FILTER_BLOCKS words."""
+MARKS = "block long, word long"
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words (MARKS) that the keys in the first column of ``batches`` set in a filter."""
+    words = np.zeros(FILTER_BLOCKS, np.uint64)
+    for batch in batches:
+        block, word = _filter_bits(batch.column(0).to_numpy().view(np.uint64))
+        np.bitwise_or.at(words, block, word)
+    some = np.flatnonzero(words)
+    yield pa.RecordBatch.from_pydict({"block": some, "word": words[some].view(np.int64)})
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = np.zeros(FILTER_BLOCKS, np.uint64)
-        for batch in batches:
-            block, word = _filter_bits(batch.column(0).to_numpy().view(np.uint64))
-            np.bitwise_or.at(words, block, word)
-        some = np.flatnonzero(words)
-        yield pa.RecordBatch.from_pydict({"block": some, "word": words[some].view(np.int64)})
 
-    marked = keys.mapInArrow(mark, "block long, word long").groupBy("block").agg(F.bit_or("word").alias("word")).toArrow()
+def _bloom(marks: DataFrame) -> np.ndarray:
+    """Filter of a fixed size of the tasks' ``marks``: FILTER_BLOCKS words."""
+    marked = marks.groupBy("block").agg(F.bit_or("word").alias("word")).toArrow()
     words = np.zeros(FILTER_BLOCKS, np.uint64)
     words[marked["block"].to_numpy()] = marked["word"].to_numpy().view(np.uint64)
     return words
@@ -266,7 +298,7 @@ def _posts(rows: DataFrame) -> DataFrame:
     """
     prefixes = rows.where(F.size("prefix") > 0).select("g", "n", "prefix")
 
-    twice = key_counts(prefixes, lambda batch: iter([batch.column(2).flatten().to_numpy().view(np.uint64)]), 2).select("key")
+    twice = key_counts(prefixes, lambda batch: iter([batch.column(2).flatten().to_numpy().view(np.uint64)]), 2, _marks, MARKS)
     given = rows.sparkSession.sparkContext.broadcast(_bloom(twice))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +319,7 @@ def _posts(rows: DataFrame) -> DataFrame:
 
 def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """cls, text of the rows ``wanted`` (cls), and of few others: a filter of a fixed size goes to the texts, not the texts to a join."""
-    given = rows.sparkSession.sparkContext.broadcast(_bloom(wanted))
+    given = rows.sparkSession.sparkContext.broadcast(_bloom(wanted.mapInArrow(_marks, MARKS)))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = given.value
