@@ -336,6 +336,58 @@ def test_counting_keys_copies_them_a_few_times():
     assert found == want
 
 
+def shuffled_texts(df):
+    """Rows with a text in the shuffles of the plan that ran for ``df``."""
+    df.collect()
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        elif name == "Exchange" and "text#" in node.output().toString():
+            n += node.metrics().get("shuffleRecordsWritten").get().value()
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    return n
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_kept_texts_stay_out_of_shuffles(spark, docs_of, monkeypatch, no_broadcast):
+    rng = random.Random(11)
+    texts = [" ".join(prose(rng, 30)) for _ in range(200)]
+    rows = ODD + [(100 + k, t) for k, t in enumerate(texts + texts[:60])]
+    kept = nj.keep_one_of_each(docs_of(rows))
+    assert shuffled_texts(kept) < 10
+    first = sorted(map(str, kept.collect()))
+    assert sum("doc_id=1" in r or "doc_id=2" in r for r in first) >= 200
+    # filters that let everything pass: the join decides
+    monkeypatch.setattr(nj, "_bloom", lambda marks: np.full(nj.FILTER_BLOCKS, (1 << 64) - 1, np.uint64))
+    joined = nj.keep_one_of_each(docs_of(rows))
+    assert shuffled_texts(joined) == len(rows) and sorted(map(str, joined.collect())) == first
+
+
+def test_shuffle_files_go_before_the_texts_are_written(docs_of, monkeypatch):
+    told = []
+    rows_of, release, frequent = nj._rows, nj.release, nj.frequent_shingles
+    monkeypatch.setattr(nj, "_rows", lambda *args: told.append("rows") or rows_of(*args))
+    monkeypatch.setattr(nj, "release", lambda spark: told.append("release") or release(spark))
+    monkeypatch.setattr(nj, "frequent_shingles", lambda *args: told.append("counted") or frequent(*args))
+    monkeypatch.setattr(nj, "_only", lambda rows, *_: told.append("texts") or rows)
+    nj.keep_one_of_each(docs_of(ODD))
+    assert told[:3] == ["counted", "release", "rows"] and told[-2:] == ["release", "texts"]
+
+
 def test_no_documents_to_join(docs_of):
     found, _ = nj.jaccard_components(docs_of(ODD).limit(0))
     assert found.count() == 0

@@ -330,6 +330,28 @@ def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select(F.col("row").alias("cls"), "text").mapInArrow(keep, "cls long, text string")
 
 
+def _only(rows: DataFrame, kept: DataFrame, others: DataFrame) -> DataFrame:
+    """The ``rows`` whose number is in ``kept``; all their numbers are in ``kept`` or ``others`` (both: row).
+
+    Filters of a fixed size of both go to the texts, not the texts to a join:
+    a row that the others' filter keeps back is decided. Only those that both
+    let pass, few unless a filter is crowded, are joined.
+    """
+    given = rows.sparkSession.sparkContext.broadcast([_bloom(some.mapInArrow(_marks, MARKS)) for some in (kept, others)])
+
+    def passing(decided: bool) -> DataFrame:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            filters = given.value
+            for batch in batches:
+                block, word = _filter_bits(batch.column(0).to_numpy().view(np.uint64))
+                wanted, other = ((words[block] & word) == word for words in filters)
+                yield batch.filter(pa.array(wanted & (other != decided)))
+
+        return rows.mapInArrow(keep, rows.schema)
+
+    return passing(True).unionByName(passing(False).join(kept, "row", "left_semi"))
+
+
 def _enough(n1, n2, percent: int):
     """Sizes that can reach the similarity."""
     return (100 * F.least(n1, n2)) >= percent * F.greatest(n1, n2)
@@ -392,11 +414,13 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     docs = docs.select("text", others.alias("doc"))
     frequent = frequent_shingles(docs, size, FREQUENT, LEAST_FREQUENT)
+    release(docs.sparkSession)  # the keys' shuffle files go before the rows are written
     rows = checkpointed(_rows(docs, size, percent, frequent), "shingle-rows")
     release(rows.sparkSession)
     with scratch(rows.sparkSession) as paths:  # all but the rows and the result
         found = checkpointed(_components(rows, size, percent), "components")
         keep_last(paths)
+    release(rows.sparkSession)
     return found, rows.select("row", "text", "doc")
 
 
@@ -509,9 +533,10 @@ def _undecided(posts: DataFrame, classes: DataFrame, labels: DataFrame) -> DataF
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id (nulls last), of equal ids the first read; columns as before."""
     found, rows = jaccard_components(docs, size, percent)
-    kept = found.groupBy("component").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row")).select("row")
+    kept = checkpointed(found.groupBy("component").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row")).select("row"), "kept")
+    others = found.select("row").join(kept, "row", "left_anti")
     columns = ["text" if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
-    return rows.join(kept, "row", "left_semi").select(*columns)
+    return _only(rows, kept, others).select(*columns)
 
 
 def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
