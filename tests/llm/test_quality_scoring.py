@@ -155,6 +155,114 @@ def test_letters_of_one_class_are_told_apart(spark, docs_of):
     assert np.allclose([share[0x436], share[0x436 + 17], share[0x437]], [6 / 10, 2 / 10, 5 / 6])
 
 
+def characters_of(text):
+    """4-grams of single characters by hand; an edge is the empty string, a run of blanks one."""
+    line = ["", "", "", *re.sub(r"[\x20\x09-\x0D]+", " ", text).lower(), ""]
+    return [tuple(line[k : k + 4]) for k in range(len(line) - 3)]
+
+
+def character_model(texts):
+    """Log10 probabilities of a text's characters, and of their classes, by dictionaries over the model of classes."""
+    codes = lambda some: np.concatenate([px.symbols(d, o)[0] for _, _, d, o in text_chunks(pa.array(some))])
+    of_classes = px.Scorer(*(a.tobytes() for a in px.kneser_ney(*np.unique(codes(texts), return_counts=True))))
+    counts = {4: collections.Counter(g for t in texts for g in characters_of(t))}
+    alike = collections.defaultdict(collections.Counter)  # class: its characters
+    for t in texts:
+        for g, c in zip(characters_of(t), codes([t]).tolist(), strict=True):
+            alike[c % px.SYMBOLS][g[-1]] += 1
+    for k in (3, 2, 1):
+        counts[k] = collections.Counter(g[1:] for g in counts[k + 1])
+
+    def discounts(c):
+        n = [max(1, sum(v == k for v in c.values())) for k in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1])
+        return [0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.05), k - 0.05) for k in range(1, 4)]
+
+    d = {k: discounts(c) for k, c in counts.items()}
+    after = {k: collections.defaultdict(list) for k in counts}
+    for k, c in counts.items():
+        for g, n in c.items():
+            after[k][g[:-1]].append(n)
+
+    def p(g, lowest):
+        if not g:
+            return lowest
+        k, below = len(g), p(g[1:], lowest)
+        seen = after[k].get(g[:-1])
+        if not seen:
+            return below
+        n = counts[k].get(g, 0)
+        return (n - d[k][min(n, 3)] * (n > 0)) / sum(seen) + sum(d[k][min(x, 3)] for x in seen) / sum(seen) * below
+
+    def share(c, symbol):
+        seen = alike[c]
+        if c < 28:
+            return 1.0
+        return (seen[symbol] or max(1, len(seen))) / max(1, sum(seen.values()) + len(seen))
+
+    def logs(text):
+        code = codes([text])
+        of_class = of_classes(code)
+        return [math.log10(p(g, 10.0**x * share(c % px.SYMBOLS, g[-1]))) for g, c, x in zip(characters_of(text), code.tolist(), of_class.tolist(), strict=True)], of_class
+
+    return logs
+
+
+@pytest.mark.parametrize("sent", [px.SENT, 300, 0])
+def test_perplexities_equal_single_characters_by_hand(spark, docs_of, monkeypatch, sent):
+    monkeypatch.setattr(px, "SENT", sent)
+    rng = np.random.default_rng(11)
+    words = ["".join(rng.choice(list("abcdeEIJ0123456789#$%&.,-;\u0436\u0448\u0451\u0416\u4e2d\u6587\U0001f600"), 3)) for _ in range(120)]
+    rows = [(k, "en" if k % 3 else "fr", "  ".join(rng.choice(words[: 60 + 20 * (k % 3)], 60)) + "\n" * (k % 2)) for k in range(24)]
+    rows += [(100, "en", ""), (101, "de", "only one"), (102, "fr", rows[0][2])]
+    docs = docs_of([(k, t) for k, _, t in rows], extra=False).join(spark.createDataFrame([r[:2] for r in rows], "doc_id long, lang string"), "doc_id")
+    half = {r["doc_id"]: r["key"] & 1 for r in docs.select("doc_id", px.text_key().alias("key")).collect()}
+    models = {}
+    for name in ("en", "fr", "de"):
+        for h in (0, 1):
+            own = [t for k, lang, t in rows if lang == name and half[k] == h]
+            if own:
+                models[name, h] = character_model(own)
+    of = lambda name, h: models.get((name, 1 - h)) or models[name, h]
+    # the upper bound is the median: half of the texts are judged by stretches
+    got = {r["doc_id"]: r for r in px.judge_quality(docs, above=0.0).collect()}
+    assert len(got) == len(rows) and sum(r["mixed"] is not None for r in got.values()) >= 5
+    for k, lang, t in rows:
+        logs, of_class = of(lang, half[k])(t)
+        assert got[k]["log_perplexity"] == pytest.approx(-np.mean(logs), abs=1e-5)
+        assert got[k]["log_class_perplexity"] == pytest.approx(-np.mean(of_class), abs=1e-5)
+        if got[k]["mixed"] is not None:
+            each = [of(name, half[k])(t)[0] for name in ("en", "fr")]  # no text in de passes the base rules
+            best = sum(max(sum(x[at : at + px.STRETCH]) for x in each) for at in range(0, len(logs), px.STRETCH))
+            assert got[k]["mixed"] == pytest.approx(-best / len(logs), abs=1e-5)
+
+
+def test_digits_signs_and_contexts_are_told_apart(spark, docs_of):
+    rng = np.random.default_rng(9)
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    a, b = "\u0436", chr(0x436 + 17 * 40)  # one class of other letters
+    text = lambda digit, sign, two: " ".join(f"{two[0]}{rng.choice(words)}{digit} {two[1]}{rng.choice(words)}{sign}" for _ in range(40))
+    rows = [(k, text("7", "#", ("x" + a, "z" + b))) for k in range(60)]
+    rows += [(100, text("8", "#", ("x" + a, "z" + b))), (101, text("7", "~", ("x" + a, "z" + b))), (102, text("7", "#", ("x" + b, "z" + a)))]
+    got = {r["doc_id"]: r for r in px.judge_quality(docs_of(rows, extra=False).withColumn("lang", F.lit("x"))).collect()}
+    most = max(r["log_perplexity"] for d, r in got.items() if d < 100)
+    for d in (100, 101, 102):
+        assert got[d]["log_perplexity"] > most + 0.05 and not got[d]["kept"]
+    assert sum(r["kept"] for r in got.values()) >= 55
+
+
+def test_counts_are_handed_on(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(px, "HELD", 50)
+    texts = [f"{k} text {k * 7919 % 101}" for k in range(200)]
+    docs = docs_of(list(enumerate(texts)), extra=False).select("text", F.lit(3).alias("model"), px.text_key().alias("text_key"))
+    want = collections.Counter(g for t in texts for g in characters_of(t))
+    symbol = lambda n: chr(n - 1) if n else ""
+    got = {}
+    for r in px.ngram_counts(docs).collect():
+        got[*(symbol(r["context"] >> px.BITS * k & (1 << px.BITS) - 1) for k in (2, 1, 0)), symbol(r["symbol"])] = r["n0"] + r["n1"]
+    assert got == want
+
+
 def test_rare_languages_share_a_model(spark, docs_of):
     docs = docs_of([(k, f"some words in language {k % 5}") for k in range(50)]).withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 5))
     assert px.judge_quality(docs, models=2).where("log_perplexity > 0").count() == 50
